@@ -24,6 +24,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varlake.config import DEFAULT_LIMITS, Limits
 from varlake.functions.keys import KEY
@@ -68,6 +69,7 @@ def left_join_lookup(
     *,
     null_safe: bool = False,
     keep_right_keys: bool = False,
+    try_broadcast: bool = True,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Left join ``left`` to ``right`` on equal keys, skew-safe.
@@ -77,6 +79,9 @@ def left_join_lookup(
     column except the right keys (unless ``keep_right_keys``).  Left rows
     without a match are kept once with NULLs; a match with several right rows
     repeats the left row (plain left-join semantics).
+
+    ``try_broadcast=False`` skips the bounded count (for a right side known to
+    be large, or one whose count would re-run the left's whole plan).
     """
     pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
     right_keys = [rk for _, rk in pairs]
@@ -91,7 +96,7 @@ def left_join_lookup(
         # A right key with the same name as a left column keeps the left one.
         out_right = [c for c in out_right if c not in set(left.columns)]
 
-    small = checked_broadcast(r, limits.max_broadcast_rows)
+    small = checked_broadcast(r, limits.max_broadcast_rows) if try_broadcast else None
     if small is not None:
         joined = left.join(small, _eq(left, small, rpairs, null_safe), "left")
         return joined.select(
@@ -208,8 +213,10 @@ def annotate_by_key(
         annotated = variants.select(*key).distinct()
         for t in tables:
             annotated = annotated.join(t, key, "left")
+        # The annotated keys are at least as many as the distinct keys of an
+        # unbounded table: no broadcast, salted shuffle join.
         return left_join_lookup(
-            variants, annotated, key, null_safe=False, limits=limits
+            variants, annotated, key, try_broadcast=False, limits=limits
         )
 
     if strategy == "plain":
@@ -231,31 +238,65 @@ def left_join_any(
     """``left LEFT JOIN right ON l1 = r1 OR l2 = r2 OR ...``.
 
     ``alternatives`` are ``(left_column, right_column)`` pairs; ``right_unique``
-    names a column that identifies a right row.  The distinct tuples of left
-    key columns are matched by one equi-join per alternative; the matches are
-    united and de-duplicated per (tuple, right row), so a right row matching by
-    two alternatives appears once; the matches are joined back on the tuple
-    with NULL-safe equality.  No nested-loop join is planned.
+    names a column that identifies a right row.  A right row that matches by
+    several alternatives appears once; a left row without any match is kept
+    once with NULLs.  Never a nested-loop join:
+
+    * right proven small (bounded count): per alternative, the right rows are
+      grouped by that key into an array and broadcast; each left row takes the
+      union of its arrays and explodes it - map-side, the left is not shuffled.
+    * otherwise: the distinct tuples of left keys are matched by one equi-join
+      per alternative, the matches are united and de-duplicated per (tuple,
+      right row) and joined back on the tuple with NULL-safe equality (salted).
     """
-    lcols = [lk for lk, _ in alternatives]
-    rcols_unique = list(dict.fromkeys(lcols))
-    tuples = left.select(*rcols_unique).distinct()
-    tag = {c: f"__k_{i}" for i, c in enumerate(rcols_unique)}
+    lcols = list(dict.fromkeys(lk for lk, _ in alternatives))
+    if row_count_at_most(right, limits.max_broadcast_rows):
+        packed = F.struct(*[F.col(f"`{c}`") for c in right.columns])
+        out = left
+        arrays = []
+        for i, (lk, rk) in enumerate(alternatives):
+            lut = (
+                right.where(F.col(rk).isNotNull())
+                .groupBy(F.col(rk).alias(f"__lk{i}"))
+                .agg(F.collect_list(packed).alias(f"__m{i}"))
+            )
+            lut = F.broadcast(lut)  # at most as many rows as ``right``
+            out = out.join(lut, out[lk] == lut[f"__lk{i}"], "left").drop(f"__lk{i}")
+            arrays.append(f"__m{i}")
+        empty = F.array().cast(T.ArrayType(packed_type(right)))
+        merged = F.coalesce(F.col(arrays[0]), empty)
+        for a in arrays[1:]:
+            merged = F.array_union(merged, F.coalesce(F.col(a), empty))
+        out = out.select(
+            *[F.col(f"`{c}`") for c in left.columns], F.explode_outer(merged).alias("__r")
+        )
+        return out.select(
+            *[F.col(f"`{c}`") for c in left.columns],
+            *[F.col("__r").getField(c).alias(c) for c in right.columns],
+        )
+
+    tuples = left.select(*lcols).distinct()
+    tag = {c: f"__k_{i}" for i, c in enumerate(lcols)}
     matches = None
     for lk, rk in alternatives:
         t = tuples.where(F.col(lk).isNotNull()).select(
-            [F.col(c).alias(tag[c]) for c in rcols_unique]
+            [F.col(c).alias(tag[c]) for c in lcols]
         )
         m = t.join(right, t[tag[lk]] == right[rk], "inner").select(
-            [t[tag[c]] for c in rcols_unique] + [right[f"`{c}`"] for c in right.columns]
+            [t[tag[c]] for c in lcols] + [right[f"`{c}`"] for c in right.columns]
         )
         matches = m if matches is None else matches.unionByName(m)
-    matches = matches.dropDuplicates([tag[c] for c in rcols_unique] + [right_unique])
-    joined = left_join_lookup(
+    matches = matches.dropDuplicates([tag[c] for c in lcols] + [right_unique])
+    return left_join_lookup(
         left,
         matches,
-        {c: tag[c] for c in rcols_unique},
+        {c: tag[c] for c in lcols},
         null_safe=True,
+        try_broadcast=False,
         limits=limits,
     )
-    return joined
+
+
+def packed_type(df: DataFrame) -> T.StructType:
+    """Struct type holding every column of ``df``."""
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])

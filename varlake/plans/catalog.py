@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varlake.functions.keys import KEY, chromosome_rank
-from varlake.functions.values import damage_ratio, max_frequency
+from varlake.functions.values import damage_ratio, max_frequency, stringify_nested
 from varlake.operators.aggregates import (
     dbsnp_smallest,
     gencc_by_gene,
@@ -34,9 +34,13 @@ from varlake.operators.genes import (
     attach_cosmic,
     attach_gencc,
     attach_hgmd_gene,
+    attach_hgmd_gene_by_symbol,
+    attach_omim,
     attach_orphanet,
+    attach_orphanet_by_symbol,
     hgmd_gene_reference,
 )
+from varlake.operators.panels import annotate_gene_group, attach_gene_list
 from varlake.operators.joins import annotate_by_key, project_annotation
 from varlake.operators.known import (
     clinvar_pathogenic,
@@ -46,6 +50,7 @@ from varlake.operators.known import (
 )
 from varlake.operators.ordering import chromosome_order
 from varlake.plans import oracle as O
+from varlake.plans.annovar import AnnovarTables, filter_annovar
 from varlake.plans.vep import VepTables, filter_vep
 from varlake.sources.fixtures import fixture
 
@@ -424,6 +429,118 @@ def q_filter_dragon(spark, sf):
                                      vep_tables(spark, sf, dragon=True), source="dragon"))
 
 
+def annovar_tables(spark: SparkSession, sf: str) -> AnnovarTables:
+    fx = lambda n: fixture(spark, sf, n)
+    return AnnovarTables(
+        topmed=fx("fx_topmed"), dbnsfp=fx("fx_dbnsfp"), hgmd_gene=fx("fx_hgmd_gene"),
+        hgmd_dm_q_column="dm_q", omim_gene=fx("fx_omim"), orphanet_gene=fx("fx_orphanet"),
+        gencc=fx("fx_gencc"), spliceai=fx("fx_spliceai"), mmsplice=fx("fx_mmsplice"),
+        clinvar=fx("fx_clinvar"), hgmd_var=fx("fx_hgmd_var"),
+    )
+
+
+@register("filter_annovar", O.annovar_pipeline())
+def q_filter_annovar(spark, sf):
+    """The ANNOVAR filtering pipeline end to end (K2 text output)."""
+    return filter_annovar(fixture(spark, sf, "fx_annovar"), annovar_tables(spark, sf))
+
+
+@register("symbol_gene_joins", O.with_(
+    ["fx_annovar", "fx_hgmd_gene", "fx_omim", "fx_orphanet", "fx_gencc"],
+    [O.CTE_OMIM, O.CTE_ORPH_TEXT, O.cte_gencc("gene_symbol", "GenCC_gene_symbol", "genc_s")], f"""
+, v0 AS (SELECT chromosome, start, reference, alternate, Gene_refGene FROM fx_annovar WHERE {O.ANNOVAR_PRED})
+SELECT v0.*, hm.entrez_gene_id, array_to_string(hm.DM, ',') AS HGMD_DM, array_to_string(hm.dm_q, ',') AS "HGMD_DM?",
+ array_to_string(om.OMIM_gene_id, ',') AS OMIM_gene_id, om.OMIM_phenotype_combined,
+ o.Orphanet_disorder_id_combined, o.Orphanet_gene_source_of_validation_combined, o.Orphanet_HGNC_gene_id,
+ o.Orphanet_type_of_inheritance_combined, {', '.join(f"array_to_string(g.{c}, ',') AS {c}" for c in O.GENCC_COLS)}
+FROM v0 LEFT JOIN fx_hgmd_gene hm ON v0.Gene_refGene = hm.symbol
+ LEFT JOIN omim_g om ON hm.entrez_gene_id = om.OMIM_entrez_gene_id
+ LEFT JOIN orph_t o ON v0.Gene_refGene = o.Orphanet_gene_symbol
+ LEFT JOIN genc_s g ON v0.Gene_refGene = g.GenCC_gene_symbol"""))
+def q_symbol_gene_joins(spark, sf):
+    """J17 (+J16): ANNOVAR gene tables joined by gene symbol."""
+    fx = lambda n: fixture(spark, sf, n)
+    v = keep_exonic_or_splicing(fx("fx_annovar")).select(*KEY, "Gene_refGene")
+    v = attach_hgmd_gene_by_symbol(v, fx("fx_hgmd_gene"), dm_q_column="dm_q")
+    v = attach_omim(v, omim_by_gene(fx("fx_omim")))
+    v = attach_orphanet_by_symbol(v, orphanet_by_gene_text(fx("fx_orphanet")))
+    v = attach_gencc(v, gencc_by_gene(fx("fx_gencc"), "gene_symbol", "GenCC_gene_symbol"),
+                     on_column="Gene_refGene", gene_key="GenCC_gene_symbol")
+    return arrays_as_text(v)
+
+
+@register("nested_to_text", O.with_(["fx_clinvar"], [O.CTE_CLV], """
+SELECT chromosome, start, reference, alternate,
+ CAST(to_json({'VariationID': VariationID, 'clin_sig': clin_sig}) AS VARCHAR) AS clinvar_json,
+ array_to_string(clin_sig, ',') AS clin_sig FROM clv"""))
+def q_nested_to_text(spark, sf):
+    """Struct -> JSON text and array -> comma text."""
+    hits = clinvar_pathogenic(fixture(spark, sf, "fx_clinvar"))
+    nested = hits.select(*KEY, F.struct("VariationID", "clin_sig").alias("clinvar_json"), "clin_sig")
+    return stringify_nested(nested)
+
+
+_GG_TAIL = """
+, ids AS (
+ SELECT 'entrez' AS t, entrez_id AS id, true AS a, false AS b FROM fx_list_ecpg
+ UNION ALL SELECT 'entrez', entrez_id, false, true FROM fx_list_emgp
+ UNION ALL SELECT 'hgnc', hgnc_id, true, false FROM fx_list_ecpg
+ UNION ALL SELECT 'hgnc', hgnc_id, false, true FROM fx_list_emgp
+ UNION ALL SELECT 'symbol', symbol, true, false FROM fx_list_ecpg
+ UNION ALL SELECT 'symbol', symbol, false, true FROM fx_list_emgp)
+, mem AS (SELECT t, id, bool_or(a) AS a, bool_or(b) AS b FROM ids
+ WHERE id IS NOT NULL AND id NOT IN ('', '-') GROUP BY t, id)
+, m AS (
+ SELECT p1.*,
+  coalesce(e.a, false) OR coalesce(h.a, false) AS a_id, coalesce(e.b, false) OR coalesce(h.b, false) AS b_id,
+  coalesce(s.a, false) AS a_sym, coalesce(s.b, false) AS b_sym
+ FROM p1
+ LEFT JOIN mem e ON e.t = 'entrez' AND e.id = CAST(p1.entrez_gene_id AS VARCHAR)
+ LEFT JOIN mem h ON h.t = 'hgnc' AND h.id = p1.hgnc
+ LEFT JOIN mem s ON s.t = 'symbol' AND s.id = p1.CSQ_SYMBOL)
+, lab AS (
+ SELECT *, a_id OR (NOT a_id AND NOT b_id AND a_sym) AS a_f, b_id OR (NOT a_id AND NOT b_id AND b_sym) AS b_f FROM m)
+SELECT * EXCLUDE (a_id, b_id, a_sym, b_sym, a_f, b_f),
+ CASE WHEN a_f AND b_f THEN 'ECPG/EMGP' WHEN a_f THEN 'ECPG' WHEN b_f THEN 'EMGP' ELSE '-' END AS gene_group
+FROM lab"""
+
+
+@register("gene_group", O.vep_pipeline("vep", extra_fixtures=["fx_list_ecpg", "fx_list_emgp"], tail=_GG_TAIL))
+def q_gene_group(spark, sf):
+    """Gene-panel label on the P1 result (two panels, id then symbol)."""
+    p1 = filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf))
+    out = annotate_gene_group(p1, fixture(spark, sf, "fx_list_ecpg"), fixture(spark, sf, "fx_list_emgp"))
+    return arrays_as_text(out)
+
+
+_GOI_TAIL = """
+, kept AS (SELECT * FROM p1 WHERE flag_keep = 1 AND (max_gtar IS NULL OR max_gtar < 0.0001::DOUBLE)
+  AND (PredCountRatio_D2T IS NULL OR PredCountRatio_D2T >= 0.5::DOUBLE))
+, gl AS (SELECT symbol, ncbi, ensembl,
+  {'Germline_GOIs_names': symbol, 'entrez': ncbi, 'ensembl': ensembl, 'gene_desc': gene_desc} AS entry
+  FROM fx_list_goi)
+, by_e AS (SELECT ncbi AS id, any_value(entry) AS entry FROM gl WHERE ncbi NOT IN ('', '-') GROUP BY ncbi)
+, by_n AS (SELECT ensembl AS id, any_value(entry) AS entry FROM gl WHERE ensembl NOT IN ('', '-') GROUP BY ensembl)
+, by_s AS (SELECT symbol AS id, any_value(entry) AS entry FROM gl WHERE symbol NOT IN ('', '-') GROUP BY symbol)
+, j AS (SELECT kept.*, coalesce(e.entry, n.entry, s.entry) AS entry FROM kept
+ LEFT JOIN by_e e ON e.id = CAST(kept.entrez_gene_id AS VARCHAR)
+ LEFT JOIN by_n n ON n.id = kept.CSQ_Gene
+ LEFT JOIN by_s s ON s.id = kept.CSQ_SYMBOL)
+SELECT * EXCLUDE (entry), entry.Germline_GOIs_names AS Germline_GOIs_names, entry.entrez AS entrez,
+ entry.ensembl AS ensembl, entry.gene_desc AS gene_desc
+FROM j WHERE entry IS NOT NULL"""
+
+
+@register("attach_gene_list", O.vep_pipeline("vep", extra_fixtures=["fx_list_goi"], tail=_GOI_TAIL))
+def q_attach_gene_list(spark, sf):
+    """P5: genes-of-interest retention and lookup (Entrez, Ensembl, symbol) on P1."""
+    p1 = filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf))
+    goi = fixture(spark, sf, "fx_list_goi").select(
+        F.col("symbol").alias("Germline_GOIs_names"), F.col("ncbi").alias("entrez"),
+        "ensembl", "gene_desc", F.monotonically_increasing_id().alias("line_no"))
+    return arrays_as_text(attach_gene_list(p1, goi))
+
+
 def queries() -> dict[str, Query]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -137,10 +137,13 @@ VEP_FIX = [
 ]
 
 
-def vep_pipeline(source: str = "vep", maf: float = 0.001) -> str:
-    """P1/P2 stated as one SQL statement (the oracle of filter_vep)."""
+def vep_pipeline(source: str = "vep", maf: float = 0.001, extra_fixtures=(), tail: str | None = None) -> str:
+    """P1/P2 stated as one SQL statement (the oracle of filter_vep).
+
+    The result (arrays as text) is the CTE ``p1``; ``tail`` continues the
+    statement from there (default ``SELECT * FROM p1``)."""
     dragon = source == "dragon"
-    fix = VEP_FIX + (["fx_gnomad41_genome", "fx_gnomad41_exome"] if dragon else [])
+    fix = VEP_FIX + (["fx_gnomad41_genome", "fx_gnomad41_exome"] if dragon else []) + list(extra_fixtures)
     g41_join = (
         "LEFT JOIN fx_gnomad41_genome g41g ON " + keq("v0", "g41g") + "\n"
         "LEFT JOIN fx_gnomad41_exome g41e ON " + keq("v0", "g41e") + "\n"
@@ -196,6 +199,44 @@ def vep_pipeline(source: str = "vep", maf: float = 0.001) -> str:
  SELECT go.*, {', '.join('ge0.' + c for c in GENCC_COLS)}
  FROM go LEFT JOIN genc ge0 ON go.{hgnc_col} = ge0.GenCC_hgnc_id)
 , res AS (SELECT DISTINCT * FROM ge)
-SELECT * REPLACE ({', '.join(text(f'"{c}"') + f' AS "{c}"' for c in arrays)}) FROM res"""
+, p1 AS (SELECT * REPLACE ({', '.join(text(f'"{c}"') + f' AS "{c}"' for c in arrays)}) FROM res)
+{tail or "SELECT * FROM p1"}"""
     ctes = [CTE_DBSNP, CTE_DBN, CTE_CLV, CTE_HGV, CTE_HG, CTE_OMIM, CTE_ORPH, cte_gencc()]
     return with_(fix, ctes, body)
+
+
+def annovar_pipeline(maf: float = 0.0001) -> str:
+    """P3 stated as one SQL statement (the oracle of filter_annovar)."""
+    splice = ["SpliceAI_DS_AG", "SpliceAI_DS_AL", "SpliceAI_DS_DG", "SpliceAI_DS_DL"]
+    mms = ["mmsplice_delta_logit_psi", "mmsplice_pathogenicity", "mmsplice_efficiency"]
+    arrays = ["clin_sig", "HGMD_DM", "HGMD_DM?", "OMIM_gene_id", *GENCC_COLS]
+    fix = ["fx_annovar", "fx_topmed", "fx_dbnsfp", "fx_clinvar", "fx_hgmd_var", "fx_hgmd_gene",
+           "fx_omim", "fx_orphanet", "fx_gencc", "fx_spliceai", "fx_mmsplice"]
+    body = f"""
+, v0 AS (SELECT * FROM fx_annovar WHERE {ANNOVAR_PRED})
+, a AS (
+ SELECT v0.*, t.af AS TOPMed_af, n.DamagePredCount, n.PredCountRatio_D2T, c.VariationID, c.clin_sig,
+  h.HGMDID, h.variant_class, {', '.join('s.' + x for x in splice)}, {', '.join('m.' + x for x in mms)}
+ FROM v0 LEFT JOIN fx_topmed t ON {keq('v0', 't')}
+ LEFT JOIN dbn n ON {keq('v0', 'n')}
+ LEFT JOIN clv c ON {keq('v0', 'c')}
+ LEFT JOIN hgv h ON {keq('v0', 'h')}
+ LEFT JOIN fx_spliceai s ON {keq('v0', 's')}
+ LEFT JOIN fx_mmsplice m ON {keq('v0', 'm')})
+, f AS (SELECT *, greatest(0.0::DOUBLE, TRY_CAST(INFO_gnomad211_exome_AF AS DOUBLE),
+  TRY_CAST(INFO_gnomad211_genome_AF AS DOUBLE), TOPMed_af) AS max_gnomad_topmed FROM a)
+, f2 AS (SELECT *, CASE WHEN VariationID IS NOT NULL OR HGMDID IS NOT NULL
+  OR max_gnomad_topmed <= {maf}::DOUBLE THEN 1 ELSE 0 END AS flag_keep FROM f)
+, gh AS (SELECT f2.*, hm.entrez_gene_id, hm.DM AS HGMD_DM, hm.dm_q AS "HGMD_DM?"
+ FROM f2 LEFT JOIN fx_hgmd_gene hm ON f2.Gene_refGene = hm.symbol)
+, gm AS (SELECT gh.*, om.OMIM_gene_id, om.OMIM_phenotype_combined
+ FROM gh LEFT JOIN omim_g om ON gh.entrez_gene_id = om.OMIM_entrez_gene_id)
+, go AS (SELECT gm.*, o.Orphanet_disorder_id_combined, o.Orphanet_gene_source_of_validation_combined,
+  o.Orphanet_HGNC_gene_id, o.Orphanet_type_of_inheritance_combined
+ FROM gm LEFT JOIN orph_t o ON gm.Gene_refGene = o.Orphanet_gene_symbol)
+, ge AS (SELECT go.*, {', '.join('g.' + c for c in GENCC_COLS)}
+ FROM go LEFT JOIN genc_s g ON go.Gene_refGene = g.GenCC_gene_symbol)
+SELECT * REPLACE ({', '.join(f'coalesce(array_to_string("{c}", \',\'), \'\') AS "{c}"' for c in arrays)}) FROM ge"""
+    ctes = [CTE_DBN, CTE_CLV, CTE_HGV, CTE_OMIM, CTE_ORPH_TEXT,
+            cte_gencc("gene_symbol", "GenCC_gene_symbol", "genc_s")]
+    return with_(fix, ctes, body)
