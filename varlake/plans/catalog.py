@@ -9,12 +9,15 @@ comma-joined text of their sorted elements so both sides compare as scalars.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from varlake.config import ensure_checkpoint_dir
 from varlake.functions.keys import KEY, chromosome_rank
 from varlake.functions.values import damage_ratio, max_frequency, stringify_nested
 from varlake.operators.aggregates import (
@@ -52,7 +55,16 @@ from varlake.operators.ordering import chromosome_order
 from varlake.plans import oracle as O
 from varlake.plans.annovar import AnnovarTables, filter_annovar
 from varlake.plans.vep import VepTables, filter_vep
-from varlake.sources.fixtures import fixture
+from varlake.functions.vcf import (
+    adjusted_genotype,
+    format_value,
+    info_value,
+    picked_transcript,
+    subfield,
+)
+from varlake.plans.vcf_table import tag_genes, vcf_qc_records, vcf_to_table, vcf_transcripts
+from varlake.sources.fixtures import VCF_HEADER, fixture
+from varlake.sources.vcf import read_vcf, vcf_records, vcf_schema, write_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -541,6 +553,150 @@ def q_attach_gene_list(spark, sf):
     return arrays_as_text(attach_gene_list(p1, goi))
 
 
+# ------------------------------------------------------------------- VCF
+def vcf_input(spark: SparkSession, sf: str) -> DataFrame:
+    """The fixture VCF read back as text (S1): its header lines, then one
+    record per lineitem row, written once as a file under the session's
+    checkpoint folder so the queries exercise the text reader."""
+    header = spark.createDataFrame([(h,) for h in VCF_HEADER], "line string")
+    body = fixture(spark, sf, "fx_vcf_lines").select("line")
+    digest = hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:12]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/varlake-fixtures/vcf-{digest}"
+    return read_vcf(spark, write_text(header.unionByName(body), path))
+
+
+_VL = """vl AS (
+ SELECT concat('chr', CASE l_partkey % 25 WHEN 22 THEN 'X' WHEN 23 THEN 'Y' WHEN 24 THEN 'M'
+   ELSE CAST(l_partkey % 25 + 1 AS STRING) END) AS chrom,
+  CAST(1000 + l_partkey * 37 AS STRING) AS pos,
+  substr('ACGT', CAST(l_partkey % 4 + 1 AS INT), 1) AS ref,
+  CASE WHEN l_linenumber = 7 THEN '*' ELSE substr('CGTA', CAST(l_partkey % 4 + 1 AS INT), 1) END AS alt,
+  CASE WHEN l_returnflag = 'R' THEN 'LowQual' ELSE 'PASS' END AS filt,
+  concat('QD=', CAST(l_suppkey % 10 AS STRING), ';FS=', CAST(l_partkey % 80 AS STRING),
+   CASE WHEN l_linenumber = 3 THEN '' ELSE ';MQ=60' END, CASE WHEN l_linenumber = 4 THEN ';TARGETED' ELSE '' END,
+   ';CSQ=A|synonymous_variant||GENE', CAST(l_suppkey AS STRING), '|NM_', CAST(l_suppkey AS STRING),
+   ',A|missense_variant|', CASE WHEN l_linenumber = 5 THEN '' ELSE '1' END, '|GENE', CAST(l_suppkey + 1 AS STRING),
+   '|ENST', lpad(CAST(l_suppkey + 1 AS STRING), 11, '0'), '.2') AS info,
+  l_linenumber AS ln, l_suppkey AS s, l_partkey AS p, l_orderkey AS o, CAST(l_quantity AS INT) AS q,
+  l_returnflag AS rf
+ FROM lineitem)"""
+
+
+def _vcf_oracle(body: str) -> str:
+    return "WITH " + _VL + "\n" + body
+
+
+_GT_SQL = """CASE WHEN CAST(3 * ln AS DOUBLE) / CAST(q + 3 * ln AS DOUBLE) >= 0.8::DOUBLE THEN '1/1'
+  WHEN CAST(3 * ln AS DOUBLE) / CAST(q + 3 * ln AS DOUBLE) >= 1 - 0.8::DOUBLE THEN '0/1' ELSE '0/0' END"""
+_TAG_SQL = """CASE WHEN ln = 5 THEN info
+  ELSE concat('Gene.refGene=GENE', CAST(s + 1 AS VARCHAR), ';Func.refGene=missense_variant;', info) END"""
+_QC_SQL = "p % 25 <> 24 AND rf <> 'R' AND ln <> 4"
+_GOOD_SQL = "q + 3 * ln >= 10 AND o % 99 >= 20 AND s % 10 >= 2 AND p % 80 <= 60"
+_PICK_SQL = """'A' AS CSQ_Allele,
+ CASE WHEN ln = 5 THEN 'synonymous_variant' ELSE 'missense_variant' END AS CSQ_Consequence,
+ CASE WHEN ln = 5 THEN NULL ELSE '1' END AS CSQ_PICK,
+ CASE WHEN ln = 5 THEN concat('GENE', CAST(s AS VARCHAR)) ELSE concat('GENE', CAST(s + 1 AS VARCHAR)) END AS CSQ_SYMBOL,
+ CASE WHEN ln = 5 THEN concat('NM_', CAST(s AS VARCHAR))
+  ELSE concat('ENST', lpad(CAST(s + 1 AS VARCHAR), 11, '0'), '.2') END AS CSQ_Feature"""
+_FMT_SQL = """'0/1' AS S1_FORMAT_GT, concat(CAST(q AS VARCHAR), ',', CAST(3 * ln AS VARCHAR)) AS S1_FORMAT_AD,
+ CAST(q + 3 * ln AS VARCHAR) AS S1_FORMAT_DP, CAST(o % 99 AS VARCHAR) AS S1_FORMAT_GQ"""
+_INFO_SQL = """CAST(s % 10 AS VARCHAR) AS INFO_QD, CAST(p % 80 AS VARCHAR) AS INFO_FS,
+ CASE WHEN ln = 3 THEN NULL ELSE '60' END AS INFO_MQ"""
+_POS4 = 'chrom AS "#CHROM", pos AS POS, ref AS REF, alt AS ALT'
+
+
+@register("vcf_info_values", _vcf_oracle(f"SELECT {_POS4}, {_INFO_SQL} FROM vl"))
+def q_vcf_info_values(spark, sf):
+    """S1/S2 + X1: INFO values by exact key for every record."""
+    lines = vcf_input(spark, sf)
+    spec = vcf_schema(lines)
+    recs = vcf_records(lines)
+    return recs.select("#CHROM", "POS", "REF", "ALT",
+                       *[info_value("INFO", k).alias(f"INFO_{k}") for k in spec.info_ids])
+
+
+@register("vcf_picked_transcript", _vcf_oracle(f"SELECT {_POS4}, {_PICK_SQL} FROM vl"))
+def q_vcf_picked_transcript(spark, sf):
+    """X2 + X4: sub-fields of the picked transcript (PICK/CANONICAL, else first)."""
+    lines = vcf_input(spark, sf)
+    spec = vcf_schema(lines)
+    csq = info_value("INFO", spec.csq_key, missing_dot=False)
+    t = picked_transcript(csq, spec.pick_index, ("1", "YES"))
+    recs = vcf_records(lines).withColumn("__t", t)
+    return recs.select("#CHROM", "POS", "REF", "ALT",
+                       *[subfield(F.col("__t"), i).alias(f"CSQ_{n}") for i, n in enumerate(spec.csq_fields)])
+
+
+@register("vcf_format_values", _vcf_oracle(f"SELECT {_POS4}, {_FMT_SQL} FROM vl"))
+def q_vcf_format_values(spark, sf):
+    """FORMAT values of the sample by key."""
+    lines = vcf_input(spark, sf)
+    spec = vcf_schema(lines)
+    recs = vcf_records(lines)
+    s0 = F.col("sample1")
+    return recs.select("#CHROM", "POS", "REF", "ALT",
+                       *[format_value("FORMAT", s0, k).alias(f"{spec.samples[0]}_FORMAT_{k}")
+                         for k in spec.format_ids])
+
+
+@register("vcf_adjusted_genotype", _vcf_oracle(f"SELECT {_POS4}, {_GT_SQL} AS S1_AdjustedGenotype FROM vl"))
+def q_vcf_adjusted_genotype(spark, sf):
+    """Allele-balance genotype for every record."""
+    lines = vcf_input(spark, sf)
+    spec = vcf_schema(lines)
+    recs = vcf_records(lines)
+    return recs.select("#CHROM", "POS", "REF", "ALT",
+                       adjusted_genotype("FORMAT", F.col("sample1"))
+                       .alias(f"{spec.samples[0]}_AdjustedGenotype"))
+
+
+@register("vcf_gene_tag", _vcf_oracle(f"SELECT {_POS4}, {_TAG_SQL} AS INFO FROM vl"))
+def q_vcf_gene_tag(spark, sf):
+    """gene/consequence of the last PICK=1 transcript prepended to INFO."""
+    lines = vcf_input(spark, sf)
+    return tag_genes(vcf_records(lines), vcf_schema(lines)).select("#CHROM", "POS", "REF", "ALT", "INFO")
+
+
+@register("vcf_site_qc", _vcf_oracle(
+    f"SELECT {_POS4}, filt AS FILTER, {_TAG_SQL} AS INFO FROM vl WHERE {_QC_SQL} AND {_GOOD_SQL}"))
+def q_vcf_site_qc(spark, sf):
+    """F1-F5 (drop mode) + X7 on the records."""
+    lines = vcf_input(spark, sf)
+    return vcf_qc_records(lines).select("#CHROM", "POS", "REF", "ALT", "FILTER", "INFO")
+
+
+@register("vcf_site_qc_flag", _vcf_oracle(
+    f"SELECT {_POS4}, CASE WHEN {_GOOD_SQL} THEN 0 ELSE 1 END AS Flagged FROM vl WHERE {_QC_SQL}"))
+def q_vcf_site_qc_flag(spark, sf):
+    """depth/quality and site failures flagged instead of dropped."""
+    lines = vcf_input(spark, sf)
+    return vcf_qc_records(lines, mode="flag").select("#CHROM", "POS", "REF", "ALT", "Flagged")
+
+
+@register("vcf_to_table", _vcf_oracle(f"""
+SELECT * FROM (SELECT chrom AS "#CHROM", pos AS POS, '.' AS ID, ref AS REF, alt AS ALT, '50' AS QUAL,
+ filt AS FILTER, {_INFO_SQL}, {_PICK_SQL}, {_FMT_SQL}, {_GT_SQL} AS S1_AdjustedGenotype
+ FROM vl WHERE {_QC_SQL} AND {_GOOD_SQL} AND alt <> '*')
+WHERE S1_AdjustedGenotype NOT IN ('./.', '0/0')"""))
+def q_vcf_to_table(spark, sf):
+    """QC, gene tag and flattening of a single-sample VCF."""
+    return vcf_to_table(vcf_input(spark, sf))
+
+
+@register("vcf_transcript_rows", _vcf_oracle("""
+SELECT chrom AS chromosome, CAST(pos AS BIGINT) AS start, '.' AS ID, ref AS reference, alt AS alternate,
+ '50' AS quality, filt AS FILTER, CAST(s % 10 AS VARCHAR) AS INFO_QD, CAST(p % 80 AS VARCHAR) AS INFO_FS,
+ CASE WHEN ln = 3 THEN NULL ELSE '60' END AS INFO_MQ,
+ 'A' AS Allele, 'missense_variant' AS Consequence, CASE WHEN ln = 5 THEN NULL ELSE '1' END AS PICK,
+ concat('GENE', CAST(s + 1 AS VARCHAR)) AS SYMBOL, concat('ENST', lpad(CAST(s + 1 AS VARCHAR), 11, '0'), '.2') AS Feature,
+ 'S1' AS Indiv, '0/1' AS gt_GT, concat(CAST(q AS VARCHAR), ',', CAST(3 * ln AS VARCHAR)) AS gt_AD,
+ CAST(q + 3 * ln AS VARCHAR) AS gt_DP, CAST(o % 99 AS VARCHAR) AS gt_GQ
+FROM vl"""))
+def q_vcf_transcript_rows(spark, sf):
+    """P6 (S9, X3, F9, X9, X10, J22): one row per Ensembl transcript and sample."""
+    return vcf_transcripts(vcf_input(spark, sf))
+
+
 def queries() -> dict[str, Query]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
