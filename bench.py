@@ -5,7 +5,8 @@ Runs the pipelines and the heaviest operators of the query catalog on
 and prints one JSON line.  Each query is built (including its bounded
 broadcast checks) and fully executed into Spark's ``noop`` sink, so the time
 covers the whole plan without moving rows to the driver.  A warm-up run on
-the smallest scale factor and the one-time write of the derived VCF file
+the smallest scale factor (same query shapes: JIT and generated code) and
+the one-time write of the derived VCF file
 happen before timing.
 """
 
@@ -43,8 +44,9 @@ def main() -> None:
     spark = build_session(app_name="varlake-bench")
 
     warm = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
-    if os.path.isdir(warm):
-        catalog.q_flag_rare(spark, warm).write.format("noop").mode("overwrite").save()
+    if os.path.isdir(warm):  # JVM JIT and code generation warm-up, not timed
+        for q in (catalog.q_filter_vep, catalog.q_vcf_to_table):
+            q(spark, warm).write.format("noop").mode("overwrite").save()
     catalog.vcf_input(spark, sf_dir)  # one-time write of the derived VCF text
 
     times: dict[str, float] = {}

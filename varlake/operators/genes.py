@@ -23,6 +23,7 @@ def hgmd_gene_reference(
     hgmd_gene: DataFrame,
     genes: DataFrame | None,
     dm_q_column: str = HGMD_DM_Q,
+    small: bool | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """J13 + X16: HGMD genes with their HGNC and Ensembl ids.
@@ -43,7 +44,7 @@ def hgmd_gene_reference(
     else:
         g = left_join_lookup(
             h, genes.select("entrez_gene_id", "hgnc", "ensembl_gene_id"),
-            ["entrez_gene_id"], limits=limits,
+            ["entrez_gene_id"], right_is_small=small, limits=limits,
         )
     return g.select("entrez_gene_id", "hgnc", "ensembl_gene_id", "HGMD_symbol",
                     "HGMD_DM", "HGMD_DM?")
@@ -53,7 +54,7 @@ def attach_hgmd_gene(
     df: DataFrame,
     hgmd_genes: DataFrame,
     gene_key: str = "hgnc",
-    limits: Limits = DEFAULT_LIMITS,
+    small: bool | None = None, limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Variant -> HGMD gene.
 
@@ -72,7 +73,7 @@ def attach_hgmd_gene(
         left_col = "CSQ_Gene"
     else:
         raise ValueError(f"gene_key must be 'hgnc' or 'ensembl', not {gene_key!r}")
-    return left_join_lookup(df, right, {left_col: "__k"}, limits=limits)
+    return left_join_lookup(df, right, {left_col: "__k"}, right_is_small=small, limits=limits)
 
 
 def attach_hgmd_gene_by_symbol(
@@ -80,7 +81,7 @@ def attach_hgmd_gene_by_symbol(
     hgmd_gene: DataFrame,
     symbol_column: str = "Gene_refGene",
     dm_q_column: str = HGMD_DM_Q,
-    limits: Limits = DEFAULT_LIMITS,
+    small: bool | None = None, limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """J17 (HGMD part, ANNOVAR): ``Gene_refGene = HGMD symbol``; adds
     ``entrez_gene_id, HGMD_DM, HGMD_DM?`` as stored (no empty-list nulling)."""
@@ -90,10 +91,10 @@ def attach_hgmd_gene_by_symbol(
         F.col("DM").alias("HGMD_DM"),
         F.col(f"`{dm_q_column}`").alias("HGMD_DM?"),
     )
-    return left_join_lookup(df, right, {symbol_column: "__k"}, limits=limits)
+    return left_join_lookup(df, right, {symbol_column: "__k"}, right_is_small=small, limits=limits)
 
 
-def attach_cosmic(df: DataFrame, cosmic: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+def attach_cosmic(df: DataFrame, cosmic: DataFrame, small: bool | None = None, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """Cancer Gene Census by Entrez id; adds ``CGC_Tier``,
     ``CGC_Mutation_Types``."""
     right = cosmic.select(
@@ -101,15 +102,15 @@ def attach_cosmic(df: DataFrame, cosmic: DataFrame, limits: Limits = DEFAULT_LIM
         F.col("Tier").alias("CGC_Tier"),
         F.col("Mutation_Types").alias("CGC_Mutation_Types"),
     )
-    return left_join_lookup(df, right, {"entrez_gene_id": "__k"}, limits=limits)
+    return left_join_lookup(df, right, {"entrez_gene_id": "__k"}, right_is_small=small, limits=limits)
 
 
-def attach_omim(df: DataFrame, omim_genes: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+def attach_omim(df: DataFrame, omim_genes: DataFrame, small: bool | None = None, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """OMIM per-gene sets (from ``omim_by_gene``) by Entrez id; adds
     ``OMIM_gene_id``, ``OMIM_phenotype_combined``."""
     right = omim_genes.select(F.col("OMIM_entrez_gene_id").alias("__k"), "OMIM_gene_id",
                               "OMIM_phenotype_combined")
-    return left_join_lookup(df, right, {"entrez_gene_id": "__k"}, limits=limits)
+    return left_join_lookup(df, right, {"entrez_gene_id": "__k"}, right_is_small=small, limits=limits)
 
 
 def attach_orphanet(
@@ -118,7 +119,7 @@ def attach_orphanet(
     hgnc_column: str = "CSQ_HGNC_ID",
     ensembl_column: str = "CSQ_Gene",
     keep_hgnc_ids: bool = True,
-    limits: Limits = DEFAULT_LIMITS,
+    small: bool | None = None, limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Orphanet per-gene sets (from ``orphanet_by_gene``) where the HGNC
     id OR the Ensembl id is equal (R3: union of equi-joins, no nested loop).
@@ -139,7 +140,7 @@ def attach_orphanet(
     )
     out = left_join_any(
         df, right, [(hgnc_column, "__hgnc"), (ensembl_column, "__ens")], "__sym",
-        limits=limits,
+        right_is_small=small, limits=limits,
     )
     drop = ["__sym", "__hgnc", "__ens"]
     if not keep_hgnc_ids:
@@ -151,12 +152,12 @@ def attach_orphanet_by_symbol(
     df: DataFrame,
     orphanet_text: DataFrame,
     symbol_column: str = "Gene_refGene",
-    limits: Limits = DEFAULT_LIMITS,
+    small: bool | None = None, limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """J17 (Orphanet part, ANNOVAR): text sets (``orphanet_by_gene_text``) by
     gene symbol."""
     right = orphanet_text.withColumnRenamed("Orphanet_gene_symbol", "__k")
-    return left_join_lookup(df, right, {symbol_column: "__k"}, limits=limits)
+    return left_join_lookup(df, right, {symbol_column: "__k"}, right_is_small=small, limits=limits)
 
 
 def attach_gencc(
@@ -164,9 +165,9 @@ def attach_gencc(
     gencc_genes: DataFrame,
     on_column: str = "CSQ_HGNC_ID",
     gene_key: str = "GenCC_hgnc_id",
-    limits: Limits = DEFAULT_LIMITS,
+    small: bool | None = None, limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """J21 / J17 (GenCC part): per-gene sets (``gencc_by_gene``) by HGNC id
     (``CSQ_HGNC_ID`` for VEP, ``hgnc`` for Dragon) or by symbol (ANNOVAR)."""
     right = gencc_genes.withColumnRenamed(gene_key, "__k")
-    return left_join_lookup(df, right, {on_column: "__k"}, limits=limits)
+    return left_join_lookup(df, right, {on_column: "__k"}, right_is_small=small, limits=limits)

@@ -39,6 +39,21 @@ def row_count_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
+def rows_at_most(frames: Mapping[str, DataFrame], n: int) -> dict[str, bool]:
+    """Bounded row counts of several frames in one Spark job: for each name,
+    whether that frame has at most ``n`` rows (each reads at most ``n + 1``)."""
+    if not frames:
+        return {}
+    parts = [
+        df.limit(n + 1).groupBy().count().select(F.lit(name).alias("name"), F.col("count"))
+        for name, df in frames.items()
+    ]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return {r["name"]: r["count"] <= n for r in union.collect()}
+
+
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
     """``broadcast(df)`` if a bounded count proves ``df`` small, else None."""
     if row_count_at_most(df, max_rows):
@@ -70,6 +85,7 @@ def left_join_lookup(
     null_safe: bool = False,
     keep_right_keys: bool = False,
     try_broadcast: bool = True,
+    right_is_small: bool | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Left join ``left`` to ``right`` on equal keys, skew-safe.
@@ -81,7 +97,9 @@ def left_join_lookup(
     repeats the left row (plain left-join semantics).
 
     ``try_broadcast=False`` skips the bounded count (for a right side known to
-    be large, or one whose count would re-run the left's whole plan).
+    be large, or one whose count would re-run the left's whole plan);
+    ``right_is_small`` passes the result of a bounded count made earlier
+    (see :func:`rows_at_most`).
     """
     pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
     right_keys = [rk for _, rk in pairs]
@@ -96,7 +114,10 @@ def left_join_lookup(
         # A right key with the same name as a left column keeps the left one.
         out_right = [c for c in out_right if c not in set(left.columns)]
 
-    small = checked_broadcast(r, limits.max_broadcast_rows) if try_broadcast else None
+    if right_is_small is not None:
+        small = F.broadcast(r) if right_is_small else None
+    else:
+        small = checked_broadcast(r, limits.max_broadcast_rows) if try_broadcast else None
     if small is not None:
         joined = left.join(small, _eq(left, small, rpairs, null_safe), "left")
         return joined.select(
@@ -181,6 +202,7 @@ def annotate_by_key(
     *,
     key: Sequence[str] = KEY,
     strategy: str = "auto",
+    variants_bounded: bool | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Left-join every table in ``tables`` (key + value columns) to
@@ -198,7 +220,9 @@ def annotate_by_key(
     if not tables:
         return variants
     if strategy == "auto":
-        bounded = row_count_at_most(variants.select(*key), limits.max_variant_rows)
+        bounded = variants_bounded
+        if bounded is None:
+            bounded = row_count_at_most(variants.select(*key), limits.max_variant_rows)
         strategy = "reduce" if bounded else "keys"
 
     if strategy == "reduce":
@@ -233,6 +257,7 @@ def left_join_any(
     alternatives: Sequence[tuple[str, str]],
     right_unique: str,
     *,
+    right_is_small: bool | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """``left LEFT JOIN right ON l1 = r1 OR l2 = r2 OR ...``.
@@ -250,7 +275,10 @@ def left_join_any(
       right row) and joined back on the tuple with NULL-safe equality (salted).
     """
     lcols = list(dict.fromkeys(lk for lk, _ in alternatives))
-    if row_count_at_most(right, limits.max_broadcast_rows):
+    small = right_is_small
+    if small is None:
+        small = row_count_at_most(right, limits.max_broadcast_rows)
+    if small:
         packed = F.struct(*[F.col(f"`{c}`") for c in right.columns])
         out = left
         arrays = []

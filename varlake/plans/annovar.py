@@ -37,7 +37,7 @@ from varlake.operators.genes import (
     attach_omim,
     attach_orphanet_by_symbol,
 )
-from varlake.operators.joins import annotate_by_key, project_annotation
+from varlake.operators.joins import annotate_by_key, project_annotation, rows_at_most
 from varlake.operators.known import KNOWN_SOURCES, flag_known, known_tables
 from varlake.operators.ordering import chromosome_order
 
@@ -101,6 +101,13 @@ def filter_annovar(
         project_annotation(tables.spliceai, SPLICEAI_COLUMNS),
         project_annotation(tables.mmsplice, MMSPLICE_COLUMNS),
     ]
+    omim_genes = omim_by_gene(tables.omim_gene)
+    orphanet_text = orphanet_by_gene_text(tables.orphanet_gene)
+    gencc_genes = gencc_by_gene(tables.gencc, gene_column="gene_symbol", out_key="GenCC_gene_symbol")
+    # Bounded counts of every gene-level lookup in one job.
+    small = rows_at_most({"hgmd": tables.hgmd_gene, "omim": omim_genes,
+                          "orphanet": orphanet_text, "gencc": gencc_genes},
+                         limits.max_broadcast_rows)
     v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy, limits=limits)
     v = v.withColumn("max_gnomad_topmed", max_frequency(ANNOVAR_FREQUENCIES))
     v = flag_rare(v, maf, freq="max_gnomad_topmed")
@@ -108,12 +115,11 @@ def filter_annovar(
     v = flag_known(v, known_variants)
 
     v = attach_hgmd_gene_by_symbol(v, tables.hgmd_gene, dm_q_column=tables.hgmd_dm_q_column,
-                                   limits=limits)
-    v = attach_omim(v, omim_by_gene(tables.omim_gene), limits=limits)
-    v = attach_orphanet_by_symbol(v, orphanet_by_gene_text(tables.orphanet_gene), limits=limits)
-    v = attach_gencc(v, gencc_by_gene(tables.gencc, gene_column="gene_symbol",
-                                      out_key="GenCC_gene_symbol"),
-                     on_column="Gene_refGene", gene_key="GenCC_gene_symbol", limits=limits)
+                                   small=small["hgmd"], limits=limits)
+    v = attach_omim(v, omim_genes, small=small["omim"], limits=limits)
+    v = attach_orphanet_by_symbol(v, orphanet_text, small=small["orphanet"], limits=limits)
+    v = attach_gencc(v, gencc_genes, on_column="Gene_refGene", gene_key="GenCC_gene_symbol",
+                     small=small["gencc"], limits=limits)
 
     order = input_cols + [
         "TOPMed_af", "max_gnomad_topmed", "flag_keep", "DamagePredCount", "PredCountRatio_D2T",

@@ -683,6 +683,21 @@ def q_vcf_to_table(spark, sf):
     return vcf_to_table(vcf_input(spark, sf))
 
 
+_FMT_LONG_SQL = """'S1' AS sample, '0/1' AS FORMAT_GT, concat(CAST(q AS VARCHAR), ',', CAST(3 * ln AS VARCHAR)) AS FORMAT_AD,
+ CAST(q + 3 * ln AS VARCHAR) AS FORMAT_DP, CAST(o % 99 AS VARCHAR) AS FORMAT_GQ"""
+
+
+@register("vcf_to_table_long", _vcf_oracle(f"""
+SELECT * FROM (SELECT chrom AS "#CHROM", pos AS POS, '.' AS ID, ref AS REF, alt AS ALT, '50' AS QUAL,
+ filt AS FILTER, {_INFO_SQL}, {_PICK_SQL}, {_FMT_LONG_SQL}, {_GT_SQL} AS AdjustedGenotype
+ FROM vl WHERE {_QC_SQL} AND {_GOOD_SQL} AND alt <> '*')
+WHERE AdjustedGenotype NOT IN ('./.', '0/0')"""))
+def q_vcf_to_table_long(spark, sf):
+    """P0, cohort layout: one row per record and sample, sample names from
+    each file's own header line."""
+    return vcf_to_table(vcf_input(spark, sf), layout="long").drop("file")
+
+
 @register("vcf_transcript_rows", _vcf_oracle("""
 SELECT chrom AS chromosome, CAST(pos AS BIGINT) AS start, '.' AS ID, ref AS reference, alt AS alternate,
  '50' AS quality, filt AS FILTER, CAST(s % 10 AS VARCHAR) AS INFO_QD, CAST(p % 80 AS VARCHAR) AS INFO_FS,

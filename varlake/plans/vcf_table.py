@@ -133,21 +133,22 @@ def flatten_records(
             base = left_join_lookup(df, names.withColumnRenamed("sample_names", "__names"),
                                     ["file"], limits=limits)
         n = F.size("samples") - F.lit(n_extra)
-        base = base.withColumn("__s", F.slice("samples", 1, F.greatest(n, F.lit(0))))
+        base = base.withColumns({"__s": F.slice("samples", 1, F.greatest(n, F.lit(0))),
+                                 "__n": n})
         exploded = base.select("*", F.posexplode("__s").alias("__i", "__sample"))
         sample = F.col("__sample")
         per = [F.get(F.col("__names"), F.col("__i")).alias("sample")]
         per += [format_value("FORMAT", sample, k).alias(f"FORMAT_{k}") for k in spec.format_ids]
         per.append(call_genotype(F.col("__g")).alias("AdjustedGenotype"))
         exploded = exploded.withColumn("__g", genotype_inputs("FORMAT", sample))
-        out = exploded.select(*cols, *per, *extra)
+        out = exploded.select(*cols, *per, *extra, "__n")
         if variants_only:
-            # Per file: a file with one sample keeps only variant calls.
-            out = out.withColumn("__n", n).where(
+            # Per record: a single-sample record keeps only variant calls.
+            out = out.where(
                 (F.col("__n") > 1) | F.col("AdjustedGenotype").isNull()
                 | ~F.col("AdjustedGenotype").isin("./.", "0/0")
-            ).drop("__n")
-        return out
+            )
+        return out.drop("__n")
     raise ValueError("layout must be 'wide' or 'long'")
 
 

@@ -41,7 +41,12 @@ from varlake.operators.genes import (
     attach_orphanet,
     hgmd_gene_reference,
 )
-from varlake.operators.joins import annotate_by_key, project_annotation
+from varlake.operators.joins import (
+    annotate_by_key,
+    project_annotation,
+    row_count_at_most,
+    rows_at_most,
+)
 from varlake.operators.known import KNOWN_SOURCES, flag_known, known_tables
 from varlake.operators.ordering import chromosome_order
 
@@ -141,7 +146,24 @@ def filter_vep(
     v = keep_consequences(v, consequences, split_terms=split_terms)
 
     key_tables, absent = _key_tables(tables, source, known_variants)
-    v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy, limits=limits)
+    omim_genes = omim_by_gene(tables.omim_gene)
+    orphanet_genes = orphanet_by_gene(tables.orphanet_gene)
+    gencc_genes = gencc_by_gene(tables.gencc)
+    # Every broadcast below is proven by a bounded count; the counts of the
+    # gene tables and of the variant keys run together in one job.
+    checks = {"omim": omim_genes, "orphanet": orphanet_genes, "gencc": gencc_genes,
+              "cosmic": tables.cosmic}
+    if tables.genes is not None:
+        checks["genes"] = tables.genes
+    if strategy == "auto":
+        checks["variants"] = v.select(*KEY)
+    small = rows_at_most({k: d for k, d in checks.items() if k != "variants"},
+                         limits.max_broadcast_rows)
+    if "variants" in checks:
+        small.update({"variants": row_count_at_most(checks["variants"], limits.max_variant_rows)})
+
+    v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy,
+                        variants_bounded=small.get("variants"), limits=limits)
     if absent:
         v = v.withColumns({c: F.lit(None).cast(t) for c, t in absent.items()})
 
@@ -152,15 +174,16 @@ def filter_vep(
     v = flag_known(v, known_variants)
 
     hgmd_genes = hgmd_gene_reference(tables.hgmd_gene, tables.genes,
-                                     dm_q_column=tables.hgmd_dm_q_column, limits=limits)
+                                     dm_q_column=tables.hgmd_dm_q_column,
+                                     small=small.get("genes"), limits=limits)
     gene_key = "hgnc" if source == "vep" else "ensembl"
     hgnc_col = "CSQ_HGNC_ID" if source == "vep" else "hgnc"
     v = attach_hgmd_gene(v, hgmd_genes, gene_key=gene_key, limits=limits)
-    v = attach_cosmic(v, tables.cosmic, limits=limits)
-    v = attach_omim(v, omim_by_gene(tables.omim_gene), limits=limits)
-    v = attach_orphanet(v, orphanet_by_gene(tables.orphanet_gene), hgnc_column=hgnc_col,
-                        keep_hgnc_ids=(source == "vep"), limits=limits)
-    v = attach_gencc(v, gencc_by_gene(tables.gencc), on_column=hgnc_col, limits=limits)
+    v = attach_cosmic(v, tables.cosmic, small=small["cosmic"], limits=limits)
+    v = attach_omim(v, omim_genes, small=small["omim"], limits=limits)
+    v = attach_orphanet(v, orphanet_genes, hgnc_column=hgnc_col,
+                        keep_hgnc_ids=(source == "vep"), small=small["orphanet"], limits=limits)
+    v = attach_gencc(v, gencc_genes, on_column=hgnc_col, small=small["gencc"], limits=limits)
 
     order = input_cols + [
         "REGENERON_ALL_AF", "ALLOFUS_GVS_ALL_AF", "DBSNP_RSID", "InterVar_automated",

@@ -165,8 +165,19 @@ def fixture_sql(name: str, engine: str = "duckdb") -> str:
     return sql
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is inferred once per path (inference reads
+    the parquet footers in a job) and given explicitly afterwards."""
+    path = f"{sf_dir}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
