@@ -154,7 +154,9 @@ def call_genotype(inputs: Column) -> Column:
 
 
 def adjusted_genotype(fmt: str | Column, sample: str | Column) -> Column:
-    """X6 in one expression (see :func:`call_genotype`)."""
+    """X6 in one expression (see :func:`call_genotype`).  Where the result is
+    also filtered on, prefer a ``genotype_inputs`` column plus
+    ``call_genotype``: the inputs are then parsed in one projection."""
     return call_genotype(genotype_inputs(fmt, sample))
 
 

@@ -113,7 +113,7 @@ def flatten_records(
     if layout == "wide":
         inputs = {}
         for i, s in enumerate(spec.samples):
-            sample = F.get(F.col("samples"), i)
+            sample = F.col("sample1") if i == 0 and "sample1" in df.columns else F.get(F.col("samples"), i)
             inputs[f"__g{i}"] = genotype_inputs("FORMAT", sample)
             cols += [format_value("FORMAT", sample, k).alias(f"{s}_FORMAT_{k}") for k in spec.format_ids]
             cols.append(call_genotype(F.col(f"__g{i}")).alias(f"{s}_AdjustedGenotype"))
