@@ -39,19 +39,23 @@ def row_count_at_most(df: DataFrame, n: int) -> bool:
     return df.limit(n + 1).count() <= n
 
 
-def rows_at_most(frames: Mapping[str, DataFrame], n: int) -> dict[str, bool]:
+def rows_at_most(frames: Mapping[str, DataFrame], n: int,
+                 limits_by_name: Mapping[str, int] | None = None) -> dict[str, bool]:
     """Bounded row counts of several frames in one Spark job: for each name,
-    whether that frame has at most ``n`` rows (each reads at most ``n + 1``)."""
+    whether that frame has at most ``n`` rows (or its own bound from
+    ``limits_by_name``); each frame reads at most bound + 1 rows."""
     if not frames:
         return {}
+    bounds = {k: (limits_by_name or {}).get(k, n) for k in frames}
     parts = [
-        df.limit(n + 1).groupBy().count().select(F.lit(name).alias("name"), F.col("count"))
+        df.limit(bounds[name] + 1).groupBy().count()
+        .select(F.lit(name).alias("name"), F.col("count"))
         for name, df in frames.items()
     ]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    return {r["name"]: r["count"] <= n for r in union.collect()}
+    return {r["name"]: r["count"] <= bounds[r["name"]] for r in union.collect()}
 
 
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:

@@ -44,7 +44,6 @@ from varlake.operators.genes import (
 from varlake.operators.joins import (
     annotate_by_key,
     project_annotation,
-    row_count_at_most,
     rows_at_most,
 )
 from varlake.operators.known import KNOWN_SOURCES, flag_known, known_tables
@@ -157,10 +156,8 @@ def filter_vep(
         checks["genes"] = tables.genes
     if strategy == "auto":
         checks["variants"] = v.select(*KEY)
-    small = rows_at_most({k: d for k, d in checks.items() if k != "variants"},
-                         limits.max_broadcast_rows)
-    if "variants" in checks:
-        small.update({"variants": row_count_at_most(checks["variants"], limits.max_variant_rows)})
+    small = rows_at_most(checks, limits.max_broadcast_rows,
+                         {"variants": limits.max_variant_rows})
 
     v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy,
                         variants_bounded=small.get("variants"), limits=limits)
