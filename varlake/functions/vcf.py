@@ -129,7 +129,7 @@ def genotype_inputs(fmt: str | Column, sample: str | Column) -> Column:
         .alias("missing"),
         F.coalesce(F.size(ad) == 2, F.lit(False)).alias("two"),
         (ref_d + alt_d).alias("total"),
-        (alt_d / (ref_d + alt_d)).alias("share"),
+        F.try_divide(alt_d, ref_d + alt_d).alias("share"),
         value("GT").alias("gt"),
     )
 

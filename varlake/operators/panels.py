@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from varlake.config import DEFAULT_LIMITS, Limits
 from varlake.functions.keys import missing_to_null, to_double
 from varlake.operators.aggregates import panel_ids
-from varlake.operators.joins import left_join_lookup
+from varlake.operators.joins import left_join_lookup, rows_at_most
 
 # Gene-group labels.
 BOTH_LABEL = "ECPG/EMGP"
@@ -40,13 +40,14 @@ def panel_membership(first: DataFrame, second: DataFrame, column: str) -> DataFr
 
 
 def _member(df: DataFrame, value: Column, membership: DataFrame, tag: str,
-            limits: Limits) -> DataFrame:
+            limits: Limits, small: bool | None = None) -> DataFrame:
     """Adds booleans ``__a_<tag>`` / ``__b_<tag>``; NULL values are never
     members."""
     m = membership.select("id", F.col("in_first").alias(f"__a_{tag}"),
                           F.col("in_second").alias(f"__b_{tag}"))
     tmp = f"__v_{tag}"
-    out = left_join_lookup(df.withColumn(tmp, value), m, {tmp: "id"}, limits=limits)
+    out = left_join_lookup(df.withColumn(tmp, value), m, {tmp: "id"}, right_is_small=small,
+                           limits=limits)
     return out.withColumns({
         f"__a_{tag}": F.coalesce(F.col(f"__a_{tag}"), F.lit(False)),
         f"__b_{tag}": F.coalesce(F.col(f"__b_{tag}"), F.lit(False)),
@@ -85,10 +86,12 @@ def annotate_gene_group(
     entrez = missing_to_null(F.col(entrez_column).cast("string"))
     hgnc = missing_to_null(F.col(hgnc_column).cast("string"))
     symbol = missing_to_null(F.col(symbol_column).cast("string"))
+    probes = (("entrez", entrez, "entrez_id"), ("hgnc", hgnc, "hgnc_id"), ("symbol", symbol, "symbol"))
+    tables = {tag: panel_membership(first_panel, second_panel, column) for tag, _, column in probes}
+    small = rows_at_most(tables, limits.max_broadcast_rows)  # one job for the three bounds
     df = variants
-    for tag, value, column in (("entrez", entrez, "entrez_id"), ("hgnc", hgnc, "hgnc_id"),
-                               ("symbol", symbol, "symbol")):
-        df = _member(df, value, panel_membership(first_panel, second_panel, column), tag, limits)
+    for tag, value, _ in probes:
+        df = _member(df, value, tables[tag], tag, limits, small[tag])
     a_id = F.col("__a_entrez") | F.col("__a_hgnc")
     b_id = F.col("__b_entrez") | F.col("__b_hgnc")
     neither = ~a_id & ~b_id
@@ -155,11 +158,14 @@ def attach_gene_list(
         ("ensembl", F.col("CSQ_Gene")),
         ("Germline_GOIs_names", F.col("CSQ_SYMBOL")),
     ]
+    luts = {i: gene_list_lookup(gene_list, column).withColumnRenamed("entry", f"__e{i}")
+            for i, (column, _) in enumerate(probes)}
+    small = rows_at_most({str(i): t for i, t in luts.items()}, limits.max_broadcast_rows)
     df = kept
-    for i, (column, value) in enumerate(probes):
-        lut = gene_list_lookup(gene_list, column).withColumnRenamed("entry", f"__e{i}")
+    for i, (_, value) in enumerate(probes):
         df = df.withColumn(f"__p{i}", missing_to_null(value))
-        df = left_join_lookup(df, lut, {f"__p{i}": "id"}, limits=limits).drop(f"__p{i}")
+        df = left_join_lookup(df, luts[i], {f"__p{i}": "id"}, right_is_small=small[str(i)],
+                              limits=limits).drop(f"__p{i}")
     chosen = F.coalesce(*[F.col(f"__e{i}") for i in range(len(probes))])
     out = df.withColumn("__entry", chosen).where(F.col("__entry").isNotNull())
     return out.select(*[F.col(f"`{c}`") for c in base_cols],
