@@ -124,7 +124,10 @@ def flatten_records(
 
     if layout == "long":
         n_extra = 1 if spec.extra_last else 0
-        names = sample_names(lines) if lines is not None else None
+        # Per-file sample names need a second (filtered) scan of the text;
+        # skip it when all files share one header line.
+        per_file = lines is not None and not spec.uniform_samples
+        names = sample_names(lines) if per_file else None
         if names is None:
             names_col = F.array(*[F.lit(s) for s in spec.samples])
             base = df.withColumn("__names", names_col)

@@ -9,6 +9,9 @@ The header is metadata: ``vcf_schema`` reads the distinct ``##INFO`` /
 ``##FORMAT`` / ``#CHROM`` lines of all files (de-duplicated by Spark, so a
 cohort of many files with one header shape ships one copy) and parses that
 small, bounded set on the driver.  Record parsing never leaves Spark.
+Finding the header lines is one filtered scan of the text; where headers are
+kept as separate files (as the reference's workflow splits them), pass those
+to ``vcf_schema`` instead.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ class VcfSpec:
     csq_fields: list[str] = field(default_factory=list)
     samples: list[str] = field(default_factory=list)
     extra_last: str | None = None
+    # True when every file has the same ``#CHROM`` line (same samples).
+    uniform_samples: bool = True
 
     def csq_index(self, name: str, case_insensitive: bool = False) -> int | None:
         for i, f in enumerate(self.csq_fields):
@@ -139,13 +144,15 @@ def vcf_schema(lines: DataFrame, max_lines: int = MAX_HEADER_LINES) -> VcfSpec:
     Distinct header lines are gathered in first-seen order (bounded: more
     than ``max_lines`` distinct definitions raises instead of truncating).
     """
-    numbered = lines.withColumn("__pos", F.monotonically_increasing_id())
+    # Filter first (in the scan tasks), then number the few header lines: the
+    # ids still follow file order, and no id is computed for record lines.
+    header = lines.where(
+        F.col("line").startswith("##INFO=")
+        | F.col("line").startswith("##FORMAT=")
+        | F.col("line").startswith("#CHROM")
+    )
     defs = (
-        numbered.where(
-            F.col("line").startswith("##INFO=")
-            | F.col("line").startswith("##FORMAT=")
-            | F.col("line").startswith("#CHROM")
-        )
+        header.withColumn("__pos", F.monotonically_increasing_id())
         .groupBy("line")
         .agg(F.min("__pos").alias("__pos"))
         .orderBy("__pos")
@@ -154,7 +161,9 @@ def vcf_schema(lines: DataFrame, max_lines: int = MAX_HEADER_LINES) -> VcfSpec:
     )
     if len(defs) > max_lines:
         raise ValueError(f"more than {max_lines} distinct header definitions")
-    return parse_header([r["line"] for r in defs])
+    spec = parse_header([r["line"] for r in defs])
+    spec.uniform_samples = sum(1 for r in defs if r["line"].startswith("#CHROM")) <= 1
+    return spec
 
 
 def tab_field(line: str | F.Column, i: int) -> F.Column:
