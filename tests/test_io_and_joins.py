@@ -64,6 +64,27 @@ def test_vcf_body_roundtrip(spark, tmp_out):
     assert back[0][0] == "chr1\t10\t.\tA\tC\t50\tPASS\tAF=0.1\tGT\t0/1"
 
 
+def test_gzip_vcf_and_mixed_headers(spark, tmp_out):
+    from varlake.plans.vcf_table import vcf_to_table
+    from varlake.sources.vcf import vcf_schema
+    import pytest
+    head = ['##INFO=<ID=CSQ,Number=.,Type=String,Description="x Format: Allele|PICK|SYMBOL">',
+            '##FORMAT=<ID=GT,Number=1,Type=String,Description="g">']
+    for name, sample in (("a", "NA1"), ("b", "NA2")):
+        with gzip.open(os.path.join(tmp_out, f"{name}.vcf.gz"), "wt") as fh:
+            fh.write("\n".join(head + ["\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER",
+                                                     "INFO", "FORMAT", sample]),
+                                       "\t".join(["chr1", "5", ".", "A", "C", "50", "PASS",
+                                                   "CSQ=C|1|G", "GT", "0/1"])]) + "\n")
+    lines = read_vcf(spark, os.path.join(tmp_out, "*.vcf.gz"))
+    spec = vcf_schema(lines)
+    assert not spec.uniform_samples and sorted(spec.samples) == ["NA1", "NA2"]
+    out = vcf_to_table(lines, spec, qc=False, layout="long")
+    assert sorted(r["sample"] for r in out.collect()) == ["NA1", "NA2"]
+    with pytest.raises(ValueError):
+        vcf_to_table(lines, spec, qc=False, layout="wide")
+
+
 def test_panel_and_goi_readers(spark, tmp_out):
     panel = os.path.join(tmp_out, "panel.tsv")
     with open(panel, "w") as fh:

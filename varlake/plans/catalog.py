@@ -698,6 +698,35 @@ def q_vcf_to_table_long(spark, sf):
     return vcf_to_table(vcf_input(spark, sf), layout="long").drop("file")
 
 
+def vcf_cohort_input(spark: SparkSession, sf: str) -> DataFrame:
+    """A cohort of three single-sample VCF files derived from ``lineitem``
+    (records split by ``l_orderkey % 3``), each with its own sample name in
+    its ``#CHROM`` line, read back as one folder."""
+    digest = hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:12]
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/varlake-fixtures/cohort-{digest}"
+    items = fixture(spark, sf, "fx_vcf_lines_cohort")
+    for k in range(3):
+        header = VCF_HEADER[:-1] + [VCF_HEADER[-1].rsplit("\t", 1)[0] + f"\tS_{k}"]
+        head = spark.createDataFrame([(h,) for h in header], "line string")
+        body = items.where(F.col("part") == k).select("line")
+        write_text(head.unionByName(body), f"{root}/part{k}")
+    return read_vcf(spark, [f"{root}/part{k}" for k in range(3)])
+
+
+@register("vcf_cohort_table", _vcf_oracle(f"""
+SELECT * FROM (SELECT chrom AS "#CHROM", pos AS POS, '.' AS ID, ref AS REF, alt AS ALT, '50' AS QUAL,
+ filt AS FILTER, {_INFO_SQL}, {_PICK_SQL}, concat('S_', CAST(o % 3 AS VARCHAR)) AS sample,
+ '0/1' AS FORMAT_GT, concat(CAST(q AS VARCHAR), ',', CAST(3 * ln AS VARCHAR)) AS FORMAT_AD,
+ CAST(q + 3 * ln AS VARCHAR) AS FORMAT_DP, CAST(o % 99 AS VARCHAR) AS FORMAT_GQ,
+ {_GT_SQL} AS AdjustedGenotype
+ FROM vl WHERE {_QC_SQL} AND {_GOOD_SQL} AND alt <> '*')
+WHERE AdjustedGenotype NOT IN ('./.', '0/0')"""))
+def q_vcf_cohort_table(spark, sf):
+    """P0 on a cohort of files with different sample names (long layout:
+    each file's own header line names its sample)."""
+    return vcf_to_table(vcf_cohort_input(spark, sf), layout="long").drop("file")
+
+
 @register("vcf_transcript_rows", _vcf_oracle("""
 SELECT chrom AS chromosome, CAST(pos AS BIGINT) AS start, '.' AS ID, ref AS reference, alt AS alternate,
  '50' AS quality, filt AS FILTER, CAST(s % 10 AS VARCHAR) AS INFO_QD, CAST(p % 80 AS VARCHAR) AS INFO_FS,

@@ -111,6 +111,8 @@ def flatten_records(
     extra += [F.col(c) for c in carry]
 
     if layout == "wide":
+        if not spec.uniform_samples:
+            raise ValueError("files name different samples: use layout='long'")
         inputs = {}
         for i, s in enumerate(spec.samples):
             sample = F.col("sample1") if i == 0 and "sample1" in df.columns else F.get(F.col("samples"), i)

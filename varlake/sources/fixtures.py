@@ -126,6 +126,19 @@ SELECT concat_ws(chr(9), concat('chr', CASE l_partkey % 25 WHEN 22 THEN 'X' WHEN
   '|ENST', lpad(CAST(l_suppkey + 1 AS STRING), 11, '0'), '.2'),
  'GT:AD:DP:GQ',
  concat('0/1:', CAST(CAST(l_quantity AS INT) AS STRING), ',', CAST(l_linenumber * 3 AS STRING), ':', CAST(CAST(l_quantity AS INT) + l_linenumber * 3 AS STRING), ':', CAST(l_orderkey % 99 AS STRING))) AS line
+FROM {lineitem}""",
+        "fx_vcf_lines_cohort": """
+SELECT concat_ws(chr(9), concat('chr', CASE l_partkey % 25 WHEN 22 THEN 'X' WHEN 23 THEN 'Y' WHEN 24 THEN 'M' ELSE CAST(l_partkey % 25 + 1 AS STRING) END),
+ CAST(1000 + l_partkey * 37 AS STRING), '.', substr('ACGT', CAST(l_partkey % 4 + 1 AS INT), 1),
+ CASE WHEN l_linenumber = 7 THEN '*' ELSE substr('CGTA', CAST(l_partkey % 4 + 1 AS INT), 1) END, '50',
+ CASE WHEN l_returnflag = 'R' THEN 'LowQual' ELSE 'PASS' END,
+ concat('QD=', CAST(l_suppkey % 10 AS STRING), ';FS=', CAST(l_partkey % 80 AS STRING), CASE WHEN l_linenumber = 3 THEN '' ELSE ';MQ=60' END,
+  CASE WHEN l_linenumber = 4 THEN ';TARGETED' ELSE '' END, ';CSQ=A|synonymous_variant||GENE', CAST(l_suppkey AS STRING), '|NM_', CAST(l_suppkey AS STRING),
+  ',A|missense_variant|', CASE WHEN l_linenumber = 5 THEN '' ELSE '1' END, '|GENE', CAST(l_suppkey + 1 AS STRING),
+  '|ENST', lpad(CAST(l_suppkey + 1 AS STRING), 11, '0'), '.2'),
+ 'GT:AD:DP:GQ',
+ concat('0/1:', CAST(CAST(l_quantity AS INT) AS STRING), ',', CAST(l_linenumber * 3 AS STRING), ':', CAST(CAST(l_quantity AS INT) + l_linenumber * 3 AS STRING), ':', CAST(l_orderkey % 99 AS STRING))) AS line,
+ CAST(l_orderkey % 3 AS INT) AS part
 FROM {lineitem}""",
 }
 
