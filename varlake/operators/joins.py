@@ -90,6 +90,7 @@ def left_join_lookup(
     keep_right_keys: bool = False,
     try_broadcast: bool = True,
     right_is_small: bool | None = None,
+    left_counts: DataFrame | None = None,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Left join ``left`` to ``right`` on equal keys, skew-safe.
@@ -103,7 +104,8 @@ def left_join_lookup(
     ``try_broadcast=False`` skips the bounded count (for a right side known to
     be large, or one whose count would re-run the left's whole plan);
     ``right_is_small`` passes the result of a bounded count made earlier
-    (see :func:`rows_at_most`).
+    (see :func:`rows_at_most`); ``left_counts`` (left keys + ``__rows``)
+    reuses a per-key count the caller already has.
     """
     pairs = list(on.items()) if isinstance(on, Mapping) else [(k, k) for k in on]
     right_keys = [rk for _, rk in pairs]
@@ -132,7 +134,10 @@ def left_join_lookup(
     # Shuffle join with salting of hot keys.  Counting rows per key is a
     # map-side combined aggregate, so the hot key itself costs nothing here.
     lkeys = [lk for lk, _ in rpairs]
-    counts = left.groupBy(*lkeys).agg(F.count(F.lit(1)).alias(ROWS))
+    if left_counts is not None:
+        counts = left_counts
+    else:
+        counts = left.groupBy(*lkeys).agg(F.count(F.lit(1)).alias(ROWS))
     hot = (
         counts.where(F.col(ROWS) > limits.hot_key_rows)
         .orderBy(F.col(ROWS).desc())
@@ -238,13 +243,17 @@ def annotate_by_key(
         return out
 
     if strategy == "keys":
-        annotated = variants.select(*key).distinct()
+        # One map-side combined count per key serves both as the distinct
+        # keys to annotate and as the hot-key statistics of the join back
+        # (the same subtree twice: Spark reuses its exchange).
+        counts = variants.groupBy(*key).agg(F.count(F.lit(1)).alias(ROWS))
+        annotated = counts.select(*key)
         for t in tables:
             annotated = annotated.join(t, key, "left")
         # The annotated keys are at least as many as the distinct keys of an
         # unbounded table: no broadcast, salted shuffle join.
         return left_join_lookup(
-            variants, annotated, key, try_broadcast=False, limits=limits
+            variants, annotated, key, try_broadcast=False, left_counts=counts, limits=limits
         )
 
     if strategy == "plain":
