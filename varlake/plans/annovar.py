@@ -105,10 +105,14 @@ def filter_annovar(
     orphanet_text = orphanet_by_gene_text(tables.orphanet_gene)
     gencc_genes = gencc_by_gene(tables.gencc, gene_column="gene_symbol", out_key="GenCC_gene_symbol")
     # Bounded counts of every gene-level lookup in one job.
-    small = rows_at_most({"hgmd": tables.hgmd_gene, "omim": omim_genes,
-                          "orphanet": orphanet_text, "gencc": gencc_genes},
-                         limits.max_broadcast_rows)
-    v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy, limits=limits)
+    checks = {"hgmd": tables.hgmd_gene, "omim": omim_genes, "orphanet": orphanet_text,
+              "gencc": gencc_genes}
+    if strategy == "auto":
+        checks["variants"] = v.select(*KEY)
+    small = rows_at_most(checks, limits.max_broadcast_rows,
+                         {"variants": limits.max_variant_rows})
+    v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy,
+                        variants_bounded=small.get("variants"), limits=limits)
     v = v.withColumn("max_gnomad_topmed", max_frequency(ANNOVAR_FREQUENCIES))
     v = flag_rare(v, maf, freq="max_gnomad_topmed")
     v = flag_damaging(v, dpc_l, dpc_u, require_damaging=require_damaging)
