@@ -186,3 +186,24 @@ def test_header_parse():
 def test_key_columns_constant():
     assert KEY == ["chromosome", "start", "reference", "alternate"]
     assert F is not None
+
+
+def test_consequence_split_terms(spark):
+    from varlake.operators.filters import keep_consequences
+    df = spark.createDataFrame([("missense_variant",), ("missense_variant&splice_region_variant",),
+                                ("intron_variant",), ("intron_variant&synonymous_variant",)],
+                               "CSQ_Consequence string")
+    exact = [r[0] for r in keep_consequences(df).collect()]
+    split = [r[0] for r in keep_consequences(df, split_terms=True).collect()]
+    assert exact == ["missense_variant"]
+    assert split == ["missense_variant", "missense_variant&splice_region_variant"]
+
+
+def test_damage_clause_modes(spark):
+    from varlake.operators.filters import flag_damaging
+    df = spark.createDataFrame([(1, 0.75), (1, 0.25), (1, None), (0, 0.75)],
+                               "flag_keep int, PredCountRatio_D2T double")
+    same = [r["flag_keep"] for r in flag_damaging(df).collect()]
+    strict = [r["flag_keep"] for r in flag_damaging(df, require_damaging=True).collect()]
+    assert same == [1, 1, 1, 0]        # as the reference: the clause never changes the flag
+    assert strict == [1, 0, 0, 0]

@@ -556,12 +556,13 @@ def q_attach_gene_list(spark, sf):
 # ------------------------------------------------------------------- VCF
 def vcf_input(spark: SparkSession, sf: str) -> DataFrame:
     """The fixture VCF read back as text (S1): its header lines, then one
-    record per lineitem row, written once as a file under the session's
-    checkpoint folder so the queries exercise the text reader."""
+    record per lineitem row, written once (header in the first part file,
+    records in parallel part files) under the session's checkpoint folder so
+    the queries exercise the text reader."""
     header = spark.createDataFrame([(h,) for h in VCF_HEADER], "line string")
     body = fixture(spark, sf, "fx_vcf_lines").select("line")
     digest = hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:12]
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/varlake-fixtures/vcf-{digest}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/varlake-fixtures/vcf-parts-{digest}"
     return read_vcf(spark, write_text(header.unionByName(body), path))
 
 
@@ -709,7 +710,7 @@ def vcf_cohort_input(spark: SparkSession, sf: str) -> DataFrame:
         header = VCF_HEADER[:-1] + [VCF_HEADER[-1].rsplit("\t", 1)[0] + f"\tS_{k}"]
         head = spark.createDataFrame([(h,) for h in header], "line string")
         body = items.where(F.col("part") == k).select("line")
-        write_text(head.unionByName(body), f"{root}/part{k}")
+        write_text(head.unionByName(body), f"{root}/part{k}", single_file=True)
     return read_vcf(spark, [f"{root}/part{k}" for k in range(3)])
 
 

@@ -73,14 +73,17 @@ def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return df.where(F.length("line") > 0)
 
 
-def write_text(lines: DataFrame, path: str, reuse: bool = True) -> str:
-    """Write a ``line`` column as one text file (a VCF as a tool would
-    produce it) under ``path``; an existing complete copy is reused."""
+def write_text(lines: DataFrame, path: str, reuse: bool = True, single_file: bool = False) -> str:
+    """Write a ``line`` column as text under ``path`` (one part file per
+    partition, or one file when ``single_file``: a sample file whose own
+    ``#CHROM`` line must sit with its records); an existing complete copy is
+    reused."""
     spark = lines.sparkSession
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not (reuse and fs.exists(jvm_path)):
-        lines.select("line").coalesce(1).write.mode("overwrite").text(path)
+        out = lines.select("line")
+        (out.coalesce(1) if single_file else out).write.mode("overwrite").text(path)
     return path
 
 
