@@ -157,3 +157,23 @@ def test_no_nested_loop_join(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert F is not None
+
+
+def test_hot_key_is_split_across_tasks(spark):
+    """A key holding most rows is salted: its rows leave the join in several
+    partitions instead of one task."""
+    from pyspark.sql import functions as F
+    left = spark.range(3000).select(F.when(F.col("id") < 2700, F.lit("hot"))
+                                    .otherwise(F.col("id").cast("string")).alias("k"), "id")
+    right = spark.createDataFrame([("hot", 1), ("5", 2)], "k string, v long")
+    limits = Limits(max_broadcast_rows=0, hot_key_rows=100, max_hot_keys=5)
+    prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = left_join_lookup(left, right, ["k"], limits=limits)
+        parts = (out.where(F.col("k") == "hot").select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+        assert out.count() == 3000 and out.where(F.col("v") == 1).count() == 2700
+        assert parts > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
