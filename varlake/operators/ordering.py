@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from varlake.functions.keys import chromosome_rank, to_long
 
 
-def chromosome_order(df: DataFrame, tie_break: bool = True) -> DataFrame:
+def chromosome_order(df: DataFrame, tie_break: bool = True,
+                     tie_break_columns: list[str] | None = None) -> DataFrame:
     """O1/O2: sort by chromosome (1..22, X, Y, then other contigs) and numeric
     ``start``.
 
@@ -17,12 +18,16 @@ def chromosome_order(df: DataFrame, tie_break: bool = True) -> DataFrame:
     ``tie_break`` the alleles and a hash of the whole row are appended to the
     sort key: a position that holds a third of the rows is then spread over
     many range partitions instead of landing in one task.
+    ``tie_break_columns`` limits the hash to the columns that tell rows of one
+    position apart (e.g. a pipeline's input columns; annotation fan-out per
+    input row is bounded by the gene tables), which is cheaper to compute.
     """
     keys = [chromosome_rank("chromosome"), to_long("start")]
     if tie_break:
         extra = [c for c in ("reference", "alternate") if c in df.columns]
         keys += [F.col(c) for c in extra]
-        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        hashed = tie_break_columns or df.columns
+        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]))
     return df.orderBy(*keys)
 
 

@@ -136,5 +136,5 @@ def filter_annovar(
     ]
     out = v.select([F.col(f"`{c}`") for c in order])
     if sort:
-        out = chromosome_order(out)
+        out = chromosome_order(out, tie_break_columns=input_cols)
     return stringify_nested(out) if as_text else out

@@ -202,4 +202,4 @@ def filter_vep(
         "GenCC_moi_title_combined",
     ]
     out = v.select([F.col(f"`{c}`") for c in order]).distinct()
-    return chromosome_order(out) if sort else out
+    return chromosome_order(out, tie_break_columns=input_cols) if sort else out
