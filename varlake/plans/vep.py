@@ -88,6 +88,14 @@ DRAGON_FREQUENCIES = [
 ]
 
 
+# Flattened-table columns the VEP and Dragon pipelines read.
+VEP_INPUT_COLUMNS = {
+    "vep": ["CSQ_Consequence", "CSQ_SYMBOL", "CSQ_Gene", "CSQ_HGNC_ID", "CSQ_gnomAD_AF",
+            "INFO_gnomad_3_1_1_AF"],
+    "dragon": ["CSQ_Consequence", "CSQ_SYMBOL", "CSQ_Gene"],
+}
+
+
 def _key_tables(t: VepTables, source: str, known: Sequence[str]) -> tuple[list[DataFrame], dict]:
     """Projected key tables in the reference's join order, and the typed NULL
     columns standing in for absent optional tables."""
@@ -141,6 +149,11 @@ def filter_vep(
     if source not in ("vep", "dragon"):
         raise ValueError("source must be 'vep' or 'dragon'")
     v = with_variant_key(variants)
+    # Input columns the pipeline reads; a VCF whose CSQ lacks one of them
+    # (no HGNC_ID / Gene / gnomAD_AF sub-field) gets it as NULL.
+    missing = [c for c in VEP_INPUT_COLUMNS[source] if c not in v.columns]
+    if missing:
+        v = v.withColumns({c: F.lit(None).cast("string") for c in missing})
     input_cols = v.columns
     v = keep_consequences(v, consequences, split_terms=split_terms)
 
