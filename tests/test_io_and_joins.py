@@ -177,3 +177,15 @@ def test_hot_key_is_split_across_tasks(spark):
         assert parts > 1
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", prev)
+
+
+def test_goi_last_duplicate_wins_from_file(spark, tmp_out):
+    from varlake.operators.panels import attach_gene_list
+    goi = os.path.join(tmp_out, "goi_dup.tsv")
+    with open(goi, "w") as fh:
+        fh.write("TP53\t7157\t-\tfirst\nBRCA1\t672\t-\tx\nTP53\t7157\t-\tlast\n")
+    variants = spark.createDataFrame([(1, 0.0, None, 7157, "E", "TP53")],
+                                     "flag_keep int, max_gtar double, PredCountRatio_D2T double, "
+                                     "entrez_gene_id long, CSQ_Gene string, CSQ_SYMBOL string")
+    got = [r["gene_desc"] for r in attach_gene_list(variants, read_goi_list(spark, goi)).collect()]
+    assert got == ["last"]

@@ -65,10 +65,17 @@ def read_goi_list(spark: SparkSession, path: str) -> DataFrame:
     (``-`` = none), Ensembl id (``-`` = none), then free text.
 
     Output: ``Germline_GOIs_names, entrez, ensembl, gene_desc`` (the rest of
-    the line) and ``line_no`` (file order, taken right after the scan so it
-    is the same on any recomputation)."""
+    the line) and ``line_no`` (a struct ordering lines as in the file, taken
+    right after the scan so it is the same on any recomputation)."""
+    # File order = (file, start offset of the split, position within the
+    # split): splits are packed into partitions by size, so the partition id
+    # alone need not follow the file.
+    order = F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id(),
+    )
     lines = spark.read.text(path).select(
-        F.col("value").alias("line"), F.monotonically_increasing_id().alias("line_no")
+        F.col("value").alias("line"), order.alias("line_no")
     ).where(F.length("line") > 0)
     f = F.split("line", "\t", 4)
     return lines.select(
