@@ -89,7 +89,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir
-    return spark.sparkContext.getCheckpointDir()
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # a session without a SparkContext handle (Spark Connect)
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -97,8 +100,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     the session names none (tests, the bench on one machine)."""
     existing = checkpoint_dir(spark)
     if existing:
-        spark.sparkContext.setCheckpointDir(existing)
+        _set_checkpoint_dir(spark, existing)
         return existing
-    local = tempfile.mkdtemp(prefix="varlake-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(local)
+    local = _LOCAL_DIRS.get(id(spark))
+    if local is None:
+        local = tempfile.mkdtemp(prefix="varlake-ckpt-", dir="/tmp")
+        _LOCAL_DIRS[id(spark)] = local
+    _set_checkpoint_dir(spark, local)
     return local
+
+
+_LOCAL_DIRS: dict[int, str] = {}
+
+
+def _set_checkpoint_dir(spark: SparkSession, path: str) -> None:
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:  # no SparkContext handle: the folder is still used by path
+        pass

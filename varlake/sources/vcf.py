@@ -16,6 +16,7 @@ to ``vcf_schema`` instead.
 
 from __future__ import annotations
 
+import os
 import re
 from dataclasses import dataclass, field
 
@@ -73,15 +74,23 @@ def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return df.where(F.length("line") > 0)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists (Hadoop file system of the session; a plain
+    local check where the session exposes no JVM, e.g. Spark Connect)."""
+    try:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path))
+    except Exception:
+        local = path[len("file:"):] if path.startswith("file:") else path
+        return "://" not in local and os.path.exists(local)
+
+
 def write_text(lines: DataFrame, path: str, reuse: bool = True, single_file: bool = False) -> str:
     """Write a ``line`` column as text under ``path`` (one part file per
     partition, or one file when ``single_file``: a sample file whose own
     ``#CHROM`` line must sit with its records); an existing complete copy is
     reused."""
-    spark = lines.sparkSession
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not (reuse and fs.exists(jvm_path)):
+    if not (reuse and _exists(lines.sparkSession, path + "/_SUCCESS")):
         out = lines.select("line")
         (out.coalesce(1) if single_file else out).write.mode("overwrite").text(path)
     return path
