@@ -105,8 +105,9 @@ def filter_annovar(
     orphanet_text = orphanet_by_gene_text(tables.orphanet_gene)
     gencc_genes = gencc_by_gene(tables.gencc, gene_column="gene_symbol", out_key="GenCC_gene_symbol")
     # Bounded counts of every gene-level lookup in one job.
-    checks = {"hgmd": tables.hgmd_gene, "omim": omim_genes, "orphanet": orphanet_text,
-              "gencc": gencc_genes}
+    # Aggregates have at most as many rows as their sources: count the sources.
+    checks = {"hgmd": tables.hgmd_gene, "omim": tables.omim_gene,
+              "orphanet": tables.orphanet_gene, "gencc": tables.gencc}
     if strategy == "auto":
         checks["variants"] = v.select(*KEY)
     small = rows_at_most(checks, limits.max_broadcast_rows,

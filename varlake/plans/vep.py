@@ -162,9 +162,11 @@ def filter_vep(
     orphanet_genes = orphanet_by_gene(tables.orphanet_gene)
     gencc_genes = gencc_by_gene(tables.gencc)
     # Every broadcast below is proven by a bounded count; the counts of the
-    # gene tables and of the variant keys run together in one job.
-    checks = {"omim": omim_genes, "orphanet": orphanet_genes, "gencc": gencc_genes,
-              "cosmic": tables.cosmic}
+    # gene tables and of the variant keys run together in one job.  A per-gene
+    # aggregate has at most as many rows as its source, so the raw tables are
+    # counted (no aggregation or shuffle in the counting job).
+    checks = {"omim": tables.omim_gene, "orphanet": tables.orphanet_gene,
+              "gencc": tables.gencc, "cosmic": tables.cosmic}
     if tables.genes is not None:
         checks["genes"] = tables.genes
     if strategy == "auto":
