@@ -88,7 +88,11 @@ def annotate_gene_group(
     symbol = missing_to_null(F.col(symbol_column).cast("string"))
     probes = (("entrez", entrez, "entrez_id"), ("hgnc", hgnc, "hgnc_id"), ("symbol", symbol, "symbol"))
     tables = {tag: panel_membership(first_panel, second_panel, column) for tag, _, column in probes}
-    small = rows_at_most(tables, limits.max_broadcast_rows)  # one job for the three bounds
+    # A membership table has at most as many rows as the two panels together:
+    # bounding each raw panel by half the limit proves all three (one job).
+    half = limits.max_broadcast_rows // 2
+    bounded = all(rows_at_most({"a": first_panel, "b": second_panel}, half).values())
+    small = {tag: bounded for tag in tables}
     df = variants
     for tag, value, _ in probes:
         df = _member(df, value, tables[tag], tag, limits, small[tag])
@@ -160,7 +164,9 @@ def attach_gene_list(
     ]
     luts = {i: gene_list_lookup(gene_list, column).withColumnRenamed("entry", f"__e{i}")
             for i, (column, _) in enumerate(probes)}
-    small = rows_at_most({str(i): t for i, t in luts.items()}, limits.max_broadcast_rows)
+    # Each lookup has at most as many rows as the list itself.
+    bounded = rows_at_most({"list": gene_list}, limits.max_broadcast_rows)["list"]
+    small = {str(i): bounded for i in luts}
     df = kept
     for i, (_, value) in enumerate(probes):
         df = df.withColumn(f"__p{i}", missing_to_null(value))
