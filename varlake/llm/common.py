@@ -134,16 +134,23 @@ class Words:
         self.starts = np.flatnonzero(starts)
         self.ends = np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.starts, text_at)
-        self.hashes = self._hashed(buf)
+        self.hashes = self._hashed(self.starts, self.ends)
 
-    def _hashed(self, buf: np.ndarray) -> np.ndarray:
-        lengths = self.ends - self.starts
+    def cut(self, which: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the first ``size`` bytes of the words ``which``, all
+        longer; they differ from those of whole words."""
+        starts = self.starts[which]
+        return _mixed(self._hashed(starts, starts + size))
+
+    def _hashed(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        buf = np.frombuffer(self.low, np.uint8)
+        lengths = ends - starts
         h = lengths.astype(np.uint64)
-        at, where = self.starts, np.arange(len(lengths))
+        at, where = starts, np.arange(len(lengths))
         short = lengths <= _LONG
         if not short.all():
             for i in np.flatnonzero(~short):
-                h[i] = xxhash.xxh3_64_intdigest(self.low[self.starts[i]:self.ends[i]])
+                h[i] = xxhash.xxh3_64_intdigest(self.low[starts[i]:ends[i]])
             where, at, lengths = where[short], at[short], lengths[short]
         step, k = np.zeros(len(where), np.uint64), 0
         step[:] = h[where]
