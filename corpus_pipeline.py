@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 from varlake.llm.common import written
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the machine, learned from their labels, doesn't reject."""
+    from varlake.llm.toxicity import THRESHOLD, score_texts, train
+
+    machine = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_texts(docs, machine, "__score").where(F.col("__score") < THRESHOLD).drop("__score")
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the later lines of repeated windows; those of which
     no line stays go."""
@@ -32,7 +40,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_path(), digest=True)
 
 
-STAGES = [("line_dedup", line_dedup), ("packing", packing)]
+STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("packing", packing)]
 
 ORACLE_SQL = None
 

@@ -28,6 +28,20 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), digest=True)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every document."""
+    from varlake.llm.toxicity import toxicity
+
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document."""
+    from varlake.llm.quality import quality
+
+    return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of repeated three-line windows."""
     from varlake.llm.line_dedup import dedup_lines
@@ -70,6 +84,8 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_packing": (op2_packing, None),
+    "op3_toxicity": (op3_toxicity, None),
+    "op7_quality": (op7_quality, None),
     "op9_line_dedup": (op9_line_dedup, ORACLE_9),
 }
 

@@ -192,16 +192,16 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int
                        [np.frombuffer(r["terms"], "<u2") for r in learned])
 
 
-def score_texts(docs: DataFrame, machine: Machine | None) -> DataFrame:
-    """``docs`` plus ``score``."""
+def score_texts(docs: DataFrame, machine: Machine | None, name: str = "score") -> DataFrame:
+    """``docs`` plus the score."""
     spark = docs.sparkSession
     if machine is None:
-        return docs.withColumn("score", F.lit(0.0))
+        return docs.withColumn(name, F.lit(0.0))
     model = spark.sparkContext.broadcast(machine)  # at most MAX_TERMS * (FACTORS + 2) numbers
     fields = docs.schema.fields
     at_text = [f.name for f in fields].index("text")
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in fields],
-                        "score double"])
+                        f"`{name}` double"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
@@ -218,7 +218,7 @@ def score_texts(docs: DataFrame, machine: Machine | None) -> DataFrame:
                 scores.append(_sigmoid(m.logits(row, term, j - i)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(np.concatenate(scores), pa.float64())],
-                names=[*batch.schema.names, "score"])
+                names=[*batch.schema.names, name])
 
     return docs.mapInArrow(work, schema)
 
