@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +36,18 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a window of a benchmark item."""
+    from varlake.llm.decontaminate import contamination
+
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score for every document."""
     from varlake.llm.quality import quality
@@ -50,6 +63,45 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "kept_text", "n_lines", "n_removed")
 
 
+ORACLE_6 = """
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM benchmark
+), item_windows AS (
+    SELECT item_id, least(len(w), 10) AS k,
+           unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1),
+                                 lambda i: array_to_string(w[i:i + 9], ' '))) AS phrase
+    FROM items WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT k FROM item_windows
+), doc_windows AS (
+    SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS pos,
+           unnest(list_transform(range(1, len(w) - k + 2),
+                                 lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    FROM words, sizes WHERE len(w) >= k
+), hits AS (
+    SELECT d.doc_id, d.pos, d.k, i.item_id
+    FROM doc_windows d JOIN item_windows i ON d.k = i.k AND d.phrase = i.phrase
+), hit_words AS (
+    SELECT doc_id, count(*) AS n_hit FROM (
+        SELECT DISTINCT doc_id, unnest(range(pos, pos + k)) AS pos FROM hits) GROUP BY doc_id
+), hit_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+       coalesce(i.n_items, 0) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hit_words h ON w.doc_id = h.doc_id
+LEFT JOIN hit_items i ON w.doc_id = i.doc_id
+"""
+
 ORACLE_9 = """
 WITH lines AS (
     SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line, len(l) AS n
@@ -85,6 +137,7 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_packing": (op2_packing, None),
     "op3_toxicity": (op3_toxicity, None),
+    "op6_decontamination": (op6_decontamination, ORACLE_6),
     "op7_quality": (op7_quality, None),
     "op9_line_dedup": (op9_line_dedup, ORACLE_9),
 }
