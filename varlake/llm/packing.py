@@ -15,6 +15,7 @@ pieces; a null doc_id stays null; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -33,22 +34,40 @@ OUT_BYTES = 4 << 20
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that byte-level BPE writes for each byte: printable Latin-1
+    bytes stand for themselves, the others are numbered from 256 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in own]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
+# Lower-case Latin-1 letters: one pre-token, the same after normalisation.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+
+
 class _WordIds(dict):
     """Token ids (little-endian 32-bit) of a run of text without blanks.
 
     The tokenizer's own rules never join text across a blank or a line end, a
     word with a plain full stop or comma behind a letter splits before it, and
     lower-casing ASCII is its first step; so ids of texts are those of their
-    runs, and the cache only has to know words.
+    runs, and the cache only has to know words.  This holds for a tokenizer of
+    this kind (NFC, lower-casing, splitting at blanks, byte-level BPE).
     """
 
     def __init__(self, tokenizer):
         super().__init__({"": b""})
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.letters = _byte_letters()
         self.tails = {c: self._encoded(c) for c in ".,"}
 
     def _encoded(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        if _PLAIN(text):  # the model alone: four times as fast as the whole tokenizer
+            letters = text.encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in self.model.tokenize(letters)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def __missing__(self, run: str) -> bytes:
