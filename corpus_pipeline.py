@@ -32,6 +32,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             .withColumns(new).select([F.col(f"`{c}`") for c in docs.columns]))
 
 
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each class of near copies."""
+    from varlake.llm.ngram_join import first_of_each_class
+
+    return first_of_each_class(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of benchmark windows; those of which no
+    word stays go."""
+    from varlake.llm.decontaminate import mark_contamination, remove_spans
+
+    marked = mark_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    hit = F.aggregate("__spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    cut = remove_spans(marked.where((hit == 0) | (hit < F.col("__n_words"))))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cut = cut.withColumn("n_chars", F.when(hit > 0, F.length("text").cast(kind)).otherwise(
+            F.col("n_chars")))
+    return cut.select([F.col(f"`{c}`") for c in docs.columns])
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents packed into sequences."""
     from varlake.llm.packing import pack_documents
@@ -40,7 +62,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_path(), digest=True)
 
 
-STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("packing", packing)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("line_dedup", line_dedup),
+    ("ngram_join", ngram_join),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
 ORACLE_SQL = None
 

@@ -36,6 +36,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    from varlake.llm.ngram_join import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stand in a window of a benchmark item."""
     from varlake.llm.decontaminate import contamination
@@ -137,6 +144,7 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_packing": (op2_packing, None),
     "op3_toxicity": (op3_toxicity, None),
+    "op4_ngram_join": (op4_ngram_join, None),
     "op6_decontamination": (op6_decontamination, ORACLE_6),
     "op7_quality": (op7_quality, None),
     "op9_line_dedup": (op9_line_dedup, ORACLE_9),
