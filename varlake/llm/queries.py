@@ -22,6 +22,51 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: The rules for pages.
+RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+         ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    from varlake.llm.url_filter import judge_urls
+
+    return judge_urls(_table(spark, sf_dir, "pages"), RULES).drop("weight")
+
+
+def _oracle_1() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    strict = "adult|casino|escort|porn|spam|viagra|warez|xxx"
+    soft = ["ads", "bet", "bets", "bonus", "cheap", "click", "discount", "free", "loan", "pill",
+            "pills", "poker", "promo", "track", "win"]
+
+    def holds(term: str) -> str:
+        return f"regexp_matches(low, '(^|[^a-z0-9])({term})([^a-z0-9]|$)')"
+
+    def fits(rule: str) -> str:
+        host, path = rule.split("/", 1)
+        return (f"(host = '{host}' OR ends_with(host, '.{host}')) "
+                f"AND starts_with(path, '/{path}')")
+
+    ordered = sorted(RULES, key=lambda r: -len(r[1]))
+    rule = " ".join(f"WHEN {fits(r)} THEN '{r}'" for _, r in ordered)
+    verdict = " ".join(f"WHEN {fits(r)} THEN '{v}'" for v, r in ordered)
+    hits = " + ".join(f"CAST({holds(t)} AS INTEGER)" for t in soft)
+    return f"""
+WITH u AS (
+    SELECT page_id, translate(coalesce(url, ''), '{upper}', '{lower}') AS low,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                     '{upper}', '{lower}') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages
+)
+SELECT page_id, host, path, CASE {rule} END AS rule,
+       CASE {verdict}
+            WHEN {holds(strict)} OR {hits} >= 2 THEN 'block' ELSE 'allow' END AS verdict
+FROM u
+"""
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of at most 4096 tokens."""
     from varlake.llm.packing import pack_documents
@@ -43,6 +88,15 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of 40, of nearly equal sizes."""
+    from varlake.llm.sharding import shard_by_size
+
+    return shard_by_size(_table(spark, sf_dir, "documents"), 40).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that stand in a window of a benchmark item."""
     from varlake.llm.decontaminate import contamination
@@ -142,9 +196,11 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_url_filter": (op1_url_filter, _oracle_1()),
     "op2_packing": (op2_packing, None),
     "op3_toxicity": (op3_toxicity, None),
     "op4_ngram_join": (op4_ngram_join, None),
+    "op5_sharding": (op5_sharding, None),
     "op6_decontamination": (op6_decontamination, ORACLE_6),
     "op7_quality": (op7_quality, None),
     "op9_line_dedup": (op9_line_dedup, ORACLE_9),
