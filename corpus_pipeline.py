@@ -23,12 +23,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from varlake.llm.line_dedup import dedup_lines
 
     out = dedup_lines(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    text = F.when(F.col("__n_removed") > 0, F.col("__kept_text")).otherwise(F.col("text"))
     new = {"text": text}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(
+        new["n_chars"] = F.when(F.col("__n_removed") > 0, F.length("__kept_text")).otherwise(
             F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return (out.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    return (out.where((F.col("__n_removed") == 0) | (F.col("__n_removed") < F.col("__n_lines")))
             .withColumns(new).select([F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -165,13 +165,6 @@ class Words:
         return h
 
 
-def hash_words(words: Sequence[bytes]) -> np.ndarray:
-    """The hashes :class:`Words` gives to these words."""
-    data = b"".join(words)
-    at = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
-    return Words(data, at).hashes
-
-
 def text_passes(column: pa.Array) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
     """Cut a string column into runs of whole texts of about ``PASS_BYTES``:
     (first row, end row, their bytes, where each text begins and the last ends).
@@ -206,14 +199,3 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         h = _mixed(h * _PRIME + words[j:n - k + 1 + j])
     return np.unique(h)
-
-
-def map_arrow(df: DataFrame, columns: Sequence[str],
-              work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
-    """``mapInArrow`` over the named columns only."""
-    return df.select(*columns).mapInArrow(work, schema)
-
-
-def table_rows(df: DataFrame) -> int:
-    return df.count()

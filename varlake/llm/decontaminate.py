@@ -248,8 +248,7 @@ SPANS = "array<struct<begin:int,end:int>>"
 def _pass(docs: DataFrame, windows: Windows) -> DataFrame:
     """One pass: adds to the spans and items that ``docs`` has."""
     model = docs.sparkSession.sparkContext.broadcast(windows)  # of at most BLOCK_BYTES of text
-    names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    names, schema = docs.columns, docs.schema
     text_at = names.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,8 +311,7 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 def remove_spans(docs: DataFrame) -> DataFrame:
     """Marked ``docs`` whose ``text`` lacks the spans; bytes between the words
     of a span go with it, and a blank stays in its place."""
-    names = docs.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    names, schema = docs.columns, docs.schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -54,8 +54,8 @@ def covered_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` plus ``kept_text`` (what stays, '' if nothing), ``n_lines`` and
-    ``n_removed``.  ``docs`` needs ``doc_id`` and ``text``."""
+    """``docs`` plus ``__kept_text`` (what stays, '' if nothing), ``__n_lines``
+    and ``__n_removed``.  ``docs`` needs ``doc_id`` and ``text``."""
     covered = covered_lines(docs, window).select(
         F.col("__id").alias("__cid"), F.col("__th").alias("__cth"), "__later")
     ided = docs.withColumns({c: k for c, k in zip(("__id", "__th"), row_key())})
@@ -70,10 +70,10 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         joined.withColumn("__lines", F.split("text", "\n", -1))
         .withColumn("__stay", F.when(F.col("__later").isNotNull(), stay))
         .withColumns({
-            "kept_text": F.when(F.col("__later").isNull(), F.col("text")).otherwise(
+            "__kept_text": F.when(F.col("__later").isNull(), F.col("text")).otherwise(
                 F.array_join(F.transform("__stay", lambda i: F.get("__lines", i)), "\n")),
-            "n_lines": F.when(F.col("text").isNull(), 0).otherwise(n),
-            "n_removed": F.when(F.col("__later").isNull(), 0).otherwise(n - F.size("__stay")),
+            "__n_lines": F.when(F.col("text").isNull(), 0).otherwise(n),
+            "__n_removed": F.when(F.col("__later").isNull(), 0).otherwise(n - F.size("__stay")),
         })
         .drop("__id", "__th", "__cid", "__cth", "__later", "__lines", "__stay")
     )

@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varlake.llm.common import Words, join_counted, row_key, shingle_hashes, text_passes, written
 
@@ -251,9 +252,8 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
 
 def _with_shingles(rows: DataFrame) -> DataFrame:
     names = [c for c in rows.columns if c != "text"]
-    fields = [f for f in rows.schema.fields if f.name != "text"]
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in fields],
-                        "shingles binary"])
+    schema = T.StructType([*[f for f in rows.schema.fields if f.name != "text"],
+                           T.StructField("shingles", T.BinaryType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varlake.llm.common import gapless_rank, salts_for, written
 
@@ -207,9 +208,9 @@ def assign_sequences(pieces: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFra
                                   if c not in ("doc_id", "start", "length")]]
     ranked = gapless_rank(pieces, ["length"], order, "__rank",
                           salts_for(sum(r["count"] for r in counts)))
-    columns = [f for f in ranked.schema.fields if f.name != "__rank"]
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in columns],
-                        "sequence_id long", "offset long"])
+    schema = T.StructType([
+        *[f for f in ranked.schema.fields if f.name != "__rank"],
+        T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = model.value

@@ -116,12 +116,28 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's capture, read back from the archives written."""
+    from varlake.llm.warc import archive_pages
+
+    return archive_pages(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of repeated three-line windows."""
     from varlake.llm.line_dedup import dedup_lines
 
     return dedup_lines(_table(spark, sf_dir, "documents")).select(
-        "doc_id", "kept_text", "n_lines", "n_removed")
+        "doc_id", F.col("__kept_text").alias("kept_text"), F.col("__n_lines").alias("n_lines"),
+        F.col("__n_removed").alias("n_removed"))
+
+
+def op10_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every row whose vec_id is divisible by 20."""
+    from varlake.llm.ann import search
+
+    return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
 ORACLE_6 = """
@@ -203,7 +219,9 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_sharding": (op5_sharding, None),
     "op6_decontamination": (op6_decontamination, ORACLE_6),
     "op7_quality": (op7_quality, None),
+    "op8_warc": (op8_warc, None),
     "op9_line_dedup": (op9_line_dedup, ORACLE_9),
+    "op10_permutation_search": (op10_permutation_search, None),
 }
 
 

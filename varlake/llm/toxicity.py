@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varlake.llm.common import Words, shingle_hashes, text_passes, written
 from varlake.llm.labelled import is_held_out, training_labels
@@ -198,10 +199,8 @@ def score_texts(docs: DataFrame, machine: Machine | None, name: str = "score") -
     if machine is None:
         return docs.withColumn(name, F.lit(0.0))
     model = spark.sparkContext.broadcast(machine)  # at most MAX_TERMS * (FACTORS + 2) numbers
-    fields = docs.schema.fields
-    at_text = [f.name for f in fields].index("text")
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in fields],
-                        f"`{name}` double"])
+    at_text = docs.columns.index("text")
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
