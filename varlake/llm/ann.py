@@ -7,9 +7,10 @@ files of its own ``READ`` nearest pivots, sums how far the places differ
 (Spearman's footrule, a vector that isn't listed standing behind the last
 place), and reranks the best share of the block by the inner product itself.
 
-Nearness is the inner product.  Vectors get one more component, which makes
-all norms equal and leaves inner products with queries as they are, so that
-near pivots mean large products.
+Nearness is the inner product.  Vectors, and so the pivots chosen from them,
+get one more component that makes all norms equal; queries get a 0 there.
+That leaves inner products with queries as they are, and the larger of them
+belongs to the smaller angle.
 
 Defined cases: vectors that are null, zero, of another length than most, or
 hold a null or non-finite component take no part, nor do rows with a null
@@ -55,14 +56,19 @@ def usable_vectors(embeddings: DataFrame) -> DataFrame:
     return rows.where(F.size("v") == (common["n"] if common else 0)).dropDuplicates(["vec_id", "v"])
 
 
-def choose_pivots(rows: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
-    """Vectors of a hash sample of ``PIVOT_SAMPLE`` rows, of norm 1 and no two
-    alike: a crowd of near copies gives one pivot."""
+def lifted(vectors: np.ndarray, norm: float) -> np.ndarray:
+    """Vectors with the component that makes their norms ``norm``, the largest."""
+    extra = np.sqrt(np.maximum(norm**2 - (vectors**2).sum(axis=1), 0))
+    return np.column_stack([vectors, extra])
+
+
+def choose_pivots(rows: DataFrame, norm: float, pivots: int = PIVOTS) -> np.ndarray:
+    """Lifted vectors of a hash sample of ``PIVOT_SAMPLE`` rows, scaled to 1,
+    no two alike: a crowd of near copies gives one pivot."""
     sample = rows.orderBy(F.xxhash64("vec_id"), "v").limit(PIVOT_SAMPLE).select("v").collect()
     if not sample:
         return np.zeros((0, 0))
-    found = np.array([r["v"] for r in sample])
-    found /= np.linalg.norm(found, axis=1, keepdims=True)
+    found = lifted(np.array([r["v"] for r in sample]), norm) / norm
     chosen: list[int] = []
     closest = np.full(len(found), -1.0)  # cosine to the nearest pivot so far
     for i in range(len(found)):
@@ -72,17 +78,19 @@ def choose_pivots(rows: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
     return found[chosen]
 
 
-def _places(vectors: np.ndarray, pivots: np.ndarray, extra: np.ndarray | None) -> np.ndarray:
-    """The place of each pivot in each vector's order, nearest first.  ``extra``
-    is the vectors' additional component; the pivots' is 0."""
-    near = vectors @ pivots.T
-    norm = np.sqrt((vectors**2).sum(axis=1) + (0 if extra is None else extra**2))
-    order = np.argsort(-near / norm[:, None], axis=1, kind="stable")
+def _places(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The place of each pivot in each lifted vector's order, nearest first."""
+    order = np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")
     places = np.empty(order.shape, np.int16)
     np.put_along_axis(places, order, np.arange(order.shape[1], dtype=np.int16)[None], 1)
     return places
 
 
+def query_places(queries: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """The same for queries, whose additional component is 0."""
+    return _places(np.column_stack([queries, np.zeros(len(queries))]), pivots)
+
+
 class BlockIndex:
     """The inverted files of one block."""
 
@@ -90,9 +98,9 @@ class BlockIndex:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors, self.pivots = ids[order], vectors[order], pivots
         self.behind = min(POSTED, len(pivots))
-        extra = np.sqrt(np.maximum(norm**2 - (self.vectors**2).sum(axis=1), 0))
+        places = _places(lifted(self.vectors, norm), pivots)
         # files[p]: each vector's place of pivot p; those not posted stand behind.
-        self.files = np.minimum(_places(self.vectors, pivots, extra), self.behind).T.copy()
+        self.files = np.minimum(places, self.behind).T.copy()
 
     def footrules(self, places: np.ndarray) -> np.ndarray:
         """Footrule distance of all vectors to a query's pivot places."""
@@ -125,7 +133,7 @@ def search(embeddings: DataFrame, queries: Column, k: int = 20) -> DataFrame:
     spark = rows.sparkSession
     total, asked = rows.count(), rows.where(queries).count()
     norm = rows.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))).first()[0]
-    pivots = spark.sparkContext.broadcast(choose_pivots(rows))  # at most PIVOTS vectors
+    pivots = spark.sparkContext.broadcast(choose_pivots(rows, norm))  # at most PIVOTS vectors
     blocks, chunks = max(1, total // BLOCK_ROWS), max(1, asked // CHUNK_ROWS)
     dealt = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -146,7 +154,7 @@ def search(embeddings: DataFrame, queries: Column, k: int = 20) -> DataFrame:
             return schema.empty_table()
         block = BlockIndex(*matrix(left), pivots.value, norm)
         ids, vectors = matrix(right)
-        places = _places(vectors, pivots.value, None)
+        places = query_places(vectors, pivots.value)
         found = [(np.full(len(n), q), n, s) for q, v, p in zip(ids, vectors, places)
                  for n, s in [block.nearest(q, v, p, k)]]
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*found)], schema=schema)

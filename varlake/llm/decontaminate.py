@@ -153,8 +153,8 @@ class Windows:
         return max(p.shape[1] for p in self.patterns)
 
 
-def item_windows(items: list[tuple[str | None, str]], window: int = WINDOW) -> Windows | None:
-    """The windows of (id, text) items; None if no item has a word."""
+def item_windows(items: list[tuple[str | None, str]], window: int = WINDOW) -> Windows:
+    """The windows of (id, text) items."""
     blobs = [text.encode() for _, text in items]
     at = np.concatenate([[0], np.cumsum([len(b) for b in blobs])]).astype(np.int64)
     words = Words(b"".join(blobs), at)
@@ -164,8 +164,6 @@ def item_windows(items: list[tuple[str | None, str]], window: int = WINDOW) -> W
     for (item, _), a, b in zip(items, words.first, words.first[1:]):
         for i in range(a, max(a + 1, b - window + 1) if b > a else a):
             found.setdefault(tuple(number[i:min(i + window, b)]), set()).add(item)
-    if not found:
-        return None
     by_length: dict[int, list] = {}
     for key in sorted(found):
         by_length.setdefault(len(key), []).append(key)
@@ -212,6 +210,8 @@ def find_windows(number: np.ndarray, first: np.ndarray, windows: Windows
                  ) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
     """(word places, which length, which window) of all occurrences, by shard.
     ``number`` has each word's number or 0; ``first`` where each text begins."""
+    if not windows.patterns:
+        return
     begins, ends = _known_runs(number, first, windows.shortest)
     top = len(windows.hashes) + 1
     for lot in _shards(begins, ends, windows.longest - 1):
@@ -302,9 +302,7 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     for block in range(blocks):
         # A hash of the text deals items to blocks of about block_bytes.
         some = items.where(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == block)
-        windows = item_windows([(r["item"], r["text"]) for r in some.collect()], window)
-        if windows is not None or block == 0:
-            out = _pass(out, windows or item_windows([(None, "x")], window))
+        out = _pass(out, item_windows([(r["item"], r["text"]) for r in some.collect()], window))
     return out
 
 
