@@ -31,6 +31,22 @@ def _key(x: str) -> str:
     )
 
 
+def _apart(x: str, rule: str, by: str) -> str:
+    """``x``, moved by ``by`` where ``rule`` doesn't hold: such rows are read
+    and carried along like all others, but match no variant."""
+    return f"(CASE WHEN {rule} THEN {x} ELSE {x} + CAST({by} AS BIGINT) END)"
+
+
+def _part(rule: str) -> str:
+    """The variant key of a part row; it meets variants only where ``rule`` holds."""
+    return _key(_apart("p_partkey", rule, "10000000000"))
+
+
+def _gene(x: str, rule: str) -> str:
+    """A gene number that variants carry only where ``rule`` holds."""
+    return _apart(x, rule, "1000000000")
+
+
 _FIXTURES: dict[str, str] = {
     "fx_variants": """
 SELECT {KEY:l_partkey}, concat('L', CAST(l_orderkey AS STRING), '_', CAST(l_linenumber AS STRING)) AS variant_id,
@@ -51,70 +67,70 @@ SELECT {KEY:l_partkey}, concat('GENE', CAST(l_suppkey AS STRING)) AS Gene_refGen
  CASE WHEN l_orderkey % 3 = 0 THEN '-' ELSE concat('0.0000', CAST(l_orderkey % 40 AS STRING)) END AS INFO_gnomad211_exome_AF,
  CASE WHEN l_orderkey % 5 = 0 THEN '-' ELSE concat('0.0000', CAST(l_orderkey % 30 AS STRING)) END AS INFO_gnomad211_genome_AF
 FROM {lineitem}""",
-    "fx_topmed": "SELECT {KEY:p_partkey}, CAST(p_size AS DOUBLE) / 16384 AS af FROM {part} WHERE p_partkey % 3 = 0",
-    "fx_regeneron": "SELECT {KEY:p_partkey}, CAST(p_size AS DOUBLE) / 32768 AS REGENERON_ALL_AF FROM {part} WHERE p_partkey % 4 = 1",
-    "fx_allofus": "SELECT {KEY:p_partkey}, CAST(p_size AS DOUBLE) / 65536 AS gvs_all_af FROM {part} WHERE p_partkey % 5 = 2",
-    "fx_gnomad41_genome": "SELECT {KEY:p_partkey}, CAST(p_size AS DOUBLE) / 8192 AS gnomad41_genome_AF FROM {part} WHERE p_partkey % 6 = 1",
-    "fx_gnomad41_exome": "SELECT {KEY:p_partkey}, CAST(p_size AS DOUBLE) / 4096 AS gnomad41_exome_AF FROM {part} WHERE p_partkey % 6 = 4",
+    "fx_topmed": "SELECT {PART:p_partkey % 3 = 0}, CAST(p_size AS DOUBLE) / 16384 AS af FROM {part}",
+    "fx_regeneron": "SELECT {PART:p_partkey % 4 = 1}, CAST(p_size AS DOUBLE) / 32768 AS REGENERON_ALL_AF FROM {part}",
+    "fx_allofus": "SELECT {PART:p_partkey % 5 = 2}, CAST(p_size AS DOUBLE) / 65536 AS gvs_all_af FROM {part}",
+    "fx_gnomad41_genome": "SELECT {PART:p_partkey % 6 = 1}, CAST(p_size AS DOUBLE) / 8192 AS gnomad41_genome_AF FROM {part}",
+    "fx_gnomad41_exome": "SELECT {PART:p_partkey % 6 = 4}, CAST(p_size AS DOUBLE) / 4096 AS gnomad41_exome_AF FROM {part}",
     "fx_intervar": """
-SELECT {KEY:p_partkey}, CASE p_size % 3 WHEN 0 THEN 'Benign' WHEN 1 THEN 'Uncertain_significance' ELSE 'Pathogenic' END AS InterVar_automated
-FROM {part} WHERE p_partkey % 7 < 3""",
+SELECT {PART:p_partkey % 7 < 3}, CASE p_size % 3 WHEN 0 THEN 'Benign' WHEN 1 THEN 'Uncertain_significance' ELSE 'Pathogenic' END AS InterVar_automated
+FROM {part}""",
     "fx_spliceai": """
-SELECT {KEY:p_partkey}, CAST(p_size AS DOUBLE) / 64 AS SpliceAI_DS_AG, CAST(p_size % 8 AS DOUBLE) / 8 AS SpliceAI_DS_AL,
- CAST(p_size % 4 AS DOUBLE) / 4 AS SpliceAI_DS_DG, CAST(p_size % 2 AS DOUBLE) / 2 AS SpliceAI_DS_DL FROM {part} WHERE p_partkey % 2 = 1""",
+SELECT {PART:p_partkey % 2 = 1}, CAST(p_size AS DOUBLE) / 64 AS SpliceAI_DS_AG, CAST(p_size % 8 AS DOUBLE) / 8 AS SpliceAI_DS_AL,
+ CAST(p_size % 4 AS DOUBLE) / 4 AS SpliceAI_DS_DG, CAST(p_size % 2 AS DOUBLE) / 2 AS SpliceAI_DS_DL FROM {part}""",
     "fx_mmsplice": """
-SELECT {KEY:p_partkey}, CAST(p_size - 25 AS DOUBLE) / 16 AS mmsplice_delta_logit_psi, CAST(p_size AS DOUBLE) / 64 AS mmsplice_pathogenicity,
- CAST(p_size - 10 AS DOUBLE) / 32 AS mmsplice_efficiency FROM {part} WHERE p_partkey % 3 = 1""",
+SELECT {PART:p_partkey % 3 = 1}, CAST(p_size - 25 AS DOUBLE) / 16 AS mmsplice_delta_logit_psi, CAST(p_size AS DOUBLE) / 64 AS mmsplice_pathogenicity,
+ CAST(p_size - 10 AS DOUBLE) / 32 AS mmsplice_efficiency FROM {part}""",
     "fx_dbnsfp": """
-SELECT {KEY:p_partkey}, concat(CAST(p_size % 5 AS STRING), '_', CAST(CASE WHEN p_partkey % 11 = 0 THEN 0 ELSE 4 + p_size % 3 END AS STRING)) AS DamagePredCount
-FROM {part} WHERE p_partkey % 2 = 0""",
+SELECT {PART:p_partkey % 2 = 0}, concat(CAST(p_size % 5 AS STRING), '_', CAST(CASE WHEN p_partkey % 11 = 0 THEN 0 ELSE 4 + p_size % 3 END AS STRING)) AS DamagePredCount
+FROM {part}""",
     "fx_dbsnp": """
 SELECT {KEY:l_partkey}, CASE WHEN l_orderkey % 13 = 0 THEN 'novel' ELSE concat('rs', CAST(l_orderkey AS STRING)) END AS name
-FROM {lineitem} WHERE l_linenumber <= 3""",
+FROM {lineitem}""",
     "fx_clinvar": """
-SELECT {KEY:p_partkey}, concat('VCV', CAST(p_partkey AS STRING)) AS name,
+SELECT {PART:p_partkey % 5 = 0}, concat('VCV', CAST(p_partkey AS STRING)) AS name,
  split(CASE p_size % 4 WHEN 0 THEN 'Pathogenic,Affects' WHEN 1 THEN 'Benign' WHEN 2 THEN 'Likely_pathogenic' ELSE 'Uncertain_significance' END, ',') AS clin_sig
-FROM {part} WHERE p_partkey % 5 = 0""",
+FROM {part}""",
     "fx_hgmd_var": """
-SELECT {KEY:p_partkey}, concat('CM', CAST(p_partkey AS STRING)) AS id, CASE p_size % 3 WHEN 0 THEN 'DM' WHEN 1 THEN 'DM?' ELSE 'DP' END AS variant_class
-FROM {part} WHERE p_partkey % 4 = 0""",
+SELECT {PART:p_partkey % 4 = 0}, concat('CM', CAST(p_partkey AS STRING)) AS id, CASE p_size % 3 WHEN 0 THEN 'DM' WHEN 1 THEN 'DM?' ELSE 'DP' END AS variant_class
+FROM {part}""",
     "fx_genes": """
 SELECT s_suppkey AS entrez_gene_id, CASE WHEN s_suppkey % 9 = 0 THEN NULL ELSE concat('HGNC:', CAST(s_suppkey + 100 AS STRING)) END AS hgnc,
  concat('ENSG', lpad(CAST(s_suppkey AS STRING), 11, '0')) AS ensembl_gene_id FROM {supplier}""",
     "fx_hgmd_gene": """
-SELECT s_suppkey AS entrez_gene_id, concat('GENE', CAST(s_suppkey AS STRING)) AS symbol,
+SELECT {GENE:s_suppkey:s_suppkey % 5 <> 4} AS entrez_gene_id, concat('GENE', CAST({GENE:s_suppkey:s_suppkey % 5 <> 4} AS STRING)) AS symbol,
  split(CASE s_suppkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'dis1' ELSE 'dis1,dis2' END, ',') AS DM,
- split(CASE s_suppkey % 2 WHEN 0 THEN '' ELSE 'dis3' END, ',') AS dm_q FROM {supplier} WHERE s_suppkey % 5 <> 4""",
+ split(CASE s_suppkey % 2 WHEN 0 THEN '' ELSE 'dis3' END, ',') AS dm_q FROM {supplier}""",
     "fx_gencc": """
-SELECT concat('HGNC:', CAST(l_suppkey + 100 AS STRING)) AS gene_curie, concat('GENE', CAST(l_suppkey AS STRING)) AS gene_symbol,
+SELECT concat('HGNC:', CAST({GENE:l_suppkey:l_suppkey % 3 <> 2} + 100 AS STRING)) AS gene_curie, concat('GENE', CAST({GENE:l_suppkey:l_suppkey % 3 <> 2} AS STRING)) AS gene_symbol,
  concat('MONDO:', CAST(l_partkey % 17 AS STRING)) AS disease_curie, concat('disease ', CAST(l_partkey % 17 AS STRING)) AS disease_title,
  CASE l_orderkey % 3 WHEN 0 THEN 'Definitive' WHEN 1 THEN 'Strong' ELSE 'Limited' END AS classification_title,
  CASE l_orderkey % 2 WHEN 0 THEN 'Autosomal dominant' ELSE 'Autosomal recessive' END AS moi_title
-FROM {lineitem} WHERE l_linenumber = 1 AND l_suppkey % 3 <> 2""",
+FROM {lineitem}""",
     "fx_omim": """
 SELECT l_suppkey AS entrez_gene_id, 600000 + l_suppkey * 10 + l_orderkey % 3 AS omim_gene_id,
  CASE WHEN l_suppkey % 4 = 0 THEN NULL ELSE concat('phenotype ', CAST(l_partkey % 7 AS STRING)) END AS phenotype
-FROM {lineitem} WHERE l_linenumber = 2""",
+FROM {lineitem}""",
     "fx_orphanet": """
 SELECT concat('GENE', CAST(l_suppkey AS STRING)) AS gene_symbol, l_partkey % 9 AS disorder_id,
  CASE l_returnflag WHEN 'A' THEN '' WHEN 'R' THEN 'PMID1' ELSE 'PMID2' END AS gene_source_of_validation,
  CASE WHEN l_suppkey % 6 = 0 THEN NULL ELSE l_suppkey + 100 END AS HGNC_gene_id,
  split(CASE l_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'AD,AR' ELSE 'AD' END, ',') AS type_of_inheritance,
  concat('ENSG', lpad(CAST(l_suppkey AS STRING), 11, '0')) AS ensembl_gene_id
-FROM {lineitem} WHERE l_linenumber = 3""",
+FROM {lineitem}""",
     "fx_cosmic": """
-SELECT s_suppkey AS Entrez_GeneId, CAST(s_suppkey % 2 + 1 AS STRING) AS Tier, CASE s_suppkey % 3 WHEN 0 THEN 'Mis, N, F' ELSE 'T' END AS Mutation_Types
-FROM {supplier} WHERE s_suppkey % 4 = 0""",
+SELECT {GENE:s_suppkey:s_suppkey % 4 = 0} AS Entrez_GeneId, CAST(s_suppkey % 2 + 1 AS STRING) AS Tier, CASE s_suppkey % 3 WHEN 0 THEN 'Mis, N, F' ELSE 'T' END AS Mutation_Types
+FROM {supplier}""",
     "fx_list_ecpg": """
-SELECT concat('GENE', CAST(s_suppkey AS STRING)) AS symbol, CASE WHEN s_suppkey % 4 = 0 THEN '-' ELSE concat('HGNC:', CAST(s_suppkey + 100 AS STRING)) END AS hgnc_id,
- CASE WHEN s_suppkey % 8 = 0 THEN '-' ELSE CAST(s_suppkey AS STRING) END AS entrez_id FROM {supplier} WHERE s_suppkey % 2 = 0""",
+SELECT concat('GENE', CAST({GENE:s_suppkey:s_suppkey % 2 = 0} AS STRING)) AS symbol, CASE WHEN s_suppkey % 4 = 0 THEN '-' ELSE concat('HGNC:', CAST({GENE:s_suppkey:s_suppkey % 2 = 0} + 100 AS STRING)) END AS hgnc_id,
+ CASE WHEN s_suppkey % 8 = 0 THEN '-' ELSE CAST({GENE:s_suppkey:s_suppkey % 2 = 0} AS STRING) END AS entrez_id FROM {supplier}""",
     "fx_list_emgp": """
-SELECT concat('GENE', CAST(s_suppkey AS STRING)) AS symbol, concat('HGNC:', CAST(s_suppkey + 100 AS STRING)) AS hgnc_id,
- CAST(s_suppkey AS STRING) AS entrez_id FROM {supplier} WHERE s_suppkey % 3 = 0""",
+SELECT concat('GENE', CAST({GENE:s_suppkey:s_suppkey % 3 = 0} AS STRING)) AS symbol, concat('HGNC:', CAST({GENE:s_suppkey:s_suppkey % 3 = 0} + 100 AS STRING)) AS hgnc_id,
+ CAST({GENE:s_suppkey:s_suppkey % 3 = 0} AS STRING) AS entrez_id FROM {supplier}""",
     "fx_list_goi": """
-SELECT concat('GENE', CAST(s_suppkey AS STRING)) AS symbol, CASE WHEN s_suppkey % 3 = 0 THEN '-' ELSE CAST(s_suppkey AS STRING) END AS ncbi,
- CASE WHEN s_suppkey % 6 = 0 THEN '-' ELSE concat('ENSG', lpad(CAST(s_suppkey AS STRING), 11, '0')) END AS ensembl,
- s_name AS gene_desc FROM {supplier} WHERE s_suppkey % 4 < 2""",
+SELECT concat('GENE', CAST({GENE:s_suppkey:s_suppkey % 4 < 2} AS STRING)) AS symbol, CASE WHEN s_suppkey % 3 = 0 THEN '-' ELSE CAST({GENE:s_suppkey:s_suppkey % 4 < 2} AS STRING) END AS ncbi,
+ CASE WHEN s_suppkey % 6 = 0 THEN '-' ELSE concat('ENSG', lpad(CAST({GENE:s_suppkey:s_suppkey % 4 < 2} AS STRING), 11, '0')) END AS ensembl,
+ s_name AS gene_desc FROM {supplier}""",
     "fx_vcf_lines": """
 SELECT concat_ws(chr(9), concat('chr', CASE l_partkey % 25 WHEN 22 THEN 'X' WHEN 23 THEN 'Y' WHEN 24 THEN 'M' ELSE CAST(l_partkey % 25 + 1 AS STRING) END),
  CAST(1000 + l_partkey * 37 AS STRING), '.', substr('ACGT', CAST(l_partkey % 4 + 1 AS INT), 1),
@@ -157,6 +173,8 @@ VCF_HEADER = [
 ]
 
 _KEY_MACRO = re.compile(r"\{KEY:(\w+)\}")
+_PART_MACRO = re.compile(r"\{PART:([^{}]+)\}")
+_GENE_MACRO = re.compile(r"\{GENE:(\w+):([^{}]+)\}")
 
 
 def fixture_names() -> list[str]:
@@ -165,7 +183,9 @@ def fixture_names() -> list[str]:
 
 @lru_cache(maxsize=None)
 def _expanded(name: str) -> str:
-    return _KEY_MACRO.sub(lambda m: _key(m.group(1)), _FIXTURES[name]).strip()
+    sql = _KEY_MACRO.sub(lambda m: _key(m.group(1)), _FIXTURES[name])
+    sql = _PART_MACRO.sub(lambda m: _part(m.group(1)), sql)
+    return _GENE_MACRO.sub(lambda m: _gene(m.group(1), m.group(2)), sql).strip()
 
 
 def fixture_sql(name: str, engine: str = "duckdb") -> str:
