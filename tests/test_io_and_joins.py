@@ -26,7 +26,7 @@ from varlake.sources.tables import (
 )
 from varlake.sources.vcf import read_vcf, vcf_records
 
-TINY = Limits(max_broadcast_rows=0, max_variant_rows=0, hot_key_rows=2, max_hot_keys=5)
+TINY = Limits(max_broadcast_rows=0, max_variant_rows=0, hot_key_rows=2)
 
 
 def rows(df):
@@ -166,7 +166,7 @@ def test_hot_key_is_split_across_tasks(spark):
     left = spark.range(3000).select(F.when(F.col("id") < 2700, F.lit("hot"))
                                     .otherwise(F.col("id").cast("string")).alias("k"), "id")
     right = spark.createDataFrame([("hot", 1), ("5", 2)], "k string, v long")
-    limits = Limits(max_broadcast_rows=0, hot_key_rows=100, max_hot_keys=5)
+    limits = Limits(max_broadcast_rows=0, hot_key_rows=100)
     prev = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:

@@ -10,30 +10,32 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Row bounds used by the join planners in :mod:`varlake.operators.joins`.
-
-    ``max_broadcast_rows``: a lookup side is broadcast only if a bounded count
-    (``limit(n + 1).count()``) proves it has at most this many rows.
-    ``max_variant_rows``: a variant table with at most this many rows is
-    annotated with a broadcast key set (key-reduced annotation); larger tables
-    use the shuffle plan on distinct keys.
+    """Bounds used by the join planners in :mod:`varlake.operators.joins`.
+
+    ``max_broadcast_rows``, ``max_broadcast_bytes``: a lookup side is
+    broadcast only if a distributed count proves it has at most this many rows
+    and bytes.
+    ``max_variant_rows``, ``max_variant_bytes``: a variant table whose keys
+    are within both is annotated with a broadcast key set (key-reduced
+    annotation); larger tables use the shuffle plan on distinct keys.
     ``hot_key_rows``: a join key carrying more rows than this is split over
-    ``ceil(rows / hot_key_rows)`` salted sub-keys.
-    ``max_hot_keys``: at most this many hot keys are salted (they are
-    broadcast); keys beyond it still join correctly, only unsplit.
+    ``ceil(rows / hot_key_rows)`` salted sub-keys.  There are fewer such keys
+    than rows / ``hot_key_rows``, and all of them are split.
     """
 
     max_broadcast_rows: int = 2_000_000
     max_variant_rows: int = 5_000_000
+    max_broadcast_bytes: int = 256 << 20
+    max_variant_bytes: int = 512 << 20
     hot_key_rows: int = 1_000_000
-    max_hot_keys: int = 10_000
 
 
 DEFAULT_LIMITS = Limits()
@@ -71,7 +73,7 @@ def build_session(
         # stages were 4-6x slower without this).
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("VARLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if event_log_dir:
@@ -96,25 +98,23 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only when
-    the session names none (tests, the bench on one machine)."""
+    """The session's shared folder.  A session that names none gets a local
+    one if it runs in one JVM (tests, the bench); on a cluster that would be
+    a folder the executors don't share, so it is an error."""
     existing = checkpoint_dir(spark)
     if existing:
-        _set_checkpoint_dir(spark, existing)
         return existing
-    local = _LOCAL_DIRS.get(id(spark))
-    if local is None:
-        local = tempfile.mkdtemp(prefix="varlake-ckpt-", dir="/tmp")
-        _LOCAL_DIRS[id(spark)] = local
-    _set_checkpoint_dir(spark, local)
-    return local
-
-
-_LOCAL_DIRS: dict[int, str] = {}
-
-
-def _set_checkpoint_dir(spark: SparkSession, path: str) -> None:
-    try:
-        spark.sparkContext.setCheckpointDir(path)
-    except Exception:  # no SparkContext handle: the folder is still used by path
-        pass
+    if spark.conf.get("spark.master", "").split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    local = tempfile.mkdtemp(prefix="varlake-ckpt-")
+    spark.sparkContext.setCheckpointDir(local)
+    return checkpoint_dir(spark) or local
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back; its
+    lineage ends there, and a lost executor costs a re-read only."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/varlake-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

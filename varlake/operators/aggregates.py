@@ -45,17 +45,19 @@ def dbsnp_smallest(dbsnp: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     Rows whose name has no ``rs<digits>`` number never win; a key with only
     such rows gets no row.  Ties on the number keep every distinct name.
     Output: key + ``DBSNP_RSID``.
+
+    One pass over the table: names per (key, number), then the least number
+    per key.  Both steps are combined map-side, so a key that holds a third
+    of the rows is spread by its numbers first and is one row per task after.
     """
     key = list(key)
-    cand = (
+    names = (
         dbsnp.select(*key, F.col("name"), rsid_number("name").alias("__num"))
         .where(F.col("__num").isNotNull())
-        .distinct()
-    )
-    best = cand.groupBy(*key).agg(F.min("__num").alias("__num"))
-    return cand.join(best, key + ["__num"], "left_semi").select(
-        *key, F.col("name").alias("DBSNP_RSID")
+        .groupBy(*key, "__num").agg(F.collect_set("name").alias("__names"))
     )
+    best = names.groupBy(*key).agg(F.min_by("__names", "__num").alias("__names"))
+    return best.select(*key, F.explode("__names").alias("DBSNP_RSID"))
 
 
 def gencc_by_gene(gencc: DataFrame, gene_column: str = "gene_curie",

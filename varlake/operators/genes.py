@@ -8,12 +8,20 @@ Beyond the bound the same call salts hot genes.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varlake.config import DEFAULT_LIMITS, Limits
+from varlake.config import DEFAULT_LIMITS, Limits, written
 from varlake.functions.values import null_if_empty_array
-from varlake.operators.joins import left_join_any, left_join_lookup
+from varlake.operators.joins import (
+    NEVER_HOT,
+    ROWS,
+    left_join_any,
+    left_join_lookup,
+)
 
 # Name of the HGMD "possible disease mutation" column.
 HGMD_DM_Q = "DM?"
@@ -50,6 +58,35 @@ def hgmd_gene_reference(
                     "HGMD_DM", "HGMD_DM?")
 
 
+def attach_by_gene(
+    df: DataFrame,
+    genes_of: DataFrame,
+    columns: Sequence[str],
+    attach: Callable[[DataFrame, Limits], DataFrame],
+    *,
+    all_small: bool,
+    keep_repeats: bool = False,
+    limits: Limits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """Apply ``attach``, a chain of gene-level lookups that read only
+    ``columns`` and what earlier lookups add.
+
+    If all gene tables are small the chain is broadcast joins on ``df``.  If
+    not, it runs on the distinct values of ``columns`` in ``genes_of`` (the
+    frame ``df`` was made from), a row per gene whatever the number of its
+    variants, and the result is joined back once, with hot genes split by the
+    counts taken on the way.  ``df`` is in the plan once.  ``keep_repeats``
+    keeps rows that lookups repeat, as the chain on ``df`` would.
+    """
+    if all_small:
+        return attach(df, limits)
+    columns = list(columns)
+    counts = written(genes_of.groupBy(*columns).agg(F.count(F.lit(1)).alias(ROWS)))
+    genes = attach(counts.select(*columns), replace(limits, hot_key_rows=NEVER_HOT))
+    return left_join_lookup(df, written(genes if keep_repeats else genes.distinct()), columns, null_safe=True,
+                            try_broadcast=False, left_counts=counts, limits=limits)
+
+
 def attach_hgmd_gene(
     df: DataFrame,
     hgmd_genes: DataFrame,

@@ -4,7 +4,7 @@ Three shapes cover every join of the reference:
 
 * ``left_join_lookup`` - a (possibly huge, possibly skewed) left table joined
   to a lookup table on equal keys.  The lookup is broadcast only when a
-  bounded count proves it small; otherwise both sides are shuffled and keys
+  count proves it small; otherwise both sides are shuffled and keys
   that carry many left rows are salted so no task receives a hot key whole.
 * ``annotate_by_key`` - many left joins on the four-column variant key.  A
   bounded variant table is annotated against annotation tables reduced to its
@@ -20,47 +20,73 @@ Three shapes cover every join of the reference:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varlake.config import DEFAULT_LIMITS, Limits
+from varlake.config import DEFAULT_LIMITS, Limits, written
 from varlake.functions.keys import KEY
 
 SALT = "__salt"
 SALTS = "__n_salt"
 ROWS = "__rows"
+# Sub-keys for rows without a key, and the bound from which no key is hot.
+NULL_SALTS = 1 << 20
+NEVER_HOT = 1 << 62
 
 
-def row_count_at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; reads at most ``n + 1``."""
-    return df.limit(n + 1).count() <= n
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row of ``df`` takes in memory."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + 16 + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            total = total + 32 + F.coalesce(2 * F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            total = total + 8
+    return total.cast("long")
 
 
 def rows_at_most(frames: Mapping[str, DataFrame], n: int,
-                 limits_by_name: Mapping[str, int] | None = None) -> dict[str, bool]:
-    """Bounded row counts of several frames in one Spark job: for each name,
-    whether that frame has at most ``n`` rows (or its own bound from
-    ``limits_by_name``); each frame reads at most bound + 1 rows."""
+                 limits_by_name: Mapping[str, int] | None = None, *,
+                 max_bytes: int = DEFAULT_LIMITS.max_broadcast_bytes,
+                 bytes_by_name: Mapping[str, int] | None = None) -> dict[str, bool]:
+    """Counts of several frames in one Spark job: for each name, whether that
+    frame has at most ``n`` rows and ``max_bytes`` bytes (or its own bounds from
+    ``limits_by_name`` and ``bytes_by_name``).  Every task ships one sum per
+    frame; no row leaves its task."""
     if not frames:
         return {}
-    bounds = {k: (limits_by_name or {}).get(k, n) for k in frames}
     parts = [
-        df.limit(bounds[name] + 1).groupBy().count()
-        .select(F.lit(name).alias("name"), F.col("count"))
+        df.select(_row_bytes(df).alias("bytes")).groupBy()
+        .agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+        .select(F.lit(name).alias("name"), "rows", "bytes")
         for name, df in frames.items()
     ]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    return {r["name"]: r["count"] <= bounds[r["name"]] for r in union.collect()}
+    return {
+        r["name"]: r["rows"] <= (limits_by_name or {}).get(r["name"], n)
+        and r["bytes"] <= (bytes_by_name or {}).get(r["name"], max_bytes)
+        for r in union.collect()
+    }
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``broadcast(df)`` if a bounded count proves ``df`` small, else None."""
-    if row_count_at_most(df, max_rows):
+def row_count_at_most(df: DataFrame, n: int, max_bytes: int = DEFAULT_LIMITS.max_broadcast_bytes
+                      ) -> bool:
+    """Whether ``df`` has at most ``n`` rows and ``max_bytes`` bytes."""
+    return rows_at_most({"df": df}, n, max_bytes=max_bytes)["df"]
+
+
+def checked_broadcast(df: DataFrame, limits: Limits) -> DataFrame | None:
+    """``broadcast(df)`` if a count proves ``df`` small, else None."""
+    if row_count_at_most(df, limits.max_broadcast_rows, limits.max_broadcast_bytes):
         return F.broadcast(df)
     return None
 
@@ -101,9 +127,11 @@ def left_join_lookup(
     without a match are kept once with NULLs; a match with several right rows
     repeats the left row (plain left-join semantics).
 
-    ``try_broadcast=False`` skips the bounded count (for a right side known to
+    Rows of ``left`` that are equal in every column share a sub-key.
+
+    ``try_broadcast=False`` skips the count (for a right side known to
     be large, or one whose count would re-run the left's whole plan);
-    ``right_is_small`` passes the result of a bounded count made earlier
+    ``right_is_small`` passes the result of a count made earlier
     (see :func:`rows_at_most`); ``left_counts`` (left keys + ``__rows``)
     reuses a per-key count the caller already has.
     """
@@ -123,7 +151,7 @@ def left_join_lookup(
     if right_is_small is not None:
         small = F.broadcast(r) if right_is_small else None
     else:
-        small = checked_broadcast(r, limits.max_broadcast_rows) if try_broadcast else None
+        small = checked_broadcast(r, limits) if try_broadcast else None
     if small is not None:
         joined = left.join(small, _eq(left, small, rpairs, null_safe), "left")
         return joined.select(
@@ -131,55 +159,40 @@ def left_join_lookup(
             + [F.col(r_alias[c]).alias(c) for c in out_right]
         )
 
-    # Shuffle join with salting of hot keys.  Counting rows per key is a
-    # map-side combined aggregate, so the hot key itself costs nothing here.
+    # Shuffle join.  Hot keys get several sub-keys, rows without a key get one
+    # each (they match nothing), and ``left`` enters the plan once.
     lkeys = [lk for lk, _ in rpairs]
-    if left_counts is not None:
-        counts = left_counts
-    else:
-        counts = left.groupBy(*lkeys).agg(F.count(F.lit(1)).alias(ROWS))
-    hot = (
-        counts.where(F.col(ROWS) > limits.hot_key_rows)
-        .orderBy(F.col(ROWS).desc())
-        .limit(limits.max_hot_keys)
-        .select(
-            *lkeys,
-            F.ceil(F.col(ROWS) / F.lit(limits.hot_key_rows)).cast("int").alias(SALTS),
-        )
-    )
-    hot = F.broadcast(hot)  # at most ``max_hot_keys`` rows by construction
-    hot_l = hot.select([F.col(f"`{k}`").alias(f"__h_{k}") for k in lkeys] + [SALTS])
-    hot_r = hot.select(
-        [F.col(f"`{lk}`").alias(rk) for lk, rk in rpairs] + [F.col(SALTS).alias("__rs")]
-    )
-
-    lcond = None
-    for k in lkeys:
-        t = left[f"`{k}`"].eqNullSafe(hot_l[f"__h_{k}"]) if null_safe else (
-            left[f"`{k}`"] == hot_l[f"__h_{k}"]
-        )
-        lcond = t if lcond is None else lcond & t
-    salted_left = left.join(hot_l, lcond, "left").select(
-        [left[f"`{c}`"] for c in left.columns]
-        + [
-            F.pmod(_row_hash(left), F.coalesce(F.col(SALTS), F.lit(1)))
-            .cast("int")
-            .alias(SALT)
-        ]
-    )
-
-    rcond = None
-    for _, rk in rpairs:
-        t = r[rk].eqNullSafe(hot_r[rk]) if null_safe else (r[rk] == hot_r[rk])
-        rcond = t if rcond is None else rcond & t
-    salted_right = r.join(hot_r, rcond, "left").select(
-        [r[c] for c in r.columns]
-        + [
-            F.explode(
-                F.sequence(F.lit(0), F.coalesce(F.col("__rs"), F.lit(1)) - 1)
-            ).alias("__rsalt")
-        ]
-    )
+    hot = _hot_keys(left, lkeys, left_counts, limits)
+    salt = F.coalesce(F.col(SALTS), F.lit(1)) if hot is not None else F.lit(1)
+    if not null_safe:
+        no_key = F.lit(False)
+        for k in lkeys:
+            no_key = no_key | F.col(f"`{k}`").isNull()
+        salt = F.when(no_key, F.lit(NULL_SALTS)).otherwise(salt)
+    lkept = [F.col(f"`{c}`") for c in left.columns]
+    salted_left = left
+    if hot is not None:
+        hot_l = F.broadcast(hot.select(
+            [F.col(f"`{k}`").alias(f"__h_{i}") for i, k in enumerate(lkeys)] + [SALTS]))
+        salted_left = left.join(
+            hot_l, _eq(left, hot_l, [(k, f"__h_{i}") for i, k in enumerate(lkeys)], null_safe),
+            "left")
+    salted_left = salted_left.select(
+        *lkept, F.pmod(_row_hash(left), salt).cast("int").alias(SALT))
+    # Always 0, but not a constant: a constant would leave the join's hash
+    # keys, and all rows without a key would meet in one task.
+    salted_right = r.withColumn("__rsalt", F.pmod(
+        F.xxhash64(*[F.col(rk) for _, rk in rpairs]), F.lit(1)).cast("int"))
+    if hot is not None:
+        hot_r = F.broadcast(hot.select(
+            [F.col(f"`{k}`").alias(f"__g_{i}") for i, k in enumerate(lkeys)]
+            + [F.col(SALTS).alias("__rs")]))
+        salted_right = r.join(
+            hot_r, _eq(r, hot_r, [(rk, f"__g_{i}") for i, (_, rk) in enumerate(rpairs)], null_safe),
+            "left").select(
+                *[F.col(c) for c in r.columns],
+                F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__rs"), F.lit(1)) - 1))
+                .alias("__rsalt"))
     cond = _eq(salted_left, salted_right, rpairs, null_safe) & (
         salted_left[SALT] == salted_right["__rsalt"]
     )
@@ -190,6 +203,26 @@ def left_join_lookup(
     )
 
 
+def _hot_keys(left: DataFrame, keys: Sequence[str], counts: DataFrame | None,
+              limits: Limits) -> DataFrame | None:
+    """The keys of ``left`` with over ``hot_key_rows`` rows, and into how many
+    sub-keys each is split; None if there are none.  Keys are counted by a
+    map-side combined aggregate, and fewer than rows / ``hot_key_rows`` of
+    them come to the driver, so the plan holds neither ``left`` nor the count
+    again."""
+    if limits.hot_key_rows >= NEVER_HOT:
+        return None
+    if counts is None:
+        counts = left.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.count(F.lit(1)).alias(ROWS))
+    hot = (
+        counts.where(F.col(ROWS) > limits.hot_key_rows)
+        .select(*[F.col(f"`{k}`") for k in keys],
+                F.ceil(F.col(ROWS) / F.lit(limits.hot_key_rows)).cast("int").alias(SALTS))
+    )
+    found = hot.collect()
+    return left.sparkSession.createDataFrame(found, hot.schema) if found else None
+
+
 def project_annotation(
     table: DataFrame,
     columns: Sequence[str] | Mapping[str, str],
@@ -205,13 +238,23 @@ def project_annotation(
     return table.select(*keys, *values)
 
 
+@dataclass(frozen=True)
+class Derived:
+    """A key table still to be made from ``source``: ``finish`` aggregates it
+    per key, so restricting the source to some keys first changes nothing."""
+
+    source: DataFrame
+    finish: Callable[[DataFrame], DataFrame]
+
+
 def annotate_by_key(
     variants: DataFrame,
-    tables: Sequence[DataFrame],
+    tables: Sequence[DataFrame | Derived],
     *,
     key: Sequence[str] = KEY,
     strategy: str = "auto",
     variants_bounded: bool | None = None,
+    distinct_tables: bool = False,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Left-join every table in ``tables`` (key + value columns) to
@@ -222,8 +265,10 @@ def annotate_by_key(
     each annotation table to them map-side, then join the reduced tables.
     ``'keys'`` - annotate the distinct keys with one shuffle per table and join
     the annotated keys back skew-safely.
-    ``'auto'`` - ``'reduce'`` when ``variants`` has at most
-    ``limits.max_variant_rows`` rows (bounded count), else ``'keys'``.
+    ``'auto'`` - ``'reduce'`` when ``variants`` is within
+    ``limits.max_variant_rows`` and ``max_variant_bytes``, else ``'keys'``.
+
+    ``distinct_tables`` drops repeated rows of each (reduced) table first.
     """
     key = list(key)
     if not tables:
@@ -231,22 +276,27 @@ def annotate_by_key(
     if strategy == "auto":
         bounded = variants_bounded
         if bounded is None:
-            bounded = row_count_at_most(variants.select(*key), limits.max_variant_rows)
+            bounded = row_count_at_most(variants.select(*key), limits.max_variant_rows,
+                                        limits.max_variant_bytes)
         strategy = "reduce" if bounded else "keys"
 
     if strategy == "reduce":
         keys = F.broadcast(variants.select(*key).distinct())
         out = variants
         for t in tables:
-            reduced = t.join(keys, key, "left_semi")
-            out = out.join(reduced, key, "left")
+            if isinstance(t, Derived):
+                reduced = t.finish(t.source.join(keys, key, "left_semi"))
+            else:
+                reduced = t.join(keys, key, "left_semi")
+            out = out.join(_once(reduced, distinct_tables), key, "left")
         return out
+    tables = [_once(t.finish(t.source) if isinstance(t, Derived) else t, distinct_tables)
+              for t in tables]
 
     if strategy == "keys":
         # One map-side combined count per key serves both as the distinct
-        # keys to annotate and as the hot-key statistics of the join back
-        # (the same subtree twice: Spark reuses its exchange).
-        counts = variants.groupBy(*key).agg(F.count(F.lit(1)).alias(ROWS))
+        # keys to annotate and as the hot-key statistics of the join back.
+        counts = written(variants.groupBy(*key).agg(F.count(F.lit(1)).alias(ROWS)))
         annotated = counts.select(*key)
         for t in tables:
             annotated = annotated.join(t, key, "left")
@@ -264,6 +314,10 @@ def annotate_by_key(
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
+def _once(table: DataFrame, distinct: bool) -> DataFrame:
+    return table.distinct() if distinct else table
+
+
 def left_join_any(
     left: DataFrame,
     right: DataFrame,
@@ -280,7 +334,7 @@ def left_join_any(
     several alternatives appears once; a left row without any match is kept
     once with NULLs.  Never a nested-loop join:
 
-    * right proven small (bounded count): per alternative, the right rows are
+    * right proven small (count): per alternative, the right rows are
       grouped by that key into an array and broadcast; each left row takes the
       union of its arrays and explodes it - map-side, the left is not shuffled.
     * otherwise: the distinct tuples of left keys are matched by one equi-join
@@ -290,7 +344,7 @@ def left_join_any(
     lcols = list(dict.fromkeys(lk for lk, _ in alternatives))
     small = right_is_small
     if small is None:
-        small = row_count_at_most(right, limits.max_broadcast_rows)
+        small = row_count_at_most(right, limits.max_broadcast_rows, limits.max_broadcast_bytes)
     if small:
         packed = F.struct(*[F.col(f"`{c}`") for c in right.columns])
         out = left

@@ -91,7 +91,9 @@ def annotate_gene_group(
     # A membership table has at most as many rows as the two panels together:
     # bounding each raw panel by half the limit proves all three (one job).
     half = limits.max_broadcast_rows // 2
-    bounded = all(rows_at_most({"a": first_panel, "b": second_panel}, half).values())
+    bounded = all(rows_at_most(
+        {"a": first_panel, "b": second_panel}, half,
+        max_bytes=limits.max_broadcast_bytes // 2).values())
     small = {tag: bounded for tag in tables}
     df = variants
     for tag, value, _ in probes:
@@ -165,7 +167,8 @@ def attach_gene_list(
     luts = {i: gene_list_lookup(gene_list, column).withColumnRenamed("entry", f"__e{i}")
             for i, (column, _) in enumerate(probes)}
     # Each lookup has at most as many rows as the list itself.
-    bounded = rows_at_most({"list": gene_list}, limits.max_broadcast_rows)["list"]
+    bounded = rows_at_most({"list": gene_list}, limits.max_broadcast_rows,
+                           max_bytes=limits.max_broadcast_bytes)["list"]
     small = {str(i): bounded for i in luts}
     df = kept
     for i, (_, value) in enumerate(probes):

@@ -32,6 +32,7 @@ from varlake.operators.filters import (
     with_damage_ratio,
 )
 from varlake.operators.genes import (
+    attach_by_gene,
     attach_gencc,
     attach_hgmd_gene_by_symbol,
     attach_omim,
@@ -80,6 +81,7 @@ def filter_annovar(
     exonic_functions: Sequence[str] = ANNOVAR_EXONIC_FUNCTIONS,
     require_damaging: bool = False,
     strategy: str = "auto",
+    variants_bounded: bool | None = None,
     sort: bool = True,
     as_text: bool = True,
     limits: Limits = DEFAULT_LIMITS,
@@ -91,7 +93,7 @@ def filter_annovar(
     """
     v = rename_columns(with_variant_key(variants), ANNOVAR_RENAMES)
     v = keep_exonic_or_splicing(v, exonic_functions)
-    v = drop_dotted(v)
+    v = base = drop_dotted(v)
     input_cols = v.columns
 
     key_tables = [
@@ -104,27 +106,35 @@ def filter_annovar(
     omim_genes = omim_by_gene(tables.omim_gene)
     orphanet_text = orphanet_by_gene_text(tables.orphanet_gene)
     gencc_genes = gencc_by_gene(tables.gencc, gene_column="gene_symbol", out_key="GenCC_gene_symbol")
-    # Bounded counts of every gene-level lookup in one job.
+    # Counts of every gene-level lookup in one job.
     # Aggregates have at most as many rows as their sources: count the sources.
     checks = {"hgmd": tables.hgmd_gene, "omim": tables.omim_gene,
               "orphanet": tables.orphanet_gene, "gencc": tables.gencc}
-    if strategy == "auto":
+    if strategy == "auto" and variants_bounded is None:
         checks["variants"] = v.select(*KEY)
     small = rows_at_most(checks, limits.max_broadcast_rows,
-                         {"variants": limits.max_variant_rows})
+                         {"variants": limits.max_variant_rows},
+                         max_bytes=limits.max_broadcast_bytes,
+                         bytes_by_name={"variants": limits.max_variant_bytes})
+    if strategy == "auto" and variants_bounded is None:
+        variants_bounded = small.pop("variants")
     v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy,
-                        variants_bounded=small.get("variants"), limits=limits)
+                        variants_bounded=variants_bounded, limits=limits)
     v = v.withColumn("max_gnomad_topmed", max_frequency(ANNOVAR_FREQUENCIES))
     v = flag_rare(v, maf, freq="max_gnomad_topmed")
     v = flag_damaging(v, dpc_l, dpc_u, require_damaging=require_damaging)
     v = flag_known(v, known_variants)
 
-    v = attach_hgmd_gene_by_symbol(v, tables.hgmd_gene, dm_q_column=tables.hgmd_dm_q_column,
-                                   small=small["hgmd"], limits=limits)
-    v = attach_omim(v, omim_genes, small=small["omim"], limits=limits)
-    v = attach_orphanet_by_symbol(v, orphanet_text, small=small["orphanet"], limits=limits)
-    v = attach_gencc(v, gencc_genes, on_column="Gene_refGene", gene_key="GenCC_gene_symbol",
-                     small=small["gencc"], limits=limits)
+    def attach(df: DataFrame, lim: Limits) -> DataFrame:
+        df = attach_hgmd_gene_by_symbol(df, tables.hgmd_gene, dm_q_column=tables.hgmd_dm_q_column,
+                                        small=small["hgmd"], limits=lim)
+        df = attach_omim(df, omim_genes, small=small["omim"], limits=lim)
+        df = attach_orphanet_by_symbol(df, orphanet_text, small=small["orphanet"], limits=lim)
+        return attach_gencc(df, gencc_genes, on_column="Gene_refGene",
+                            gene_key="GenCC_gene_symbol", small=small["gencc"], limits=lim)
+
+    v = attach_by_gene(v, base, ["Gene_refGene"], attach, all_small=all(small.values()),
+                       keep_repeats=True, limits=limits)
 
     order = input_cols + [
         "TOPMed_af", "max_gnomad_topmed", "flag_keep", "DamagePredCount", "PredCountRatio_D2T",

@@ -7,7 +7,6 @@ Arrays are compared as comma-joined text of their sorted elements.
 
 from __future__ import annotations
 
-from varlake.operators.filters import ANNOVAR_EXONIC_FUNCTIONS, VEP_CONSEQUENCES
 from varlake.sources.fixtures import oracle_with
 
 K = "chromosome, start, reference, alternate"
@@ -21,8 +20,21 @@ def in_list(values) -> str:
     return "(" + ", ".join("'" + v + "'" for v in values) + ")"
 
 
-VEP_TERMS = in_list(VEP_CONSEQUENCES)
-ANNOVAR_TERMS = in_list(ANNOVAR_EXONIC_FUNCTIONS)
+# Fixed values, stated here again: the statements don't take them from the code they check.
+_CONSEQUENCES = [
+    "transcript_ablation", "splice_acceptor_variant", "splice_donor_variant", "stop_gained",
+    "frameshift_variant", "stop_lost", "start_lost", "transcript_amplification",
+    "inframe_insertion", "inframe_deletion", "missense_variant", "protein_altering_variant",
+    "splice_region_variant", "incomplete_terminal_codon_variant", "start_retained_variant",
+    "stop_retained_variant", "coding_sequence_variant",
+]
+_EXONIC = [
+    "frameshift_insertion", "frameshift_deletion", "frameshift_block_substitution", "stopgain",
+    "stoploss", "nonframeshift_insertion", "nonframeshift_deletion",
+    "nonframeshift_block_substitution", "nonsynonymous_SNV",
+]
+VEP_TERMS = in_list(_CONSEQUENCES)
+ANNOVAR_TERMS = in_list(_EXONIC)
 
 ANNOVAR_PRED = (
     f"((contains(Func_refGene, 'exonic') AND ExonicFunc_refGene IN {ANNOVAR_TERMS}) "

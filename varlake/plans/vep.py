@@ -1,9 +1,12 @@
 """P1 ``filter_vep`` and P2 ``filter_vep(source='dragon')``.
 
-One lazy DataFrame plan: consequence filter, every variant-key annotation in
-one ``annotate_by_key`` call, frequency and keep flags, gene-level disease
-tables, distinct, chromosome order.  No action runs except the bounded row
-counts that decide broadcasts.
+One lazy DataFrame plan: consequence filter, distinct input rows, every
+variant-key annotation in one ``annotate_by_key`` call, frequency and keep
+flags, gene-level disease tables, chromosome order.  Input rows and annotation
+rows are made distinct before they meet, so the wide result needs no
+``distinct``.  No action runs except the counts that decide broadcasts; beyond
+the broadcast bounds, per-key and per-gene counts are written to the shared
+folder.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from varlake.operators.filters import (
     with_damage_ratio,
 )
 from varlake.operators.genes import (
+    attach_by_gene,
     attach_cosmic,
     attach_gencc,
     attach_hgmd_gene,
@@ -42,6 +46,7 @@ from varlake.operators.genes import (
     hgmd_gene_reference,
 )
 from varlake.operators.joins import (
+    Derived,
     annotate_by_key,
     project_annotation,
     rows_at_most,
@@ -112,7 +117,7 @@ def _key_tables(t: VepTables, source: str, known: Sequence[str]) -> tuple[list[D
     if t.dbsnp is None:
         absent["DBSNP_RSID"] = "string"
     else:
-        tables.append(dbsnp_smallest(project_annotation(t.dbsnp, ["name"])))
+        tables.append(Derived(project_annotation(t.dbsnp, ["name"]), dbsnp_smallest))
     add(t.intervar, ["InterVar_automated"], {"InterVar_automated": "string"})
     if source == "dragon":
         add(t.gnomad41_genome, ["gnomad41_genome_AF"], {"gnomad41_genome_AF": "double"})
@@ -135,47 +140,57 @@ def filter_vep(
     consequences: Sequence[str] = VEP_CONSEQUENCES,
     split_terms: bool = False,
     require_damaging: bool = False,
+    optional_columns: Sequence[str] = (),
     strategy: str = "auto",
+    variants_bounded: bool | None = None,
     sort: bool = True,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Annotate and flag the flattened VEP (or Dragon) variant table.
 
     ``variants`` is the flattened table (``#CHROM``/``POS``/... or already
-    ``chromosome``/``start``/...).  Output columns: the input columns, the
+    ``chromosome``/``start``/...).  A missing input column is an error unless
+    ``optional_columns`` names it; it is NULL then, and a frequency that is
+    NULL counts as rare.  ``variants_bounded`` says whether the variants are
+    within ``limits`` and saves counting them.  Output columns: the input columns, the
     key annotations, ``max_gtar``, ``flag_keep``, ClinVar/HGMD columns, gene
     disease columns; distinct rows in chromosome order.
     """
     if source not in ("vep", "dragon"):
         raise ValueError("source must be 'vep' or 'dragon'")
     v = with_variant_key(variants)
-    # Input columns the pipeline reads; a VCF whose CSQ lacks one of them
-    # (no HGNC_ID / Gene / gnomAD_AF sub-field) gets it as NULL.
     missing = [c for c in VEP_INPUT_COLUMNS[source] if c not in v.columns]
+    if unknown := set(missing) - set(optional_columns):
+        raise ValueError(f"variants lack {sorted(unknown)}; name columns that may be absent "
+                         "in optional_columns")
     if missing:
         v = v.withColumns({c: F.lit(None).cast("string") for c in missing})
     input_cols = v.columns
-    v = keep_consequences(v, consequences, split_terms=split_terms)
+    v = base = keep_consequences(v, consequences, split_terms=split_terms).distinct()
 
     key_tables, absent = _key_tables(tables, source, known_variants)
     omim_genes = omim_by_gene(tables.omim_gene)
     orphanet_genes = orphanet_by_gene(tables.orphanet_gene)
     gencc_genes = gencc_by_gene(tables.gencc)
-    # Every broadcast below is proven by a bounded count; the counts of the
-    # gene tables and of the variant keys run together in one job.  A per-gene
+    # Every broadcast below is proven by a count; the counts of the gene
+    # tables and of the variant keys run together in one job.  A per-gene
     # aggregate has at most as many rows as its source, so the raw tables are
     # counted (no aggregation or shuffle in the counting job).
     checks = {"omim": tables.omim_gene, "orphanet": tables.orphanet_gene,
-              "gencc": tables.gencc, "cosmic": tables.cosmic}
+              "gencc": tables.gencc, "cosmic": tables.cosmic, "hgmd": tables.hgmd_gene}
     if tables.genes is not None:
         checks["genes"] = tables.genes
-    if strategy == "auto":
+    if strategy == "auto" and variants_bounded is None:
         checks["variants"] = v.select(*KEY)
     small = rows_at_most(checks, limits.max_broadcast_rows,
-                         {"variants": limits.max_variant_rows})
+                         {"variants": limits.max_variant_rows},
+                         max_bytes=limits.max_broadcast_bytes,
+                         bytes_by_name={"variants": limits.max_variant_bytes})
+    if strategy == "auto" and variants_bounded is None:
+        variants_bounded = small.pop("variants")
 
     v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy,
-                        variants_bounded=small.get("variants"), limits=limits)
+                        variants_bounded=variants_bounded, distinct_tables=True, limits=limits)
     if absent:
         v = v.withColumns({c: F.lit(None).cast(t) for c, t in absent.items()})
 
@@ -185,17 +200,24 @@ def filter_vep(
     v = flag_damaging(v, dpc_l, dpc_u, require_damaging=require_damaging)
     v = flag_known(v, known_variants)
 
-    hgmd_genes = hgmd_gene_reference(tables.hgmd_gene, tables.genes,
-                                     dm_q_column=tables.hgmd_dm_q_column,
-                                     small=small.get("genes"), limits=limits)
     gene_key = "hgnc" if source == "vep" else "ensembl"
     hgnc_col = "CSQ_HGNC_ID" if source == "vep" else "hgnc"
-    v = attach_hgmd_gene(v, hgmd_genes, gene_key=gene_key, limits=limits)
-    v = attach_cosmic(v, tables.cosmic, small=small["cosmic"], limits=limits)
-    v = attach_omim(v, omim_genes, small=small["omim"], limits=limits)
-    v = attach_orphanet(v, orphanet_genes, hgnc_column=hgnc_col,
-                        keep_hgnc_ids=(source == "vep"), small=small["orphanet"], limits=limits)
-    v = attach_gencc(v, gencc_genes, on_column=hgnc_col, small=small["gencc"], limits=limits)
+
+    def attach(df: DataFrame, lim: Limits) -> DataFrame:
+        hgmd_genes = hgmd_gene_reference(tables.hgmd_gene, tables.genes,
+                                         dm_q_column=tables.hgmd_dm_q_column,
+                                         small=small.get("genes"), limits=lim)
+        # As many rows as HGMD genes have references: both sides are counted.
+        df = attach_hgmd_gene(df, hgmd_genes.distinct(), gene_key=gene_key,
+                              small=small["hgmd"] and small.get("genes", True), limits=lim)
+        df = attach_cosmic(df, tables.cosmic.distinct(), small=small["cosmic"], limits=lim)
+        df = attach_omim(df, omim_genes, small=small["omim"], limits=lim)
+        df = attach_orphanet(df, orphanet_genes, hgnc_column=hgnc_col,
+                             keep_hgnc_ids=(source == "vep"), small=small["orphanet"], limits=lim)
+        return attach_gencc(df, gencc_genes, on_column=hgnc_col, small=small["gencc"], limits=lim)
+
+    genes_by = ["CSQ_HGNC_ID", "CSQ_Gene"] if source == "vep" else ["CSQ_Gene"]
+    v = attach_by_gene(v, base, genes_by, attach, all_small=all(small.values()), limits=limits)
 
     order = input_cols + [
         "REGENERON_ALL_AF", "ALLOFUS_GVS_ALL_AF", "DBSNP_RSID", "InterVar_automated",
@@ -216,5 +238,5 @@ def filter_vep(
         "GenCC_disease_title_combined", "GenCC_classification_title_combined",
         "GenCC_moi_title_combined",
     ]
-    out = v.select([F.col(f"`{c}`") for c in order]).distinct()
+    out = v.select([F.col(f"`{c}`") for c in order])
     return chromosome_order(out, tie_break_columns=input_cols) if sort else out
