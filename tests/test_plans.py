@@ -102,3 +102,57 @@ def test_vep_pipeline_all_shuffle_paths_agree(spark):
     key = lambda df: sorted(tuple(str(x) for x in r) for r in df.collect())
     ra, rb = key(a), key(b)
     assert len(ra) > 0 and ra == rb
+
+
+def test_headers_are_read_without_scanning_the_text(spark):
+    """The header frame lists the files and opens their heads; it holds no
+    scan of their text and not their content."""
+    from varlake.sources.vcf import header_lines
+
+    plan = _plan(header_lines(catalog.vcf_cohort_input(spark, SF_SMALL)))
+    assert "Format: Text" not in plan and "FileScan binaryFile" in plan
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_header_lines_of_files_and_of_rows_agree(spark, tmp_path):
+    import gzip
+
+    from varlake.sources.vcf import header_lines, read_vcf
+
+    text = "##a\r\n\r\n##INFO=<ID=X,>\n#CHROM\tPOS\nchr1\t5\n#late\n"
+    (tmp_path / "one two.vcf").write_text(text, newline="")
+    with gzip.open(tmp_path / "b.vcf.gz", "wt", newline="") as f:
+        f.write(text)
+    (tmp_path / "c.vcf").write_text("")
+    lines = read_vcf(spark, str(tmp_path))
+    heads = sorted(tuple(r) for r in header_lines(lines).collect())
+    rows = sorted(tuple(r) for r in header_lines(lines.where("line <> '#late'")).collect())
+    assert heads == rows and len(heads) == 6
+
+
+def test_records_without_samples_keep_their_transcripts(spark):
+    from varlake.plans.vcf_table import vcf_to_table, vcf_transcripts
+    from varlake.sources.vcf import vcf_lines
+
+    header = ['##INFO=<ID=CSQ,Number=.,Type=String,Description="x Format: Allele|PICK|Feature">',
+              '##FORMAT=<ID=GT,Number=1,Type=String,Description="g">',
+              "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1"]
+    body = ["chr1\t1\t.\tA\tC\t50\tPASS\tCSQ=C|1|ENST1\tGT\t0/1", "chr1\t2\t.\tA\tC\t50\tPASS\tCSQ=C|1|ENST2"]
+    lines = vcf_lines(spark.createDataFrame([(x,) for x in header + body], "line string"))
+    got = sorted((r["start"], r["Indiv"], r["gt_GT"]) for r in vcf_transcripts(lines).collect())
+    assert got[0] == (1, "S1", "0/1") and got[1][0] == 2 and got[1][2] is None
+    long = vcf_to_table(lines, qc=False, layout="long").collect()
+    assert sorted(r["POS"] for r in long) == ["1", "2"]
+
+
+def test_a_missing_input_column_is_an_error(spark):
+    import pytest
+
+    from varlake.plans.vep import filter_vep
+    from varlake.sources.fixtures import fixture
+
+    v = fixture(spark, SF_SMALL, "fx_variants").drop("CSQ_gnomAD_AF")
+    t = catalog.vep_tables(spark, SF_SMALL)
+    with pytest.raises(ValueError, match="CSQ_gnomAD_AF"):
+        filter_vep(v, t)
+    assert "CSQ_gnomAD_AF" in filter_vep(v, t, optional_columns=["CSQ_gnomAD_AF"]).columns

@@ -41,3 +41,23 @@ def test_stream_matches_batch(spark, tmp_out):
     batch = vcf_to_table(read_vcf(spark, src), spec, layout="long")
     expected = sorted((r["POS"], r["sample"], r["AdjustedGenotype"]) for r in batch.collect())
     assert streamed == expected == [("1", "S1", "0/1"), ("4", "S1", "1/1")]
+
+
+def test_stream_names_each_files_sample_and_layout(spark, tmp_out):
+    """Files with other samples and another order of sub-fields than the spec's."""
+    src = os.path.join(tmp_out, "in")
+    os.makedirs(src)
+    other = [h.replace("Allele|Consequence|PICK|SYMBOL", "SYMBOL|PICK|Allele|Consequence")
+             .replace("FORMAT\tS1", "FORMAT\tBOB") for h in HEADER]
+    alice = [h.replace("FORMAT\tS1", "FORMAT\tALICE") for h in HEADER]
+    for name, head, rec in (("a", alice, _rec(1, 5, "10,10")),
+                            ("b", other, _rec(2, 5, "10,10").replace(
+                                "CSQ=C|missense_variant|1|G2", "CSQ=G2|1|C|missense_variant"))):
+        with open(os.path.join(src, f"{name}.vcf"), "w") as fh:
+            fh.write("\n".join([*head, rec]) + "\n")
+    out = os.path.join(tmp_out, "out")
+    q = start_ingest(spark, src, out, parse_header(HEADER), checkpoint=os.path.join(tmp_out, "ckpt"))
+    q.awaitTermination(120)
+    got = sorted((r["POS"], r["sample"], r["CSQ_SYMBOL"], r["CSQ_Consequence"])
+                 for r in spark.read.parquet(out).collect())
+    assert got == [("1", "ALICE", "G1", "missense_variant"), ("2", "BOB", "G2", "missense_variant")]

@@ -107,9 +107,15 @@ def site_qc(
     min_gq: float = MIN_GQ,
     thresholds: SiteThresholds = DEFAULT_THRESHOLDS,
     csq_key: str = "CSQ",
+    sample_rule: str = "any",
 ) -> DataFrame:
     """Record quality control.
 
+    The depth/quality rule (F4) is one of a sample: with ``sample_rule='any'``
+    a record passes it if one of its samples does (a single-sample record: if
+    its sample does); with ``'none'`` it is left to :func:`sample_qc`, which
+    judges each (record, sample).
+
     ``mode='drop'`` removes records failing any rule; ``mode='flag'`` keeps
     records failing only the depth/quality (F4) or site (F5) rules and marks
     them ``Flagged = 1`` (others 0).  Records without CSQ are dropped unless
@@ -121,7 +127,15 @@ def site_qc(
     if primary_only:
         df = df.where(primary_contig("#CHROM"))
     df = df.where(passes_filter(drop_targeted))
-    good = depth_quality_ok(min_dp, min_gq) & site_ok(thresholds)
+    good = site_ok(thresholds)
+    if sample_rule == "any":
+        one = depth_quality_ok(min_dp, min_gq)
+        if "samples" in records.columns:
+            several = F.exists("samples", lambda s: depth_quality_ok(min_dp, min_gq, s))
+            one = F.when(F.size("samples") <= 1, one).otherwise(several)
+        good = one & good
+    elif sample_rule != "none":
+        raise ValueError("sample_rule must be 'any' or 'none'")
     if mode == "drop":
         return df.where(good)
     if mode == "flag":
@@ -129,6 +143,22 @@ def site_qc(
     raise ValueError("mode must be 'drop' or 'flag'")
 
 
+def sample_qc(
+    rows: DataFrame,
+    sample: Column,
+    *,
+    mode: str = "drop",
+    min_dp: float = MIN_DP,
+    min_gq: float = MIN_GQ,
+) -> DataFrame:
+    """F4 and its flag on rows of one sample each (``sample``: its column of
+    the record): fails drop the row, or set ``Flagged``."""
+    good = depth_quality_ok(min_dp, min_gq, sample)
+    if mode == "drop":
+        return rows.where(good)
+    return rows.withColumn("Flagged", F.when(good, F.col("Flagged")).otherwise(F.lit(1)))
+
+
 def drop_star_alt(df: DataFrame, alt: str = "ALT") -> DataFrame:
     """drop records whose ALT is the spanning-deletion allele ``*``."""
     return df.where(F.coalesce(F.col(alt) != F.lit("*"), F.lit(True)))

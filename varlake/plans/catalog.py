@@ -9,15 +9,15 @@ comma-joined text of their sorted elements so both sides compare as scalars.
 
 from __future__ import annotations
 
-import hashlib
-import os
+import re
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varlake.config import ensure_checkpoint_dir
+from varlake.config import Limits, ensure_checkpoint_dir
 from varlake.functions.keys import KEY, chromosome_rank
 from varlake.functions.values import damage_ratio, max_frequency, stringify_nested
 from varlake.operators.aggregates import (
@@ -53,7 +53,7 @@ from varlake.operators.known import (
 )
 from varlake.operators.ordering import chromosome_order
 from varlake.plans import oracle as O
-from varlake.plans.annovar import AnnovarTables, filter_annovar
+from varlake.plans.annovar import ANNOVAR_FREQUENCIES, AnnovarTables, filter_annovar
 from varlake.plans.vep import VepTables, filter_vep
 from varlake.functions.vcf import (
     adjusted_genotype,
@@ -63,8 +63,19 @@ from varlake.functions.vcf import (
     subfield,
 )
 from varlake.plans.vcf_table import tag_genes, vcf_qc_records, vcf_to_table, vcf_transcripts
-from varlake.sources.fixtures import VCF_HEADER, fixture
-from varlake.sources.vcf import read_vcf, vcf_records, vcf_schema, write_text
+from varlake.sources.fixtures import MIXED_FORMAT, VCF_HEADER, cohort_files, fixture
+from varlake.sources.tables import (
+    read_annotation,
+    read_gene_panel,
+    read_goi_list,
+    read_variant_tsv,
+    write_result,
+    write_vcf_body,
+)
+from varlake.sources.vcf import read_vcf, split_header, vcf_records, vcf_schema, write_text
+
+# Limits under which no lookup is broadcast and keys are hot early.
+SHUFFLED = Limits(max_broadcast_rows=0, max_variant_rows=0, hot_key_rows=1000)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -213,11 +224,6 @@ def q_max_frequency_dragon(spark, sf):
                     max_frequency(DRAGON_FREQUENCIES).alias("max_gtar"))
 
 
-# ANNOVAR frequency inputs (the genome frequency is listed
-# twice in the reference; the maximum is the same).
-ANNOVAR_FREQUENCIES = ["INFO_gnomad211_exome_AF", "INFO_gnomad211_genome_AF", "TOPMed_af"]
-
-
 @register("max_frequency_annovar", O.with_(["fx_annovar", "fx_topmed"], [], f"""
 , v0 AS (SELECT * FROM fx_annovar WHERE {O.ANNOVAR_PRED})
 SELECT v0.*, t.af AS TOPMed_af,
@@ -554,16 +560,30 @@ def q_attach_gene_list(spark, sf):
 
 
 # ------------------------------------------------------------------- VCF
+_WRITTEN: dict[tuple, str] = {}
+
+
+def _written_once(spark: SparkSession, sf: str, what: str, write: Callable[[str], None]) -> str:
+    """Path of a fixture file that ``write`` makes under the shared folder; made
+    once for a session and state of the lineitem files."""
+    files = spark.read.format("binaryFile").load(f"{sf}/lineitem.parquet").select(
+        "path", "modificationTime", "length").orderBy("path").collect()
+    key = (spark.sparkContext.applicationId, what, tuple(files))
+    if key not in _WRITTEN:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/varlake-fixtures/{what}-{uuid.uuid4().hex}"
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
 def vcf_input(spark: SparkSession, sf: str) -> DataFrame:
     """The fixture VCF read back as text (S1): its header lines, then one
     record per lineitem row, written once (header in the first part file,
-    records in parallel part files) under the session's checkpoint folder so
-    the queries exercise the text reader."""
-    header = spark.createDataFrame([(h,) for h in VCF_HEADER], "line string")
+    records in parallel part files) so the queries exercise the text reader."""
+    header = spark.createDataFrame([(h,) for h in VCF_HEADER], "line string").coalesce(1)
     body = fixture(spark, sf, "fx_vcf_lines").select("line")
-    digest = hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:12]
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/varlake-fixtures/vcf-parts-{digest}"
-    return read_vcf(spark, write_text(header.unionByName(body), path))
+    return read_vcf(spark, _written_once(
+        spark, sf, "vcf", lambda path: write_text(header.unionByName(body), path)))
 
 
 _VL = """vl AS (
@@ -699,24 +719,36 @@ def q_vcf_to_table_long(spark, sf):
     return vcf_to_table(vcf_input(spark, sf), layout="long").drop("file")
 
 
-def vcf_cohort_input(spark: SparkSession, sf: str) -> DataFrame:
-    """A cohort of three single-sample VCF files derived from ``lineitem``
-    (records split by ``l_orderkey % 3``), each with its own sample name in
-    its ``#CHROM`` line, read back as one folder."""
-    digest = hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:12]
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/varlake-fixtures/cohort-{digest}"
-    items = fixture(spark, sf, "fx_vcf_lines_cohort")
-    for k in range(3):
-        header = VCF_HEADER[:-1] + [VCF_HEADER[-1].rsplit("\t", 1)[0] + f"\tS_{k}"]
-        head = spark.createDataFrame([(h,) for h in header], "line string")
-        body = items.where(F.col("part") == k).select("line")
-        write_text(head.unionByName(body), f"{root}/part{k}", single_file=True)
-    return read_vcf(spark, [f"{root}/part{k}" for k in range(3)])
+def vcf_cohort_input(spark: SparkSession, sf: str, name: str = "fx_vcf_lines_cohort",
+                     samples: tuple[str, ...] = ("S_",)) -> DataFrame:
+    """A cohort of VCF files derived from ``lineitem`` (records dealt by
+    ``l_orderkey``), each with its own sample names in its ``#CHROM`` line, and
+    in ``fx_vcf_lines_mixed`` its own order of the annotation's sub-fields.
+    Every file is one task's output: its header, then its records."""
+    def write(path: str) -> None:
+        files = cohort_files(spark, sf)
+        rows = []
+        for k in range(files):
+            chrom = VCF_HEADER[-1].rsplit("\t", 1)[0] + "".join(f"\t{s}{k}" for s in samples)
+            for i, h in enumerate([*VCF_HEADER[:-1], chrom]):
+                if name == "fx_vcf_lines_mixed" and k % 2:
+                    h = re.sub("Format: [^\"]+", f"Format: {MIXED_FORMAT}", h)
+                rows.append((h, k, i))
+        head = spark.createDataFrame(rows, "line string, part int, __at int")
+        body = fixture(spark, sf, name).withColumn("__at", F.lit(len(VCF_HEADER)))
+        (head.unionByName(body).repartition(files, "part").sortWithinPartitions("part", "__at")
+         .select("line", "part").write.partitionBy("part").text(path))
+
+    return read_vcf(spark, _written_once(spark, sf, name, write))
+
+
+# As many files as the Spark side writes.
+_FILES_SQL = "(SELECT greatest(3, count(*) // 20000) FROM lineitem)"
 
 
 @register("vcf_cohort_table", _vcf_oracle(f"""
 SELECT * FROM (SELECT chrom AS "#CHROM", pos AS POS, '.' AS ID, ref AS REF, alt AS ALT, '50' AS QUAL,
- filt AS FILTER, {_INFO_SQL}, {_PICK_SQL}, concat('S_', CAST(o % 3 AS VARCHAR)) AS sample,
+ filt AS FILTER, {_INFO_SQL}, {_PICK_SQL}, concat('S_', CAST(o % {_FILES_SQL} AS VARCHAR)) AS sample,
  '0/1' AS FORMAT_GT, concat(CAST(q AS VARCHAR), ',', CAST(3 * ln AS VARCHAR)) AS FORMAT_AD,
  CAST(q + 3 * ln AS VARCHAR) AS FORMAT_DP, CAST(o % 99 AS VARCHAR) AS FORMAT_GQ,
  {_GT_SQL} AS AdjustedGenotype
@@ -742,6 +774,142 @@ def q_vcf_transcript_rows(spark, sf):
     return vcf_transcripts(vcf_input(spark, sf))
 
 
+_TRANSCRIPT_SQL = """SELECT chrom AS chromosome, CAST(pos AS BIGINT) AS start, '.' AS ID, ref AS reference, alt AS alternate,
+ '50' AS quality, filt AS FILTER, CAST(s % 10 AS VARCHAR) AS INFO_QD, CAST(p % 80 AS VARCHAR) AS INFO_FS,
+ CASE WHEN ln = 3 THEN NULL ELSE '60' END AS INFO_MQ,
+ 'A' AS Allele, 'missense_variant' AS Consequence, CASE WHEN ln = 5 THEN NULL ELSE '1' END AS PICK,
+ concat('GENE', CAST(s + 1 AS VARCHAR)) AS SYMBOL, concat('ENST', lpad(CAST(s + 1 AS VARCHAR), 11, '0'), '.2') AS Feature,
+ {name} AS Indiv, '0/1' AS gt_GT, concat(CAST(q AS VARCHAR), ',', CAST(3 * ln AS VARCHAR)) AS gt_AD,
+ CAST(q + 3 * ln AS VARCHAR) AS gt_DP, CAST(o % 99 AS VARCHAR) AS gt_GQ
+FROM vl"""
+
+
+@register("vcf_cohort_transcripts", _vcf_oracle(_TRANSCRIPT_SQL.format(
+    name=f"concat('S_', CAST(o % {_FILES_SQL} AS VARCHAR))")))
+def q_vcf_cohort_transcripts(spark, sf):
+    """P6 on files with different sample names."""
+    return vcf_transcripts(vcf_cohort_input(spark, sf))
+
+
+@register("vcf_mixed_headers", _vcf_oracle(_TRANSCRIPT_SQL.format(
+    name=f"concat('S_', CAST(o % {_FILES_SQL} AS VARCHAR))")))
+def q_vcf_mixed_headers(spark, sf):
+    """S2 and P6 on files whose headers give the annotation's sub-fields in
+    different orders."""
+    return vcf_transcripts(vcf_cohort_input(spark, sf, "fx_vcf_lines_mixed"))
+
+
+@register("vcf_joint_qc", _vcf_oracle(f"""
+, g AS (
+ SELECT *, 'A_' AS who, '0/1' AS gt, concat(CAST(q AS VARCHAR), ',', CAST(3 * ln AS VARCHAR)) AS ad,
+  q AS r0, 3 * ln AS r1, q + 3 * ln AS dp, o % 99 AS gq FROM vl
+ UNION ALL
+ SELECT *, 'B_', '0/1', concat('9,', CAST(p % 30 AS VARCHAR)), 9, p % 30, 9 + p % 30, s % 50 FROM vl)
+SELECT chrom AS "#CHROM", pos AS POS, ref AS REF, alt AS ALT, concat(who, CAST(o % {_FILES_SQL} AS VARCHAR)) AS sample,
+ gt AS FORMAT_GT, ad AS FORMAT_AD, CAST(dp AS VARCHAR) AS FORMAT_DP, CAST(gq AS VARCHAR) AS FORMAT_GQ,
+ CASE WHEN r1 / (r0 + r1) >= 0.8::DOUBLE THEN '1/1' WHEN r1 / (r0 + r1) >= 1 - 0.8::DOUBLE THEN '0/1' ELSE '0/0' END
+  AS AdjustedGenotype
+FROM g WHERE {_QC_SQL} AND dp >= 10 AND gq >= 20 AND s % 10 >= 2 AND p % 80 <= 60 AND alt <> '*'"""))
+def q_vcf_joint_qc(spark, sf):
+    """F4 per record and sample (long layout) on files of two samples, named
+    by each file and failing in turn."""
+    lines = vcf_cohort_input(spark, sf, "fx_vcf_lines_joint", ("A_", "B_"))
+    return vcf_to_table(lines, layout="long").select(
+        "#CHROM", "POS", "REF", "ALT", "sample", "FORMAT_GT", "FORMAT_AD", "FORMAT_DP",
+        "FORMAT_GQ", "AdjustedGenotype")
+
+
+# ------------------------------------------------------- written and read back
+def _round_trip(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/varlake-round-trip-{uuid.uuid4().hex}"
+
+
+@register("tsv_round_trip", O.with_(["fx_variants"], [], """
+SELECT chromosome, CAST(start AS VARCHAR) AS start, reference, alternate, variant_id, CSQ_Consequence,
+ nullif(CSQ_HGNC_ID, '-') AS CSQ_HGNC_ID, nullif(CSQ_gnomAD_AF, '-') AS CSQ_gnomAD_AF FROM fx_variants"""))
+def q_tsv_round_trip(spark, sf):
+    """The variant table as gzipped text and back; ``-`` is missing."""
+    path = _round_trip(spark)
+    write_result(fixture(spark, sf, "fx_variants").select(
+        *KEY, "variant_id", "CSQ_Consequence", "CSQ_HGNC_ID", "CSQ_gnomAD_AF"), path)
+    return read_variant_tsv(spark, path)
+
+
+@register("sorted_result_file", O.with_(["fx_variants"], [], """
+SELECT file_row, chromosome, start FROM (
+ SELECT row_number() OVER (ORDER BY CASE WHEN chromosome IN ('X', 'Y') THEN 23 + ascii(chromosome) - ascii('X')
+   ELSE CAST(chromosome AS INTEGER) END, start) AS file_row, chromosome, CAST(start AS VARCHAR) AS start
+ FROM fx_variants)"""))
+def q_sorted_result_file(spark, sf):
+    """K3 and O1/O2: rows of the written files, numbered in file order, are in
+    chromosome order."""
+    path = _round_trip(spark)
+    v = fixture(spark, sf, "fx_variants").select(*KEY, "variant_id")
+    write_result(chromosome_order(v), path, compression=None)
+    files = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), F.split("value", "\t").alias("f"))
+    rows = files.where(F.get("f", 0) != "chromosome")
+    # Numbered per (file, block) first; only their counts meet in one place.
+    within = F.row_number().over(Window.partitionBy("file", "block").orderBy("id"))
+    sizes = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.orderBy("file", "block").rowsBetween(
+        Window.unboundedPreceding, -1))
+    starts = sizes.select("file", "block", F.coalesce(before, F.lit(0)).alias("before"))
+    return rows.withColumn("within", within).join(F.broadcast(starts), ["file", "block"]).select(
+        (F.col("before") + F.col("within")).cast("long").alias("file_row"),
+        F.get("f", 0).alias("chromosome"), F.get("f", 1).alias("start"))
+
+
+@register("vcf_body_round_trip", _vcf_oracle(
+    f"SELECT {_POS4}, filt AS FILTER, info AS INFO FROM vl"))
+def q_vcf_body_round_trip(spark, sf):
+    """S3 and K5: records split from the header, written as a VCF body, read again."""
+    path = _round_trip(spark)
+    meta, body = split_header(vcf_input(spark, sf))
+    write_vcf_body(vcf_records(body), path)
+    return vcf_records(read_vcf(spark, path)).select("#CHROM", "POS", "REF", "ALT", "FILTER", "INFO")
+
+
+@register("annotation_scan", "SELECT p_partkey AS key, p_size AS size FROM part")
+def q_annotation_scan(spark, sf):
+    """Two columns of a Parquet table under new names."""
+    return read_annotation(spark, f"{sf}/part.parquet", {"p_partkey": "key", "p_size": "size"})
+
+
+@register("panel_files", O.with_(["fx_list_ecpg", "fx_list_goi"], [], """
+SELECT 'panel' AS list, symbol, hgnc_id AS first_id, entrez_id AS second_id, NULL AS gene_desc FROM fx_list_ecpg
+UNION ALL SELECT 'goi', symbol, ncbi, ensembl, gene_desc FROM fx_list_goi"""))
+def q_panel_files(spark, sf):
+    """Both kinds of gene list written as files and read by their readers."""
+    panel, goi = _round_trip(spark), _round_trip(spark)
+    (fixture(spark, sf, "fx_list_ecpg").write.option("sep", "\t").option("header", True).csv(panel))
+    (fixture(spark, sf, "fx_list_goi").select(F.concat_ws("\t", "symbol", "ncbi", "ensembl", "gene_desc"))
+     .write.text(goi))
+    a = read_gene_panel(spark, panel).select(
+        F.lit("panel").alias("list"), "symbol", F.col("hgnc_id").alias("first_id"),
+        F.col("entrez_id").alias("second_id"), F.lit(None).cast("string").alias("gene_desc"))
+    b = read_goi_list(spark, goi).select(
+        F.lit("goi").alias("list"), F.col("Germline_GOIs_names").alias("symbol"),
+        F.col("entrez").alias("first_id"), F.col("ensembl").alias("second_id"), "gene_desc")
+    return a.unionByName(b)
+
+
+@register("filter_vep_cohort", O.vep_pipeline("vep"))
+def q_filter_vep_cohort(spark, sf):
+    """P1 as for a cohort: annotation by distinct keys, gene tables beyond the
+    broadcast bound, hot keys split."""
+    return arrays_as_text(filter_vep(
+        fixture(spark, sf, "fx_variants"), vep_tables(spark, sf), strategy="keys", limits=SHUFFLED))
+
+
+@register("filter_annovar_cohort", O.annovar_pipeline())
+def q_filter_annovar_cohort(spark, sf):
+    """P3 as for a cohort."""
+    return filter_annovar(fixture(spark, sf, "fx_annovar"), annovar_tables(spark, sf),
+                          strategy="keys", limits=SHUFFLED)
+
+
 def queries() -> dict[str, Query]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -30,16 +30,16 @@ from varlake.functions.vcf import (
     transcripts,
     unescape,
 )
-from varlake.operators.joins import left_join_lookup
 from varlake.operators.vcf_qc import (
     DEFAULT_THRESHOLDS,
     SiteThresholds,
     drop_star_alt,
     ensembl_transcripts,
+    sample_qc,
     site_qc,
     variant_calls_only,
 )
-from varlake.sources.vcf import VcfSpec, sample_names, vcf_records, vcf_schema
+from varlake.sources.vcf import VcfSpec, records_of, vcf_schema, with_sample_names
 
 FIRST_SEVEN = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER"]
 
@@ -62,10 +62,11 @@ def vcf_qc_records(
     primary_only: bool = True,
     drop_targeted: bool = True,
     thresholds: SiteThresholds = DEFAULT_THRESHOLDS,
+    sample_rule: str = "any",
 ) -> DataFrame:
     """F1-F6 + X7: QC-passed (or flagged) records with the gene tag in INFO."""
     spec = spec or vcf_schema(lines)
-    recs = site_qc(vcf_records(lines), mode=mode, require_csq=require_csq,
+    recs = site_qc(records_of(lines, spec), mode=mode, sample_rule=sample_rule, require_csq=require_csq,
                    primary_only=primary_only, drop_targeted=drop_targeted,
                    thresholds=thresholds, csq_key=spec.csq_key or "CSQ")
     return tag_genes(recs, spec)
@@ -80,7 +81,7 @@ def flatten_records(
     fallback_first: bool = True,
     drop_star: bool = True,
     variants_only: bool = True,
-    lines: DataFrame | None = None,
+    sample_mode: str | None = None,
     carry: list[str] | tuple[str, ...] = (),
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
@@ -92,6 +93,8 @@ def flatten_records(
     sub-fields NULL.  Samples (wide): ``<sample>_FORMAT_<key>`` per header
     FORMAT id and ``<sample>_AdjustedGenotype``.  A single-sample table keeps
     only rows whose adjusted genotype is a variant call (``variants_only``).
+    Samples (long): a row each, named by its own file's header; ``sample_mode``
+    (``drop`` or ``flag``) judges depth and quality per row (F4).
     """
     df = drop_star_alt(records) if drop_star else records
     pick_i = spec.pick_index
@@ -125,22 +128,12 @@ def flatten_records(
         return out
 
     if layout == "long":
-        n_extra = 1 if spec.extra_last else 0
-        # Per-file sample names need a second (filtered) scan of the text;
-        # skip it when all files share one header line.
-        per_file = lines is not None and not spec.uniform_samples
-        names = sample_names(lines) if per_file else None
-        if names is None:
-            names_col = F.array(*[F.lit(s) for s in spec.samples])
-            base = df.withColumn("__names", names_col)
-        else:
-            # One row per file: proven small by the bounded count in the join.
-            base = left_join_lookup(df, names.withColumnRenamed("sample_names", "__names"),
-                                    ["file"], limits=limits)
-        n = F.size("samples") - F.lit(n_extra)
-        base = base.withColumns({"__s": F.slice("samples", 1, F.greatest(n, F.lit(0))),
-                                 "__n": n})
-        exploded = base.select("*", F.posexplode("__s").alias("__i", "__sample"))
+        base = with_sample_names(df, spec, limits)
+        base = base.withColumn("__s", F.slice("samples", 1, F.size("__names"))).withColumn(
+            "__n", F.size("__s"))
+        exploded = base.select("*", F.posexplode_outer("__s").alias("__i", "__sample"))
+        if sample_mode:
+            exploded = sample_qc(exploded, F.col("__sample"), mode=sample_mode)
         sample = F.col("__sample")
         per = [F.get(F.col("__names"), F.col("__i")).alias("sample")]
         per += [format_value("FORMAT", sample, k).alias(f"FORMAT_{k}") for k in spec.format_ids]
@@ -171,14 +164,19 @@ def vcf_to_table(
     """VCF lines -> QC -> gene tag -> flattened table (``Flagged`` kept
     as the last column in ``mode='flag'``)."""
     spec = spec or vcf_schema(lines)
-    recs = vcf_qc_records(lines, spec, mode=mode) if qc else vcf_records(lines)
+    long = layout == "long"
+    if qc:
+        recs = vcf_qc_records(lines, spec, mode=mode, sample_rule="none" if long else "any")
+    else:
+        recs = records_of(lines, spec, limits)
     carry = ["Flagged"] if qc and mode == "flag" else []
     return flatten_records(recs, spec, layout=layout, canonical_fallback=canonical_fallback,
-                           fallback_first=fallback_first, lines=lines, carry=carry,
-                           limits=limits)
+                           fallback_first=fallback_first, carry=carry,
+                           sample_mode=mode if qc and long else None, limits=limits)
 
 
-def vcf_transcripts(lines: DataFrame, spec: VcfSpec | None = None) -> DataFrame:
+def vcf_transcripts(lines: DataFrame, spec: VcfSpec | None = None,
+                    limits: Limits = DEFAULT_LIMITS) -> DataFrame:
     """P6 (S9, X3, F9, X9, X10, X12, J22): one row per Ensembl transcript of a
     record and per sample.
 
@@ -186,12 +184,11 @@ def vcf_transcripts(lines: DataFrame, spec: VcfSpec | None = None) -> DataFrame:
     ``INFO_<id>``, one column per CSQ/ANN sub-field (ANN transcript ids
     without version), ``Indiv`` and ``gt_<key>`` per FORMAT key; ``\\x3b`` and
     ``\\x3d`` escapes decoded in every text column.  Transcripts and samples
-    are paired within their own record.
+    are paired within their own record; each file names its own samples, and
+    a record without samples keeps its transcripts with NULL genotypes.
     """
     spec = spec or vcf_schema(lines)
-    recs = vcf_records(lines)
-    names = F.array(*[F.lit(s) for s in spec.samples]) if spec.samples else F.array().cast(
-        T.ArrayType(T.StringType()))
+    recs = with_sample_names(records_of(lines, spec, limits), spec, limits)
     csq = info_value("INFO", spec.csq_key or "CSQ", missing_dot=False)
     base = recs.select(
         F.col("#CHROM").alias("chromosome"), F.col("POS").try_cast("bigint").alias("start"),
@@ -199,6 +196,7 @@ def vcf_transcripts(lines: DataFrame, spec: VcfSpec | None = None) -> DataFrame:
         F.col("QUAL").alias("quality"), F.col("FILTER"),
         *[info_value("INFO", k).alias(f"INFO_{k}") for k in spec.info_ids],
         F.explode(transcripts(csq)).alias("__t"), F.col("FORMAT"), F.col("samples"),
+        F.col("__names"),
     )
     feature = "Feature_ID" if spec.csq_key == "ANN" else "Feature"
     tcols = [subfield(F.col("__t"), i).alias(n) for i, n in enumerate(spec.csq_fields)]
@@ -207,12 +205,11 @@ def vcf_transcripts(lines: DataFrame, spec: VcfSpec | None = None) -> DataFrame:
         t = ensembl_transcripts(t, feature)
         if spec.csq_key == "ANN":
             t = t.withColumn(feature, transcript_id(feature))
-    n = len(spec.samples)
-    g = t.select("*", F.posexplode(F.slice("samples", 1, max(n, 0))).alias("__i", "__s")) if n else \
-        t.withColumn("__i", F.lit(None).cast("int")).withColumn("__s", F.lit(None).cast("string"))
+    own = F.slice("samples", 1, F.size("__names"))
+    g = t.select("*", F.posexplode_outer(own).alias("__i", "__s"))
     out = g.select(
-        *[c for c in t.columns if c not in ("FORMAT", "samples")],
-        F.get(names, F.col("__i")).alias("Indiv"),
+        *[c for c in t.columns if c not in ("FORMAT", "samples", "__names")],
+        F.get("__names", F.col("__i")).alias("Indiv"),
         *[format_value("FORMAT", F.col("__s"), k).alias(f"gt_{k}") for k in spec.format_ids],
     )
     return out.select([

@@ -47,6 +47,26 @@ def _gene(x: str, rule: str) -> str:
     return _apart(x, rule, "1000000000")
 
 
+_CSQ = """';CSQ=A|synonymous_variant||GENE', CAST(l_suppkey AS STRING), '|NM_', CAST(l_suppkey AS STRING),
+  ',A|missense_variant|', CASE WHEN l_linenumber = 5 THEN '' ELSE '1' END, '|GENE', CAST(l_suppkey + 1 AS STRING),
+  '|ENST', lpad(CAST(l_suppkey + 1 AS STRING), 11, '0'), '.2')"""
+_CSQ_MIXED = """';CSQ=A|GENE', CAST(l_suppkey AS STRING), '|NM_', CAST(l_suppkey AS STRING), '|synonymous_variant|',
+  ',A|GENE', CAST(l_suppkey + 1 AS STRING), '|ENST', lpad(CAST(l_suppkey + 1 AS STRING), 11, '0'), '.2|missense_variant|',
+  CASE WHEN l_linenumber = 5 THEN '' ELSE '1' END)"""
+
+# One VCF record of a lineitem row; chr(9) is the tab.
+_VCF_LINE = """concat_ws(chr(9), concat('chr', CASE l_partkey % 25 WHEN 22 THEN 'X' WHEN 23 THEN 'Y' WHEN 24 THEN 'M' ELSE CAST(l_partkey % 25 + 1 AS STRING) END),
+ CAST(1000 + l_partkey * 37 AS STRING), '.', substr('ACGT', CAST(l_partkey % 4 + 1 AS INT), 1),
+ CASE WHEN l_linenumber = 7 THEN '*' ELSE substr('CGTA', CAST(l_partkey % 4 + 1 AS INT), 1) END, '50',
+ CASE WHEN l_returnflag = 'R' THEN 'LowQual' ELSE 'PASS' END,
+ concat('QD=', CAST(l_suppkey % 10 AS STRING), ';FS=', CAST(l_partkey % 80 AS STRING), CASE WHEN l_linenumber = 3 THEN '' ELSE ';MQ=60' END,
+  CASE WHEN l_linenumber = 4 THEN ';TARGETED' ELSE '' END, ';CSQ=A|synonymous_variant||GENE', CAST(l_suppkey AS STRING), '|NM_', CAST(l_suppkey AS STRING),
+  ',A|missense_variant|', CASE WHEN l_linenumber = 5 THEN '' ELSE '1' END, '|GENE', CAST(l_suppkey + 1 AS STRING),
+  '|ENST', lpad(CAST(l_suppkey + 1 AS STRING), 11, '0'), '.2'),
+ 'GT:AD:DP:GQ',
+ concat('0/1:', CAST(CAST(l_quantity AS INT) AS STRING), ',', CAST(l_linenumber * 3 AS STRING), ':', CAST(CAST(l_quantity AS INT) + l_linenumber * 3 AS STRING), ':', CAST(l_orderkey % 99 AS STRING)))"""
+_VCF_LINE_MIXED = _VCF_LINE.replace(_CSQ, _CSQ_MIXED)
+
 _FIXTURES: dict[str, str] = {
     "fx_variants": """
 SELECT {KEY:l_partkey}, concat('L', CAST(l_orderkey AS STRING), '_', CAST(l_linenumber AS STRING)) AS variant_id,
@@ -131,33 +151,18 @@ SELECT concat('GENE', CAST({GENE:s_suppkey:s_suppkey % 3 = 0} AS STRING)) AS sym
 SELECT concat('GENE', CAST({GENE:s_suppkey:s_suppkey % 4 < 2} AS STRING)) AS symbol, CASE WHEN s_suppkey % 3 = 0 THEN '-' ELSE CAST({GENE:s_suppkey:s_suppkey % 4 < 2} AS STRING) END AS ncbi,
  CASE WHEN s_suppkey % 6 = 0 THEN '-' ELSE concat('ENSG', lpad(CAST({GENE:s_suppkey:s_suppkey % 4 < 2} AS STRING), 11, '0')) END AS ensembl,
  s_name AS gene_desc FROM {supplier}""",
-    "fx_vcf_lines": """
-SELECT concat_ws(chr(9), concat('chr', CASE l_partkey % 25 WHEN 22 THEN 'X' WHEN 23 THEN 'Y' WHEN 24 THEN 'M' ELSE CAST(l_partkey % 25 + 1 AS STRING) END),
- CAST(1000 + l_partkey * 37 AS STRING), '.', substr('ACGT', CAST(l_partkey % 4 + 1 AS INT), 1),
- CASE WHEN l_linenumber = 7 THEN '*' ELSE substr('CGTA', CAST(l_partkey % 4 + 1 AS INT), 1) END, '50',
- CASE WHEN l_returnflag = 'R' THEN 'LowQual' ELSE 'PASS' END,
- concat('QD=', CAST(l_suppkey % 10 AS STRING), ';FS=', CAST(l_partkey % 80 AS STRING), CASE WHEN l_linenumber = 3 THEN '' ELSE ';MQ=60' END,
-  CASE WHEN l_linenumber = 4 THEN ';TARGETED' ELSE '' END, ';CSQ=A|synonymous_variant||GENE', CAST(l_suppkey AS STRING), '|NM_', CAST(l_suppkey AS STRING),
-  ',A|missense_variant|', CASE WHEN l_linenumber = 5 THEN '' ELSE '1' END, '|GENE', CAST(l_suppkey + 1 AS STRING),
-  '|ENST', lpad(CAST(l_suppkey + 1 AS STRING), 11, '0'), '.2'),
- 'GT:AD:DP:GQ',
- concat('0/1:', CAST(CAST(l_quantity AS INT) AS STRING), ',', CAST(l_linenumber * 3 AS STRING), ':', CAST(CAST(l_quantity AS INT) + l_linenumber * 3 AS STRING), ':', CAST(l_orderkey % 99 AS STRING))) AS line
-FROM {lineitem}""",
-        "fx_vcf_lines_cohort": """
-SELECT concat_ws(chr(9), concat('chr', CASE l_partkey % 25 WHEN 22 THEN 'X' WHEN 23 THEN 'Y' WHEN 24 THEN 'M' ELSE CAST(l_partkey % 25 + 1 AS STRING) END),
- CAST(1000 + l_partkey * 37 AS STRING), '.', substr('ACGT', CAST(l_partkey % 4 + 1 AS INT), 1),
- CASE WHEN l_linenumber = 7 THEN '*' ELSE substr('CGTA', CAST(l_partkey % 4 + 1 AS INT), 1) END, '50',
- CASE WHEN l_returnflag = 'R' THEN 'LowQual' ELSE 'PASS' END,
- concat('QD=', CAST(l_suppkey % 10 AS STRING), ';FS=', CAST(l_partkey % 80 AS STRING), CASE WHEN l_linenumber = 3 THEN '' ELSE ';MQ=60' END,
-  CASE WHEN l_linenumber = 4 THEN ';TARGETED' ELSE '' END, ';CSQ=A|synonymous_variant||GENE', CAST(l_suppkey AS STRING), '|NM_', CAST(l_suppkey AS STRING),
-  ',A|missense_variant|', CASE WHEN l_linenumber = 5 THEN '' ELSE '1' END, '|GENE', CAST(l_suppkey + 1 AS STRING),
-  '|ENST', lpad(CAST(l_suppkey + 1 AS STRING), 11, '0'), '.2'),
- 'GT:AD:DP:GQ',
- concat('0/1:', CAST(CAST(l_quantity AS INT) AS STRING), ',', CAST(l_linenumber * 3 AS STRING), ':', CAST(CAST(l_quantity AS INT) + l_linenumber * 3 AS STRING), ':', CAST(l_orderkey % 99 AS STRING))) AS line,
- CAST(l_orderkey % 3 AS INT) AS part
-FROM {lineitem}""",
+    "fx_vcf_lines": "SELECT " + _VCF_LINE + " AS line FROM {lineitem}",
+    # Records of cohort file ``part``; files grow in number with the table.
+    "fx_vcf_lines_cohort": "SELECT " + _VCF_LINE + " AS line, CAST(l_orderkey % {FILES} AS INT) AS part FROM {lineitem}",
+    # The same with a second sample, which fails where the first passes and
+    # the other way round.
+    "fx_vcf_lines_joint": "SELECT concat_ws(chr(9), " + _VCF_LINE + ", concat('0/1:9,', CAST(l_partkey % 30 AS STRING), "
+        "':', CAST(9 + l_partkey % 30 AS STRING), ':', CAST(l_suppkey % 50 AS STRING))) AS line, "
+        "CAST(l_orderkey % {FILES} AS INT) AS part FROM {lineitem}",
+    # Odd files give the annotation's sub-fields in another order.
+    "fx_vcf_lines_mixed": "SELECT CASE WHEN l_orderkey % {FILES} % 2 = 0 THEN " + _VCF_LINE + " ELSE " + _VCF_LINE_MIXED
+        + " END AS line, CAST(l_orderkey % {FILES} AS INT) AS part FROM {lineitem}",
 }
-
 # The VCF header that goes with ``fx_vcf_lines``.
 VCF_HEADER = [
     "##fileformat=VCFv4.2",
@@ -172,6 +177,9 @@ VCF_HEADER = [
     "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1",
 ]
 
+# The header of the odd files of ``fx_vcf_lines_mixed``.
+MIXED_FORMAT = "Allele|SYMBOL|Feature|Consequence|PICK"
+
 _KEY_MACRO = re.compile(r"\{KEY:(\w+)\}")
 _PART_MACRO = re.compile(r"\{PART:([^{}]+)\}")
 _GENE_MACRO = re.compile(r"\{GENE:(\w+):([^{}]+)\}")
@@ -198,6 +206,11 @@ def fixture_sql(name: str, engine: str = "duckdb") -> str:
     return sql
 
 
+def cohort_files(spark: SparkSession, sf_dir: str) -> int:
+    """How many files the cohort fixtures have; one for 20,000 records, three at least."""
+    return max(3, base_table(spark, sf_dir, "lineitem").count() // 20_000)
+
+
 _SCHEMAS: dict[str, object] = {}
 
 
@@ -216,6 +229,8 @@ def base_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Spark DataFrame of a derived table (lazy; scans only its base table)."""
     sql = fixture_sql(name, engine="spark")
+    if "{FILES}" in sql:
+        sql = sql.replace("{FILES}", str(cohort_files(spark, sf_dir)))
     used = {t: base_table(spark, sf_dir, t) for t in BASE_TABLES if "{" + t + "}" in sql}
     return spark.sql(sql, **used)
 

@@ -5,25 +5,27 @@
 a ``.vcf.gz`` file is one task (gzip cannot be split), so a caller with a few
 huge compressed files can ``repartition`` the records right after the scan.
 
-The header is metadata: ``vcf_schema`` reads the distinct ``##INFO`` /
-``##FORMAT`` / ``#CHROM`` lines of all files (de-duplicated by Spark, so a
-cohort of many files with one header shape ships one copy) and parses that
-small, bounded set on the driver.  Record parsing never leaves Spark.
-Finding the header lines is one filtered scan of the text; where headers are
-kept as separate files (as the reference's workflow splits them), pass those
-to ``vcf_schema`` instead.
+The header is metadata, read from the head of each file only
+(:func:`header_lines`): tasks open the files of a listing and stop at the
+first record.  The distinct ``##INFO`` / ``##FORMAT`` definitions, which say
+what columns a table has, come to the driver; what differs by file (sample
+names, the order of the annotation's sub-fields) stays a table joined on
+``file``.
 """
 
 from __future__ import annotations
 
-import os
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varlake.config import DEFAULT_LIMITS, Limits
 from varlake.functions.vcf import clean_annotation_name
+from varlake.operators.joins import left_join_lookup
 
 # The eight fixed VCF columns and FORMAT, in file order.
 FIXED_FIELDS = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"]
@@ -32,21 +34,33 @@ EXTRA_LAST_PATTERN = re.compile(r"inheritance|parent", re.IGNORECASE)
 # Annotation INFO keys holding per-transcript records.
 TRANSCRIPT_KEYS = ("CSQ", "ANN")
 
-MAX_HEADER_LINES = 100_000
-
 
 @dataclass
 class VcfSpec:
-    """What the header says about the records."""
+    """What the headers say about the records."""
 
     info_ids: list[str] = field(default_factory=list)
     format_ids: list[str] = field(default_factory=list)
     csq_key: str | None = None
     csq_fields: list[str] = field(default_factory=list)
-    samples: list[str] = field(default_factory=list)
+    sample_list: list[str] = field(default_factory=list)
     extra_last: str | None = None
     # True when every file has the same ``#CHROM`` line (same samples).
     uniform_samples: bool = True
+    # Every distinct order of the annotation's sub-fields, by header line;
+    # records are brought to the order of ``csq_fields``.
+    csq_layouts: dict[str, list[str]] = field(default_factory=dict)
+    # ``(file, line)`` of all headers, for what differs by file.
+    heads: DataFrame | None = None
+
+    @property
+    def samples(self) -> list[str]:
+        """Sample names; of files that differ, those of all files (collected
+        on request, no plan needs them)."""
+        if self.uniform_samples or self.heads is None:
+            return self.sample_list
+        names = sample_names(self.heads).select(F.explode("sample_names").alias("s"))
+        return sorted(r["s"] for r in names.distinct().collect())
 
     def csq_index(self, name: str, case_insensitive: bool = False) -> int | None:
         for i, f in enumerate(self.csq_fields):
@@ -71,28 +85,77 @@ def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     df = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")
     )
-    return df.where(F.length("line") > 0)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` exists (Hadoop file system of the session; a plain
-    local check where the session exposes no JVM, e.g. Spark Connect)."""
+    df = df.where(F.length("line") > 0)
+    df.vcf_paths = [paths] if isinstance(paths, str) else list(paths)
+    return df
+
+
+def header_lines(lines: DataFrame) -> DataFrame:
+    """``file, line`` of the header lines.  For files (:func:`read_vcf`) a
+    listing is read, not the text, and each file is opened up to its first
+    record; lines of another origin, and stores that only Spark reads, are
+    filtered."""
+    paths = getattr(lines, "vcf_paths", None)
+    if not paths or not _opens(paths[0]):
+        return lines.where(F.col("line").startswith("#")).select("file", "line")
+    # The content column of this source isn't selected, so it isn't read.
+    listing = lines.sparkSession.read.format("binaryFile").load(paths).select(
+        F.col("_metadata.file_path").alias("file"))
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                found = list(_head(name))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(found), pa.string()), pa.array(found, pa.string())],
+                    names=["file", "line"])
+
+    return listing.mapInArrow(heads, "file string, line string")
+
+
+def _opens(path: str) -> bool:
+    """Whether tasks can open files of this store by themselves."""
+    from pyarrow import fs
+
+    scheme = path.split(":", 1)[0] if re.match(r"\w+:/", path) else "file"
+    if scheme == "file":
+        return True
     try:
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        return bool(jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path))
-    except Exception:
-        local = path[len("file:"):] if path.startswith("file:") else path
-        return "://" not in local and os.path.exists(local)
-
-
-def write_text(lines: DataFrame, path: str, reuse: bool = True, single_file: bool = False) -> str:
-    """Write a ``line`` column as text under ``path`` (one part file per
-    partition, or one file when ``single_file``: a sample file whose own
-    ``#CHROM`` line must sit with its records); an existing complete copy is
-    reused."""
-    if not (reuse and _exists(lines.sparkSession, path + "/_SUCCESS")):
-        out = lines.select("line")
-        (out.coalesce(1) if single_file else out).write.mode("overwrite").text(path)
+        fs.FileSystem.from_uri(path.split("*", 1)[0])
+        return True
+    except (pa.ArrowException, OSError):
+        return False
+
+
+def _head(path: str) -> Iterator[str]:
+    """Header lines of one (gzipped or plain) file."""
+    import gzip
+    import io
+
+    from pyarrow import fs
+
+    uri = re.sub(r"^file:/+", "/", path)
+    if uri.startswith("/"):  # the listing percent-encodes odd characters
+        from urllib.parse import unquote
+
+        store, place = fs.LocalFileSystem(), unquote(uri) if uri != path else uri
+    else:
+        store, place = fs.FileSystem.from_uri(uri)
+    with store.open_input_stream(place, compression=None, buffer_size=1 << 16) as raw:
+        plain = gzip.open(raw) if place.endswith(".gz") else raw
+        for line in io.TextIOWrapper(plain, "utf-8", newline=None):
+            line = line.rstrip("\r\n")
+            if line and not line.startswith("#"):
+                return
+            if line:
+                yield line
+
+
+def write_text(lines: DataFrame, path: str, files: int | None = None) -> str:
+    """Write a ``line`` column as text under ``path``: a part file per
+    partition, or ``files`` of them."""
+    out = lines.select("line")
+    (out if files is None else out.coalesce(files)).write.text(path)
     return path
 
 
@@ -125,12 +188,13 @@ def parse_header(header_lines: list[str]) -> VcfSpec:
             key = m.group(1)
             if key in TRANSCRIPT_KEYS:
                 d = _DESC_FORMAT_RE.search(line)
-                if d and spec.csq_key is None:
+                if d and spec.csq_key in (None, key):
                     spec.csq_key = key
                     names = d.group(1).strip().split("|")
                     if key == "ANN":
                         names = [clean_annotation_name(n) for n in names]
-                    spec.csq_fields = names
+                    spec.csq_layouts[line] = names
+                    spec.csq_fields += [n for n in names if n not in spec.csq_fields]
             elif key not in spec.info_ids:
                 spec.info_ids.append(key)
             continue
@@ -144,37 +208,29 @@ def parse_header(header_lines: list[str]) -> VcfSpec:
             extra = cols[-1] if len(cols) > 9 and EXTRA_LAST_PATTERN.search(cols[-1]) else None
             samples = cols[9:-1] if extra else cols[9:]
             spec.extra_last = extra
-            for s in samples:
-                if s not in spec.samples:
-                    spec.samples.append(s)
+            spec.sample_list += [s for s in samples if s not in spec.sample_list]
     return spec
 
 
-def vcf_schema(lines: DataFrame, max_lines: int = MAX_HEADER_LINES) -> VcfSpec:
+def vcf_schema(lines: DataFrame) -> VcfSpec:
     """The header spec of all files in ``lines``.
 
-    Distinct header lines are gathered in first-seen order (bounded: more
-    than ``max_lines`` distinct definitions raises instead of truncating).
+    The distinct ``##INFO`` and ``##FORMAT`` definitions are gathered in the
+    order of first appearance (by file name, then line); one ``#CHROM`` line
+    comes along, and whether there are others.
     """
-    # Filter first (in the scan tasks), then number the few header lines: the
-    # ids still follow file order, and no id is computed for record lines.
-    header = lines.where(
-        F.col("line").startswith("##INFO=")
-        | F.col("line").startswith("##FORMAT=")
-        | F.col("line").startswith("#CHROM")
-    )
+    heads = header_lines(lines)
+    numbered = heads.withColumn("__at", F.monotonically_increasing_id())
     defs = (
-        header.withColumn("__pos", F.monotonically_increasing_id())
-        .groupBy("line")
-        .agg(F.min("__pos").alias("__pos"))
-        .orderBy("__pos")
-        .limit(max_lines + 1)
-        .collect()
+        numbered.where(F.col("line").startswith("##INFO=") | F.col("line").startswith("##FORMAT="))
+        .groupBy("line").agg(F.min(F.struct("file", "__at")).alias("__at"))
+        .orderBy("__at").collect()
     )
-    if len(defs) > max_lines:
-        raise ValueError(f"more than {max_lines} distinct header definitions")
-    spec = parse_header([r["line"] for r in defs])
-    spec.uniform_samples = sum(1 for r in defs if r["line"].startswith("#CHROM")) <= 1
+    chrom = heads.where(F.col("line").startswith("#CHROM")).agg(
+        F.min("line").alias("least"), F.max("line").alias("most")).first()
+    spec = parse_header([r["line"] for r in defs] + ([chrom["least"]] if chrom["least"] else []))
+    spec.uniform_samples = chrom["least"] == chrom["most"]
+    spec.heads = heads
     return spec
 
 
@@ -206,12 +262,66 @@ def vcf_records(lines: DataFrame) -> DataFrame:
                        samples.alias("samples"))
 
 
-def sample_names(lines: DataFrame) -> DataFrame:
-    """Per file: ``file, sample_names`` (array) from its ``#CHROM`` line."""
-    chrom = lines.where(F.col("line").startswith("#CHROM"))
+def sample_names(heads: DataFrame) -> DataFrame:
+    """Per file: ``file, sample_names`` (array) from its ``#CHROM`` line,
+    without a trailing non-sample column."""
+    chrom = heads.where(F.col("line").startswith("#CHROM"))
     f = F.split(F.col("line"), "\t", -1)
-    return chrom.select(
-        "file",
-        F.slice(f, len(FIXED_FIELDS) + 1, F.greatest(F.size(f) - len(FIXED_FIELDS), F.lit(0)))
-        .alias("sample_names"),
-    )
+    n = F.greatest(F.size(f) - len(FIXED_FIELDS), F.lit(0))
+    last = F.element_at(f, -1).rlike("(?i)" + EXTRA_LAST_PATTERN.pattern)
+    n = F.when((n > 1) & last, n - 1).otherwise(n)
+    return chrom.select("file", F.slice(f, len(FIXED_FIELDS) + 1, n).alias("sample_names"))
+
+
+def with_sample_names(records: DataFrame, spec: VcfSpec, limits: Limits = DEFAULT_LIMITS
+                      ) -> DataFrame:
+    """``records`` plus ``__names``: the sample names of the record's own file."""
+    if spec.uniform_samples or spec.heads is None:
+        names = F.array(*[F.lit(s) for s in spec.sample_list]) if spec.sample_list else (
+            F.array().cast("array<string>"))
+        return records.withColumn("__names", names)
+    names = sample_names(spec.heads).withColumnRenamed("sample_names", "__names")
+    return left_join_lookup(records, names, ["file"], limits=limits)
+
+
+def _moved(places: list[int | None]):
+    """One transcript's sub-fields in the order ``places``; None is empty."""
+    def transcript(t: F.Column) -> F.Column:
+        parts = F.split(t, r"\|", -1)
+        return F.concat_ws("|", *[
+            F.lit("") if p is None else F.coalesce(F.get(parts, F.lit(p)), F.lit(""))
+            for p in places])
+
+    return transcript
+
+
+def records_of(lines: DataFrame, spec: VcfSpec, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """The records of ``lines`` with every file's annotation sub-fields in
+    the order of ``spec.csq_fields``, whatever order its own header gives."""
+    recs = vcf_records(lines)
+    if len({tuple(names) for names in spec.csq_layouts.values()}) < 2 or spec.heads is None:
+        return recs
+    layouts = list(spec.csq_layouts.items())
+    layout = F.lit(None).cast("int")
+    for i, (line, _) in enumerate(layouts):
+        layout = F.when(F.col("line") == line, i).otherwise(layout)
+    by_file = spec.heads.select("file", layout.alias("__layout")).where(
+        F.col("__layout").isNotNull()).groupBy("file").agg(F.min("__layout").alias("__layout"))
+    recs = left_join_lookup(recs, by_file, ["file"], limits=limits)
+
+    def reordered(item: F.Column) -> F.Column:
+        """One INFO item; the annotation's is rewritten by the file's layout."""
+        out = item
+        for i, (_, names) in enumerate(layouts):
+            places = [names.index(n) if n in names else None for n in spec.csq_fields]
+
+            value = F.substr(item, F.lit(len(spec.csq_key) + 2))
+            moved = F.concat(F.lit(f"{spec.csq_key}="), F.array_join(
+                F.transform(F.split(value, ","), _moved(places)), ","))
+            if places != list(range(len(names))):
+                out = F.when((F.col("__layout") == i) & item.startswith(f"{spec.csq_key}="),
+                             moved).otherwise(out)
+        return out
+
+    return recs.withColumn("INFO", F.array_join(
+        F.transform(F.split("INFO", ";"), reordered), ";")).drop("__layout")

@@ -5,24 +5,27 @@ samples arriving over time the same step is a Structured Streaming query: the
 file source picks up new ``.vcf`` files, each micro-batch goes through the
 same QC, gene tag and flattening expressions as the batch path (long layout,
 so files with different sample names stack), and the sink appends Parquet.
-The stream keeps no state (each record is independent), so no watermark is
-needed; progress lives in the checkpoint location, so a restarted or
-re-scheduled query resumes without re-reading finished files.
+The file source hands a file over whole, so a micro-batch holds the header of
+each of its records: sample names and the order of annotation sub-fields are
+taken from there, file by file.  The stream keeps no state, so no watermark is
+needed; progress lives in the checkpoint location, and each batch writes its
+own folder, which a repeated batch overwrites.
 
-The header spec must be given (a stream cannot collect it first); read it
-once with :func:`varlake.sources.vcf.vcf_schema` from a representative file.
+The columns must be known beforehand: read the spec once with
+:func:`varlake.sources.vcf.vcf_schema` from representative files.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from varlake.config import checkpoint_dir
-from varlake.plans.vcf_table import flatten_records, tag_genes
-from varlake.operators.vcf_qc import site_qc
-from varlake.sources.vcf import VcfSpec, vcf_records
+from varlake.plans.vcf_table import vcf_to_table
+from varlake.sources.vcf import VcfSpec, parse_header
 
 
 def vcf_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -34,16 +37,19 @@ def vcf_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | No
                                       F.col("value").alias("line"))
 
 
-def stream_vcf_to_table(lines: DataFrame, spec: VcfSpec, *, qc: bool = True,
-                        mode: str = "drop") -> DataFrame:
-    """P0 on a streaming ``(file, line)`` frame: QC, gene tag and the long
-    (one row per record and sample) flattened layout.  Sample names come from
-    the spec; files are expected to share it."""
-    recs = vcf_records(lines)
-    if qc:
-        recs = tag_genes(site_qc(recs, mode=mode, csq_key=spec.csq_key or "CSQ"), spec)
-    carry = ["file"] + (["Flagged"] if qc and mode == "flag" else [])
-    return flatten_records(recs, spec, layout="long", carry=carry)
+def batch_to_table(lines: DataFrame, spec: VcfSpec, *, qc: bool = True,
+                   mode: str = "drop") -> DataFrame:
+    """P0 on the ``(file, line)`` rows of one micro-batch, long layout, with the
+    headers among them."""
+    heads = lines.where(F.col("line").startswith("#"))
+    own = parse_header([r["line"] for r in heads.where(
+        F.col("line").startswith("##INFO=")).select("line").distinct().collect()])
+    layouts = {**spec.csq_layouts, **own.csq_layouts}
+    if odd := {n for names in layouts.values() for n in names} - set(spec.csq_fields):
+        raise ValueError(f"annotation sub-fields {sorted(odd)} are not in the spec")
+    per_file = replace(spec, heads=heads, uniform_samples=False, csq_layouts=layouts)
+    table = vcf_to_table(lines, per_file, qc=qc, mode=mode, layout="long")
+    return table
 
 
 def start_ingest(
@@ -63,8 +69,11 @@ def start_ingest(
         if not base:
             raise ValueError("no checkpoint location: set spark.checkpoint.dir or pass checkpoint=")
         checkpoint = base.rstrip("/") + "/varlake-vcf-ingest"
-    table = stream_vcf_to_table(vcf_stream(spark, folder), spec, qc=qc)
-    writer = (table.writeStream.format("parquet").option("path", output)
-              .option("checkpointLocation", checkpoint).outputMode("append"))
+    def write_batch(lines: DataFrame, batch_id: int) -> None:
+        batch_to_table(lines, spec, qc=qc).write.mode("overwrite").parquet(
+            f"{output.rstrip('/')}/batch={batch_id}")
+
+    writer = (vcf_stream(spark, folder).writeStream.foreachBatch(write_batch)
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
