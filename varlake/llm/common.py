@@ -3,9 +3,10 @@ Arrow buffers, ranks and joins that stay spread out under skew."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Bytes of text that one numpy pass works on; a longer text is a pass of its own.
-PASS_BYTES = 4 << 20
+PASS_BYTES = 1 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -46,6 +47,22 @@ def row_key() -> list[Column]:
     return [F.col("doc_id").alias("__id"), F.xxhash64(F.col("text")).alias("__th")]
 
 
+def lean(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` for ``mapInArrow`` that hands freed memory back at its task's
+    end; Python workers wait for their next task with what they hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return run
+
+
 def salts_for(rows: int, rows_per_salt: int = 100_000, least: int = 32) -> int:
     """How many pieces a hot key is cut into; grows with the table."""
     return max(least, -(-rows // rows_per_salt))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varlake.llm.common import Words, text_passes
+from varlake.llm.common import Words, lean, text_passes
 
 WINDOW = 10
 SHARD_WORDS = 500_000  # indexed words per FM-index
@@ -285,7 +285,7 @@ def _pass(docs: DataFrame, windows: Windows) -> DataFrame:
                        "__items": pa.array([sorted(x) for x in items], pa.list_(pa.string()))}
                 yield pa.RecordBatch.from_arrays([new.get(c, part[c]) for c in names], names=names)
 
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(lean(work), schema)
 
 
 def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -328,7 +328,7 @@ def remove_spans(docs: DataFrame) -> DataFrame:
                 [pa.array(texts, pa.string()) if c == "text" else batch[c] for c in names],
                 names=names)
 
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(lean(work), schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -30,7 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varlake.llm.common import Words, join_counted, row_key, shingle_hashes, text_passes, written
+from varlake.llm.common import (
+    Words,
+    join_counted,
+    lean,
+    row_key,
+    shingle_hashes,
+    text_passes,
+    written,
+)
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -91,7 +99,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
                      pa.array(sig, pa.binary())], schema=schema)
 
     return docs.select(*row_key(), "text").mapInArrow(
-        work, "__id long, __th long, node binary, size long, sig binary")
+        lean(work), "__id long, __th long, node binary, size long, sig binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -246,7 +254,7 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
     return (
         rows.select(*key, "node", "block", "sig", "shingles", "copies")
         .repartition(*key).sortWithinPartitions(*key)
-        .mapInArrow(work, "node binary, links long, root binary")
+        .mapInArrow(lean(work), "node binary, links long, root binary")
     )
 
 
@@ -266,7 +274,7 @@ def _with_shingles(rows: DataFrame) -> DataFrame:
                     [*[part[c] for c in names], pa.array(sets, pa.binary())],
                     names=[*names, "shingles"])
 
-    return rows.mapInArrow(work, schema)
+    return rows.mapInArrow(lean(work), schema)
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varlake.llm.common import gapless_rank, salts_for, written
+from varlake.llm.common import gapless_rank, lean, salts_for, written
 
 MAX_TOKENS = 4096
 END_ID = 2
@@ -130,7 +130,7 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_
                 [pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        work, PIECES)
+        lean(work), PIECES)
 
 
 def pack_histogram(histogram: dict[int, int], max_tokens: int = MAX_TOKENS
@@ -227,7 +227,7 @@ def assign_sequences(pieces: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFra
                  pa.array(s["offset"][slot] + inside * length)],
                 names=[*rest.schema.names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(work, schema)
+    return ranked.mapInArrow(lean(work), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOKENS,

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from varlake.llm.common import Words, shingle_hashes, text_passes, written
+from varlake.llm.common import Words, lean, shingle_hashes, text_passes, written
 from varlake.llm.labelled import is_held_out, training_labels
 
 BUCKETS = 1 << 22
@@ -74,7 +74,7 @@ def _labelled_terms(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # At most about MAX_TRAINING_ROWS rows of two numbers.
     chosen = docs.select("doc_id", "text").join(
         F.broadcast(labels), F.col("doc_id") == F.col("__lid"))
-    return chosen.select("text", "__y").mapInArrow(work, "y int, near long, terms binary")
+    return chosen.select("text", "__y").mapInArrow(lean(work), "y int, near long, terms binary")
 
 
 def _term_counts(rows: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def _term_counts(rows: DataFrame) -> DataFrame:
                 [pa.array(part.astype(np.int64)), pa.array(counts[1, part].astype(np.int64)),
                  pa.array(counts[0, part].astype(np.int64))], names=["bucket", "toxic", "clean"])
 
-    found = rows.select("y", "terms").mapInArrow(work, "bucket long, toxic long, clean long")
+    found = rows.select("y", "terms").mapInArrow(lean(work), "bucket long, toxic long, clean long")
     return found.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -187,7 +187,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int
                                              names=["y", "terms"])
 
     # About max_rows rows of at most MAX_TERMS small numbers, a few as a rule.
-    learned = rows.select("y", "terms").mapInArrow(chosen, "y int, terms binary").collect()
+    learned = rows.select("y", "terms").mapInArrow(lean(chosen), "y int, terms binary").collect()
     learned.sort(key=lambda r: (r["terms"], r["y"]))
     return fit_machine(terms, np.array([r["y"] for r in learned], float),
                        [np.frombuffer(r["terms"], "<u2") for r in learned])
@@ -219,7 +219,7 @@ def score_texts(docs: DataFrame, machine: Machine | None, name: str = "score") -
                 [*batch.columns, pa.array(np.concatenate(scores), pa.float64())],
                 names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(lean(work), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 4, rest: int = 2) -> DataFrame:

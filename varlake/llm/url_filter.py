@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from varlake.llm.common import lean
+
 LIMIT = 1.0
 STRICT, SOFT = 1.0, 0.5
 
@@ -107,4 +109,4 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]],
                 names=["page_id", "host", "path", "rule", "weight", "verdict"])
 
     return urls.mapInArrow(
-        work, "page_id long, host string, path string, rule string, weight double, verdict string")
+        lean(work), "page_id long, host string, path string, rule string, weight double, verdict string")

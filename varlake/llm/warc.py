@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varlake.llm.common import join_counted, scratch_dir, written
+from varlake.llm.common import join_counted, lean, scratch_dir, written
 
 FILE_BYTES = 256 << 20  # an archive is closed beyond this size
 RANGE_ROWS = 25_000  # captures of one merge task, about
@@ -144,7 +144,7 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
                                              names=["archive", "records"])
 
     rows = with_references(pages, least_bytes)
-    return written(rows.mapInArrow(work, "archive string, records long"))
+    return written(rows.mapInArrow(lean(work), "archive string, records long"))
 
 
 def _members(stream) -> Iterator[tuple[int, int, bytes]]:
@@ -217,7 +217,7 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
 
     files = archives.count()
     return archives.select("archive").repartition(max(1, files), "archive").mapInArrow(
-        work, CAPTURES)
+        lean(work), CAPTURES)
 
 
 def merge_runs(runs: list[list]) -> Iterator:
@@ -276,7 +276,7 @@ def ordered_captures(captures: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     key = [F.col("urlkey"), F.col("timestamp"), F.col("page_id").asc_nulls_last()]
-    return captures.repartitionByRange(ranges, *key).mapInArrow(work, CAPTURES)
+    return captures.repartitionByRange(ranges, *key).mapInArrow(lean(work), CAPTURES)
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, least_bytes: int = 0) -> DataFrame:
