@@ -119,20 +119,22 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 now.select(F.col("v").alias("node"), F.col("v").alias("root"))).groupBy(
                     "node").agg(F.min("root").alias("root"))
-        seen = mark
+        seen, count = mark, F.count(F.lit(1)).alias("n")
+        # The centre of a star may have a third of all edges.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where(
-            "u > v").unionByName(least.select("u", F.col("m").alias("v")))
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), count))
+        large = written(join_counted(both, least, ["u"], "n", 2 * mark[0]).where("v > u").select(
+            F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = written(large.groupBy("u").agg(F.min("v").alias("m"), count))
+        small = join_counted(large, least, ["u"], "n", large.count()).select(
+            F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").unionByName(
+                least.select("u", F.col("m").alias("v")))
         now = written(small.distinct())
 
 
-def _groups(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``node, comp, one, two``: which pairs of blocks of its group of
-    candidates each node takes part in, and ``comp, blocks``."""
+def _groups(nodes: DataFrame) -> DataFrame:
+    """``node, comp, blocks, one, two``: which pairs of blocks of its group of
+    candidates, and of how many blocks, each node takes part in."""
     bands = nodes.select("node", "size", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * (4 * ROWS) + 1, F.lit(4 * ROWS)))
@@ -141,17 +143,18 @@ def _groups(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count(F.lit(1)).alias("held"), F.min("node").alias("hub")).where("held > 1")
     members = written(bands.join(shared, "band"))
     comp = written(components(members.select(F.col("node").alias("a"), F.col("hub").alias("b"))))
-    homes = members.groupBy("node", "size").agg(
-        F.min(F.struct("band", "held")).alias("home")).join(comp, "node")
-    sizes = homes.groupBy(F.col("root").alias("comp")).agg(F.greatest(
+    homes = written(members.groupBy("node", "size").agg(
+        F.min(F.struct("band", "held")).alias("home")).join(comp, "node").withColumnRenamed(
+            "root", "comp"))
+    sizes = written(homes.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_NODES),
-        F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("home.held") / BLOCK_NODES))
-    placed = written(homes.join(sizes, homes["root"] == sizes["comp"]).select(
+    placed = written(join_counted(homes, sizes, ["comp"], "n", homes.count()).select(
         "node", "comp", "blocks",
         F.pmod(F.xxhash64("home.band", salt), F.col("blocks")).cast("int").alias("block")))
     single = placed.where("blocks = 1").select(
-        "node", "comp", F.lit(0).alias("one"), F.lit(0).alias("two"), "block")
+        "node", "comp", "blocks", F.lit(0).alias("one"), F.lit(0).alias("two"), "block")
     cut = placed.where("blocks > 1")
     touched = members.select("node", "band").join(cut, "node").select(
         "comp", "band", "block").distinct()
@@ -160,8 +163,9 @@ def _groups(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
             "comp", "one", "two").distinct()
     ends = pairs.select("comp", "one", "two", F.explode(F.array_distinct(
         F.array("one", "two"))).alias("block"))
-    split = cut.join(ends, ["comp", "block"]).select("node", "comp", "one", "two", "block")
-    return single.unionByName(split), sizes
+    split = cut.join(ends, ["comp", "block"]).select(
+        "node", "comp", "blocks", "one", "two", "block")
+    return single.unionByName(split)
 
 
 def _linked(left: np.ndarray, right: np.ndarray, sigs: np.ndarray, shingles: list[np.ndarray],
@@ -287,8 +291,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("__id", "__th")).alias("first"),
         F.min("__id").alias("least"),
         F.any_value("size").alias("size"), F.any_value("sig").alias("sig")))
-    groups, sizes = _groups(nodes)
-    groups = written(groups)
+    groups = written(_groups(nodes))
     taken = groups.groupBy("node").agg(
         F.collect_list(F.struct("comp", "one", "two", "block")).alias("groups"))
     wanted = nodes.join(taken, "node").select("node", "copies", "sig", "groups", "first")
@@ -298,7 +301,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "node", "copies", "sig", "shingles", F.inline("groups"))
     checked = written(_verified(rows, threshold))
     # A group in one block is joined already; others meet through their roots.
-    several = groups.join(sizes.where("blocks > 1"), "comp", "left_semi").select("node").distinct()
+    several = groups.where("blocks > 1").select("node").distinct()
     met = checked.join(several, "node", "left_semi")
     roots = components(met.select(F.col("node").alias("a"), F.col("root").alias("b"))).select(
         "node", F.col("root").alias("top"))
@@ -309,8 +312,9 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.coalesce("top", "root", "node").alias("root"))
     joined = written(joined)
     named = joined.groupBy("root").agg(
-        F.min("least").alias("class_id"), F.min("first").alias("head"))
-    classes = joined.join(named, "root").select(
+        F.min("least").alias("class_id"), F.min("first").alias("head"),
+        F.count(F.lit(1)).alias("n"))
+    classes = join_counted(joined, written(named), ["root"], "n", joined.count()).select(
         "node", "copies", "class_id", "head",
         (F.col("copies") - 1 + F.col("links")).alias("n_links"))
     out = ["__id", "__th", "class_id", F.col("head.__id").alias("first_id"),
