@@ -79,7 +79,7 @@ def build_session(
     if event_log_dir:
         builder = builder.config("spark.eventLog.enabled", "true").config(
             "spark.eventLog.dir", event_log_dir
-        )
+        ).config("spark.eventLog.compress", "false").config("spark.eventLog.rolling.enabled", "false")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -40,18 +40,6 @@ def missing_to_null(c: str | Column) -> Column:
     return F.when(c.isin(MISSING, ""), F.lit(None)).otherwise(c)
 
 
-def normalize_missing(df: DataFrame, keep: Iterable[str] = KEY) -> DataFrame:
-    """X8 on every string column except ``keep`` (a ``-`` allele is real)."""
-    keep = set(keep)
-    cols = []
-    for f in df.schema.fields:
-        if f.name not in keep and isinstance(f.dataType, T.StringType):
-            cols.append(missing_to_null(f.name).alias(f.name))
-        else:
-            cols.append(F.col(f"`{f.name}`"))
-    return df.select(cols)
-
-
 def to_double(c: str | Column) -> Column:
     """Text or number to double; anything unparsable is NULL."""
     return col_of(c).try_cast("double")

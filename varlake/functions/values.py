@@ -53,11 +53,6 @@ def drop_empty_strings(c: str | Column) -> Column:
     return F.when(F.size(kept) > 0, kept)
 
 
-def array_to_text(c: str | Column, sep: str = ",") -> Column:
-    """Array -> ``a,b`` text (NULL elements skipped)."""
-    return F.concat_ws(sep, col_of(c))
-
-
 def array_to_bracket_text(c: str | Column, null_if_empty: bool = True) -> Column:
     """Array -> ``[a, b]`` (Spark's array-to-string form); ``[]`` -> NULL."""
     text = col_of(c).cast("string")
@@ -66,11 +61,6 @@ def array_to_bracket_text(c: str | Column, null_if_empty: bool = True) -> Column
     return text
 
 
-def sorted_set(c: str | Column) -> Column:
-    """``collect_set`` with a deterministic (ascending) element order."""
-    return F.sort_array(F.collect_set(col_of(c)))
-
-
 def stringify_nested(df: DataFrame, sep: str = ",") -> DataFrame:
     """Struct and map columns -> JSON text, array columns -> ``sep``
     joined text, so the frame can be written as delimited text."""

@@ -123,7 +123,7 @@ def flag_damaging(
     inside = r.isNotNull() & (r >= F.lit(low)) & (r <= F.lit(high))
     if require_damaging:
         return df.withColumn(flag, F.when((F.col(flag) == 1) & inside, 1).otherwise(0))
-    return df.withColumn(flag, F.when((F.col(flag) == 1) & inside, 1).otherwise(F.col(flag)))
+    return df
 
 
 def with_damage_ratio(dbnsfp: DataFrame) -> DataFrame:
@@ -140,7 +140,3 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """rename the columns of ``mapping`` that exist."""
     present = {k: v for k, v in mapping.items() if k in df.columns}
     return df.withColumnsRenamed(present) if present else df
-
-
-def frequency_columns(names: Iterable[str]) -> list[Column]:
-    return [to_double(n) for n in names]

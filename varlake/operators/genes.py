@@ -156,6 +156,7 @@ def attach_orphanet(
     hgnc_column: str = "CSQ_HGNC_ID",
     ensembl_column: str = "CSQ_Gene",
     keep_hgnc_ids: bool = True,
+    multi_id: str = "whole",
     small: bool | None = None, limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Orphanet per-gene sets (from ``orphanet_by_gene``) where the HGNC
@@ -164,8 +165,12 @@ def attach_orphanet(
     Adds ``Orphanet_disorder_id_combined``,
     ``Orphanet_gene_source_of_validation_combined``, ``Orphanet_HGNC_gene_id``
     (unless ``keep_hgnc_ids=False``, as in Dragon) and
-    ``Orphanet_type_of_inheritance_combined``.
+    ``Orphanet_type_of_inheritance_combined``.  A gene of several ids has them
+    comma-joined: ``multi_id='whole'`` compares the whole text, as the
+    reference does, ``'any'`` matches by any of them.
     """
+    if multi_id not in ("whole", "any"):
+        raise ValueError("multi_id must be 'whole' or 'any'")
     right = orphanet_genes.select(
         F.col("Orphanet_gene_symbol").alias("__sym"),
         F.col("Orphanet_HGNC_gene_id").alias("__hgnc"),
@@ -177,7 +182,7 @@ def attach_orphanet(
     )
     out = left_join_any(
         df, right, [(hgnc_column, "__hgnc"), (ensembl_column, "__ens")], "__sym",
-        right_is_small=small, limits=limits,
+        right_is_small=small, split_keys=multi_id == "any", limits=limits,
     )
     drop = ["__sym", "__hgnc", "__ens"]
     if not keep_hgnc_ids:

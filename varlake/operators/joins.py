@@ -325,6 +325,7 @@ def left_join_any(
     right_unique: str,
     *,
     right_is_small: bool | None = None,
+    split_keys: bool = False,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """``left LEFT JOIN right ON l1 = r1 OR l2 = r2 OR ...``.
@@ -332,7 +333,8 @@ def left_join_any(
     ``alternatives`` are ``(left_column, right_column)`` pairs; ``right_unique``
     names a column that identifies a right row.  A right row that matches by
     several alternatives appears once; a left row without any match is kept
-    once with NULLs.  Never a nested-loop join:
+    once with NULLs.  With ``split_keys`` a right key is a comma-joined list
+    and matches by any of its elements.  Never a nested-loop join:
 
     * right proven small (count): per alternative, the right rows are
       grouped by that key into an array and broadcast; each left row takes the
@@ -351,9 +353,9 @@ def left_join_any(
         arrays = []
         for i, (lk, rk) in enumerate(alternatives):
             lut = (
-                right.where(F.col(rk).isNotNull())
-                .groupBy(F.col(rk).alias(f"__lk{i}"))
-                .agg(F.collect_list(packed).alias(f"__m{i}"))
+                right.select(_key_of(rk, split_keys).alias(f"__lk{i}"), packed.alias("__row"))
+                .where(F.col(f"__lk{i}").isNotNull())
+                .groupBy(f"__lk{i}").agg(F.collect_list("__row").alias(f"__m{i}"))
             )
             lut = F.broadcast(lut)  # at most as many rows as ``right``
             out = out.join(lut, out[lk] == lut[f"__lk{i}"], "left").drop(f"__lk{i}")
@@ -377,8 +379,10 @@ def left_join_any(
         t = tuples.where(F.col(lk).isNotNull()).select(
             [F.col(c).alias(tag[c]) for c in lcols]
         )
-        m = t.join(right, t[tag[lk]] == right[rk], "inner").select(
-            [t[tag[c]] for c in lcols] + [right[f"`{c}`"] for c in right.columns]
+        keyed = right.select(_key_of(rk, split_keys).alias("__rk"), *[
+            F.col(f"`{c}`") for c in right.columns])
+        m = t.join(keyed, t[tag[lk]] == keyed["__rk"], "inner").select(
+            [t[tag[c]] for c in lcols] + [keyed[f"`{c}`"] for c in right.columns]
         )
         matches = m if matches is None else matches.unionByName(m)
     matches = matches.dropDuplicates([tag[c] for c in lcols] + [right_unique])
@@ -392,6 +396,10 @@ def left_join_any(
     )
 
 
+def _key_of(column: str, split: bool) -> Column:
+    return F.explode(F.split(column, ",")) if split else F.col(column)
+
+
 def packed_type(df: DataFrame) -> T.StructType:
     """Struct type holding every column of ``df``."""
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])

@@ -1,4 +1,5 @@
-"""Chromosome order (O1, O2) and the existence probe (O3)."""
+"""Chromosome order (O1, O2).  No step needs the first row or an existence
+probe (O3, G8)."""
 
 from __future__ import annotations
 
@@ -29,8 +30,3 @@ def chromosome_order(df: DataFrame, tie_break: bool = True,
         hashed = tie_break_columns or df.columns
         keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]))
     return df.orderBy(*keys)
-
-
-def has_rows(df: DataFrame) -> bool:
-    """Whether ``df`` has any row (reads at most one)."""
-    return not df.isEmpty()

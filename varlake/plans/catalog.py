@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from varlake.config import Limits, ensure_checkpoint_dir
-from varlake.functions.keys import KEY, chromosome_rank
+from varlake.functions.keys import KEY, chromosome_rank, with_variant_key
 from varlake.functions.values import damage_ratio, max_frequency, stringify_nested
 from varlake.operators.aggregates import (
     dbsnp_smallest,
@@ -28,9 +28,11 @@ from varlake.operators.aggregates import (
     orphanet_by_gene_text,
 )
 from varlake.operators.filters import (
+    drop_dotted,
     keep_consequences,
     keep_exonic_or_splicing,
     flag_rare,
+    rename_columns,
     with_damage_ratio,
 )
 from varlake.operators.genes import (
@@ -61,9 +63,24 @@ from varlake.functions.vcf import (
     info_value,
     picked_transcript,
     subfield,
+    variant_id,
+)
+from varlake.plans.vcf_table import (
+    flatten_records,
+    tag_genes,
+    vcf_qc_records,
+    vcf_to_table,
+    vcf_transcripts,
+)
+from varlake.sources.fixtures import (
+    ANN_HEADER,
+    MIXED_FORMAT,
+    ODD_HEADER,
+    VCF_HEADER,
+    VEP_HEADER,
+    cohort_files,
+    fixture,
 )
-from varlake.plans.vcf_table import tag_genes, vcf_qc_records, vcf_to_table, vcf_transcripts
-from varlake.sources.fixtures import MIXED_FORMAT, VCF_HEADER, cohort_files, fixture
 from varlake.sources.tables import (
     read_annotation,
     read_gene_panel,
@@ -576,14 +593,15 @@ def _written_once(spark: SparkSession, sf: str, what: str, write: Callable[[str]
     return _WRITTEN[key]
 
 
-def vcf_input(spark: SparkSession, sf: str) -> DataFrame:
+def vcf_input(spark: SparkSession, sf: str, name: str = "fx_vcf_lines",
+              head: list[str] = VCF_HEADER) -> DataFrame:
     """The fixture VCF read back as text (S1): its header lines, then one
     record per lineitem row, written once (header in the first part file,
     records in parallel part files) so the queries exercise the text reader."""
-    header = spark.createDataFrame([(h,) for h in VCF_HEADER], "line string").coalesce(1)
-    body = fixture(spark, sf, "fx_vcf_lines").select("line")
+    header = spark.createDataFrame([(h,) for h in head], "line string").coalesce(1)
+    body = fixture(spark, sf, name).select("line")
     return read_vcf(spark, _written_once(
-        spark, sf, "vcf", lambda path: write_text(header.unionByName(body), path)))
+        spark, sf, name, lambda path: write_text(header.unionByName(body), path)))
 
 
 _VL = """vl AS (
@@ -819,6 +837,79 @@ def q_vcf_joint_qc(spark, sf):
         "FORMAT_GQ", "AdjustedGenotype")
 
 
+_ODD_GT = """CASE o % 4 WHEN 0 THEN './.' WHEN 1 THEN '1/2' WHEN 2 THEN './.'
+  ELSE CASE WHEN 3 / (q + 3) >= 0.8::DOUBLE THEN '1/1' WHEN 3 / (q + 3) >= 1 - 0.8::DOUBLE THEN '0/1' ELSE '0/0' END END"""
+
+
+@register("vcf_odd_records", _vcf_oracle(f"""
+SELECT CAST(p % 22 + 1 AS VARCHAR) AS chromosome, CAST(1000 + p * 37 AS BIGINT) AS start,
+ concat_ws('-', 'chr' || CAST(p % 22 + 1 AS VARCHAR), 1000 + p * 37, 'A', 'C') AS variant_id,
+ CASE WHEN ln <= 4 OR o % 4 = 0 OR (o % 4 = 3 AND q + 3 < 10) THEN 1 ELSE 0 END AS Flagged,
+ {_ODD_GT} AS genotype, CASE WHEN ln <= 5 THEN '5' END AS quality_by_depth,
+ CASE ln WHEN 1 THEN '30' WHEN 5 THEN '60' END AS INFO_MQ
+FROM vl WHERE o % 5 <> 0"""))
+def q_vcf_odd_records(spark, sf):
+    """F1, F5 (every metric fails in turn), F6, F19, F20, X6 (no call, no depth,
+    three depths), X9, X11."""
+    lines = vcf_input(spark, sf, "fx_vcf_lines_odd", ODD_HEADER)
+    spec = vcf_schema(lines)
+    flat = flatten_records(vcf_qc_records(lines, spec, mode="flag"), spec, variants_only=False,
+                           carry=["Flagged"])
+    out = drop_dotted(rename_columns(flat, {
+        "INFO_QD": "quality_by_depth", "S1_AdjustedGenotype": "genotype"}))
+    if any("." in c for c in out.columns):
+        raise AssertionError("a dotted column stayed")
+    out = out.withColumn("variant_id", variant_id("#CHROM", "POS", "REF", "ALT"))
+    return with_variant_key(out).select("chromosome", "start", "variant_id", "Flagged", "genotype",
+                                        "quality_by_depth", "INFO_MQ")
+
+
+@register("vcf_ann_transcripts", _vcf_oracle("""
+SELECT 'chr' || CAST(p % 22 + 1 AS VARCHAR) AS chromosome, CAST(1000 + p * 37 AS BIGINT) AS start, '5=' AS INFO_QD,
+ 'A' AS Allele, 'missense;x' AS Annotation, concat('ENST', CAST(s AS VARCHAR)) AS Feature_ID,
+ concat('c.', CAST(ln AS VARCHAR)) AS "HGVS.c", 'S1' AS Indiv, '0/1' AS gt_GT FROM vl"""))
+def q_vcf_ann_transcripts(spark, sf):
+    """P6 in its ANN form: X10 escapes, X12 names and transcript ids."""
+    out = vcf_transcripts(vcf_input(spark, sf, "fx_vcf_lines_ann", ANN_HEADER))
+    return out.select("chromosome", "start", "INFO_QD", "Allele", "Annotation", "Feature_ID",
+                      F.col("`HGVS.c`"), "Indiv", "gt_GT")
+
+
+@register("vcf_to_gene_group", O.vep_pipeline(
+    "vep", extra_fixtures=["fx_list_ecpg", "fx_list_emgp"], tail=_GG_TAIL))
+def q_vcf_to_gene_group(spark, sf):
+    """The reference's main workflow: P0 -> P1 -> P4 from VCF text on."""
+    flat = vcf_to_table(vcf_input(spark, sf, "fx_vcf_lines_vep", VEP_HEADER))
+    dash = lambda c: F.coalesce(F.col(c), F.lit("-")).alias(c)
+    variants = flat.select(
+        F.col("#CHROM"), "POS", "REF", "ALT", F.col("ID").alias("variant_id"), "CSQ_Consequence",
+        "CSQ_SYMBOL", "CSQ_Gene", dash("CSQ_HGNC_ID"), dash("CSQ_gnomAD_AF"),
+        dash("INFO_gnomad_3_1_1_AF"))
+    result = filter_vep(variants, vep_tables(spark, sf))
+    return arrays_as_text(annotate_gene_group(
+        result, fixture(spark, sf, "fx_list_ecpg"), fixture(spark, sf, "fx_list_emgp")))
+
+
+@register("orphanet_any_join", O.with_(["fx_variants", "fx_orphanet"], [], _GENE_V0 + """
+, fam AS (SELECT concat('FAM', CAST(coalesce(HGNC_gene_id % 20, -1) AS VARCHAR)) AS sym, disorder_id, HGNC_gene_id AS h,
+  ensembl_gene_id AS e FROM fx_orphanet)
+, sets AS (SELECT sym, array_to_string(list_sort(list_distinct(list(disorder_id))), ',') AS Orphanet_disorder_id_combined
+  FROM fam GROUP BY sym)
+, ids AS (SELECT DISTINCT sym, concat('HGNC:', CAST(h AS VARCHAR)) AS id FROM fam WHERE h IS NOT NULL UNION SELECT DISTINCT sym, e FROM fam)
+, hits AS (SELECT DISTINCT v.CSQ_HGNC_ID, v.CSQ_Gene, i.sym FROM (SELECT DISTINCT CSQ_HGNC_ID, CSQ_Gene FROM v0) v
+  JOIN ids i ON i.id = v.CSQ_HGNC_ID OR i.id = v.CSQ_Gene)
+SELECT v0.*, s.Orphanet_disorder_id_combined FROM v0
+ LEFT JOIN hits h ON h.CSQ_HGNC_ID = v0.CSQ_HGNC_ID AND h.CSQ_Gene = v0.CSQ_Gene LEFT JOIN sets s ON s.sym = h.sym"""))
+def q_orphanet_any_join(spark, sf):
+    """J18 with genes of several ids, matched by any of them."""
+    family = F.coalesce(F.col("HGNC_gene_id") % 20, F.lit(-1)).cast("string")
+    families = fixture(spark, sf, "fx_orphanet").withColumn(
+        "gene_symbol", F.concat(F.lit("FAM"), family))
+    out = attach_orphanet(_gene_slice(spark, sf), orphanet_by_gene(families), multi_id="any")
+    return arrays_as_text(out.select(*KEY, "variant_id", "CSQ_SYMBOL", "CSQ_Gene", "CSQ_HGNC_ID",
+                                     "Orphanet_disorder_id_combined"))
+
+
 # ------------------------------------------------------- written and read back
 def _round_trip(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/varlake-round-trip-{uuid.uuid4().hex}"

@@ -200,7 +200,7 @@ def vcf_transcripts(lines: DataFrame, spec: VcfSpec | None = None,
     )
     feature = "Feature_ID" if spec.csq_key == "ANN" else "Feature"
     tcols = [subfield(F.col("__t"), i).alias(n) for i, n in enumerate(spec.csq_fields)]
-    t = base.select(*[c for c in base.columns if c not in ("__t",)], *tcols)
+    t = base.select(*[F.col(f"`{c}`") for c in base.columns if c != "__t"], *tcols)
     if feature in spec.csq_fields:
         t = ensembl_transcripts(t, feature)
         if spec.csq_key == "ANN":
@@ -208,7 +208,7 @@ def vcf_transcripts(lines: DataFrame, spec: VcfSpec | None = None,
     own = F.slice("samples", 1, F.size("__names"))
     g = t.select("*", F.posexplode_outer(own).alias("__i", "__s"))
     out = g.select(
-        *[c for c in t.columns if c not in ("FORMAT", "samples", "__names")],
+        *[F.col(f"`{c}`") for c in t.columns if c not in ("FORMAT", "samples", "__names")],
         F.get("__names", F.col("__i")).alias("Indiv"),
         *[format_value("FORMAT", F.col("__s"), k).alias(f"gt_{k}") for k in spec.format_ids],
     )

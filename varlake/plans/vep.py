@@ -141,6 +141,7 @@ def filter_vep(
     split_terms: bool = False,
     require_damaging: bool = False,
     optional_columns: Sequence[str] = (),
+    orphanet_multi_id: str = "whole",
     strategy: str = "auto",
     variants_bounded: bool | None = None,
     sort: bool = True,
@@ -213,7 +214,8 @@ def filter_vep(
         df = attach_cosmic(df, tables.cosmic.distinct(), small=small["cosmic"], limits=lim)
         df = attach_omim(df, omim_genes, small=small["omim"], limits=lim)
         df = attach_orphanet(df, orphanet_genes, hgnc_column=hgnc_col,
-                             keep_hgnc_ids=(source == "vep"), small=small["orphanet"], limits=lim)
+                             keep_hgnc_ids=(source == "vep"), multi_id=orphanet_multi_id,
+                             small=small["orphanet"], limits=lim)
         return attach_gencc(df, gencc_genes, on_column=hgnc_col, small=small["gencc"], limits=lim)
 
     genes_by = ["CSQ_HGNC_ID", "CSQ_Gene"] if source == "vep" else ["CSQ_Gene"]

@@ -152,6 +152,31 @@ SELECT concat('GENE', CAST({GENE:s_suppkey:s_suppkey % 4 < 2} AS STRING)) AS sym
  CASE WHEN s_suppkey % 6 = 0 THEN '-' ELSE concat('ENSG', lpad(CAST({GENE:s_suppkey:s_suppkey % 4 < 2} AS STRING), 11, '0')) END AS ensembl,
  s_name AS gene_desc FROM {supplier}""",
     "fx_vcf_lines": "SELECT " + _VCF_LINE + " AS line FROM {lineitem}",
+    # Records with odd features: failing site metrics, no annotation, calls
+    # without depth or with three of them.
+    "fx_vcf_lines_odd": """
+SELECT concat_ws(chr(9), concat('chr', CAST(l_partkey % 22 + 1 AS STRING)), CAST(1000 + l_partkey * 37 AS STRING), '.',
+ 'A', 'C', '50', 'PASS',
+ concat(CASE l_linenumber WHEN 1 THEN 'QD=5;MQ=30' WHEN 2 THEN 'QD=5;MQRankSum=-13.5' WHEN 3 THEN 'QD=5;ReadPosRankSum=-9'
+   WHEN 4 THEN 'QD=5;SOR=4' WHEN 5 THEN 'QD=5;MQ=60' WHEN 6 THEN 'QD=.;Old.Name=x' ELSE 'MQRankSum=-12.4;SOR=3' END,
+  CASE WHEN l_orderkey % 5 = 0 THEN '' ELSE concat(';CSQ=A|missense_variant|1|GENE', CAST(l_suppkey AS STRING), '|ENST1.2') END),
+ 'GT:AD:DP:GQ',
+ CASE l_orderkey % 4 WHEN 0 THEN '.' WHEN 1 THEN '1/2:4,5,6:15:50' WHEN 2 THEN '0/1:0,0:20:50'
+  ELSE concat('0/1:', CAST(CAST(l_quantity AS INT) AS STRING), ',3:', CAST(CAST(l_quantity AS INT) + 3 AS STRING), ':50') END) AS line
+FROM {lineitem}""",
+    # SnpEff form: ANN with spaces and quotes in its header, escapes in values.
+    "fx_vcf_lines_ann": """
+SELECT concat_ws(chr(9), concat('chr', CAST(l_partkey % 22 + 1 AS STRING)), CAST(1000 + l_partkey * 37 AS STRING), '.',
+ 'A', 'C', '50', 'PASS',
+ concat('QD=5', chr(92), 'x3d;ANN=A|missense', chr(92), 'x3bx|ENST', CAST(l_suppkey AS STRING), '.7|c.', CAST(l_linenumber AS STRING),
+  ',A|up|NM_', CAST(l_suppkey AS STRING), '|'), 'GT', '0/1') AS line
+FROM {lineitem}""",
+    # The variant table as annotated VCF records.
+    "fx_vcf_lines_vep": """
+SELECT concat_ws(chr(9), concat('chr', chromosome), CAST(start AS STRING), variant_id, reference, alternate, '50', 'PASS',
+ concat('gnomad_3_1_1_AF=', INFO_gnomad_3_1_1_AF, ';CSQ=A|', CSQ_Consequence, '|1|', CSQ_SYMBOL, '|', CSQ_Gene, '|', CSQ_HGNC_ID, '|', CSQ_gnomAD_AF),
+ 'GT:AD:DP:GQ', '0/1:10,10:20:50') AS line
+FROM ({VARIANTS}) v""",
     # Records of cohort file ``part``; files grow in number with the table.
     "fx_vcf_lines_cohort": "SELECT " + _VCF_LINE + " AS line, CAST(l_orderkey % {FILES} AS INT) AS part FROM {lineitem}",
     # The same with a second sample, which fails where the first passes and
@@ -177,6 +202,20 @@ VCF_HEADER = [
     "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1",
 ]
 
+# Headers of the other fixtures: the VCF header with other annotations.
+ODD_HEADER = VCF_HEADER[:-1] + [
+    f'##INFO=<ID={name},Number=1,Type=Float,Description="site metric">'
+    for name in ("MQRankSum", "ReadPosRankSum", "SOR", "Old.Name")] + VCF_HEADER[-1:]
+ANN_HEADER = [
+    '##INFO=<ID=QD,Number=1,Type=Float,Description="quality">',
+    "##INFO=<ID=ANN,Number=.,Type=String,Description=\"Functional annotations: 'Allele | Annotation | Feature_ID | HGVS.c' \">",
+    '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">', VCF_HEADER[-1]]
+VEP_HEADER = [
+    '##INFO=<ID=gnomad_3_1_1_AF,Number=A,Type=Float,Description="frequency">',
+    '##INFO=<ID=CSQ,Number=.,Type=String,Description="Consequence annotations from Ensembl VEP. '
+    'Format: Allele|Consequence|PICK|SYMBOL|Gene|HGNC_ID|gnomAD_AF">',
+    *[h for h in VCF_HEADER if h.startswith("##FORMAT")], VCF_HEADER[-1]]
+
 # The header of the odd files of ``fx_vcf_lines_mixed``.
 MIXED_FORMAT = "Allele|SYMBOL|Feature|Consequence|PICK"
 
@@ -191,7 +230,8 @@ def fixture_names() -> list[str]:
 
 @lru_cache(maxsize=None)
 def _expanded(name: str) -> str:
-    sql = _KEY_MACRO.sub(lambda m: _key(m.group(1)), _FIXTURES[name])
+    sql = _FIXTURES[name].replace("{VARIANTS}", _FIXTURES["fx_variants"])
+    sql = _KEY_MACRO.sub(lambda m: _key(m.group(1)), sql)
     sql = _PART_MACRO.sub(lambda m: _part(m.group(1)), sql)
     return _GENE_MACRO.sub(lambda m: _gene(m.group(1), m.group(2)), sql).strip()
 

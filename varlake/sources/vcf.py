@@ -176,7 +176,7 @@ def split_header(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 _INFO_RE = re.compile(r"^##INFO=<ID=([^=,]+),")
 _FORMAT_RE = re.compile(r"^##FORMAT=<ID=([^=,]+),")
-_DESC_FORMAT_RE = re.compile(r'Description="[^"]*?Format:\s*([^"]+)"')
+_DESC_FORMAT_RE = re.compile(r'Description="[^"]*?(?:Format|Functional annotations):\s*([^"]+)"')
 
 
 def parse_header(header_lines: list[str]) -> VcfSpec:
