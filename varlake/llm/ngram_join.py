@@ -47,7 +47,7 @@ ROWS = 4
 HASHES = BANDS * ROWS
 STEP = 16  # MinHash values compared between two prunings
 TOLERANCE = 1e-6
-BLOCK_NODES = 768  # nodes of a block, as a rule at most
+BLOCK_NODES = 256  # nodes of a block, as a rule at most
 BLOCK_SHINGLES = 3_000_000  # and their shingles
 
 _RNG = np.random.default_rng(20240501)
