@@ -81,8 +81,8 @@ def test_line_dedup_runs_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def brute_near(rows, threshold=0.8):
-    """{index: (class id, links)} over all rows."""
+def brute_near(rows, threshold=0.8, roots=False):
+    """(doc_id, class id, links) of every row; with ``roots`` its class's first row instead."""
     sets = []
     for r in rows:
         w = words(r[1])
@@ -103,6 +103,8 @@ def brute_near(rows, threshold=0.8):
                 links[i] += 1
                 links[j] += 1
                 root[top(i)] = top(j)
+    if roots:
+        return [top(i) for i in range(len(rows))]
     ids = {}
     for i, r in enumerate(rows):
         ids.setdefault(top(i), []).append(r[0])

@@ -31,9 +31,12 @@ BUCKETS = 1 << 22
 PREFIXES = (4, 5)  # bytes of a longer word that are terms of their own
 MAX_TRAINING_ROWS = 50_000  # labelled documents learned from, at most about
 MAX_TERMS = 4096
-LEAST_Z = 4.0  # standard deviations above chance
+LEAST_Z = 6.0  # standard deviations above chance
+LEAST_TOXIC = 5  # toxic texts that hold a term
 FACTORS = 8
 EPOCHS = 20
+BATCH = 512  # texts of a step, at most
+STEPS = 600  # at least
 THRESHOLD = 0.3
 
 
@@ -133,8 +136,9 @@ def fit_machine(terms: np.ndarray, y: np.ndarray, texts: list[np.ndarray],
     decay = {"bias": 0.0, "weights": 1e-4, "factors": 1e-3}
     first = {k: np.zeros_like(v) for k, v in params.items()}
     second = {k: np.zeros_like(v) for k, v in params.items()}
-    step, size = 0, 512
-    for _ in range(EPOCHS if n and len(y) else 0):
+    step, size = 0, int(np.clip(len(y) // 20, 16, BATCH))
+    epochs = max(EPOCHS, -(-STEPS // max(1, -(-len(y) // size))))
+    for _ in range(epochs if n and len(y) else 0):
         order = rng.permutation(len(y))
         for at in range(0, len(order), size):
             batch = order[at:at + size]
@@ -172,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int
     chance = F.lit(toxic / n)
     z = (F.col("toxic") - held * chance) / F.sqrt(held * chance * (1 - chance) + 1e-9)
     best = (
-        _term_counts(rows).withColumn("z", z).where((F.col("z") >= LEAST_Z) & (F.col("toxic") >= 3))
+        _term_counts(rows).withColumn("z", z).where((F.col("z") >= LEAST_Z) & (F.col("toxic") >= LEAST_TOXIC))
         .orderBy(F.col("z").desc(), "bucket").limit(MAX_TERMS).select("bucket").collect()
     )
     terms = np.array(sorted(r["bucket"] for r in best), np.int64)
