@@ -207,3 +207,9 @@ def test_damage_clause_modes(spark):
     strict = [r["flag_keep"] for r in flag_damaging(df, require_damaging=True).collect()]
     assert same == [1, 1, 1, 0]        # as the reference: the clause never changes the flag
     assert strict == [1, 0, 0, 0]
+
+
+def test_existence_by_one_row(spark):
+    from varlake.operators.ordering import has_rows
+
+    assert has_rows(spark.range(3)) and not has_rows(spark.range(3).where("id > 5"))

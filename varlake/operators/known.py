@@ -4,14 +4,14 @@ The reference restricts ClinVar/HGMD to the variants seen (an inner join)
 and then left-joins the restricted table back; the restriction cannot change
 a left join's result, so it is folded into the key annotation plan
 (``annotate_by_key`` reduces every key table to the variants' keys).  The
-"any match?" probe that decided whether to join at all (G8) is dropped: the
-columns are always present (NULL when nothing matched), the plan stays one
-job.
+pipelines don't run the "any match?" probe that decided whether to join at all:
+the columns are always present (NULL when nothing matched), the plan stays one
+job.  :func:`any_match` answers it for those who ask.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +55,24 @@ def wanted_sources(sources: Iterable[str]) -> set[str]:
     return {s.lower() for s in sources}
 
 
+def any_match(variants: DataFrame, tables: Mapping[str, DataFrame],
+              key: Sequence[str] = KEY) -> DataFrame:
+    """``source, matched`` for each named key table: whether it holds a key of
+    ``variants``.  One row per source whatever the sizes; a table is only counted,
+    and with bounded variants filtered in its scan tasks by the distinct keys."""
+    keys = variants.select(*key).distinct()
+    probes = [
+        table.select(*key).join(keys, list(key), "left_semi").groupBy()
+        .agg((F.count(F.lit(1)) > 0).alias("matched"))
+        .select(F.lit(name).alias("source"), "matched")
+        for name, table in tables.items()
+    ]
+    out = probes[0]
+    for p in probes[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def add_null_columns(df: DataFrame, columns: dict[str, T.DataType]) -> DataFrame:
     missing = {c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns}
     return df.withColumns(missing) if missing else df

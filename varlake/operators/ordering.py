@@ -1,5 +1,4 @@
-"""Chromosome order (O1, O2).  No step needs the first row or an existence
-probe (O3, G8)."""
+"""Chromosome order (O1, O2) and the existence test by one row (O3)."""
 
 from __future__ import annotations
 
@@ -30,3 +29,8 @@ def chromosome_order(df: DataFrame, tie_break: bool = True,
         hashed = tie_break_columns or df.columns
         keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]))
     return df.orderBy(*keys)
+
+
+def has_rows(df: DataFrame) -> bool:
+    """O3: whether ``df`` has any row; stops at the first."""
+    return not df.isEmpty()

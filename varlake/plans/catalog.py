@@ -48,6 +48,7 @@ from varlake.operators.genes import (
 from varlake.operators.panels import annotate_gene_group, attach_gene_list
 from varlake.operators.joins import annotate_by_key, project_annotation
 from varlake.operators.known import (
+    any_match,
     clinvar_pathogenic,
     flag_known,
     hgmd_disease_mutations,
@@ -321,6 +322,22 @@ def q_hgmd_dm(spark, sf):
     return hgmd_disease_mutations(fixture(spark, sf, "fx_hgmd_var"))
 
 
+@register("any_known_match", O.with_(["fx_variants", "fx_clinvar", "fx_hgmd_var", "fx_topmed"],
+          [O.CTE_CLV, O.CTE_HGV], f"""
+, v0 AS (SELECT * FROM fx_variants WHERE CSQ_Consequence IN {O.VEP_TERMS})
+SELECT 'ClinVar' AS source, EXISTS (SELECT 1 FROM v0 JOIN clv c ON {O.keq('v0', 'c')}) AS matched
+UNION ALL SELECT 'HGMD', EXISTS (SELECT 1 FROM v0 JOIN hgv h ON {O.keq('v0', 'h')})
+UNION ALL SELECT 'beyond', EXISTS (SELECT 1 FROM v0 JOIN fx_topmed t ON {O.keq('v0', 't')} AND t.start > 100000000000)"""))
+def q_any_known_match(spark, sf):
+    """Whether any variant is in ClinVar, in HGMD, or among rows that
+    match none."""
+    v = keep_consequences(fixture(spark, sf, "fx_variants"))
+    return any_match(v, {
+        "ClinVar": clinvar_pathogenic(fixture(spark, sf, "fx_clinvar")),
+        "HGMD": hgmd_disease_mutations(fixture(spark, sf, "fx_hgmd_var")),
+        "beyond": fixture(spark, sf, "fx_topmed").where("start > 100000000000")})
+
+
 @register("flag_known", O.with_(["fx_variants", "fx_topmed", "fx_clinvar", "fx_hgmd_var"],
           [O.CTE_CLV, O.CTE_HGV], f"""
 , v0 AS (SELECT * FROM fx_variants WHERE CSQ_Consequence IN {O.VEP_TERMS})
