@@ -156,3 +156,29 @@ def test_a_missing_input_column_is_an_error(spark):
     with pytest.raises(ValueError, match="CSQ_gnomAD_AF"):
         filter_vep(v, t)
     assert "CSQ_gnomAD_AF" in filter_vep(v, t, optional_columns=["CSQ_gnomAD_AF"]).columns
+
+
+def test_a_hot_variant_key_is_split_when_tables_are_reduced(spark):
+    """Half of the variants at one position and others without one, no
+    adaptive execution: rows equal the plain joins' and no partition is hot."""
+    from pyspark.sql import functions as F
+
+    from varlake.config import Limits
+    from varlake.operators.joins import annotate_by_key
+
+    where = F.when(F.col("id") % 2 == 0, F.lit(7)).when(F.col("id") % 5 > 0, F.col("id"))
+    v = spark.range(40_000).select(F.lit("1").alias("chromosome"), where.alias("start"),
+                                   F.lit("A").alias("reference"), F.lit("C").alias("alternate"), "id")
+    table = spark.range(0, 40_000).where("id % 7 = 0").select(
+        F.lit("1").alias("chromosome"), F.col("id").alias("start"), F.lit("A").alias("reference"),
+        F.lit("C").alias("alternate"), (F.col("id") * 2).alias("value"))
+    plain = sorted(map(str, annotate_by_key(v, [table], strategy="plain").collect()))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = annotate_by_key(v, [table], strategy="reduce", limits=Limits(hot_key_rows=500))
+        assert out.columns == [*v.columns, "value"]
+        assert sorted(map(str, out.collect())) == plain
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 2 * sum(sizes) / len(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

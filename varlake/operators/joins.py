@@ -163,36 +163,8 @@ def left_join_lookup(
     # each (they match nothing), and ``left`` enters the plan once.
     lkeys = [lk for lk, _ in rpairs]
     hot = _hot_keys(left, lkeys, left_counts, limits)
-    salt = F.coalesce(F.col(SALTS), F.lit(1)) if hot is not None else F.lit(1)
-    if not null_safe:
-        no_key = F.lit(False)
-        for k in lkeys:
-            no_key = no_key | F.col(f"`{k}`").isNull()
-        salt = F.when(no_key, F.lit(NULL_SALTS)).otherwise(salt)
-    lkept = [F.col(f"`{c}`") for c in left.columns]
-    salted_left = left
-    if hot is not None:
-        hot_l = F.broadcast(hot.select(
-            [F.col(f"`{k}`").alias(f"__h_{i}") for i, k in enumerate(lkeys)] + [SALTS]))
-        salted_left = left.join(
-            hot_l, _eq(left, hot_l, [(k, f"__h_{i}") for i, k in enumerate(lkeys)], null_safe),
-            "left")
-    salted_left = salted_left.select(
-        *lkept, F.pmod(_row_hash(left), salt).cast("int").alias(SALT))
-    # Always 0, but not a constant: a constant would leave the join's hash
-    # keys, and all rows without a key would meet in one task.
-    salted_right = r.withColumn("__rsalt", F.pmod(
-        F.xxhash64(*[F.col(rk) for _, rk in rpairs]), F.lit(1)).cast("int"))
-    if hot is not None:
-        hot_r = F.broadcast(hot.select(
-            [F.col(f"`{k}`").alias(f"__g_{i}") for i, k in enumerate(lkeys)]
-            + [F.col(SALTS).alias("__rs")]))
-        salted_right = r.join(
-            hot_r, _eq(r, hot_r, [(rk, f"__g_{i}") for i, (_, rk) in enumerate(rpairs)], null_safe),
-            "left").select(
-                *[F.col(c) for c in r.columns],
-                F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__rs"), F.lit(1)) - 1))
-                .alias("__rsalt"))
+    salted_left = _salted(left, lkeys, hot, null_safe)
+    salted_right = _replicated(r, [rk for _, rk in rpairs], lkeys, hot, null_safe, "__rsalt")
     cond = _eq(salted_left, salted_right, rpairs, null_safe) & (
         salted_left[SALT] == salted_right["__rsalt"]
     )
@@ -203,6 +175,45 @@ def left_join_lookup(
     )
 
 
+def _salted(left: DataFrame, keys: Sequence[str], hot: DataFrame | None,
+            null_safe: bool) -> DataFrame:
+    """``left`` plus ``SALT``: which of its key's sub-keys a row has.  Rows
+    without a key match nothing (unless ``null_safe``) and have one each."""
+    marked, salt = left, F.lit(1)
+    if hot is not None:
+        h = F.broadcast(hot.select(
+            [F.col(f"`{k}`").alias(f"__h_{i}") for i, k in enumerate(keys)] + [SALTS]))
+        marked = left.join(
+            h, _eq(left, h, [(k, f"__h_{i}") for i, k in enumerate(keys)], null_safe), "left")
+        salt = F.coalesce(F.col(SALTS), F.lit(1))
+    if not null_safe:
+        no_key = F.lit(False)
+        for k in keys:
+            no_key = no_key | F.col(f"`{k}`").isNull()
+        salt = F.when(no_key, F.lit(NULL_SALTS)).otherwise(salt)
+    return marked.select(*[F.col(f"`{c}`") for c in left.columns],
+                         F.pmod(_row_hash(left), salt).cast("int").alias(SALT))
+
+
+def _replicated(right: DataFrame, keys: Sequence[str], hot_keys: Sequence[str],
+                hot: DataFrame | None, null_safe: bool, name: str) -> DataFrame:
+    """``right`` with ``name``: a copy of its row for every sub-key of its key
+    (columns ``keys``, as ``hot_keys`` in ``hot``)."""
+    if hot is None:
+        # Always 0, but not a constant: a constant would leave the join's hash
+        # keys, and all rows without a key would meet in one task.
+        return right.withColumn(name, F.pmod(
+            F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(1)).cast("int"))
+    h = F.broadcast(hot.select(
+        [F.col(f"`{k}`").alias(f"__g_{i}") for i, k in enumerate(hot_keys)]
+        + [F.col(SALTS).alias("__rs")]))
+    return right.join(
+        h, _eq(right, h, [(k, f"__g_{i}") for i, k in enumerate(keys)], null_safe), "left"
+    ).select(
+        *[F.col(f"`{c}`") for c in right.columns],
+        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__rs"), F.lit(1)) - 1)).alias(name))
+
+
 def _hot_keys(left: DataFrame, keys: Sequence[str], counts: DataFrame | None,
               limits: Limits) -> DataFrame | None:
     """The keys of ``left`` with over ``hot_key_rows`` rows, and into how many
@@ -282,14 +293,17 @@ def annotate_by_key(
 
     if strategy == "reduce":
         keys = F.broadcast(variants.select(*key).distinct())
-        out = variants
+        # Salted once: consecutive joins on (key, salt) keep one partitioning.
+        hot = _hot_keys(variants, key, None, limits)
+        out = _salted(variants, key, hot, null_safe=False)
         for t in tables:
             if isinstance(t, Derived):
                 reduced = t.finish(t.source.join(keys, key, "left_semi"))
             else:
                 reduced = t.join(keys, key, "left_semi")
-            out = out.join(_once(reduced, distinct_tables), key, "left")
-        return out
+            reduced = _replicated(_once(reduced, distinct_tables), key, key, hot, False, SALT)
+            out = out.join(reduced, [*key, SALT], "left")
+        return out.drop(SALT)
     tables = [_once(t.finish(t.source) if isinstance(t, Derived) else t, distinct_tables)
               for t in tables]
 
