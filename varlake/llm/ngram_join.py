@@ -1,14 +1,14 @@
 """N-gram Jaccard self-join with Bayesian candidate pruning.
 
 Texts are sets of five-word shingles.  Texts of equal sets form one node.
-MinHash bands put nodes that may be similar into buckets, and buckets joined
-together make candidate groups.  Within a group, pairs compare their MinHash
-values sixteen at a time; a pair is dropped when the posterior probability
-that its similarity reaches the threshold (uniform prior) falls below
-``TOLERANCE``, and the rest are verified exactly on their shingles.  Links are
-counted and joined into classes inside the tasks, so no pair is ever a row.  A
-large group is cut into blocks, and each pair of blocks that share a bucket is
-a task's work.
+MinHash bands put nodes that may be similar into buckets, and nodes whose
+buckets touch are gathered in blocks.  Within a block, and between any two
+blocks that share a bucket, pairs compare their MinHash values sixteen at a
+time; a pair is dropped when the posterior probability that its similarity
+reaches the threshold (uniform prior) falls below ``TOLERANCE``, and the rest
+are verified exactly on their shingles.  Links are counted and joined into
+classes inside the tasks, so no pair is ever a row; classes that span blocks
+are connected by their roots.
 
 A pair at the threshold is missed by all bands with a probability under 1e-7
 and pruned with one under 1e-5; similarity is exact for every link found.
@@ -133,8 +133,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _groups(nodes: DataFrame) -> DataFrame:
-    """``node, comp, blocks, one, two``: which pairs of blocks of its group of
-    candidates, and of how many blocks, each node takes part in."""
+    """For each node that shares a bucket: ``node, one, block1, two, block2,
+    second``, the pairs of blocks it takes part in and whether it is in the
+    second of them.
+
+    A node's neighbourhood is the smallest node two buckets away, so near
+    copies mostly share it; neighbourhoods are cut into blocks.  A block is
+    compared with itself and with every block it shares a bucket with.
+    """
     bands = nodes.select("node", "size", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda b: F.xxhash64(b, F.substring(F.col("sig"), b * (4 * ROWS) + 1, F.lit(4 * ROWS)))
@@ -142,30 +148,37 @@ def _groups(nodes: DataFrame) -> DataFrame:
     shared = bands.groupBy("band").agg(
         F.count(F.lit(1)).alias("held"), F.min("node").alias("hub")).where("held > 1")
     members = written(bands.join(shared, "band"))
-    comp = written(components(members.select(F.col("node").alias("a"), F.col("hub").alias("b"))))
-    homes = written(members.groupBy("node", "size").agg(
-        F.min(F.struct("band", "held")).alias("home")).join(comp, "node").withColumnRenamed(
-            "root", "comp"))
-    sizes = written(homes.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.greatest(
+    near = written(members.groupBy("node", "size").agg(
+        F.min("hub").alias("hub"), F.min(F.struct("band", "held")).alias("home")))
+    far = written(members.select("band", "node").join(near.select("node", "hub"), "node").groupBy(
+        "band").agg(F.min("hub").alias("one")))
+    around = members.select("band", "node").join(far, "band").groupBy("node").agg(
+        F.min("one").alias("one"))
+    homes = written(near.join(around, "node"))
+    sizes = written(homes.groupBy("one").agg(F.count(F.lit(1)).alias("n"), F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_NODES),
         F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
     salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("home.held") / BLOCK_NODES))
-    placed = written(join_counted(homes, sizes, ["comp"], "n", homes.count()).select(
-        "node", "comp", "blocks",
-        F.pmod(F.xxhash64("home.band", salt), F.col("blocks")).cast("int").alias("block")))
-    single = placed.where("blocks = 1").select(
-        "node", "comp", "blocks", F.lit(0).alias("one"), F.lit(0).alias("two"), "block")
-    cut = placed.where("blocks > 1")
-    touched = members.select("node", "band").join(cut, "node").select(
-        "comp", "band", "block").distinct()
-    pairs = touched.withColumnRenamed("block", "one").join(
-        touched.withColumnRenamed("block", "two"), ["comp", "band"]).where("one <= two").select(
-            "comp", "one", "two").distinct()
-    ends = pairs.select("comp", "one", "two", F.explode(F.array_distinct(
-        F.array("one", "two"))).alias("block"))
-    split = cut.join(ends, ["comp", "block"]).select(
-        "node", "comp", "blocks", "one", "two", "block")
-    return single.unionByName(split)
+    placed = written(join_counted(homes, sizes, ["one"], "n", homes.count()).select(
+        "node", "one",
+        F.pmod(F.xxhash64("home.band", salt), F.col("blocks")).cast("int").alias("block1")))
+    touched = written(members.select("node", "band").join(placed, "node").select(
+        "band", "one", "block1").distinct())
+    other = touched.select("band", F.col("one").alias("two"), F.col("block1").alias("block2"))
+    pairs = written(touched.join(other, "band").where(
+        (F.col("one") < F.col("two"))
+        | ((F.col("one") == F.col("two")) & (F.col("block1") < F.col("block2")))).select(
+            "one", "block1", "two", "block2").distinct())
+    pair = [F.col(c).alias(f"p_{c}") for c in ("one", "block1", "two", "block2")]
+    ends = pairs.select(F.col("one"), F.col("block1"), *pair, F.lit(False).alias("second")).unionByName(
+        pairs.select(F.col("two").alias("one"), F.col("block2").alias("block1"), *pair,
+                     F.lit(True).alias("second")))
+    meets = placed.join(ends, ["one", "block1"]).select(
+        "node", F.col("p_one").alias("one"), F.col("p_block1").alias("block1"),
+        F.col("p_two").alias("two"), F.col("p_block2").alias("block2"), "second")
+    own = placed.select("node", "one", "block1", F.col("one").alias("two"),
+                        F.col("block1").alias("block2"), F.lit(False).alias("second"))
+    return own.unionByName(meets)
 
 
 def _linked(left: np.ndarray, right: np.ndarray, sigs: np.ndarray, shingles: list[np.ndarray],
@@ -222,9 +235,8 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
         copies = np.array([found[n][2] for n in nodes])
         every = np.arange(len(nodes))
         if cross:
-            block = np.array([found[n][3] for n in nodes])
-            i, j = _linked(every[block == block.min()], every[block != block.min()], sigs,
-                           shingles, threshold)
+            second = np.array([found[n][3] for n in nodes], bool)
+            i, j = _linked(every[~second], every[second], sigs, shingles, threshold)
         else:
             i, j = _linked(every, every, sigs, shingles, threshold)
         links = np.bincount(i, copies[j], len(nodes)) + np.bincount(j, copies[i], len(nodes))
@@ -244,19 +256,19 @@ def _verified(rows: DataFrame, threshold: float) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, found = None, {}
         for batch in batches:
-            for comp, one, two, node, block, sig, shingles, copies in zip(
+            for one, block1, two, block2, node, second, sig, shingles, copies in zip(
                     *(c.to_pylist() for c in batch.columns)):
-                if (comp, one, two) != now:
+                if (one, block1, two, block2) != now:
                     if found:
-                        yield group(found, now[1] != now[2])
-                    now, found = (comp, one, two), {}
-                found[node] = (sig, shingles, copies, block)
+                        yield group(found, now[:2] != now[2:])
+                    now, found = (one, block1, two, block2), {}
+                found[node] = (sig, shingles, copies, second)
         if found:
-            yield group(found, now[1] != now[2])
+            yield group(found, now[:2] != now[2:])
 
-    key = ["comp", "one", "two"]
+    key = ["one", "block1", "two", "block2"]
     return (
-        rows.select(*key, "node", "block", "sig", "shingles", "copies")
+        rows.select(*key, "node", "second", "sig", "shingles", "copies")
         .repartition(*key).sortWithinPartitions(*key)
         .mapInArrow(lean(work), "node binary, links long, root binary")
     )
@@ -293,15 +305,15 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.any_value("size").alias("size"), F.any_value("sig").alias("sig")))
     groups = written(_groups(nodes))
     taken = groups.groupBy("node").agg(
-        F.collect_list(F.struct("comp", "one", "two", "block")).alias("groups"))
+        F.collect_list(F.struct("one", "block1", "two", "block2", "second")).alias("groups"))
     wanted = nodes.join(taken, "node").select("node", "copies", "sig", "groups", "first")
     texts = docs.select(*row_key(), "text").join(
         wanted, F.col("__id").eqNullSafe(F.col("first.__id")) & (F.col("__th") == F.col("first.__th")))
     rows = _with_shingles(texts.select("text", "node", "copies", "sig", "groups")).select(
         "node", "copies", "sig", "shingles", F.inline("groups"))
     checked = written(_verified(rows, threshold))
-    # A group in one block is joined already; others meet through their roots.
-    several = groups.where("blocks > 1").select("node").distinct()
+    # A block that meets no other is joined already; others meet through their roots.
+    several = groups.where("one <> two OR block1 <> block2").select("node").distinct()
     met = checked.join(several, "node", "left_semi")
     roots = components(met.select(F.col("node").alias("a"), F.col("root").alias("b"))).select(
         "node", F.col("root").alias("top"))
