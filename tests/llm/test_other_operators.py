@@ -84,6 +84,18 @@ def test_pieces_are_the_tokenizers_ids(spark, tokenizer):
             assert [i for _, ids in pieces for i in ids] == want
 
 
+def test_runs_give_the_whole_texts_ids(tokenizer):
+    rng = random.Random(5)
+    bits = ["The", "the", "É", "é", "İ", "Σ", "ς", "ß", "don't", "'s", "'LL", ".", ",", ". ", ", ", ".,", "_.", "_",
+            "12", "5.", "\n", " ", "\t", "\u0301", "<|endoftext|>", "<|ENDOFTEXT|>", "?", "!. ", "日本", "。", "x1,",
+            "\u00a0", "\u2028", "\x1c", "😀", "µ", "Word, ", "a.b", "...", " ."]
+    ids_of = packing._word_ids(tokenizer_path())
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 12)))
+        got = np.frombuffer(b"".join(map(ids_of.__getitem__, packing._runs(text))), "<u4").tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def check_sequences(pieces, most):
     by_sequence = {}
     for p in pieces:
