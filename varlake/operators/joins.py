@@ -52,14 +52,9 @@ def _row_bytes(df: DataFrame) -> Column:
     return total.cast("long")
 
 
-def rows_at_most(frames: Mapping[str, DataFrame], n: int,
-                 limits_by_name: Mapping[str, int] | None = None, *,
-                 max_bytes: int = DEFAULT_LIMITS.max_broadcast_bytes,
-                 bytes_by_name: Mapping[str, int] | None = None) -> dict[str, bool]:
-    """Counts of several frames in one Spark job: for each name, whether that
-    frame has at most ``n`` rows and ``max_bytes`` bytes (or its own bounds from
-    ``limits_by_name`` and ``bytes_by_name``).  Every task ships one sum per
-    frame; no row leaves its task."""
+def measured(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int]]:
+    """(rows, bytes) of several frames in one Spark job.  Every task ships one
+    sum per frame; no row leaves its task."""
     if not frames:
         return {}
     parts = [
@@ -71,10 +66,20 @@ def rows_at_most(frames: Mapping[str, DataFrame], n: int,
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
+    return {r["name"]: (r["rows"], r["bytes"]) for r in union.collect()}
+
+
+def rows_at_most(frames: Mapping[str, DataFrame], n: int,
+                 limits_by_name: Mapping[str, int] | None = None, *,
+                 max_bytes: int = DEFAULT_LIMITS.max_broadcast_bytes,
+                 bytes_by_name: Mapping[str, int] | None = None) -> dict[str, bool]:
+    """For each name (see :func:`measured`) whether that frame has at most
+    ``n`` rows and ``max_bytes`` bytes (or its own bounds from
+    ``limits_by_name`` and ``bytes_by_name``)."""
     return {
-        r["name"]: r["rows"] <= (limits_by_name or {}).get(r["name"], n)
-        and r["bytes"] <= (bytes_by_name or {}).get(r["name"], max_bytes)
-        for r in union.collect()
+        name: rows <= (limits_by_name or {}).get(name, n)
+        and size <= (bytes_by_name or {}).get(name, max_bytes)
+        for name, (rows, size) in measured(frames).items()
     }
 
 
@@ -265,6 +270,7 @@ def annotate_by_key(
     key: Sequence[str] = KEY,
     strategy: str = "auto",
     variants_bounded: bool | None = None,
+    variant_rows: int | None = None,
     distinct_tables: bool = False,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
@@ -279,6 +285,8 @@ def annotate_by_key(
     ``'auto'`` - ``'reduce'`` when ``variants`` is within
     ``limits.max_variant_rows`` and ``max_variant_bytes``, else ``'keys'``.
 
+    ``variant_rows`` is a known bound on the rows of ``variants``: up to
+    ``hot_key_rows`` no key can be hot, and none is looked for.
     ``distinct_tables`` drops repeated rows of each (reduced) table first.
     """
     key = list(key)
@@ -287,14 +295,15 @@ def annotate_by_key(
     if strategy == "auto":
         bounded = variants_bounded
         if bounded is None:
-            bounded = row_count_at_most(variants.select(*key), limits.max_variant_rows,
-                                        limits.max_variant_bytes)
+            variant_rows, size = measured({"keys": variants.select(*key)})["keys"]
+            bounded = variant_rows <= limits.max_variant_rows and size <= limits.max_variant_bytes
         strategy = "reduce" if bounded else "keys"
 
     if strategy == "reduce":
         keys = F.broadcast(variants.select(*key).distinct())
         # Salted once: consecutive joins on (key, salt) keep one partitioning.
-        hot = _hot_keys(variants, key, None, limits)
+        cold = variant_rows is not None and variant_rows <= limits.hot_key_rows
+        hot = None if cold else _hot_keys(variants, key, None, limits)
         out = _salted(variants, key, hot, null_safe=False)
         for t in tables:
             if isinstance(t, Derived):

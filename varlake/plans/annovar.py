@@ -38,7 +38,7 @@ from varlake.operators.genes import (
     attach_omim,
     attach_orphanet_by_symbol,
 )
-from varlake.operators.joins import annotate_by_key, project_annotation, rows_at_most
+from varlake.operators.joins import annotate_by_key, measured, project_annotation
 from varlake.operators.known import KNOWN_SOURCES, flag_known, known_tables
 from varlake.operators.ordering import chromosome_order
 
@@ -112,14 +112,14 @@ def filter_annovar(
               "orphanet": tables.orphanet_gene, "gencc": tables.gencc}
     if strategy == "auto" and variants_bounded is None:
         checks["variants"] = v.select(*KEY)
-    small = rows_at_most(checks, limits.max_broadcast_rows,
-                         {"variants": limits.max_variant_rows},
-                         max_bytes=limits.max_broadcast_bytes,
-                         bytes_by_name={"variants": limits.max_variant_bytes})
-    if strategy == "auto" and variants_bounded is None:
-        variants_bounded = small.pop("variants")
+    sizes = measured(checks)
+    rows, size = sizes.pop("variants", (None, None))
+    if rows is not None:
+        variants_bounded = rows <= limits.max_variant_rows and size <= limits.max_variant_bytes
+    small = {name: n <= limits.max_broadcast_rows and b <= limits.max_broadcast_bytes
+             for name, (n, b) in sizes.items()}
     v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy,
-                        variants_bounded=variants_bounded, limits=limits)
+                        variants_bounded=variants_bounded, variant_rows=rows, limits=limits)
     v = v.withColumn("max_gnomad_topmed", max_frequency(ANNOVAR_FREQUENCIES))
     v = flag_rare(v, maf, freq="max_gnomad_topmed")
     v = flag_damaging(v, dpc_l, dpc_u, require_damaging=require_damaging)

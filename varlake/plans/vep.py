@@ -48,8 +48,8 @@ from varlake.operators.genes import (
 from varlake.operators.joins import (
     Derived,
     annotate_by_key,
+    measured,
     project_annotation,
-    rows_at_most,
 )
 from varlake.operators.known import KNOWN_SOURCES, flag_known, known_tables
 from varlake.operators.ordering import chromosome_order
@@ -167,7 +167,8 @@ def filter_vep(
     if missing:
         v = v.withColumns({c: F.lit(None).cast("string") for c in missing})
     input_cols = v.columns
-    v = base = keep_consequences(v, consequences, split_terms=split_terms).distinct()
+    kept = keep_consequences(v, consequences, split_terms=split_terms)
+    v = base = kept.distinct()
 
     key_tables, absent = _key_tables(tables, source, known_variants)
     omim_genes = omim_by_gene(tables.omim_gene)
@@ -182,16 +183,17 @@ def filter_vep(
     if tables.genes is not None:
         checks["genes"] = tables.genes
     if strategy == "auto" and variants_bounded is None:
-        checks["variants"] = v.select(*KEY)
-    small = rows_at_most(checks, limits.max_broadcast_rows,
-                         {"variants": limits.max_variant_rows},
-                         max_bytes=limits.max_broadcast_bytes,
-                         bytes_by_name={"variants": limits.max_variant_bytes})
-    if strategy == "auto" and variants_bounded is None:
-        variants_bounded = small.pop("variants")
+        checks["variants"] = kept.select(*KEY)
+    sizes = measured(checks)
+    rows, size = sizes.pop("variants", (None, None))
+    if rows is not None:
+        variants_bounded = rows <= limits.max_variant_rows and size <= limits.max_variant_bytes
+    small = {name: n <= limits.max_broadcast_rows and b <= limits.max_broadcast_bytes
+             for name, (n, b) in sizes.items()}
 
     v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy,
-                        variants_bounded=variants_bounded, distinct_tables=True, limits=limits)
+                        variants_bounded=variants_bounded, variant_rows=rows,
+                        distinct_tables=True, limits=limits)
     if absent:
         v = v.withColumns({c: F.lit(None).cast(t) for c, t in absent.items()})
 
