@@ -375,6 +375,38 @@ def test_search_recall_and_exact_scores(spark, monkeypatch):
     assert found >= 0.95 * 20 * len(got)
 
 
+def norms_of(kind, n):
+    """One vector of 3, 3.5 or 1e6 times the norm of all others, or lognormal norms."""
+    if kind == "lognormal":
+        return np.random.default_rng(5).lognormal(0, 1, n)
+    return np.where(np.arange(n) == 7, kind, 1.0)
+
+
+@pytest.mark.parametrize("kind", [3.0, 3.5, 1e6, "lognormal"])
+def test_search_finds_all_whatever_the_norms(spark, kind):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(2000, 64))
+    x *= (norms_of(kind, len(x)) / np.linalg.norm(x, axis=1))[:, None]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                                  "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(frame, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    assert sorted(got) == list(range(0, 2000, 20))
+    for q, found in got.items():
+        assert [found[n] for n in range(1, 21)] == brute_nearest(np.arange(2000), x, q)[0]
+
+
+def test_one_long_vector_leaves_as_many_pivots(spark):
+    x = np.random.default_rng(6).normal(size=(600, 64))
+    x *= (norms_of(3.5, len(x)) / np.linalg.norm(x, axis=1))[:, None]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.repeat(x, 2, axis=0))],
+                                  "vec_id long, v array<double>")
+    pivots = ann.choose_pivots(frame, 3.5)
+    assert len(pivots) == ann.PIVOTS == len(np.unique(pivots, axis=0))
+    assert len(ann.choose_pivots(frame.where("vec_id < 40"), 3.5)) == 20
+
+
 def test_search_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (20, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]),

@@ -6,6 +6,9 @@ among their ``POSTED`` nearest, by its place in their order.  A query reads the
 files of its own ``READ`` nearest pivots, sums how far the places differ
 (Spearman's footrule, a vector that isn't listed standing behind the last
 place), and reranks the best share of the block by the inner product itself.
+Of the other vectors, those are reranked too whose norm and angles to pivots
+don't exclude an inner product as large as the ``k``-th found: the order of the
+footrules decides how much is read, never what is found.
 
 Nearness is the inner product.  Vectors, and so the pivots chosen from them,
 get one more component that makes all norms equal; queries get a 0 there.
@@ -30,11 +33,12 @@ from varlake.llm.common import written
 
 PIVOTS = 256
 PIVOT_SAMPLE = 2048  # rows the pivots are chosen from
-ALIKE = 0.9  # cosine from which two vectors make but one pivot
 POSTED = 128
 READ = 64
 SHARE = 0.3  # of a block that is reranked for a query
 LEAST = 200  # vectors of a block that are reranked at least
+BOUNDING = 8  # nearest pivots whose angles bound a query's inner products
+SLACK = 1e-6  # of the product of the norms, for rounding in the bounds
 BLOCK_ROWS = 4096  # vectors of a block, about
 CHUNK_ROWS = 2048  # queries that meet a block at once, about
 
@@ -64,20 +68,29 @@ def lifted(vectors: np.ndarray, norm: float) -> np.ndarray:
 
 def choose_pivots(rows: DataFrame, norm: float, pivots: int = PIVOTS) -> np.ndarray:
     """Lifted vectors of a hash sample of ``PIVOT_SAMPLE`` rows, scaled to 1,
-    no two alike: a crowd of near copies gives one pivot."""
+    each the farthest from those before it and no two equal."""
     sample = rows.orderBy(F.xxhash64("vec_id"), "v").limit(PIVOT_SAMPLE).select("v").collect()
     if not sample:
         return np.zeros((0, 0))
-    found = lifted(np.array([r["v"] for r in sample]), norm) / norm
-    chosen: list[int] = []
-    closest = np.full(len(found), -1.0)  # cosine to the nearest pivot so far
-    for i in range(len(found)):
-        if closest[i] < ALIKE and len(chosen) < pivots:
-            chosen.append(i)
-            np.maximum(closest, found @ found[i], out=closest)
+    return farthest_first(lifted(np.array([r["v"] for r in sample]), norm) / norm, pivots)
+
+
+def farthest_first(found: np.ndarray, pivots: int) -> np.ndarray:
+    """Up to ``pivots`` rows, the first one and then the farthest from all before."""
+    chosen, apart = [0], ((found - found[0]) ** 2).sum(axis=1)
+    while len(chosen) < pivots and apart.max() > 0:
+        chosen.append(int(apart.argmax()))
+        np.minimum(apart, ((found - found[chosen[-1]]) ** 2).sum(axis=1), out=apart)
     return found[chosen]
 
 
+def _units(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Norms, and the vectors scaled to 1."""
+    norms = np.sqrt((vectors**2).sum(axis=1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return norms, vectors / norms[:, None]
+
+
 def _places(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """The place of each pivot in each lifted vector's order, nearest first."""
     order = np.argsort(-(vectors @ pivots.T), axis=1, kind="stable")
@@ -101,6 +114,11 @@ class BlockIndex:
         places = _places(lifted(self.vectors, norm), pivots)
         # files[p]: each vector's place of pivot p; those not posted stand behind.
         self.files = np.minimum(places, self.behind).T.copy()
+        # Cosines and sines of the angles between pivots and vectors, as they are unlifted.
+        self.norms, units = _units(self.vectors)
+        self.directions = _units(pivots[:, :-1])[1]
+        self.cosines = np.clip(self.directions @ units.T, -1, 1)
+        self.sines = np.sqrt(1 - self.cosines**2)
 
     def footrules(self, places: np.ndarray) -> np.ndarray:
         """Footrule distance of all vectors to a query's pivot places."""
@@ -110,21 +128,45 @@ class BlockIndex:
         np.abs(apart, out=apart)
         return np.add.reduce(apart, axis=0, dtype=np.int32)
 
+    def within_reach(self, rows: np.ndarray, query: np.ndarray, places: np.ndarray, least: float
+                     ) -> np.ndarray:
+        """Those of ``rows`` whose inner product may be ``least`` or more.  Two
+        vectors' angle is at least the difference of their angles to any pivot."""
+        norm = np.sqrt((query**2).sum())
+        reach = norm * self.norms[rows]
+        near = ~(reach * (1 + SLACK) < least)  # what can't be computed stays
+        rows, reach = rows[near], reach[near]
+        closest = np.full(len(rows), 1.0)  # cosine at most
+        for p in np.argsort(places, kind="stable")[:BOUNDING]:
+            cosine = np.clip(self.directions[p] @ query / norm, -1, 1)
+            np.minimum(closest, self.cosines[p, rows] * cosine
+                       + self.sines[p, rows] * np.sqrt(1 - cosine**2), out=closest)
+        return rows[~(reach * (closest + SLACK) < least)]
+
     def nearest(self, query_id: int, query: np.ndarray, places: np.ndarray, k: int
                 ) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the best ``k`` after reranking."""
+        others = self.ids != query_id
         wanted = max(LEAST, k, int(SHARE * len(self.ids)))
         if wanted < len(self.ids):
             distance = self.footrules(places)
             edge = np.partition(distance, wanted - 1)[wanted - 1]
-            rows = np.flatnonzero(distance <= edge)  # and all that tie
+            first = distance <= edge  # and all that tie
+            scores = self._scores(np.flatnonzero(first & others), query)
+            rest = np.flatnonzero(~first & others)
+            if len(scores) >= k:
+                rest = self.within_reach(rest, query, places, np.partition(scores, -k)[-k])
+            rows = np.concatenate([np.flatnonzero(first & others), rest])
+            scores = np.concatenate([scores, self._scores(rest, query)])
         else:
-            rows = np.arange(len(self.ids))
-        rows = rows[self.ids[rows] != query_id]
-        scores = np.einsum("ij,j->i", self.vectors[rows], query)  # alike rows score alike
+            rows = np.flatnonzero(others)
+            scores = self._scores(rows, query)
         best = np.lexsort((self.ids[rows], -scores))[:k]
         return self.ids[rows][best], scores[best]
 
+    def _scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,j->i", self.vectors[rows], query)  # alike rows score alike
+
 
 def search(embeddings: DataFrame, queries: Column, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each
