@@ -252,6 +252,27 @@ def test_scores_hold_out_and_generalise(spark, which, modulus, rest):
     assert total > 100 and right >= 0.97 * total
 
 
+def test_terms_harmless_alone_are_learned_in_pairs(spark):
+    """An insult and a group that are each mostly clean alone are toxic
+    together; a word of context makes a plain insult harmless."""
+    rng = random.Random(9)
+    common = [f"word{i}" for i in range(200)]
+    kinds = [(["weasel", "martians"], 1), (["scum"], 1), (["scum"], 1), (["scum"], 1),
+             (["scum", "pond"], 0), *[(["weasel"], 0)] * 8, *[(["martians"], 0)] * 7]
+    rows, marks = [], []
+    for i in range(4000):
+        words, toxic = kinds[i % len(kinds)]
+        text = [rng.choice(common) for _ in range(rng.randrange(20, 100))] + words
+        rng.shuffle(text)
+        rows.append((i, " ".join(text), "en", 0.0, 0))
+        marks.append((i, 1, toxic, "x"))
+    got = toxicity.toxicity(documents(spark, rows), labels(spark, marks)).where("held_out").collect()
+    for words in (["weasel", "martians"], ["scum"], ["scum", "pond"], ["weasel"], ["martians"]):
+        some = [r["predicted"] for r in got if kinds[r["doc_id"] % len(kinds)][0] == words]
+        wrong = sum(p != dict((tuple(w), y) for w, y in kinds)[tuple(words)] for p in some)
+        assert len(some) > 30 and wrong <= 0.05 * len(some), (words, wrong, len(some))
+
+
 def test_scores_do_not_see_held_out_labels(spark):
     rows, marks = toxic_case(400)
     turned = [(i, 1 - q, 1 - t, x) if crc_text(i) % 4 == 2 else (i, q, t, x) for i, q, t, x in marks]

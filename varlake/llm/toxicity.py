@@ -3,9 +3,15 @@
 Terms are a text's distinct words and the first bytes of its longer words,
 hashed into ``BUCKETS``.  On labelled texts (a bounded sample, near copies
 counted once) the buckets that toxic texts hold more often than chance are
-chosen; over these the machine learns a weight per term and an interaction per
-pair of terms, such as an insult with a mention of a group, through factors of
-``FACTORS`` numbers each.
+chosen, and their partners: terms that may be neutral or lean to clean alone,
+but make a pair with another term that is more often toxic than either, or
+make a chosen term harmless.  Over these the machine learns a weight per term
+and an interaction per pair of terms, such as an insult with a mention of a
+group, through factors of ``FACTORS`` numbers each.
+
+Pairs are counted among the chosen terms and ``CANDIDATES`` others: half are
+those that most toxic texts hold, half those that lean most to clean in texts
+with a chosen term.
 
 Defined cases: null and empty texts score as texts without terms.  No labelled
 row: every score is 0.  Rows of one doc_id each get a score.  A null doc_id is
@@ -20,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +39,8 @@ MAX_TRAINING_ROWS = 50_000  # labelled documents learned from, at most about
 MAX_TERMS = 4096
 LEAST_Z = 6.0  # standard deviations above chance
 LEAST_TOXIC = 5  # toxic texts that hold a term
+CANDIDATES = 2048  # other terms of which pairs are counted, at most
+PARTNERS = 1024  # of them that are learned from, at most
 FACTORS = 8
 EPOCHS = 20
 BATCH = 512  # texts of a step, at most
@@ -80,15 +88,17 @@ def _labelled_terms(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return chosen.select("text", "__y").mapInArrow(lean(work), "y int, near long, terms binary")
 
 
-def _term_counts(rows: DataFrame) -> DataFrame:
-    """``bucket, toxic, clean``: labelled texts of either kind that hold a term,
-    summed in each task before the shuffle."""
+def _term_counts(rows: DataFrame, beside: np.ndarray | None = None) -> DataFrame:
+    """``bucket, toxic, clean``: labelled texts of either kind that hold a term
+    (and one of ``beside``, if given), summed in each task before the shuffle."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS), np.int32)
         for batch in batches:
             for y, terms in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[y, np.frombuffer(terms, "<u4")] += 1
+                held = np.frombuffer(terms, "<u4")
+                if beside is None or np.isin(held, beside, kind="sort").any():
+                    counts[y, held] += 1
         held = np.flatnonzero(counts.any(axis=0))
         for at in range(0, len(held), 1 << 16):
             part = held[at:at + (1 << 16)]
@@ -143,15 +153,16 @@ def fit_machine(terms: np.ndarray, y: np.ndarray, texts: list[np.ndarray],
         for at in range(0, len(order), size):
             batch = order[at:at + size]
             row = np.repeat(np.arange(len(batch)), [len(texts[i]) for i in batch])
-            term = np.concatenate([texts[i] for i in batch]).astype(np.int64)
-            now = Machine(terms, float(params["bias"][0]), params["weights"], params["factors"])
-            wrong = (_sigmoid(now.logits(row, term, len(batch))) - y[batch]) / len(batch)
-            v = params["factors"][term]
-            sums = np.stack([np.bincount(row, v[:, f], len(batch)) for f in range(FACTORS)], 1)
-            pull = wrong[row]
-            g = {"bias": np.array([wrong.sum()]), "weights": np.bincount(term, pull, n),
-                 "factors": np.stack([np.bincount(term, pull * (sums[row, f] - v[:, f]), n)
-                                      for f in range(FACTORS)], 1)}
+            held = np.zeros((len(batch), n))
+            held[row, np.concatenate([texts[i] for i in batch]).astype(np.int64)] = 1
+            v = params["factors"]
+            sums, squares = held @ v, held @ (v**2).sum(axis=1)
+            logits = params["bias"][0] + held @ params["weights"] + 0.5 * (
+                (sums**2).sum(axis=1) - squares)
+            wrong = (_sigmoid(logits) - y[batch]) / len(batch)
+            pull = wrong @ held
+            g = {"bias": np.array([wrong.sum()]), "weights": pull,
+                 "factors": held.T @ (wrong[:, None] * sums) - v * pull[:, None]}
             step += 1
             for k, p in params.items():
                 grad = g[k] + decay[k] * p
@@ -162,6 +173,35 @@ def fit_machine(terms: np.ndarray, y: np.ndarray, texts: list[np.ndarray],
     return Machine(terms, float(params["bias"][0]), params["weights"], params["factors"])
 
 
+def partners(bits: np.ndarray, y: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """Up to ``PARTNERS`` terms of which a pair deviates from the more toxic of
+    its terms.  ``bits`` has the terms of each text, packed, and ``alone`` says
+    which terms are chosen on their own; these aren't returned."""
+    n = len(alone)
+    both = np.zeros((2, n, n), np.float32)  # clean, toxic texts that hold two terms
+    for kind in (0, 1):
+        some = bits[y == kind]
+        for at in range(0, len(some), 4096):
+            held = np.unpackbits(some[at:at + 4096], axis=1, count=n).astype(np.float32)
+            both[kind] += held.T @ held
+    clean, toxic = both[0].diagonal(), both[1].diagonal()
+    rate = toxic / np.maximum(toxic + clean, 1)
+    best = np.zeros(n)
+    for at in range(0, n, 256):
+        part = slice(at, at + 256)
+        c, t = both[0, part], both[1, part]
+        chance = np.clip(np.maximum.outer(rate[part], rate), y.mean(), 1 - 1e-3)
+        z = (t - (t + c) * chance) / np.sqrt((t + c) * chance * (1 - chance) + 1e-9)
+        worse = (z >= LEAST_Z) & (t >= LEAST_TOXIC)
+        harmless = (z <= -LEAST_Z) & (c >= LEAST_TOXIC) & (alone[part, None] != alone)
+        z = np.where(worse | harmless, np.abs(z), 0)
+        z[np.arange(len(z)), np.arange(at, at + len(z))] = 0
+        best[part] = z.max(axis=1)
+    best[alone] = 0
+    found = np.flatnonzero(best)
+    return np.sort(found[np.lexsort((found, -best[found]))][:PARTNERS])
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int = 4,
           rest: int = 2, max_rows: int = MAX_TRAINING_ROWS) -> Machine | None:
     """The machine learned from documents with a label whose id's remainder is
@@ -175,26 +215,43 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int
     held = F.col("toxic") + F.col("clean")
     chance = F.lit(toxic / n)
     z = (F.col("toxic") - held * chance) / F.sqrt(held * chance * (1 - chance) + 1e-9)
-    best = (
-        _term_counts(rows).withColumn("z", z).where((F.col("z") >= LEAST_Z) & (F.col("toxic") >= LEAST_TOXIC))
-        .orderBy(F.col("z").desc(), "bucket").limit(MAX_TERMS).select("bucket").collect()
-    )
-    terms = np.array(sorted(r["bucket"] for r in best), np.int64)
+    counts = written(_term_counts(rows).withColumn("z", z))
+
+    def buckets(found: DataFrame, most: int, *order: Column) -> np.ndarray:
+        rows = found.orderBy(*order, "bucket").limit(most).select("bucket").collect()
+        return np.array(sorted(r["bucket"] for r in rows), np.int64)
+
+    toxic_alone = (F.col("z") >= LEAST_Z) & (F.col("toxic") >= LEAST_TOXIC)
+    lean_to_toxic = buckets(counts.where(toxic_alone), MAX_TERMS, F.col("z").desc())
+    most = min(CANDIDATES, MAX_TERMS - len(lean_to_toxic)) // 2
+    others = counts.where(~toxic_alone)
+    often = buckets(others.where(F.col("toxic") >= LEAST_TOXIC), most, F.col("toxic").desc())
+    beside = _term_counts(rows, lean_to_toxic).withColumn("z", z).where(
+        (F.col("clean") >= LEAST_TOXIC) & (F.col("z") < 0)).join(
+            others.select("bucket"), "bucket")
+    soothing = buckets(beside, most, F.col("z"))
+    counted = np.unique(np.concatenate([lean_to_toxic, often, soothing]))
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for binary in batch.column(1).to_pylist():
-                _, at, _ = np.intersect1d(terms, np.frombuffer(binary, "<u4"), True, True)
-                out.append(at.astype("<u2").tobytes())
+                out.append(np.packbits(np.isin(counted, np.frombuffer(binary, "<u4"))).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())],
                                              names=["y", "terms"])
 
-    # About max_rows rows of at most MAX_TERMS small numbers, a few as a rule.
+    # About max_rows rows of at most MAX_TERMS bits.
     learned = rows.select("y", "terms").mapInArrow(lean(chosen), "y int, terms binary").collect()
     learned.sort(key=lambda r: (r["terms"], r["y"]))
-    return fit_machine(terms, np.array([r["y"] for r in learned], float),
-                       [np.frombuffer(r["terms"], "<u2") for r in learned])
+    y = np.array([r["y"] for r in learned], float)
+    bits = np.frombuffer(b"".join(r["terms"] for r in learned), np.uint8).reshape(len(y), -1)
+    alone = np.isin(counted, lean_to_toxic)
+    taken = alone.copy()
+    taken[partners(bits, y, alone)] = True
+    place = np.cumsum(taken) - 1
+    texts = [place[np.flatnonzero(np.unpackbits(b, count=len(counted)) & taken)].astype(np.uint16)
+             for b in bits]
+    return fit_machine(counted[taken], y, texts)
 
 
 def score_texts(docs: DataFrame, machine: Machine | None, name: str = "score") -> DataFrame:
