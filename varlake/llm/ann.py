@@ -2,7 +2,8 @@
 
 A vector is represented by its nearest pivots in order.  The rows are dealt to
 blocks; in a block, each pivot's inverted file lists the vectors that have it
-among their ``POSTED`` nearest, by its place in their order.  A query reads the
+among their ``POSTED`` nearest, by its place in their order (held as a dense
+array of pivots by vectors, those not listed standing behind).  A query reads the
 files of its own ``READ`` nearest pivots, sums how far the places differ
 (Spearman's footrule, a vector that isn't listed standing behind the last
 place), and reranks the best share of the block by the inner product itself.
