@@ -273,6 +273,23 @@ def test_terms_harmless_alone_are_learned_in_pairs(spark):
         assert len(some) > 30 and wrong <= 0.05 * len(some), (words, wrong, len(some))
 
 
+def test_texts_that_share_a_passage_are_all_learned_from(spark, monkeypatch):
+    """Only near copies of one label are copies; which is kept doesn't hang on the order."""
+    passage = [f"line{i}" for i in range(40)]
+    texts = [" ".join([*passage, *(f"own{i}x{j}" for j in range(80))]) for i in range(20)]
+    rows = [(i, t + w, "en", 0.0, 0) for i, (t, w) in enumerate(
+        [*((t, "") for t in texts), (texts[0], " scum"), (texts[1], ""), (texts[2].upper(), "")])]
+    marks = [(i, 1, int(i == 20), "x") for i in range(len(rows))]
+    seen, work = [], toxicity._term_counts
+    monkeypatch.setattr(toxicity, "_term_counts", lambda rows, *a: seen.append(
+        sorted((r["y"], r["terms"]) for r in rows.collect())) or work(rows, *a))
+    for n in (1, 5):
+        toxicity.train(documents(spark, rows).repartition(n), labels(spark, marks), rest=-1)
+    assert seen[0] == seen[-1] and sum(y for y, _ in seen[0]) == 1
+    # All but the two copies, though most share their least shingle.
+    assert len(seen[0]) >= 19
+
+
 def test_scores_do_not_see_held_out_labels(spark):
     rows, marks = toxic_case(400)
     turned = [(i, 1 - q, 1 - t, x) if crc_text(i) % 4 == 2 else (i, q, t, x) for i, q, t, x in marks]

@@ -2,7 +2,7 @@
 
 Terms are a text's distinct words and the first bytes of its longer words,
 hashed into ``BUCKETS``.  On labelled texts (a bounded sample, near copies
-counted once) the buckets that toxic texts hold more often than chance are
+of one label counted once) the buckets that toxic texts hold more often than chance are
 chosen, and their partners: terms that may be neutral or lean to clean alone,
 but make a pair with another term that is more often toxic than either, or
 make a chosen term harmless.  Over these the machine learns a weight per term
@@ -36,6 +36,7 @@ from varlake.llm.labelled import is_held_out, training_labels
 BUCKETS = 1 << 22
 PREFIXES = (4, 5)  # bytes of a longer word that are terms of their own
 MAX_TRAINING_ROWS = 50_000  # labelled documents learned from, at most about
+NEAR = 4  # least shingle hashes in which near copies agree
 MAX_TERMS = 4096
 LEAST_Z = 6.0  # standard deviations above chance
 LEAST_TOXIC = 5  # toxic texts that hold a term
@@ -61,9 +62,10 @@ def text_terms(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _labelled_terms(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``y``, ``near`` (equal for most near copies) and ``terms`` (binary,
+    """``y``, ``near`` (the least ``NEAR`` shingle hashes, equal for many near
+    copies) and ``terms`` (binary,
     distinct buckets as unsigned 32-bit) of each labelled document."""
-    schema = pa.schema([("y", pa.int32()), ("near", pa.int64()), ("terms", pa.binary())])
+    schema = pa.schema([("y", pa.int32()), ("near", pa.binary()), ("terms", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,18 +76,18 @@ def _labelled_terms(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 pairs = np.unique(text * BUCKETS + bucket)
                 first = np.searchsorted(pairs, np.arange(j - i + 1) * BUCKETS)
                 terms = (pairs % BUCKETS).astype("<u4")
-                near = [shingle_hashes(words.hashes[a:b], 5)[:1].view(np.int64).tolist()
+                near = [shingle_hashes(words.hashes[a:b], 5)[:NEAR].tobytes()
                         for a, b in zip(words.first, words.first[1:])]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(label[i:j], pa.int32()),
-                    pa.array([x[0] if x else 0 for x in near], pa.int64()),
+                    pa.array(near, pa.binary()),
                     pa.array([terms[a:b].tobytes() for a, b in zip(first, first[1:])]),
                 ], schema=schema)
 
     # At most about MAX_TRAINING_ROWS rows of two numbers.
     chosen = docs.select("doc_id", "text").join(
         F.broadcast(labels), F.col("doc_id") == F.col("__lid"))
-    return chosen.select("text", "__y").mapInArrow(lean(work), "y int, near long, terms binary")
+    return chosen.select("text", "__y").mapInArrow(lean(work), "y int, near binary, terms binary")
 
 
 def _term_counts(rows: DataFrame, beside: np.ndarray | None = None) -> DataFrame:
@@ -207,7 +209,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int
     """The machine learned from documents with a label whose id's remainder is
     not ``rest``; None without such rows."""
     y = training_labels(labels, label, modulus, rest, max_rows)
-    rows = written(written(_labelled_terms(docs, y)).dropDuplicates(["near"]))
+    rows = written(written(_labelled_terms(docs, y)).groupBy("near", "y").agg(
+        F.min("terms").alias("terms")))
     totals = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("toxic")).first()
     n, toxic = totals["n"], totals["toxic"] or 0
     if not n:
