@@ -30,6 +30,6 @@ def test_every_operator_and_the_pipeline_are_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {int(n[2:].split("_")[0]) for n in queries.queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.queries()} == set(range(1, 14))
     assert set(queries.queries()) | {"pipeline"} <= set(names)
     assert set(entry.oracle_sql()) <= set(names)

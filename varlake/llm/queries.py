@@ -6,6 +6,7 @@ derives the columns that the query returns from the operator's own.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,6 +141,54 @@ def op10_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_pair_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents that score highest for each benchmark item."""
+    from varlake.llm.pair_maxscore import search_items
+
+    return search_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def planted_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words whose runs are wanted: every tenth document, by a hash of its
+    id, becomes periodic from some word on.  A null id plants nothing."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n = len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, and its words without them."""
+    from varlake.llm.periodic import find_runs
+
+    found = find_runs(_table(spark, sf_dir, "documents"), rewrite=planted_words)
+    # The greatest length; of these the smallest start, then period.
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    found = found.withColumn("__longest", longest)
+    length, period = F.col("__longest.length"), -F.col("__longest.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("__longest.start")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        digest(F.array_join(lines, "")).alias("runs_sha256"),
+        digest(F.col("kept_text")).alias("collapsed_sha256"))
+
+
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    from varlake.llm.winnowing import fingerprint_neighbours
+
+    return fingerprint_neighbours(_table(spark, sf_dir, "documents"))
+
+
 ORACLE_6 = """
 WITH words AS (
     SELECT doc_id, regexp_extract_all(
@@ -211,6 +260,40 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 
+ORACLE_11 = """
+WITH d AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents WHERE text IS NOT NULL
+), sizes AS (
+    SELECT doc_id, r, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0
+), total AS (
+    SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sizes
+), wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t
+    FROM benchmark WHERE text IS NOT NULL
+), posts AS (
+    SELECT r, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS t FROM d)
+    WHERE t IN (SELECT t FROM wanted) GROUP BY r, t
+), weights AS (
+    SELECT t, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM posts, total GROUP BY t
+), scores AS (
+    SELECT item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) //
+        (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+    FROM wanted JOIN posts USING (t) JOIN weights USING (t) JOIN sizes USING (r), total
+    GROUP BY item_id, doc_id, r
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS nth
+    FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(nth AS INTEGER) AS rank, doc_id, score FROM ranked WHERE nth <= 50
+"""
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_url_filter": (op1_url_filter, _oracle_1()),
     "op2_packing": (op2_packing, None),
@@ -222,6 +305,9 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_warc": (op8_warc, None),
     "op9_line_dedup": (op9_line_dedup, ORACLE_9),
     "op10_permutation_search": (op10_permutation_search, None),
+    "op11_pair_maxscore": (op11_pair_maxscore, ORACLE_11),
+    "op12_periodic_runs": (op12_periodic_runs, None),
+    "op13_winnowing": (op13_winnowing, None),
 }
 
 
