@@ -61,9 +61,11 @@ def array_to_bracket_text(c: str | Column, null_if_empty: bool = True) -> Column
     return text
 
 
-def stringify_nested(df: DataFrame, sep: str = ",") -> DataFrame:
+def stringify_nested(df: DataFrame, sep: str = ",", *, null_arrays: bool = False) -> DataFrame:
     """Struct and map columns -> JSON text, array columns -> ``sep``
-    joined text, so the frame can be written as delimited text."""
+    joined text, so the frame can be written as delimited text.  A NULL array
+    is empty text, or stays NULL with ``null_arrays``."""
+    joined = F.array_join if null_arrays else lambda a, by: F.concat_ws(by, a)
     cols = []
     for f in df.schema.fields:
         name = f"`{f.name}`"
@@ -75,7 +77,7 @@ def stringify_nested(df: DataFrame, sep: str = ",") -> DataFrame:
                 as_text = F.transform(F.col(name), lambda x: F.to_json(x))
             else:
                 as_text = F.transform(F.col(name), lambda x: x.cast("string"))
-            cols.append(F.concat_ws(sep, as_text).alias(f.name))
+            cols.append(joined(as_text, sep).alias(f.name))
         else:
             cols.append(F.col(name))
     return df.select(cols)

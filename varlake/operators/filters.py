@@ -119,9 +119,9 @@ def flag_damaging(
     applies the stated intent instead: the flag stays 1 only where the ratio
     is known and inside ``[low, high]``.
     """
-    r = F.col(ratio)
-    inside = r.isNotNull() & (r >= F.lit(low)) & (r <= F.lit(high))
     if require_damaging:
+        r = F.col(ratio)
+        inside = r.isNotNull() & (r >= F.lit(low)) & (r <= F.lit(high))
         return df.withColumn(flag, F.when((F.col(flag) == 1) & inside, 1).otherwise(0))
     return df
 

@@ -1018,6 +1018,9 @@ def q_filter_annovar_cohort(spark, sf):
                           strategy="keys", limits=SHUFFLED)
 
 
+from varlake.plans import catalog_files  # noqa: E402,F401  (registers its queries)
+
+
 def queries() -> dict[str, Query]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

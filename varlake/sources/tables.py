@@ -96,10 +96,11 @@ def write_result(
     single_file: bool = False,
     mode: str = "overwrite",
 ) -> None:
-    """K1/K3/K4/K6/K7: tab-separated text with a header; NULL written as
-    ``-``; arrays as comma text and structs as JSON first (K2).  Row order is
-    the DataFrame's (write a sorted frame for ordered part files)."""
-    out = stringify_nested(df)
+    """K1/K3/K4/K6/K7: tab-separated text with a header; NULL, also a NULL
+    array, written as ``-`` (``null_value``); arrays as comma text and structs as
+    JSON first (K2), so an empty array is empty text.  Row order is the
+    DataFrame's (write a sorted frame for ordered part files)."""
+    out = stringify_nested(df, null_arrays=True)
     if single_file:
         out = out.coalesce(1)
     w = (

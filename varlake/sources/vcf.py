@@ -16,14 +16,14 @@ names, the order of the annotation's sub-fields) stays a table joined on
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varlake.config import DEFAULT_LIMITS, Limits
+from varlake.config import DEFAULT_LIMITS, Limits, written
 from varlake.functions.vcf import clean_annotation_name
 from varlake.operators.joins import left_join_lookup
 
@@ -91,13 +91,19 @@ def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def header_lines(lines: DataFrame) -> DataFrame:
-    """``file, line`` of the header lines.  For files (:func:`read_vcf`) a
-    listing is read, not the text, and each file is opened up to its first
-    record; lines of another origin, and stores that only Spark reads, are
-    filtered."""
+    """``file, line`` of the header lines; a file that has records but no
+    ``#CHROM`` line before them also has a row with a NULL line.  For files
+    (:func:`read_vcf`) a listing is read, not the text, and each file is opened
+    up to its first record; lines of another origin, and stores that only
+    Spark reads, are filtered."""
     paths = getattr(lines, "vcf_paths", None)
-    if not paths or not _opens(paths[0]):
-        return lines.where(F.col("line").startswith("#")).select("file", "line")
+    if not paths or not all(map(_opens, paths)):
+        is_header = F.col("line").startswith("#")
+        bare = lines.groupBy("file").agg(
+            F.max(F.col("line").startswith("#CHROM")).alias("named"),
+            F.max(~is_header).alias("records")).where(F.col("records") & ~F.col("named"))
+        return lines.where(is_header).select("file", "line").unionByName(
+            bare.select("file", F.lit(None).cast("string").alias("line")))
     # The content column of this source isn't selected, so it isn't read.
     listing = lines.sparkSession.read.format("binaryFile").load(paths).select(
         F.col("_metadata.file_path").alias("file"))
@@ -127,8 +133,9 @@ def _opens(path: str) -> bool:
         return False
 
 
-def _head(path: str) -> Iterator[str]:
-    """Header lines of one (gzipped or plain) file."""
+def _head(path: str) -> Iterator[str | None]:
+    """Header lines of one (gzipped or plain) file; None if a record comes
+    before any ``#CHROM`` line."""
     import gzip
     import io
 
@@ -143,11 +150,15 @@ def _head(path: str) -> Iterator[str]:
         store, place = fs.FileSystem.from_uri(uri)
     with store.open_input_stream(place, compression=None, buffer_size=1 << 16) as raw:
         plain = gzip.open(raw) if place.endswith(".gz") else raw
+        named = False
         for line in io.TextIOWrapper(plain, "utf-8", newline=None):
             line = line.rstrip("\r\n")
             if line and not line.startswith("#"):
+                if not named:
+                    yield None
                 return
             if line:
+                named = named or line.startswith("#CHROM")
                 yield line
 
 
@@ -212,14 +223,64 @@ def parse_header(header_lines: list[str]) -> VcfSpec:
     return spec
 
 
-def vcf_schema(lines: DataFrame) -> VcfSpec:
+def complete_headers(heads: DataFrame, *, header_of: str = "file",
+                     given: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """``heads`` (see :func:`header_lines`) in which files without a ``#CHROM``
+    line have the header lines that ``given`` has under their file name, or,
+    with ``header_of='folder'``, those of the file in their folder that has one
+    (part files of a body that was split)."""
+    if header_of not in ("file", "folder"):
+        raise ValueError("header_of must be 'file' or 'folder'")
+    bare = F.col("line").isNull()
+    name = F.substring_index("file", "/", -1)
+    folder = F.expr("left(file, length(file) - length(substring_index(file, '/', -1)))")
+    if given:
+        rows = [(k, line) for k, head in given.items() for line in head]
+        told = heads.sparkSession.createDataFrame(rows, "__name string, __line string")
+        files = heads.where(bare).select("file", name.alias("__name"))
+        found = files.join(F.broadcast(told), "__name").select(
+            "file", F.col("__line").alias("line"))
+        heads = heads.join(found.select("file").distinct().withColumn("__told", F.lit(True)),
+                           "file", "left").where(F.col("__told").isNull() | ~bare).drop(
+            "__told").unionByName(found)
+    if header_of == "folder":
+        own = heads.where(F.col("line").startswith("#CHROM")).groupBy(
+            folder.alias("__folder")).agg(F.min("file").alias("__from"),
+                                          F.countDistinct("line").alias("__kinds"))
+        lent = heads.where(bare).select("file", folder.alias("__folder")).join(
+            own.where(F.col("__kinds") == 1), "__folder").select("file", "__from")
+        found = lent.join(heads.where(~bare).withColumnRenamed("file", "__from"), "__from").select(
+            "file", "line")
+        heads = heads.join(lent.select("file", F.lit(True).alias("__lent")), "file", "left").where(
+            F.col("__lent").isNull() | ~bare).drop("__lent").unionByName(found)
+    return heads
+
+
+def require_headers(heads: DataFrame) -> None:
+    """An error that names files whose records no header describes."""
+    bare = heads.where(F.col("line").isNull()).agg(
+        F.count(F.lit(1)).alias("n"), F.min("file").alias("first"), F.max("file").alias("last"))
+    found = bare.first()
+    if found["n"]:
+        files = sorted({found["first"], found["last"]})
+        raise ValueError(
+            f"{found['n']} file(s) have records but no #CHROM line, and the other files' headers "
+            f"differ or are none: {', '.join(files)}; pass header_of='folder' if they are parts of a "
+            "file in their folder, or their header lines in given={file name: lines}")
+
+
+def vcf_schema(lines: DataFrame, *, header_of: str = "file",
+               given: Mapping[str, Sequence[str]] | None = None) -> VcfSpec:
     """The header spec of all files in ``lines``.
 
     The distinct ``##INFO`` and ``##FORMAT`` definitions are gathered in the
     order of first appearance (by file name, then line); one ``#CHROM`` line
-    comes along, and whether there are others.
+    comes along, and whether there are others.  While all headers agree, a file
+    without one is taken to be described by them.  If they differ, such a
+    file needs one from its folder or the caller (:func:`complete_headers`);
+    without, it is an error.
     """
-    heads = header_lines(lines)
+    heads = written(complete_headers(header_lines(lines), header_of=header_of, given=given))
     numbered = heads.withColumn("__at", F.monotonically_increasing_id())
     defs = (
         numbered.where(F.col("line").startswith("##INFO=") | F.col("line").startswith("##FORMAT="))
@@ -231,6 +292,9 @@ def vcf_schema(lines: DataFrame) -> VcfSpec:
     spec = parse_header([r["line"] for r in defs] + ([chrom["least"]] if chrom["least"] else []))
     spec.uniform_samples = chrom["least"] == chrom["most"]
     spec.heads = heads
+    layouts = {tuple(names) for names in spec.csq_layouts.values()}
+    if chrom["least"] is None or not spec.uniform_samples or len(layouts) > 1:
+        require_headers(heads)
     return spec
 
 
@@ -281,7 +345,9 @@ def with_sample_names(records: DataFrame, spec: VcfSpec, limits: Limits = DEFAUL
             F.array().cast("array<string>"))
         return records.withColumn("__names", names)
     names = sample_names(spec.heads).withColumnRenamed("sample_names", "__names")
-    return left_join_lookup(records, names, ["file"], limits=limits)
+    unnamed = F.raise_error(F.concat(F.lit("no header names the samples of "), F.col("file")))
+    return left_join_lookup(records, names, ["file"], limits=limits).withColumn(
+        "__names", F.coalesce("__names", unnamed.cast("array<string>")))
 
 
 def _moved(places: list[int | None]):
@@ -311,7 +377,10 @@ def records_of(lines: DataFrame, spec: VcfSpec, limits: Limits = DEFAULT_LIMITS)
 
     def reordered(item: F.Column) -> F.Column:
         """One INFO item; the annotation's is rewritten by the file's layout."""
-        out = item
+        unknown = F.raise_error(F.concat(
+            F.lit("no header gives the annotation's sub-fields of "), F.col("file")))
+        out = F.when(F.col("__layout").isNull() & item.startswith(f"{spec.csq_key}="),
+                     unknown.cast("string")).otherwise(item)
         for i, (_, names) in enumerate(layouts):
             places = [names.index(n) if n in names else None for n in spec.csq_fields]
 

@@ -7,7 +7,8 @@ same QC, gene tag and flattening expressions as the batch path (long layout,
 so files with different sample names stack), and the sink appends Parquet.
 The file source hands a file over whole, so a micro-batch holds the header of
 each of its records: sample names and the order of annotation sub-fields are
-taken from there, file by file.  The stream keeps no state, so no watermark is
+taken from there, file by file; a file of records without a header fails the
+batch.  The stream keeps no state, so no watermark is
 needed; progress lives in the checkpoint location, and each batch writes its
 own folder, which a repeated batch overwrites.
 
@@ -25,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from varlake.config import checkpoint_dir
 from varlake.plans.vcf_table import vcf_to_table
-from varlake.sources.vcf import VcfSpec, parse_header
+from varlake.sources.vcf import VcfSpec, header_lines, parse_header, require_headers
 
 
 def vcf_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -41,7 +42,8 @@ def batch_to_table(lines: DataFrame, spec: VcfSpec, *, qc: bool = True,
                    mode: str = "drop") -> DataFrame:
     """P0 on the ``(file, line)`` rows of one micro-batch, long layout, with the
     headers among them."""
-    heads = lines.where(F.col("line").startswith("#"))
+    heads = header_lines(lines)
+    require_headers(heads)  # each file is whole, so it has its own
     own = parse_header([r["line"] for r in heads.where(
         F.col("line").startswith("##INFO=")).select("line").distinct().collect()])
     layouts = {**spec.csq_layouts, **own.csq_layouts}
