@@ -14,18 +14,31 @@ from varlake.plans import oracle as O
 from varlake.plans.catalog import (
     _FILES_SQL,
     _GG_TAIL,
+    _GOOD_SQL,
+    _POS4,
+    _QC_SQL,
+    _TAG_SQL,
     _TRANSCRIPT_SQL,
     _round_trip,
     _vcf_oracle,
     _written_once,
     register,
+    vcf_input,
     vep_tables,
 )
-from varlake.plans.vcf_table import vcf_transcripts
+from varlake.plans.vcf_table import vcf_qc_records, vcf_transcripts
 from varlake.plans.vep import filter_vep
+from varlake.sources.bgzf import read_bgzf, read_region, write_vcf
 from varlake.sources.fixtures import MIXED_FORMAT, VCF_HEADER, cohort_files, fixture
 from varlake.sources.tables import write_result
-from varlake.sources.vcf import read_vcf, vcf_schema
+from varlake.sources.vcf import (
+    GENE_TAG_HEADER,
+    output_header,
+    read_vcf,
+    split_header,
+    vcf_records,
+    vcf_schema,
+)
 
 
 def vcf_parts_input(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,3 +95,57 @@ def q_result_file_text(spark, sf):
     text = spark.read.option("sep", "\t").option("header", True).option("nullValue", "\x00").csv(path)
     assert set(KEY) <= set(text.columns)
     return text.select([F.col(f"`{c}`") for c in _FILE_COLUMNS])
+
+
+# ------------------------------------------------------- block-compressed files
+def vcf_bgzf_path(spark: SparkSession, sf: str) -> str:
+    """The fixture VCF as block-compressed parts with a position index."""
+    def write(path: str) -> None:
+        lines = vcf_input(spark, sf)
+        write_vcf(vcf_records(lines), output_header(vcf_schema(lines), added=()), path)
+
+    return _written_once(spark, sf, "vcf_bgzf", write)
+
+
+_RECORD = ["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT"]
+_RECORD_SQL = (f"{_POS4}, '.' AS ID, '50' AS QUAL, filt AS FILTER, info AS INFO, "
+               "'GT:AD:DP:GQ' AS FORMAT")
+
+
+@register("vcf_bgzf_scan", _vcf_oracle(f"SELECT {_RECORD_SQL} FROM vl"))
+def q_vcf_bgzf_scan(spark, sf):
+    """S1 on block-compressed files, each read in ranges of 32 KB by many tasks."""
+    lines = read_bgzf(spark, f"{vcf_bgzf_path(spark, sf)}/*.vcf.gz", split_bytes=32 << 10)
+    return vcf_records(lines).select(_RECORD)
+
+
+@register("vcf_region", _vcf_oracle(
+    f"SELECT {_RECORD_SQL} FROM vl WHERE chrom = 'chr5' AND CAST(pos AS BIGINT) BETWEEN 5000 AND 60000"))
+def q_vcf_region(spark, sf):
+    """K5's index: the records of a region, read from the blocks it names."""
+    return read_region(spark, vcf_bgzf_path(spark, sf), "chr5", 5000, 60000).select(_RECORD)
+
+
+def _header_rows() -> str:
+    quoted = [h.replace("'", "''") for h in [*VCF_HEADER[:-1], *GENE_TAG_HEADER, VCF_HEADER[-1]]]
+    return ", ".join(f"('{q}')" for q in quoted)
+
+
+@register("vcf_file_round_trip", _vcf_oracle(f"""
+SELECT NULL AS header, {_POS4}, filt AS FILTER, {_TAG_SQL} AS INFO FROM vl WHERE {_QC_SQL} AND {_GOOD_SQL}
+UNION ALL SELECT h, NULL, NULL, NULL, NULL, NULL, NULL
+FROM (VALUES {_header_rows()}) AS t(h)"""))
+def q_vcf_file_round_trip(spark, sf):
+    """K5 and S3: the QC step's output as a VCF file (header with the keys of the
+    gene tag, ``#CHROM`` line, sorted body), read again: header lines and records."""
+    path = _round_trip(spark)
+    lines = vcf_input(spark, sf)
+    spec = vcf_schema(lines)
+    write_vcf(vcf_qc_records(lines, spec), output_header(spec), path)
+    back = read_vcf(spark, f"{path}/*.vcf.gz")
+    columns = ["#CHROM", "POS", "REF", "ALT", "FILTER", "INFO"]
+    meta, body = split_header(back)
+    names = back.where(F.col("line").startswith("#CHROM"))
+    header = meta.unionByName(names).select(
+        F.col("line").alias("header"), *[F.lit(None).cast("string").alias(c) for c in columns])
+    return vcf_records(body).select(F.lit(None).cast("string").alias("header"), *columns).unionByName(header)

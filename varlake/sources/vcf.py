@@ -1,9 +1,9 @@
 """VCF text as DataFrames.
 
-``read_vcf`` scans one file or a whole cohort of files with
-``spark.read.text``: plain text is split by ``spark.sql.files.maxPartitionBytes``;
-a ``.vcf.gz`` file is one task (gzip cannot be split), so a caller with a few
-huge compressed files can ``repartition`` the records right after the scan.
+``read_vcf`` scans one file or a whole cohort of files: plain text with
+``spark.read.text``, split by ``spark.sql.files.maxPartitionBytes``; paths that end
+in ``.gz`` or ``.bgz`` by their blocks (:mod:`varlake.sources.bgzf`), where tasks can
+open the store by themselves.
 
 The header is metadata, read from the head of each file only
 (:func:`header_lines`): tasks open the files of a listing and stop at the
@@ -79,14 +79,20 @@ class VcfSpec:
 
 def read_vcf(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Lines of one or many VCF files as ``(file, line)``; empty lines
-    dropped.  The text reader already ends lines at LF, CR LF or CR, so no
+    dropped.  Compressed files are read by :func:`varlake.sources.bgzf.read_bgzf`
+    if all paths name such files.  The text reader already ends lines at LF, CR LF or CR, so no
     per-line trimming expression is needed (one would be re-evaluated by
     every predicate Catalyst pushes below the record projection)."""
+    given = [paths] if isinstance(paths, str) else list(paths)
+    if all(p.endswith((".gz", ".bgz")) and _opens(p) for p in given):
+        from varlake.sources.bgzf import read_bgzf
+
+        return read_bgzf(spark, given)
     df = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")
     )
     df = df.where(F.length("line") > 0)
-    df.vcf_paths = [paths] if isinstance(paths, str) else list(paths)
+    df.vcf_paths = given
     return df
 
 
@@ -133,12 +139,9 @@ def _opens(path: str) -> bool:
         return False
 
 
-def _head(path: str) -> Iterator[str | None]:
-    """Header lines of one (gzipped or plain) file; None if a record comes
-    before any ``#CHROM`` line."""
-    import gzip
-    import io
-
+def open_store(path: str, write: bool = False):
+    """An open file of a store that ``pyarrow.fs`` knows: random access for
+    reading, or a stream to write."""
     from pyarrow import fs
 
     uri = re.sub(r"^file:/+", "/", path)
@@ -148,8 +151,17 @@ def _head(path: str) -> Iterator[str | None]:
         store, place = fs.LocalFileSystem(), unquote(uri) if uri != path else uri
     else:
         store, place = fs.FileSystem.from_uri(uri)
-    with store.open_input_stream(place, compression=None, buffer_size=1 << 16) as raw:
-        plain = gzip.open(raw) if place.endswith(".gz") else raw
+    return store.open_output_stream(place, compression=None) if write else store.open_input_file(place)
+
+
+def _head(path: str) -> Iterator[str | None]:
+    """Header lines of one (gzipped or plain) file; None if a record comes
+    before any ``#CHROM`` line."""
+    import gzip
+    import io
+
+    with open_store(path) as raw:
+        plain = gzip.open(raw) if path.endswith((".gz", ".bgz")) else io.BufferedReader(raw, 1 << 16)
         named = False
         for line in io.TextIOWrapper(plain, "utf-8", newline=None):
             line = line.rstrip("\r\n")
@@ -162,6 +174,32 @@ def _head(path: str) -> Iterator[str | None]:
                 yield line
 
 
+# How a header describes the keys that the gene tag adds to INFO.
+GENE_TAG_HEADER = [
+    '##INFO=<ID=Gene.refGene,Number=1,Type=String,Description="Gene symbol of the picked transcript">',
+    '##INFO=<ID=Func.refGene,Number=1,Type=String,Description="Consequence of the picked transcript">',
+]
+_DEFINITION = r"^##(INFO|FORMAT|FILTER|ALT|contig)="
+
+
+def output_header(spec: VcfSpec, added: Sequence[str] = GENE_TAG_HEADER) -> list[str]:
+    """Header lines for records of all files of ``spec``, which must name the
+    same samples: the lines of the first file, definitions that only others
+    have, ``added`` definitions, and the ``#CHROM`` line."""
+    if spec.heads is None or not spec.uniform_samples:
+        raise ValueError("one header needs files that name the same samples")
+    numbered = spec.heads.where(F.col("line").isNotNull()).withColumn(
+        "__at", F.monotonically_increasing_id())
+    first = numbered.where(F.col("line").startswith("#CHROM")).agg(F.min("file")).first()[0]
+    found = numbered.where((F.col("file") == first) | F.col("line").rlike(_DEFINITION)).groupBy(
+        "line").agg(F.min(F.struct(F.col("file") != first, "file", "__at")).alias("__at")).orderBy(
+        "__at").collect()
+    lines = [r["line"] for r in found]
+    meta = [line for line in lines if line.startswith("##")]
+    return [*meta, *(line for line in added if line not in meta),
+            *(line for line in lines if line.startswith("#CHROM"))]
+
+
 def write_text(lines: DataFrame, path: str, files: int | None = None) -> str:
     """Write a ``line`` column as text under ``path``: a part file per
     partition, or ``files`` of them."""
