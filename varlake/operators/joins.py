@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from varlake.config import DEFAULT_LIMITS, Limits, written
 from varlake.functions.keys import KEY
+from varlake.operators.sketches import key_sketch, maybe_among
 
 SALT = "__salt"
 SALTS = "__n_salt"
@@ -272,6 +273,7 @@ def annotate_by_key(
     variants_bounded: bool | None = None,
     variant_rows: int | None = None,
     distinct_tables: bool = False,
+    sketch: bool = True,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Left-join every table in ``tables`` (key + value columns) to
@@ -281,7 +283,9 @@ def annotate_by_key(
     ``'reduce'`` - broadcast the (proven small) distinct variant keys, semi-join
     each annotation table to them map-side, then join the reduced tables.
     ``'keys'`` - annotate the distinct keys with one shuffle per table and join
-    the annotated keys back skew-safely.
+    the annotated keys back skew-safely.  With ``sketch`` the tables lose most
+    rows of other keys before that shuffle (:mod:`varlake.operators.sketches`),
+    unless a sketch of the keys is larger than ``limits.max_sketch_bytes``.
     ``'auto'`` - ``'reduce'`` when ``variants`` is within
     ``limits.max_variant_rows`` and ``max_variant_bytes``, else ``'keys'``.
 
@@ -313,13 +317,18 @@ def annotate_by_key(
             reduced = _replicated(_once(reduced, distinct_tables), key, key, hot, False, SALT)
             out = out.join(reduced, [*key, SALT], "left")
         return out.drop(SALT)
-    tables = [_once(t.finish(t.source) if isinstance(t, Derived) else t, distinct_tables)
-              for t in tables]
-
+    among = None
     if strategy == "keys":
         # One map-side combined count per key serves both as the distinct
         # keys to annotate and as the hot-key statistics of the join back.
         counts = written(variants.groupBy(*key).agg(F.count(F.lit(1)).alias(ROWS)))
+        if sketch:
+            among = key_sketch(counts.select(*key), key, limits.max_sketch_bytes)
+    probed = lambda t: t if among is None else maybe_among(t, key, among)
+    tables = [_once(t.finish(probed(t.source)) if isinstance(t, Derived) else probed(t),
+                    distinct_tables) for t in tables]
+
+    if strategy == "keys":
         annotated = counts.select(*key)
         for t in tables:
             annotated = annotated.join(t, key, "left")

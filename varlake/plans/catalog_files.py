@@ -4,6 +4,7 @@ them.  :mod:`varlake.plans.catalog` imports this module at its end."""
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from varlake.functions.keys import KEY
 from varlake.operators.panels import annotate_gene_group
 from varlake.plans import oracle as O
 from varlake.plans.catalog import (
+    SHUFFLED,
     _FILES_SQL,
     _GG_TAIL,
     _GOOD_SQL,
@@ -22,6 +24,7 @@ from varlake.plans.catalog import (
     _round_trip,
     _vcf_oracle,
     _written_once,
+    arrays_as_text,
     register,
     vcf_input,
     vep_tables,
@@ -30,6 +33,7 @@ from varlake.plans.vcf_table import vcf_qc_records, vcf_transcripts
 from varlake.plans.vep import filter_vep
 from varlake.sources.bgzf import read_bgzf, read_region, write_vcf
 from varlake.sources.fixtures import MIXED_FORMAT, VCF_HEADER, cohort_files, fixture
+from varlake.sources.store import AnnotationStore, open_store, write_store
 from varlake.sources.tables import write_result
 from varlake.sources.vcf import (
     GENE_TAG_HEADER,
@@ -149,3 +153,32 @@ def q_vcf_file_round_trip(spark, sf):
     header = meta.unionByName(names).select(
         F.col("line").alias("header"), *[F.lit(None).cast("string").alias(c) for c in columns])
     return vcf_records(body).select(F.lit(None).cast("string").alias("header"), *columns).unionByName(header)
+
+
+# ------------------------------------------------------------ annotation store
+# Tables of the VEP pipeline that are joined on the variant key.
+STORE_TABLES = {"topmed": "fx_topmed", "dbnsfp": "fx_dbnsfp", "regeneron": "fx_regeneron",
+                "allofus": "fx_allofus", "dbsnp": "fx_dbsnp", "intervar": "fx_intervar",
+                "clinvar": "fx_clinvar", "hgmd_var": "fx_hgmd_var"}
+
+
+def annotation_store(spark: SparkSession, sf: str, buckets: int = 8) -> AnnotationStore:
+    """The fixture's key tables as a store, opened as another session would."""
+    path = _written_once(spark, sf, f"store_{buckets}", lambda path: write_store(
+        {k: fixture(spark, sf, v) for k, v in STORE_TABLES.items()}, path, buckets))
+    return open_store(spark, path)
+
+
+@register("filter_vep_store", O.vep_pipeline("vep"))
+def q_filter_vep_store(spark, sf):
+    """P1 over an annotation store (S5): bucketed key tables, of which only the
+    variants' contigs are read and none is shuffled."""
+    v = fixture(spark, sf, "fx_variants")
+    tables = replace(vep_tables(spark, sf), **annotation_store(spark, sf).tables_for(v))
+    return arrays_as_text(filter_vep(v, tables, strategy="keys", sketch=False, limits=SHUFFLED))
+
+
+@register("annotation_store_scan", O.with_(["fx_dbsnp"], [], "SELECT * FROM fx_dbsnp"))
+def q_annotation_store_scan(spark, sf):
+    """A table of the store, with every row that was written."""
+    return annotation_store(spark, sf).table("dbsnp")

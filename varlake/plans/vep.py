@@ -144,6 +144,7 @@ def filter_vep(
     orphanet_multi_id: str = "whole",
     strategy: str = "auto",
     variants_bounded: bool | None = None,
+    sketch: bool = True,
     sort: bool = True,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
@@ -153,7 +154,8 @@ def filter_vep(
     ``chromosome``/``start``/...).  A missing input column is an error unless
     ``optional_columns`` names it; it is NULL then, and a frequency that is
     NULL counts as rare.  ``variants_bounded`` says whether the variants are
-    within ``limits`` and saves counting them.  Output columns: the input columns, the
+    within ``limits`` and saves counting them; ``sketch=False`` suits tables of an
+    annotation store, which aren't shuffled.  Output columns: the input columns, the
     key annotations, ``max_gtar``, ``flag_keep``, ClinVar/HGMD columns, gene
     disease columns; distinct rows in chromosome order.
     """
@@ -193,7 +195,7 @@ def filter_vep(
 
     v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy,
                         variants_bounded=variants_bounded, variant_rows=rows,
-                        distinct_tables=True, limits=limits)
+                        distinct_tables=True, sketch=sketch, limits=limits)
     if absent:
         v = v.withColumns({c: F.lit(None).cast(t) for c, t in absent.items()})
 
