@@ -10,13 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varlake.functions.keys import KEY
-from varlake.operators.panels import annotate_gene_group
+from varlake.operators.ordering import has_rows
+from varlake.operators.panels import annotate_gene_group, attach_gene_list
 from varlake.plans import oracle as O
 from varlake.plans.catalog import (
     SHUFFLED,
     _FILES_SQL,
     _GG_TAIL,
+    _GOI_TAIL,
     _GOOD_SQL,
+    _GT_SQL,
+    _INFO_SQL,
+    _PICK_SQL,
     _POS4,
     _QC_SQL,
     _TAG_SQL,
@@ -26,10 +31,19 @@ from varlake.plans.catalog import (
     _written_once,
     arrays_as_text,
     register,
+    vcf_cohort_input,
     vcf_input,
     vep_tables,
 )
-from varlake.plans.vcf_table import vcf_qc_records, vcf_transcripts
+from varlake.plans.vcf_table import vcf_qc_records, vcf_to_table, vcf_transcripts
+from varlake.plans.vcf_tidy import (
+    calls_long,
+    sample_dictionary,
+    sparse_calls,
+    vcf_fix,
+    vcf_gt,
+    vcf_meta,
+)
 from varlake.plans.vep import filter_vep
 from varlake.sources.bgzf import read_bgzf, read_region, write_vcf
 from varlake.sources.fixtures import MIXED_FORMAT, VCF_HEADER, cohort_files, fixture
@@ -182,3 +196,154 @@ def q_filter_vep_store(spark, sf):
 def q_annotation_store_scan(spark, sf):
     """A table of the store, with every row that was written."""
     return annotation_store(spark, sf).table("dbsnp")
+
+
+# ----------------------------------------------------- results as users get them
+def _text_of(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` written by ``write_result`` and read as the text in the files."""
+    path = _round_trip(spark)
+    write_result(df, path)
+    return spark.read.option("sep", "\t").option("header", True).option("nullValue", "\x00").csv(path)
+
+
+_GOI_COLUMNS = ["chromosome", "reference", "alternate", "variant_id", "CSQ_SYMBOL", "clin_sig",
+                "HGMD_DM", "Germline_GOIs_names", "entrez", "ensembl", "gene_desc"]
+
+
+@register("goi_result_file", O.vep_pipeline(
+    "vep", extra_fixtures=["fx_list_goi"],
+    tail=_GOI_TAIL.replace("\nSELECT * EXCLUDE", "\n, listed AS (SELECT * EXCLUDE", 1)
+    + f")\nSELECT {_as_written(_GOI_COLUMNS)} FROM listed"))
+def q_goi_result_file(spark, sf):
+    """K4: the P5 result as text, list columns appended."""
+    p1 = filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf))
+    goi = fixture(spark, sf, "fx_list_goi").select(
+        F.col("symbol").alias("Germline_GOIs_names"), F.col("ncbi").alias("entrez"),
+        "ensembl", "gene_desc", F.monotonically_increasing_id().alias("line_no"))
+    return _text_of(spark, attach_gene_list(p1, goi)).select(_GOI_COLUMNS)
+
+
+_P0_SQL = f"""SELECT * FROM (SELECT {_POS4}, {_INFO_SQL}, {_PICK_SQL}, {_GT_SQL} AS S1_AdjustedGenotype
+ FROM vl WHERE {_QC_SQL} AND {_GOOD_SQL} AND alt <> '*')
+WHERE S1_AdjustedGenotype NOT IN ('./.', '0/0')"""
+_P0_COLUMNS = ["#CHROM", "POS", "REF", "ALT", "INFO_QD", "INFO_FS", "INFO_MQ", "CSQ_Allele",
+               "CSQ_Consequence", "CSQ_PICK", "CSQ_SYMBOL", "CSQ_Feature", "S1_AdjustedGenotype"]
+
+
+@register("flat_table_file", _vcf_oracle(f"SELECT {_as_written(_P0_COLUMNS)} FROM ({_P0_SQL})"))
+def q_flat_table_file(spark, sf):
+    """K6: the flattened table of P0 as text."""
+    return _text_of(spark, vcf_to_table(vcf_input(spark, sf))).select(_P0_COLUMNS)
+
+
+_P6_COLUMNS = ["chromosome", "start", "reference", "alternate", "INFO_MQ", "Consequence", "PICK",
+               "SYMBOL", "Feature", "Indiv", "gt_GT", "gt_AD"]
+
+
+@register("tidy_table_file", _vcf_oracle(
+    f"SELECT {_as_written(_P6_COLUMNS)} FROM ({_TRANSCRIPT_SQL.format(name=chr(39) + 'S1' + chr(39))})"))
+def q_tidy_table_file(spark, sf):
+    """K7: the tidy table of P6 as text."""
+    return _text_of(spark, vcf_transcripts(vcf_input(spark, sf))).select(_P6_COLUMNS)
+
+
+def _without(sql: str) -> str:
+    """The P1 statement with ClinVar, dbSNP and InterVar empty."""
+    for old, new in ((" FROM fx_clinvar\n WHERE ", " FROM fx_clinvar\n WHERE false AND "),
+                     ("AS num FROM fx_dbsnp)", "AS num FROM fx_dbsnp WHERE false)"),
+                     ("LEFT JOIN fx_intervar iv", "LEFT JOIN (SELECT * FROM fx_intervar WHERE false) iv")):
+        assert old in sql, old
+        sql = sql.replace(old, new)
+    return sql
+
+
+@register("filter_vep_few_sources", _without(O.vep_pipeline("vep")))
+def q_filter_vep_few_sources(spark, sf):
+    """P1 with ClinVar, dbSNP and InterVar switched off; their columns are
+    there and NULL."""
+    tables = replace(vep_tables(spark, sf), dbsnp=None, intervar=None)
+    return arrays_as_text(filter_vep(fixture(spark, sf, "fx_variants"), tables,
+                                     known_variants=("hgmd",)))
+
+
+@register("existence_probe", O.with_(["fx_variants"], [], """
+SELECT chromosome, CAST(count(*) FILTER (WHERE CSQ_Consequence = 'stop_gained') > 0 AS BOOLEAN) AS stops,
+ CAST(false AS BOOLEAN) AS nowhere
+FROM fx_variants GROUP BY chromosome"""))
+def q_existence_probe(spark, sf):
+    """O3: whether a chromosome has variants of a kind, by a first row each."""
+    v = fixture(spark, sf, "fx_variants")
+    stops = v.where(F.col("CSQ_Consequence") == "stop_gained")
+    rows = [(c, has_rows(stops.where(F.col("chromosome") == c)), has_rows(v.where(
+        (F.col("chromosome") == c) & (F.col("start") < 0))))
+        for c in sorted(r[0] for r in v.select("chromosome").distinct().collect())]
+    return spark.createDataFrame(rows, "chromosome string, stops boolean, nowhere boolean")
+
+
+# -------------------------------------------------------------------- tidy tables
+def _meta_sql() -> str:
+    rows = []
+    for h in VCF_HEADER:
+        m = re.match(r'##(INFO|FORMAT)=<ID=(\w+),Number=(.),Type=(\w+),Description="(.*)">', h)
+        if m:
+            rows.append("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in m.groups()) + ")")
+    return ", ".join(rows)
+
+
+@register("vcf_tidy_meta", f"""
+SELECT CAST(f AS INTEGER) AS part, Tag, ID, Number, Type, Description
+FROM (VALUES {_meta_sql()}) AS t(Tag, ID, Number, Type, Description), range({_FILES_SQL}) AS r(f)""")
+def q_vcf_tidy_meta(spark, sf):
+    """The definitions of every file of a cohort."""
+    meta = vcf_meta(vcf_cohort_input(spark, sf))
+    part = F.regexp_extract("file", "part=([0-9]+)/", 1).cast("int").alias("part")
+    return meta.select(part, "Tag", "ID", "Number", "Type", "Description")
+
+
+_CHROM_KEY = "dense_rank() OVER (ORDER BY CASE WHEN p % 25 = 24 THEN 100 ELSE p % 25 END)"
+
+
+@register("vcf_tidy_fix", _vcf_oracle(f"""
+SELECT CAST({_CHROM_KEY} AS INTEGER) AS ChromKey, chrom AS CHROM, CAST(pos AS BIGINT) AS POS, NULL AS ID,
+ ref AS REF, alt AS ALT, 50::DOUBLE AS QUAL, filt AS FILTER, CAST(s % 10 AS VARCHAR) AS QD,
+ CASE WHEN ln = 3 THEN NULL ELSE '60' END AS MQ, ln = 4 AS targeted,
+ CAST(3 + CAST(ln <> 3 AS INTEGER) + CAST(ln = 4 AS INTEGER) AS INTEGER) AS n_keys FROM vl"""))
+def q_vcf_tidy_fix(spark, sf):
+    """A row for each record, INFO as a map of whatever keys it has."""
+    fix = vcf_fix(vcf_input(spark, sf))
+    return fix.select("ChromKey", "CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER",
+                      F.col("INFO")["QD"].alias("QD"), F.col("INFO")["MQ"].alias("MQ"),
+                      F.map_contains_key("INFO", F.lit("TARGETED")).alias("targeted"),
+                      F.size("INFO").alias("n_keys"))
+
+
+_JOINT = f"""
+, g AS (
+ SELECT *, 'A_' AS who, concat(CAST(q AS VARCHAR), ',', CAST(3 * ln AS VARCHAR)) AS ad, q AS r0, 3 * ln AS r1,
+  o % 99 AS gq FROM vl
+ UNION ALL SELECT *, 'B_', concat('9,', CAST(p % 30 AS VARCHAR)), 9, p % 30, s % 50 FROM vl)
+, called AS (SELECT *, concat(who, CAST(o % {_FILES_SQL} AS VARCHAR)) AS sample,
+ CASE WHEN r1 / (r0 + r1) >= 0.8::DOUBLE THEN '1/1' WHEN r1 / (r0 + r1) >= 1 - 0.8::DOUBLE THEN '0/1' ELSE '0/0' END
+  AS genotype FROM g)"""
+
+
+@register("vcf_tidy_gt", _vcf_oracle(_JOINT + f"""
+SELECT CAST({_CHROM_KEY} AS INTEGER) AS ChromKey, CAST(pos AS BIGINT) AS POS, ref AS REF, alt AS ALT,
+ sample AS Indiv, '0/1' AS gt_GT, ad AS gt_AD, CAST(r0 + r1 AS VARCHAR) AS gt_DP, CAST(gq AS VARCHAR) AS gt_GQ
+FROM called"""))
+def q_vcf_tidy_gt(spark, sf):
+    """A row for each record and sample of joint files, values as a map."""
+    gt = vcf_gt(vcf_cohort_input(spark, sf, "fx_vcf_lines_joint", ("A_", "B_")))
+    return gt.select("ChromKey", "POS", "REF", "ALT", "Indiv",
+                     *[F.col("gt")[k].alias(f"gt_{k}") for k in ("GT", "AD", "DP", "GQ")])
+
+
+@register("vcf_sparse_calls", _vcf_oracle(_JOINT + """
+SELECT chrom AS "#CHROM", pos AS POS, ref AS REF, alt AS ALT, sample, genotype,
+ CAST(r0 + r1 AS INTEGER) AS depth, CAST(gq AS DOUBLE) AS quality
+FROM called WHERE genotype <> '0/0'"""))
+def q_vcf_sparse_calls(spark, sf):
+    """P0's calls of joint files as sparse arrays, and back to a row each."""
+    lines = vcf_cohort_input(spark, sf, "fx_vcf_lines_joint", ("A_", "B_"))
+    long = calls_long(sparse_calls(lines), sample_dictionary(lines))
+    return long.select("#CHROM", "POS", "REF", "ALT", "sample", "genotype", "depth", "quality")

@@ -379,7 +379,8 @@ def with_sample_names(records: DataFrame, spec: VcfSpec, limits: Limits = DEFAUL
                       ) -> DataFrame:
     """``records`` plus ``__names``: the sample names of the record's own file."""
     if spec.uniform_samples or spec.heads is None:
-        names = F.array(*[F.lit(s) for s in spec.sample_list]) if spec.sample_list else (
+        # One literal, however many samples there are.
+        names = F.split(F.lit("\t".join(spec.sample_list)), "\t") if spec.sample_list else (
             F.array().cast("array<string>"))
         return records.withColumn("__names", names)
     names = sample_names(spec.heads).withColumnRenamed("sample_names", "__names")
