@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -95,6 +96,9 @@ from varlake.sources.vcf import read_vcf, split_header, vcf_records, vcf_schema,
 # Limits under which no lookup is broadcast and keys are hot early.
 SHUFFLED = Limits(max_broadcast_rows=0, max_variant_rows=0, hot_key_rows=1000)
 
+# The fixtures are projections of stored tables: cheaper to read again than to write.
+stored_filter_vep = partial(filter_vep, write_input=False)
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
 
@@ -471,13 +475,13 @@ def q_gencc_join(spark, sf):
 @register("filter_vep", O.vep_pipeline("vep"))
 def q_filter_vep(spark, sf):
     """The VEP filtering pipeline end to end."""
-    return arrays_as_text(filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf)))
+    return arrays_as_text(stored_filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf)))
 
 
 @register("filter_dragon", O.vep_pipeline("dragon"))
 def q_filter_dragon(spark, sf):
     """The Dragon variant of the pipeline."""
-    return arrays_as_text(filter_vep(fixture(spark, sf, "fx_variants"),
+    return arrays_as_text(stored_filter_vep(fixture(spark, sf, "fx_variants"),
                                      vep_tables(spark, sf, dragon=True), source="dragon"))
 
 
@@ -560,7 +564,7 @@ FROM lab"""
 @register("gene_group", O.vep_pipeline("vep", extra_fixtures=["fx_list_ecpg", "fx_list_emgp"], tail=_GG_TAIL))
 def q_gene_group(spark, sf):
     """Gene-panel label on the P1 result (two panels, id then symbol)."""
-    p1 = filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf))
+    p1 = stored_filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf))
     out = annotate_gene_group(p1, fixture(spark, sf, "fx_list_ecpg"), fixture(spark, sf, "fx_list_emgp"))
     return arrays_as_text(out)
 
@@ -586,7 +590,7 @@ FROM j WHERE entry IS NOT NULL"""
 @register("attach_gene_list", O.vep_pipeline("vep", extra_fixtures=["fx_list_goi"], tail=_GOI_TAIL))
 def q_attach_gene_list(spark, sf):
     """P5: genes-of-interest retention and lookup (Entrez, Ensembl, symbol) on P1."""
-    p1 = filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf))
+    p1 = stored_filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf))
     goi = fixture(spark, sf, "fx_list_goi").select(
         F.col("symbol").alias("Germline_GOIs_names"), F.col("ncbi").alias("entrez"),
         "ensembl", "gene_desc", F.monotonically_increasing_id().alias("line_no"))
@@ -1007,7 +1011,7 @@ def q_panel_files(spark, sf):
 def q_filter_vep_cohort(spark, sf):
     """P1 as for a cohort: annotation by distinct keys, gene tables beyond the
     broadcast bound, hot keys split."""
-    return arrays_as_text(filter_vep(
+    return arrays_as_text(stored_filter_vep(
         fixture(spark, sf, "fx_variants"), vep_tables(spark, sf), strategy="keys", limits=SHUFFLED))
 
 

@@ -31,6 +31,7 @@ from varlake.plans.catalog import (
     _written_once,
     arrays_as_text,
     register,
+    stored_filter_vep,
     vcf_cohort_input,
     vcf_input,
     vep_tables,
@@ -44,7 +45,6 @@ from varlake.plans.vcf_tidy import (
     vcf_gt,
     vcf_meta,
 )
-from varlake.plans.vep import filter_vep
 from varlake.sources.bgzf import read_bgzf, read_region, write_vcf
 from varlake.sources.fixtures import MIXED_FORMAT, VCF_HEADER, cohort_files, fixture
 from varlake.sources.store import AnnotationStore, open_store, write_store
@@ -107,7 +107,7 @@ def q_result_file_text(spark, sf):
     """K1 and K3 on the whole P4 result, read as the text that was written:
     missing values and missing arrays are ``-``, filled arrays comma text."""
     path = _round_trip(spark)
-    result = filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf))
+    result = stored_filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf))
     write_result(annotate_gene_group(
         result, fixture(spark, sf, "fx_list_ecpg"), fixture(spark, sf, "fx_list_emgp")), path)
     text = spark.read.option("sep", "\t").option("header", True).option("nullValue", "\x00").csv(path)
@@ -189,7 +189,7 @@ def q_filter_vep_store(spark, sf):
     variants' contigs are read and none is shuffled."""
     v = fixture(spark, sf, "fx_variants")
     tables = replace(vep_tables(spark, sf), **annotation_store(spark, sf).tables_for(v))
-    return arrays_as_text(filter_vep(v, tables, strategy="keys", sketch=False, limits=SHUFFLED))
+    return arrays_as_text(stored_filter_vep(v, tables, strategy="keys", sketch=False, limits=SHUFFLED))
 
 
 @register("annotation_store_scan", O.with_(["fx_dbsnp"], [], "SELECT * FROM fx_dbsnp"))
@@ -216,7 +216,7 @@ _GOI_COLUMNS = ["chromosome", "reference", "alternate", "variant_id", "CSQ_SYMBO
     + f")\nSELECT {_as_written(_GOI_COLUMNS)} FROM listed"))
 def q_goi_result_file(spark, sf):
     """K4: the P5 result as text, list columns appended."""
-    p1 = filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf))
+    p1 = stored_filter_vep(fixture(spark, sf, "fx_variants"), vep_tables(spark, sf))
     goi = fixture(spark, sf, "fx_list_goi").select(
         F.col("symbol").alias("Germline_GOIs_names"), F.col("ncbi").alias("entrez"),
         "ensembl", "gene_desc", F.monotonically_increasing_id().alias("line_no"))
@@ -262,7 +262,7 @@ def q_filter_vep_few_sources(spark, sf):
     """P1 with ClinVar, dbSNP and InterVar switched off; their columns are
     there and NULL."""
     tables = replace(vep_tables(spark, sf), dbsnp=None, intervar=None)
-    return arrays_as_text(filter_vep(fixture(spark, sf, "fx_variants"), tables,
+    return arrays_as_text(stored_filter_vep(fixture(spark, sf, "fx_variants"), tables,
                                      known_variants=("hgmd",)))
 
 

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varlake.config import DEFAULT_LIMITS, Limits
+from varlake.config import DEFAULT_LIMITS, Limits, written
 from varlake.functions.keys import KEY, with_variant_key
 from varlake.functions.values import max_frequency
 from varlake.operators.aggregates import (
@@ -145,6 +145,7 @@ def filter_vep(
     strategy: str = "auto",
     variants_bounded: bool | None = None,
     sketch: bool = True,
+    write_input: bool = True,
     sort: bool = True,
     limits: Limits = DEFAULT_LIMITS,
 ) -> DataFrame:
@@ -155,7 +156,9 @@ def filter_vep(
     ``optional_columns`` names it; it is NULL then, and a frequency that is
     NULL counts as rare.  ``variants_bounded`` says whether the variants are
     within ``limits`` and saves counting them; ``sketch=False`` suits tables of an
-    annotation store, which aren't shuffled.  Output columns: the input columns, the
+    annotation store, which aren't shuffled.  The input is counted, reduced to its
+    keys and joined, so it is worked out once and written to the shared folder
+    (``write_input=False`` if it is a stored table).  Output columns: the input columns, the
     key annotations, ``max_gtar``, ``flag_keep``, ClinVar/HGMD columns, gene
     disease columns; distinct rows in chromosome order.
     """
@@ -169,6 +172,8 @@ def filter_vep(
     if missing:
         v = v.withColumns({c: F.lit(None).cast("string") for c in missing})
     input_cols = v.columns
+    if write_input:
+        v = written(v)
     kept = keep_consequences(v, consequences, split_terms=split_terms)
     v = base = kept.distinct()
 
