@@ -29,6 +29,9 @@ class Limits:
     ``hot_key_rows``: a join key carrying more rows than this is split over
     ``ceil(rows / hot_key_rows)`` salted sub-keys.  There are fewer such keys
     than rows / ``hot_key_rows``, and all of them are split.
+    ``max_total_broadcast_bytes``: all broadcasts of one pipeline together (the
+    variants' keys and the lookup tables) are within it; tables that no longer
+    fit are shuffled.
     ``max_sketch_bytes``: a sketch of the variants' keys is broadcast to filter
     annotation tables before they are shuffled if it is within this bound.
     """
@@ -39,6 +42,7 @@ class Limits:
     max_variant_bytes: int = 512 << 20
     hot_key_rows: int = 1_000_000
     max_sketch_bytes: int = 64 << 20
+    max_total_broadcast_bytes: int = 768 << 20
 
 
 DEFAULT_LIMITS = Limits()

@@ -84,6 +84,26 @@ def rows_at_most(frames: Mapping[str, DataFrame], n: int,
     }
 
 
+def broadcast_choice(sizes: Mapping[str, tuple[int, int]], limits: Limits, *, reserved: int = 0,
+                     copies: Mapping[str, int] | None = None) -> dict[str, bool]:
+    """Which tables of one pipeline to broadcast, by their measured (rows, bytes).
+
+    Each must be within the bounds for one table, and all together, with
+    ``reserved`` bytes that are broadcast anyway and ``copies`` of a table counted
+    as often, within ``limits.max_total_broadcast_bytes``.  A broadcast saves the
+    same shuffle (of the left side) for every table, so the smallest come first.
+    """
+    left = limits.max_total_broadcast_bytes - reserved
+    chosen = dict.fromkeys(sizes, False)
+    cost = {name: size * (copies or {}).get(name, 1) for name, (_, size) in sizes.items()}
+    for name in sorted(sizes, key=lambda n: (cost[n], n)):
+        rows, size = sizes[name]
+        if rows <= limits.max_broadcast_rows and size <= limits.max_broadcast_bytes and cost[name] <= left:
+            chosen[name] = True
+            left -= cost[name]
+    return chosen
+
+
 def row_count_at_most(df: DataFrame, n: int, max_bytes: int = DEFAULT_LIMITS.max_broadcast_bytes
                       ) -> bool:
     """Whether ``df`` has at most ``n`` rows and ``max_bytes`` bytes."""

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varlake.config import DEFAULT_LIMITS, Limits
+from varlake.config import DEFAULT_LIMITS, Limits, written
 from varlake.functions.keys import KEY, with_variant_key
 from varlake.functions.values import max_frequency, stringify_nested
 from varlake.operators.aggregates import gencc_by_gene, omim_by_gene, orphanet_by_gene_text
@@ -38,7 +38,7 @@ from varlake.operators.genes import (
     attach_omim,
     attach_orphanet_by_symbol,
 )
-from varlake.operators.joins import annotate_by_key, measured, project_annotation
+from varlake.operators.joins import annotate_by_key, broadcast_choice, measured, project_annotation
 from varlake.operators.known import KNOWN_SOURCES, flag_known, known_tables
 from varlake.operators.ordering import chromosome_order
 
@@ -82,6 +82,7 @@ def filter_annovar(
     require_damaging: bool = False,
     strategy: str = "auto",
     variants_bounded: bool | None = None,
+    write_input: bool = True,
     sort: bool = True,
     as_text: bool = True,
     limits: Limits = DEFAULT_LIMITS,
@@ -92,6 +93,8 @@ def filter_annovar(
     columns JSON, ready for a delimited file.
     """
     v = rename_columns(with_variant_key(variants), ANNOVAR_RENAMES)
+    if write_input:
+        v = written(v)
     v = keep_exonic_or_splicing(v, exonic_functions)
     v = base = drop_dotted(v)
     input_cols = v.columns
@@ -116,8 +119,7 @@ def filter_annovar(
     rows, size = sizes.pop("variants", (None, None))
     if rows is not None:
         variants_bounded = rows <= limits.max_variant_rows and size <= limits.max_variant_bytes
-    small = {name: n <= limits.max_broadcast_rows and b <= limits.max_broadcast_bytes
-             for name, (n, b) in sizes.items()}
+    small = broadcast_choice(sizes, limits, reserved=size or 0 if variants_bounded else 0)
     v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy,
                         variants_bounded=variants_bounded, variant_rows=rows, limits=limits)
     v = v.withColumn("max_gnomad_topmed", max_frequency(ANNOVAR_FREQUENCIES))

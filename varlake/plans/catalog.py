@@ -498,7 +498,7 @@ def annovar_tables(spark: SparkSession, sf: str) -> AnnovarTables:
 @register("filter_annovar", O.annovar_pipeline())
 def q_filter_annovar(spark, sf):
     """The ANNOVAR filtering pipeline end to end (K2 text output)."""
-    return filter_annovar(fixture(spark, sf, "fx_annovar"), annovar_tables(spark, sf))
+    return filter_annovar(fixture(spark, sf, "fx_annovar"), annovar_tables(spark, sf), write_input=False)
 
 
 @register("symbol_gene_joins", O.with_(
@@ -1019,7 +1019,7 @@ def q_filter_vep_cohort(spark, sf):
 def q_filter_annovar_cohort(spark, sf):
     """P3 as for a cohort."""
     return filter_annovar(fixture(spark, sf, "fx_annovar"), annovar_tables(spark, sf),
-                          strategy="keys", limits=SHUFFLED)
+                          strategy="keys", write_input=False, limits=SHUFFLED)
 
 
 from varlake.plans import catalog_files  # noqa: E402,F401  (registers its queries)

@@ -48,6 +48,7 @@ from varlake.operators.genes import (
 from varlake.operators.joins import (
     Derived,
     annotate_by_key,
+    broadcast_choice,
     measured,
     project_annotation,
 )
@@ -195,8 +196,9 @@ def filter_vep(
     rows, size = sizes.pop("variants", (None, None))
     if rows is not None:
         variants_bounded = rows <= limits.max_variant_rows and size <= limits.max_variant_bytes
-    small = {name: n <= limits.max_broadcast_rows and b <= limits.max_broadcast_bytes
-             for name, (n, b) in sizes.items()}
+    # The two-way join broadcasts Orphanet's rows once for each alternative.
+    small = broadcast_choice(sizes, limits, reserved=size or 0 if variants_bounded else 0,
+                             copies={"orphanet": 2})
 
     v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy,
                         variants_bounded=variants_bounded, variant_rows=rows,
