@@ -456,18 +456,33 @@ def test_search_of_odd_vectors(spark):
     assert ann.search(frame.where("vec_id = 0"), F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_footrule_reads_only_posted_places():
+@pytest.mark.parametrize("posted", [8, 128])
+def test_footrule_reads_only_posted_places(monkeypatch, posted):
+    monkeypatch.setattr(ann, "POSTED", posted)
     x = vector_rows(500)
     norm = float(np.linalg.norm(x, axis=1).max())
     pivots = ann.lifted(x[400:440], norm) / norm
     index = ann.BlockIndex(np.arange(500), x, pivots, norm)
+    assert len(index.posted) == 500 * min(posted, 40)
     places = ann.query_places(x[:1], pivots)[0]
     assert sorted(places) == list(range(40))
-    read = [p for p in range(40) if places[p] < ann.READ]
-    want = [sum(abs(min(int(index.files[p][v]), index.behind) - int(places[p])) for p in read)
-            for v in range(500)]
+    of_rows = ann._places(ann.lifted(x, norm), pivots)
+    want = [sum(abs(min(int(of_rows[v][p]), index.behind) - int(places[p])) for p in range(40)
+                if places[p] < ann.READ) for v in range(500)]
     assert index.footrules(places).tolist() == want
 
 
+def test_the_share_alone_finds_most_neighbours():
+    x = np.random.default_rng(4).normal(size=(3000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    pivots = ann.farthest_first(ann.lifted(x[:2048], 1.0), ann.PIVOTS)
+    index = ann.BlockIndex(np.arange(3000), x, pivots, 1.0)
+    hits = 0
+    for q in range(0, 1000, 20):
+        found, _ = index.nearest(q, x[q], ann.query_places(x[q:q + 1], pivots)[0], 20, exact=False)
+        hits += len(set(found.tolist()) & set(brute_nearest(np.arange(3000), x, q)[0]))
+    assert hits / (50 * 20) >= 0.95
+
+
 def test_documents_schema_is_that_of_the_helpers(spark):
     assert documents(spark).columns == [c.split()[0] for c in DOCS.split(", ")]

@@ -1,15 +1,15 @@
 """Approximate nearest neighbours by a permutation index.
 
 A vector is represented by its nearest pivots in order.  The rows are dealt to
-blocks; in a block, each pivot's inverted file lists the vectors that have it
-among their ``POSTED`` nearest, by its place in their order (held as a dense
-array of pivots by vectors, those not listed standing behind).  A query reads the
-files of its own ``READ`` nearest pivots, sums how far the places differ
+blocks; in a block, each pivot's inverted file is a list of the vectors that have
+it among their ``POSTED`` nearest, with its place in their order.  A query walks
+the lists of its own ``READ`` nearest pivots and adds up how far the places differ
 (Spearman's footrule, a vector that isn't listed standing behind the last
 place), and reranks the best share of the block by the inner product itself.
-Of the other vectors, those are reranked too whose norm and angles to pivots
-don't exclude an inner product as large as the ``k``-th found: the order of the
-footrules decides how much is read, never what is found.
+With ``exact`` (the default), of the other vectors those are reranked too whose
+norm and angles to pivots don't exclude an inner product as large as the ``k``-th
+found: the order of the footrules then decides how much is read, never what is
+found.  Without it, only the share is.
 
 Nearness is the inner product.  Vectors, and so the pivots chosen from them,
 get one more component that makes all norms equal; queries get a 0 there.
@@ -113,8 +113,10 @@ class BlockIndex:
         self.ids, self.vectors, self.pivots = ids[order], vectors[order], pivots
         self.behind = min(POSTED, len(pivots))
         places = _places(lifted(self.vectors, norm), pivots)
-        # files[p]: each vector's place of pivot p; those not posted stand behind.
-        self.files = np.minimum(places, self.behind).T.copy()
+        # The file of pivot p: posted[ends[p]:ends[p + 1]], with the place each has.
+        pivot, row = np.nonzero((places < self.behind).T)
+        self.posted, self.place = row.astype(np.int32), places[row, pivot]
+        self.ends = np.searchsorted(pivot, np.arange(len(pivots) + 1))
         # Cosines and sines of the angles between pivots and vectors, as they are unlifted.
         self.norms, units = _units(self.vectors)
         self.directions = _units(pivots[:, :-1])[1]
@@ -124,10 +126,13 @@ class BlockIndex:
     def footrules(self, places: np.ndarray) -> np.ndarray:
         """Footrule distance of all vectors to a query's pivot places."""
         read = np.argsort(places, kind="stable")[:READ]
-        apart = self.files[read]
-        apart -= places[read, None]
-        np.abs(apart, out=apart)
-        return np.add.reduce(apart, axis=0, dtype=np.int32)
+        # All behind the last place, then what the lists say of their vectors.
+        apart = np.full(len(self.ids), int(np.abs(self.behind - places[read].astype(np.int64)).sum()), np.int32)
+        for p in read.tolist():
+            begin, end = self.ends[p], self.ends[p + 1]
+            apart[self.posted[begin:end]] += (
+                np.abs(self.place[begin:end] - places[p]) - abs(self.behind - int(places[p])))
+        return apart
 
     def within_reach(self, rows: np.ndarray, query: np.ndarray, places: np.ndarray, least: float
                      ) -> np.ndarray:
@@ -144,8 +149,8 @@ class BlockIndex:
                        + self.sines[p, rows] * np.sqrt(1 - cosine**2), out=closest)
         return rows[~(reach * (closest + SLACK) < least)]
 
-    def nearest(self, query_id: int, query: np.ndarray, places: np.ndarray, k: int
-                ) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, query_id: int, query: np.ndarray, places: np.ndarray, k: int,
+                exact: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the best ``k`` after reranking."""
         others = self.ids != query_id
         wanted = max(LEAST, k, int(SHARE * len(self.ids)))
@@ -154,8 +159,8 @@ class BlockIndex:
             edge = np.partition(distance, wanted - 1)[wanted - 1]
             first = distance <= edge  # and all that tie
             scores = self._scores(np.flatnonzero(first & others), query)
-            rest = np.flatnonzero(~first & others)
-            if len(scores) >= k:
+            rest = np.flatnonzero(~first & others) if exact else np.empty(0, np.int64)
+            if exact and len(scores) >= k:
                 rest = self.within_reach(rest, query, places, np.partition(scores, -k)[-k])
             rows = np.concatenate([np.flatnonzero(first & others), rest])
             scores = np.concatenate([scores, self._scores(rest, query)])
@@ -169,7 +174,7 @@ class BlockIndex:
         return np.einsum("ij,j->i", self.vectors[rows], query)  # alike rows score alike
 
 
-def search(embeddings: DataFrame, queries: Column, k: int = 20) -> DataFrame:
+def search(embeddings: DataFrame, queries: Column, k: int = 20, exact: bool = True) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each
     row for which ``queries`` (an expression on ``vec_id``) holds."""
     rows = written(usable_vectors(embeddings))
@@ -199,7 +204,7 @@ def search(embeddings: DataFrame, queries: Column, k: int = 20) -> DataFrame:
         ids, vectors = matrix(right)
         places = query_places(vectors, pivots.value)
         found = [(np.full(len(n), q), n, s) for q, v, p in zip(ids, vectors, places)
-                 for n, s in [block.nearest(q, v, p, k)]]
+                 for n, s in [block.nearest(q, v, p, k, exact)]]
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*found)], schema=schema)
 
     found = index.groupBy("block", "chunk").cogroup(probes.groupBy("block", "chunk")).applyInArrow(
