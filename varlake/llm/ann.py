@@ -127,12 +127,13 @@ class BlockIndex:
         """Footrule distance of all vectors to a query's pivot places."""
         read = np.argsort(places, kind="stable")[:READ]
         # All behind the last place, then what the lists say of their vectors.
-        apart = np.full(len(self.ids), int(np.abs(self.behind - places[read].astype(np.int64)).sum()), np.int32)
-        for p in read.tolist():
-            begin, end = self.ends[p], self.ends[p + 1]
-            apart[self.posted[begin:end]] += (
-                np.abs(self.place[begin:end] - places[p]) - abs(self.behind - int(places[p])))
-        return apart
+        behind = np.abs(self.behind - places[read].astype(np.int32))
+        lists = [slice(self.ends[p], self.ends[p + 1]) for p in read.tolist()]
+        sizes = [i.stop - i.start for i in lists]
+        nearer = np.abs(np.concatenate([self.place[i] for i in lists])
+                        - np.repeat(places[read], sizes)) - np.repeat(behind, sizes)
+        apart = np.bincount(np.concatenate([self.posted[i] for i in lists]), nearer, len(self.ids))
+        return apart.astype(np.int32) + behind.sum(dtype=np.int32)
 
     def within_reach(self, rows: np.ndarray, query: np.ndarray, places: np.ndarray, least: float
                      ) -> np.ndarray:
@@ -167,6 +168,9 @@ class BlockIndex:
         else:
             rows = np.flatnonzero(others)
             scores = self._scores(rows, query)
+        if len(scores) > k:  # the k best and all that tie
+            near = scores >= np.partition(scores, -k)[-k]
+            rows, scores = rows[near], scores[near]
         best = np.lexsort((self.ids[rows], -scores))[:k]
         return self.ids[rows][best], scores[best]
 
