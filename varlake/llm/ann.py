@@ -35,10 +35,10 @@ from varlake.llm.common import written
 PIVOTS = 256
 PIVOT_SAMPLE = 2048  # rows the pivots are chosen from
 POSTED = 64
-READ = 32
+READ = 24
 SHARE = 0.3  # of a block that is reranked for a query
 LEAST = 200  # vectors of a block that are reranked at least
-BOUNDING = 8  # nearest pivots whose angles bound a query's inner products
+BOUNDING = 4  # nearest pivots whose angles bound a query's inner products
 SLACK = 1e-6  # of the product of the norms, for rounding in the bounds
 BLOCK_ROWS = 4096  # vectors of a block, about
 CHUNK_ROWS = 2048  # queries that meet a block at once, about
