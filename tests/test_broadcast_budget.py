@@ -36,3 +36,11 @@ def test_a_mixed_plan_gives_the_same_rows(spark):
     rows = lambda lim: sorted(map(str, arrays_as_text(
         filter_vep(v, tables, sort=False, write_input=False, limits=lim)).collect()))
     assert rows(limits) == rows(Limits())
+
+
+def test_measured_bytes_cover_text_and_arrays(spark):
+    rows = [("ab", ["x", "yz", None], 1), (None, None, None), ("é", [], 2)]
+    df = spark.createDataFrame(rows, "s string, a array<string>, n long")
+    (n, size), = measured({"t": df}).values()
+    assert n == 3 and size == 3 * (16 + 16 + 32 + 8) + 4 + 3 * 16 + 3
+    assert measured({"t": df.limit(0)}) == {"t": (0, 0)}

@@ -46,6 +46,9 @@ def _row_bytes(df: DataFrame) -> Column:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             total = total + 16 + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
+            total = total + 32 + F.coalesce(
+                16 * F.size(c) + F.octet_length(F.array_join(c, "")), F.lit(0))
         elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
             total = total + 32 + F.coalesce(2 * F.octet_length(F.to_json(F.struct(c))), F.lit(0))
         else:
