@@ -228,6 +228,27 @@ FROM words w LEFT JOIN hit_words h ON w.doc_id = h.doc_id
 LEFT JOIN hit_items i ON w.doc_id = i.doc_id
 """
 
+# Base 32 of the digest: four digits for every five of its hexadecimal ones.
+ORACLE_8 = """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+    SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM p
+), digits AS (
+    SELECT hex, array_to_string(list_transform(range(0, 32), lambda i: substr(
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((CAST('0x' || substr(hex, (i // 4) * 5 + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1,
+        1)), '') AS payload_digest
+    FROM (SELECT DISTINCT hex FROM d)
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_id FROM d
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM firsts JOIN digits USING (hex)
+"""
+
 ORACLE_9 = """
 WITH lines AS (
     SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line, len(l) AS n
@@ -302,7 +323,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_sharding": (op5_sharding, None),
     "op6_decontamination": (op6_decontamination, ORACLE_6),
     "op7_quality": (op7_quality, None),
-    "op8_warc": (op8_warc, None),
+    "op8_warc": (op8_warc, ORACLE_8),
     "op9_line_dedup": (op9_line_dedup, ORACLE_9),
     "op10_permutation_search": (op10_permutation_search, None),
     "op11_pair_maxscore": (op11_pair_maxscore, ORACLE_11),
