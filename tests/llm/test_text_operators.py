@@ -1,9 +1,12 @@
 """Line dedup, n-gram join and decontamination against plain Python."""
 
 import hashlib
+import pickle
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -223,6 +226,41 @@ def test_decontamination_matches_brute_force(spark, monkeypatch, setting):
     assert sorted(got, key=key) == sorted(brute_contamination(rows, items), key=key)
 
 
+@pytest.mark.parametrize("window", [1, 2, 3, 10])
+def test_windows_are_those_of_brute_force(window):
+    _, items = contamination_case()
+    ids = [None if i is None else str(i) for i, _ in items]
+    got = decontaminate.item_windows(ids, pa.array([t for _, t in items], pa.string()), window)
+    found = {}
+    for which, w in enumerate(got.lengths):
+        for n, start in enumerate(w.starts):
+            key = tuple(got.hashes[got.words[start:start + w.size] - 2].tolist())
+            assert key not in found
+            found[key] = got.items_of(which, n)
+    want = {}
+    for i, text in zip(ids, [t for _, t in items]):
+        data = (text or "").encode()
+        w = Words(data, np.array([0, len(data)])).hashes.tolist()
+        for a in range(max(len(w) - window + 1, min(1, len(w)))):
+            want.setdefault(tuple(w[a:a + window]), set()).add(i)
+    assert found == {k: sorted(x for x in v if x is not None) for k, v in want.items()}
+
+
+def test_windows_of_a_whole_block_fit_a_small_driver():
+    """A benchmark block of the real size: at most 30 bytes for each byte of text
+    while its windows are worked out, and 6 to broadcast."""
+    rng = np.random.default_rng(3)
+    items = decontaminate.BLOCK_BYTES // 300
+    texts = [" ".join(f"w{x}" for x in row) for row in rng.integers(0, 30_000, (items, 50))]
+    tracemalloc.start()
+    got = decontaminate.item_windows([str(i) for i in range(items)], pa.array(texts))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sum(len(w.starts) for w in got.lengths) > 40 * items
+    assert peak < 30 * decontaminate.BLOCK_BYTES
+    assert len(pickle.dumps(got)) < 6 * decontaminate.BLOCK_BYTES
+
+
 def test_decontamination_of_an_empty_benchmark(spark):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     got = decontaminate.contamination(documents(spark), benchmark).collect()

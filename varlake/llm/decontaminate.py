@@ -9,8 +9,9 @@ are merged into removal spans.  A word no window holds cannot be part of an
 occurrence, so only runs of known words, as long as the shortest window at
 least, enter the index.
 
-The benchmark is collected in blocks of at most ``BLOCK_BYTES`` of text; a
-larger one takes several passes over the documents, each adding its spans.
+The benchmark is collected in blocks of at most ``BLOCK_BYTES`` of text, held
+as arrays over its words; a larger one takes several passes over the documents,
+each adding its spans.
 
 Defined cases: null and empty texts have no words and no hits.  Items without
 words are ignored; items of equal text all count; an item with a null id hits
@@ -33,6 +34,7 @@ from varlake.llm.common import Words, lean, text_passes
 WINDOW = 10
 SHARD_WORDS = 500_000  # indexed words per FM-index
 SAMPLE = 8  # every so many text positions are kept
+SEARCHED = 1 << 18  # windows searched at once
 BLOCK_BYTES = 16 << 20
 
 
@@ -110,11 +112,17 @@ class FMIndex:
 
     def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows ``low:high`` of the suffixes that begin with each pattern."""
-        low = np.zeros(len(patterns), np.int64)
-        high = np.full(len(patterns), len(self.bwt), np.int64)
-        alive = np.arange(len(patterns))
-        for k in reversed(range(patterns.shape[1])):
-            c = patterns[alive, k]
+        count, size = patterns.shape
+        return self.search_at(patterns.ravel(), np.arange(count) * size, size)
+
+    def search_at(self, symbols: np.ndarray, starts: np.ndarray, size: int
+                  ) -> tuple[np.ndarray, np.ndarray]:
+        """The same for the patterns ``symbols[start:start + size]``."""
+        low = np.zeros(len(starts), np.int64)
+        high = np.full(len(starts), len(self.bwt), np.int64)
+        alive = np.arange(len(starts))
+        for k in reversed(range(size)):
+            c = symbols[starts[alive] + k]
             low[alive] = self.before[c] + self.ranks(c, low[alive])
             high[alive] = self.before[c] + self.ranks(c, high[alive])
             alive = alive[low[alive] < high[alive]]
@@ -136,41 +144,85 @@ class FMIndex:
         return place
 
 
+@dataclass(frozen=True)
+class SameLength:
+    """Distinct windows of one length: where each stands first in the items'
+    words, and as lists laid end to end the items that hold it."""
+
+    size: int
+    starts: np.ndarray
+    items_at: np.ndarray  # items of window w: items[items_at[w]:items_at[w + 1]]
+    items: np.ndarray
+
+
 @dataclass(frozen=True)
 class Windows:
-    """Distinct windows of some items, by length, over numbered words."""
+    """Distinct windows of some items over numbered words.  A window is a place
+    in ``words``, so all of them take a few bytes for each word."""
 
     hashes: np.ndarray  # of the words, sorted; word i has number i + 2
-    patterns: list[np.ndarray]  # per length, a row per window
-    items: list[list[list[str]]]  # per length and window, the ids of its items
+    words: np.ndarray  # the items' words, by number
+    lengths: list[SameLength]
+    names: list[str]  # item ids, sorted
 
     @property
     def shortest(self) -> int:
-        return min(p.shape[1] for p in self.patterns)
+        return min(w.size for w in self.lengths)
 
     @property
     def longest(self) -> int:
-        return max(p.shape[1] for p in self.patterns)
-
-
-def item_windows(items: list[tuple[str | None, str]], window: int = WINDOW) -> Windows:
-    """The windows of (id, text) items."""
-    blobs = [text.encode() for _, text in items]
-    at = np.concatenate([[0], np.cumsum([len(b) for b in blobs])]).astype(np.int64)
-    words = Words(b"".join(blobs), at)
-    hashes, number = np.unique(words.hashes, return_inverse=True)
-    number = number + 2  # 0 ends the text, 1 separates runs
-    found: dict[tuple, set] = {}
-    for (item, _), a, b in zip(items, words.first, words.first[1:]):
-        for i in range(a, max(a + 1, b - window + 1) if b > a else a):
-            found.setdefault(tuple(number[i:min(i + window, b)]), set()).add(item)
-    by_length: dict[int, list] = {}
-    for key in sorted(found):
-        by_length.setdefault(len(key), []).append(key)
-    return Windows(
-        hashes, [np.array(keys, np.int64) for _, keys in sorted(by_length.items())],
-        [[sorted(x for x in found[k] if x is not None) for k in keys]
-         for _, keys in sorted(by_length.items())])
+        return max(w.size for w in self.lengths)
+
+    def items_of(self, which: int, window: int) -> list[str]:
+        w = self.lengths[which]
+        return [self.names[i] for i in w.items[w.items_at[window]:w.items_at[window + 1]]]
+
+
+def _named(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """A number for the ``size`` words from each start on, equal for equal ones:
+    names of runs twice as long come from pairs of names, exactly."""
+    name, span = words.astype(np.int64), 1
+
+    def paired(at: np.ndarray, shift: int) -> np.ndarray:
+        pair = name[at] * (int(name.max()) + 1) + name[np.minimum(at + shift, len(name) - 1)]
+        return np.unique(pair, return_inverse=True)[1]
+
+    while 2 * span <= size:
+        name = paired(np.arange(len(name)), span)
+        span *= 2
+    return paired(starts, size - span)  # two runs that may overlap cover the window
+
+
+def item_windows(ids: list[str | None], texts: pa.Array, window: int = WINDOW) -> Windows:
+    """The windows of items; arrays over their words only, no object a window."""
+    hashes, sizes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for _, _, data, at in text_passes(texts):
+        part = Words(data, at)
+        hashes.append(part.hashes)
+        sizes.append(np.diff(part.first))
+    known, words = np.unique(np.concatenate(hashes), return_inverse=True)
+    words = (words + 2).astype(np.int32)  # 0 ends the text, 1 separates runs
+    sizes = np.concatenate(sizes)
+    first = np.cumsum(sizes) - sizes
+    names = sorted({i for i in ids if i is not None})
+    place = {name: i for i, name in enumerate(names)}
+    item = np.array([place.get(i, -1) for i in ids], np.int64)
+    lengths = []
+    for size in np.unique(np.minimum(sizes[sizes > 0], window)).tolist():
+        some = np.flatnonzero(np.minimum(sizes, window) == size)
+        count = sizes[some] - size + 1
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        starts = np.repeat(first[some], count) + nth
+        _, at, name = np.unique(_named(words, starts, size), return_index=True, return_inverse=True)
+        owner = np.repeat(item[some], count)
+        listed = owner >= 0
+        pairs = np.unique(name[listed] * (len(names) + 1) + owner[listed])
+        of = pairs // (len(names) + 1)
+        lengths.append(SameLength(
+            size, starts[at].astype(np.int32),
+            np.searchsorted(of, np.arange(len(at) + 1)).astype(np.int32),
+            (pairs % (len(names) + 1)).astype(np.int32)))
+    return Windows(known, words, lengths, names)
 
 
 def _known_runs(number: np.ndarray, first: np.ndarray, shortest: int
@@ -210,7 +262,7 @@ def find_windows(number: np.ndarray, first: np.ndarray, windows: Windows
                  ) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
     """(word places, which length, which window) of all occurrences, by shard.
     ``number`` has each word's number or 0; ``first`` where each text begins."""
-    if not windows.patterns:
+    if not windows.lengths:
         return
     begins, ends = _known_runs(number, first, windows.shortest)
     top = len(windows.hashes) + 1
@@ -222,17 +274,19 @@ def find_windows(number: np.ndarray, first: np.ndarray, windows: Windows
             text[o:o + b - a] = number[a:b]
         index = FMIndex(text, top)
         shift = np.array([a for a, _ in lot]) - offset
-        for which, patterns in enumerate(windows.patterns):
-            low, high = index.search(patterns)
-            times = high - low
-            hit = np.flatnonzero(times)
-            if not len(hit):
-                continue
-            pattern = np.repeat(hit, times[hit])
-            nth = np.arange(len(pattern)) - np.repeat(np.cumsum(times[hit]) - times[hit], times[hit])
-            place = index.locate(low[pattern] + nth)
-            run = np.searchsorted(offset, place, "right") - 1
-            yield place + shift[run], which, pattern
+        for which, w in enumerate(windows.lengths):
+            for lot_at in range(0, len(w.starts), SEARCHED):
+                low, high = index.search_at(windows.words, w.starts[lot_at:lot_at + SEARCHED], w.size)
+                times = high - low
+                hit = np.flatnonzero(times)
+                if not len(hit):
+                    continue
+                pattern = np.repeat(hit, times[hit])
+                nth = np.arange(len(pattern)) - np.repeat(
+                    np.cumsum(times[hit]) - times[hit], times[hit])
+                place = index.locate(low[pattern] + nth)
+                run = np.searchsorted(offset, place, "right") - 1
+                yield place + shift[run], which, pattern + lot_at
 
 
 def _merged(hit: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -269,13 +323,13 @@ def _pass(docs: DataFrame, windows: Windows) -> DataFrame:
                         change[words.first[t] + s["begin"]] += 1
                         change[words.first[t] + s["end"]] -= 1
                 for place, which, pattern in find_windows(number, words.first, w):
-                    size = w.patterns[which].shape[1]
+                    size, count = w.lengths[which].size, len(w.lengths[which].starts)
                     np.add.at(change, place, 1)
                     np.add.at(change, place + size, -1)
                     text = np.searchsorted(words.first, place, "right") - 1
-                    for pair in np.unique(text * len(w.patterns[which]) + pattern):
-                        t, p = divmod(int(pair), len(w.patterns[which]))
-                        items[t].update(w.items[which][p])
+                    for pair in np.unique(text * count + pattern):
+                        t, p = divmod(int(pair), count)
+                        items[t].update(w.items_of(which, p))
                 text, begin, end = _merged(np.cumsum(change[:-1]) > 0, words.first)
                 where = np.searchsorted(text, np.arange(texts + 1)).astype(np.int32)
                 spans = pa.ListArray.from_arrays(where, pa.StructArray.from_arrays(
@@ -302,7 +356,8 @@ def mark_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     for block in range(blocks):
         # A hash of the text deals items to blocks of about block_bytes.
         some = items.where(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == block)
-        out = _pass(out, item_windows([(r["item"], r["text"]) for r in some.collect()], window))
+        held = some.toArrow()  # at most about block_bytes of text
+        out = _pass(out, item_windows(held["item"].to_pylist(), held["text"], window))
     return out
 
 
