@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varlake.functions.keys import chromosome_rank, to_long
+from varlake.operators.bins import GenomicBins
 
 
 def chromosome_order(df: DataFrame, tie_break: bool = True,
-                     tie_break_columns: list[str] | None = None) -> DataFrame:
+                     tie_break_columns: list[str] | None = None,
+                     bins: GenomicBins | None = None) -> DataFrame:
     """O1/O2: sort by chromosome (1..22, X, Y, then other contigs) and numeric
     ``start``.
 
-    The sort is a range-partitioned shuffle; rows with an equal
+    The sort is a range-partitioned shuffle unless ``bins`` are given; rows with an equal
     (chromosome, start) cannot be split by the range partitioner, so with
     ``tie_break`` the alleles and a hash of the whole row are appended to the
     sort key: a position that holds a third of the rows is then spread over
@@ -21,14 +23,22 @@ def chromosome_order(df: DataFrame, tie_break: bool = True,
     ``tie_break_columns`` limits the hash to the columns that tell rows of one
     position apart (e.g. a pipeline's input columns; annotation fan-out per
     input row is bounded by the gene tables), which is cheaper to compute.
+
+    With ``bins`` (:func:`varlake.operators.bins.genomic_bins`, of ``df`` or of a
+    table with all its positions) rows are dealt to their bin and sorted there:
+    ``df`` is worked out once, not once more for the boundaries.  A position
+    with more rows than a bin is cut by the hash first, then ordered by the alleles.
     """
     keys = [chromosome_rank("chromosome"), to_long("start")]
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in tie_break_columns or df.columns])
+    if bins is not None:
+        df, row_hash = df.withColumn("__hash", row_hash), F.col("__hash")
     if tie_break:
-        extra = [c for c in ("reference", "alternate") if c in df.columns]
-        keys += [F.col(c) for c in extra]
-        hashed = tie_break_columns or df.columns
-        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]))
-    return df.orderBy(*keys)
+        keys += [F.col(c) for c in ("reference", "alternate") if c in df.columns] + [row_hash]
+    if bins is None:
+        return df.orderBy(*keys)
+    dealt = bins.bin_of(df, row_hash, "__bin").repartitionById(bins.count, "__bin")
+    return dealt.sortWithinPartitions(*keys).drop("__bin", "__hash")
 
 
 def has_rows(df: DataFrame) -> bool:

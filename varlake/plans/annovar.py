@@ -19,6 +19,7 @@ from varlake.config import DEFAULT_LIMITS, Limits, written
 from varlake.functions.keys import KEY, with_variant_key
 from varlake.functions.values import max_frequency, stringify_nested
 from varlake.operators.aggregates import gencc_by_gene, omim_by_gene, orphanet_by_gene_text
+from varlake.operators.bins import genomic_bins
 from varlake.operators.filters import (
     ANNOVAR_EXONIC_FUNCTIONS,
     ANNOVAR_MAF,
@@ -149,5 +150,5 @@ def filter_annovar(
     ]
     out = v.select([F.col(f"`{c}`") for c in order])
     if sort:
-        out = chromosome_order(out, tie_break_columns=input_cols)
+        out = chromosome_order(out, tie_break_columns=input_cols, bins=genomic_bins(base))
     return stringify_nested(out) if as_text else out

@@ -55,6 +55,7 @@ from varlake.operators.known import (
     hgmd_disease_mutations,
     known_tables,
 )
+from varlake.operators.bins import genomic_bins
 from varlake.operators.ordering import chromosome_order
 from varlake.plans import oracle as O
 from varlake.plans.annovar import ANNOVAR_FREQUENCIES, AnnovarTables, filter_annovar
@@ -957,7 +958,7 @@ def q_sorted_result_file(spark, sf):
     chromosome order."""
     path = _round_trip(spark)
     v = fixture(spark, sf, "fx_variants").select(*KEY, "variant_id")
-    write_result(chromosome_order(v), path, compression=None)
+    write_result(chromosome_order(v, bins=genomic_bins(v)), path, compression=None)
     files = spark.read.text(path).select(
         F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"), F.split("value", "\t").alias("f"))

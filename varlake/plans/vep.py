@@ -26,6 +26,7 @@ from varlake.operators.aggregates import (
     omim_by_gene,
     orphanet_by_gene,
 )
+from varlake.operators.bins import genomic_bins
 from varlake.operators.filters import (
     DAMAGE_RATIO_HIGH,
     DAMAGE_RATIO_LOW,
@@ -252,4 +253,6 @@ def filter_vep(
         "GenCC_moi_title_combined",
     ]
     out = v.select([F.col(f"`{c}`") for c in order])
-    return chromosome_order(out, tie_break_columns=input_cols) if sort else out
+    # The result keeps the positions of its input, which is cheap to count.
+    return chromosome_order(out, tie_break_columns=input_cols,
+                            bins=genomic_bins(kept)) if sort else out
