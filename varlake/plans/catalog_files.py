@@ -9,6 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varlake.config import written
 from varlake.functions.keys import KEY
 from varlake.operators.ordering import has_rows
 from varlake.operators.panels import annotate_gene_group, attach_gene_list
@@ -36,6 +37,7 @@ from varlake.plans.catalog import (
     vcf_input,
     vep_tables,
 )
+from varlake.plans.reannotate import reannotate
 from varlake.plans.vcf_table import vcf_qc_records, vcf_to_table, vcf_transcripts
 from varlake.plans.vcf_tidy import (
     calls_long,
@@ -45,10 +47,12 @@ from varlake.plans.vcf_tidy import (
     vcf_gt,
     vcf_meta,
 )
+from varlake.plans.vep import VepTables
 from varlake.sources.bgzf import read_bgzf, read_region, write_vcf
 from varlake.sources.fixtures import MIXED_FORMAT, VCF_HEADER, cohort_files, fixture
 from varlake.sources.store import AnnotationStore, open_store, write_store
 from varlake.sources.tables import write_result
+from varlake.sources.versions import changes_between, open_version, write_version
 from varlake.sources.vcf import (
     GENE_TAG_HEADER,
     output_header,
@@ -347,3 +351,52 @@ def q_vcf_sparse_calls(spark, sf):
     lines = vcf_cohort_input(spark, sf, "fx_vcf_lines_joint", ("A_", "B_"))
     long = calls_long(sparse_calls(lines), sample_dictionary(lines))
     return long.select("#CHROM", "POS", "REF", "ALT", "sample", "genotype", "depth", "quality")
+
+
+# ----------------------------------------------------------- versions of annotation
+def older_tables(tables: VepTables) -> VepTables:
+    """An earlier version of the derived tables: other values, fewer rows, other
+    rows, in key tables and in gene tables."""
+    def nth(column: str, n: int):
+        return F.pmod(F.xxhash64(column), F.lit(n)) == 0
+
+    return replace(
+        tables,
+        topmed=tables.topmed.withColumn("af", F.when(nth("start", 50), F.col("af") / 2).otherwise(F.col("af"))),
+        dbsnp=tables.dbsnp.where(~nth("name", 40)),
+        clinvar=tables.clinvar.withColumn("name", F.when(
+            nth("name", 30), F.concat("name", F.lit("x"))).otherwise(F.col("name"))),
+        gencc=tables.gencc.where(~nth("disease_curie", 25)),
+        omim_gene=tables.omim_gene.where(~nth("omim_gene_id", 25)),
+        orphanet_gene=tables.orphanet_gene.where(~nth("disorder_id", 25)),
+    )
+
+
+@register("reannotate_changed", O.vep_pipeline("vep"))
+def q_reannotate_changed(spark, sf):
+    """P1 brought from an earlier version of the tables to the current one: only
+    variants with a changed key or gene are worked out again."""
+    v, new = fixture(spark, sf, "fx_variants"), vep_tables(spark, sf)
+    old = older_tables(new)
+    before = written(stored_filter_vep(v, old, sort=False))
+    return arrays_as_text(reannotate(before, v, old, new))
+
+
+@register("annotation_versions", O.with_(["fx_dbsnp", "fx_topmed"], [], """
+SELECT 'v1' AS what, chromosome, start, reference, alternate, name FROM fx_dbsnp WHERE start % 7 <> 0
+UNION ALL SELECT 'v2', chromosome, start, reference, alternate, name FROM fx_dbsnp
+UNION ALL SELECT DISTINCT 'changed in dbsnp', chromosome, start, reference, alternate, CAST(NULL AS VARCHAR)
+ FROM fx_dbsnp WHERE start % 7 = 0 AND chromosome IS NOT NULL AND reference IS NOT NULL AND alternate IS NOT NULL
+UNION ALL SELECT DISTINCT 'changed in topmed', chromosome, start, reference, alternate, CAST(NULL AS VARCHAR)
+ FROM fx_topmed WHERE start % 11 = 0 AND af > 0"""))
+def q_annotation_versions(spark, sf):
+    """Two versions of a store, both readable, and the keys that differ."""
+    path, dbsnp, topmed = _round_trip(spark), fixture(spark, sf, "fx_dbsnp"), fixture(spark, sf, "fx_topmed")
+    half = topmed.withColumn("af", F.when(F.col("start") % 11 == 0, F.col("af") / 2).otherwise(F.col("af")))
+    write_version({"dbsnp": dbsnp.where(F.col("start") % 7 != 0), "topmed": half}, path, 4)
+    write_version({"dbsnp": dbsnp, "topmed": topmed}, path, 4)
+    rows = [open_version(spark, path, v).table("dbsnp").select(F.lit(f"v{v}").alias("what"), *KEY, "name")
+            for v in (1, 2)]
+    changed = changes_between(spark, path, 1, 2).select(
+        F.concat(F.lit("changed in "), "table").alias("what"), *KEY, F.lit(None).cast("string").alias("name"))
+    return rows[0].unionByName(rows[1]).unionByName(changed)

@@ -130,6 +130,47 @@ def _key_tables(t: VepTables, source: str, known: Sequence[str]) -> tuple[list[D
     return tables, absent
 
 
+# The columns that the gene-level lookups read.
+GENE_COLUMNS = {"vep": ["CSQ_HGNC_ID", "CSQ_Gene"], "dragon": ["CSQ_Gene"]}
+# The two-way join broadcasts Orphanet's rows once for each alternative.
+BROADCAST_COPIES = {"orphanet": 2}
+
+
+def gene_sources(tables: VepTables) -> dict[str, DataFrame]:
+    """The raw gene tables whose sizes decide how they are joined."""
+    found = {"omim": tables.omim_gene, "orphanet": tables.orphanet_gene, "gencc": tables.gencc,
+             "cosmic": tables.cosmic, "hgmd": tables.hgmd_gene, "genes": tables.genes}
+    return {name: table for name, table in found.items() if table is not None}
+
+
+def attach_gene_tables(
+    df: DataFrame,
+    tables: VepTables,
+    small: dict[str, bool],
+    *,
+    source: str = "vep",
+    orphanet_multi_id: str = "whole",
+    limits: Limits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """The gene-level lookups (J13-J18, J21) by ``GENE_COLUMNS``; ``small`` says of
+    each of :func:`gene_sources` whether it is broadcast."""
+    gene_key = "hgnc" if source == "vep" else "ensembl"
+    hgnc_col = "CSQ_HGNC_ID" if source == "vep" else "hgnc"
+    hgmd_genes = hgmd_gene_reference(tables.hgmd_gene, tables.genes,
+                                     dm_q_column=tables.hgmd_dm_q_column,
+                                     small=small.get("genes"), limits=limits)
+    # As many rows as HGMD genes have references: both sides are counted.
+    df = attach_hgmd_gene(df, hgmd_genes.distinct(), gene_key=gene_key,
+                          small=small["hgmd"] and small.get("genes", True), limits=limits)
+    df = attach_cosmic(df, tables.cosmic.distinct(), small=small["cosmic"], limits=limits)
+    df = attach_omim(df, omim_by_gene(tables.omim_gene), small=small["omim"], limits=limits)
+    df = attach_orphanet(df, orphanet_by_gene(tables.orphanet_gene), hgnc_column=hgnc_col,
+                         keep_hgnc_ids=(source == "vep"), multi_id=orphanet_multi_id,
+                         small=small["orphanet"], limits=limits)
+    return attach_gencc(df, gencc_by_gene(tables.gencc), on_column=hgnc_col, small=small["gencc"],
+                        limits=limits)
+
+
 def filter_vep(
     variants: DataFrame,
     tables: VepTables,
@@ -180,26 +221,19 @@ def filter_vep(
     v = base = kept.distinct()
 
     key_tables, absent = _key_tables(tables, source, known_variants)
-    omim_genes = omim_by_gene(tables.omim_gene)
-    orphanet_genes = orphanet_by_gene(tables.orphanet_gene)
-    gencc_genes = gencc_by_gene(tables.gencc)
     # Every broadcast below is proven by a count; the counts of the gene
     # tables and of the variant keys run together in one job.  A per-gene
     # aggregate has at most as many rows as its source, so the raw tables are
     # counted (no aggregation or shuffle in the counting job).
-    checks = {"omim": tables.omim_gene, "orphanet": tables.orphanet_gene,
-              "gencc": tables.gencc, "cosmic": tables.cosmic, "hgmd": tables.hgmd_gene}
-    if tables.genes is not None:
-        checks["genes"] = tables.genes
+    checks = gene_sources(tables)
     if strategy == "auto" and variants_bounded is None:
         checks["variants"] = kept.select(*KEY)
     sizes = measured(checks)
     rows, size = sizes.pop("variants", (None, None))
     if rows is not None:
         variants_bounded = rows <= limits.max_variant_rows and size <= limits.max_variant_bytes
-    # The two-way join broadcasts Orphanet's rows once for each alternative.
     small = broadcast_choice(sizes, limits, reserved=size or 0 if variants_bounded else 0,
-                             copies={"orphanet": 2})
+                             copies=BROADCAST_COPIES)
 
     v = annotate_by_key(v, key_tables, key=KEY, strategy=strategy,
                         variants_bounded=variants_bounded, variant_rows=rows,
@@ -213,25 +247,11 @@ def filter_vep(
     v = flag_damaging(v, dpc_l, dpc_u, require_damaging=require_damaging)
     v = flag_known(v, known_variants)
 
-    gene_key = "hgnc" if source == "vep" else "ensembl"
-    hgnc_col = "CSQ_HGNC_ID" if source == "vep" else "hgnc"
-
     def attach(df: DataFrame, lim: Limits) -> DataFrame:
-        hgmd_genes = hgmd_gene_reference(tables.hgmd_gene, tables.genes,
-                                         dm_q_column=tables.hgmd_dm_q_column,
-                                         small=small.get("genes"), limits=lim)
-        # As many rows as HGMD genes have references: both sides are counted.
-        df = attach_hgmd_gene(df, hgmd_genes.distinct(), gene_key=gene_key,
-                              small=small["hgmd"] and small.get("genes", True), limits=lim)
-        df = attach_cosmic(df, tables.cosmic.distinct(), small=small["cosmic"], limits=lim)
-        df = attach_omim(df, omim_genes, small=small["omim"], limits=lim)
-        df = attach_orphanet(df, orphanet_genes, hgnc_column=hgnc_col,
-                             keep_hgnc_ids=(source == "vep"), multi_id=orphanet_multi_id,
-                             small=small["orphanet"], limits=lim)
-        return attach_gencc(df, gencc_genes, on_column=hgnc_col, small=small["gencc"], limits=lim)
-
-    genes_by = ["CSQ_HGNC_ID", "CSQ_Gene"] if source == "vep" else ["CSQ_Gene"]
-    v = attach_by_gene(v, base, genes_by, attach, all_small=all(small.values()), limits=limits)
+        return attach_gene_tables(df, tables, small, source=source,
+                                  orphanet_multi_id=orphanet_multi_id, limits=lim)
+
+    v = attach_by_gene(v, base, GENE_COLUMNS[source], attach, all_small=all(small.values()), limits=limits)
 
     order = input_cols + [
         "REGENERON_ALL_AF", "ALLOFUS_GVS_ALL_AF", "DBSNP_RSID", "InterVar_automated",
