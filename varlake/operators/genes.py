@@ -74,8 +74,8 @@ def attach_by_gene(
     If all gene tables are small the chain is broadcast joins on ``df``.  If
     not, it runs on the distinct values of ``columns`` in ``genes_of`` (the
     frame ``df`` was made from), a row per gene whatever the number of its
-    variants, and the result is joined back once, with hot genes split by the
-    counts taken on the way.  ``df`` is in the plan once.  ``keep_repeats``
+    variants, and the result is joined back once: broadcast if it is counted
+    small, else with hot genes split by the counts taken on the way.  ``df`` is in the plan once.  ``keep_repeats``
     keeps rows that lookups repeat, as the chain on ``df`` would.
     """
     if all_small:
@@ -83,8 +83,8 @@ def attach_by_gene(
     columns = list(columns)
     counts = written(genes_of.groupBy(*columns).agg(F.count(F.lit(1)).alias(ROWS)))
     genes = attach(counts.select(*columns), replace(limits, hot_key_rows=NEVER_HOT))
-    return left_join_lookup(df, written(genes if keep_repeats else genes.distinct()), columns, null_safe=True,
-                            try_broadcast=False, left_counts=counts, limits=limits)
+    genes = written(genes if keep_repeats else genes.distinct())  # the gene dimension
+    return left_join_lookup(df, genes, columns, null_safe=True, left_counts=counts, limits=limits)
 
 
 def attach_hgmd_gene(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from varlake.config import written
 from varlake.functions.keys import KEY
+from varlake.operators.filters import keep_consequences
 from varlake.operators.ordering import has_rows
 from varlake.operators.panels import annotate_gene_group, attach_gene_list
 from varlake.plans import oracle as O
@@ -47,7 +48,7 @@ from varlake.plans.vcf_tidy import (
     vcf_gt,
     vcf_meta,
 )
-from varlake.plans.vep import VepTables
+from varlake.plans.vep import VepTables, gene_dimension
 from varlake.sources.bgzf import read_bgzf, read_region, write_vcf
 from varlake.sources.fixtures import MIXED_FORMAT, VCF_HEADER, cohort_files, fixture
 from varlake.sources.store import AnnotationStore, open_store, write_store
@@ -400,3 +401,29 @@ def q_annotation_versions(spark, sf):
     changed = changes_between(spark, path, 1, 2).select(
         F.concat(F.lit("changed in "), "table").alias("what"), *KEY, F.lit(None).cast("string").alias("name"))
     return rows[0].unionByName(rows[1]).unionByName(changed)
+
+
+# --------------------------------------------------------------- the gene dimension
+_GENE_OUT = ["CSQ_HGNC_ID", "CSQ_Gene", "entrez_gene_id", "hgnc", "HGMD_DM", "HGMD_DM?", "CGC_Tier",
+             "CGC_Mutation_Types", "OMIM_gene_id", "OMIM_phenotype_combined",
+             "Orphanet_disorder_id_combined", "Orphanet_gene_source_of_validation_combined",
+             "Orphanet_HGNC_gene_id", "Orphanet_type_of_inheritance_combined",
+             "GenCC_disease_curie_combined", "GenCC_disease_title_combined",
+             "GenCC_classification_title_combined", "GenCC_moi_title_combined"]
+_GENE_LIST = ", ".join(f'"{c}"' for c in _GENE_OUT)
+
+
+@register("gene_dimension", O.vep_pipeline("vep", tail=f"SELECT DISTINCT {_GENE_LIST} FROM p1"))
+def q_gene_dimension(spark, sf):
+    """All gene tables' columns for each pair of gene ids that
+    variants have."""
+    v = keep_consequences(fixture(spark, sf, "fx_variants"))
+    return arrays_as_text(gene_dimension(v, vep_tables(spark, sf))).select(
+        [F.col(f"`{c}`") for c in _GENE_OUT])
+
+
+@register("filter_vep_genes_once", O.vep_pipeline("vep"))
+def q_filter_vep_genes_once(spark, sf):
+    """P1 with the gene tables looked up for each pair of gene ids and joined once."""
+    return arrays_as_text(stored_filter_vep(
+        fixture(spark, sf, "fx_variants"), vep_tables(spark, sf), genes_once=True))

@@ -171,6 +171,16 @@ def attach_gene_tables(
                         limits=limits)
 
 
+def gene_dimension(genes: DataFrame, tables: VepTables, *, source: str = "vep",
+                   orphanet_multi_id: str = "whole", limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """All gene tables' columns for the distinct ``GENE_COLUMNS`` of ``genes``: a row
+    for each gene, several where a table has several for it (two HGMD symbols
+    of one id), just as the lookups on the variants would give."""
+    small = broadcast_choice(measured(gene_sources(tables)), limits, copies=BROADCAST_COPIES)
+    return attach_gene_tables(genes.select(*GENE_COLUMNS[source]).distinct(), tables, small, source=source,
+                              orphanet_multi_id=orphanet_multi_id, limits=limits).distinct()
+
+
 def filter_vep(
     variants: DataFrame,
     tables: VepTables,
@@ -188,6 +198,7 @@ def filter_vep(
     strategy: str = "auto",
     variants_bounded: bool | None = None,
     sketch: bool = True,
+    genes_once: bool = False,
     write_input: bool = True,
     sort: bool = True,
     limits: Limits = DEFAULT_LIMITS,
@@ -199,7 +210,9 @@ def filter_vep(
     ``optional_columns`` names it; it is NULL then, and a frequency that is
     NULL counts as rare.  ``variants_bounded`` says whether the variants are
     within ``limits`` and saves counting them; ``sketch=False`` suits tables of an
-    annotation store, which aren't shuffled.  The input is counted, reduced to its
+    annotation store, which aren't shuffled.  ``genes_once`` looks the gene tables
+    up for the distinct gene ids (:func:`gene_dimension`) and joins them once, also
+    where all are small; where one isn't this is always so.  The input is counted, reduced to its
     keys and joined, so it is worked out once and written to the shared folder
     (``write_input=False`` if it is a stored table).  Output columns: the input columns, the
     key annotations, ``max_gtar``, ``flag_keep``, ClinVar/HGMD columns, gene
@@ -251,7 +264,8 @@ def filter_vep(
         return attach_gene_tables(df, tables, small, source=source,
                                   orphanet_multi_id=orphanet_multi_id, limits=lim)
 
-    v = attach_by_gene(v, base, GENE_COLUMNS[source], attach, all_small=all(small.values()), limits=limits)
+    v = attach_by_gene(v, base, GENE_COLUMNS[source], attach,
+                       all_small=not genes_once and all(small.values()), limits=limits)
 
     order = input_cols + [
         "REGENERON_ALL_AF", "ALLOFUS_GVS_ALL_AF", "DBSNP_RSID", "InterVar_automated",
