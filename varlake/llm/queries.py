@@ -189,6 +189,41 @@ def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(_table(spark, sf_dir, "documents"))
 
 
+ORACLE_4 = """
+WITH RECURSIVE words AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+    FROM documents
+), sets AS (
+    SELECT r, doc_id, CASE WHEN len(w) > 0 THEN list_sort(list_distinct(list_transform(
+        range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s
+    FROM words
+), nodes AS (
+    SELECT s, row_number() OVER (ORDER BY s) AS node, count(*) AS copies, min(doc_id) AS least
+    FROM sets WHERE s IS NOT NULL GROUP BY s
+), shingles AS (
+    SELECT node, len(s) AS n, unnest(s) AS shingle FROM nodes
+), pairs AS (
+    SELECT a.node AS a, b.node AS b FROM shingles a JOIN shingles b
+        ON a.shingle = b.shingle AND a.node < b.node AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+    GROUP BY a.node, b.node, a.n, b.n HAVING 5 * count(*) >= 4 * (a.n + b.n - count(*))
+), links AS (
+    SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), met(node, other) AS (
+    SELECT node, node FROM nodes
+    UNION SELECT m.node, l.b FROM met m JOIN links l ON m.other = l.a
+), classes AS (
+    SELECT m.node, min(n.least) AS class_id FROM met m JOIN nodes n ON m.other = n.node GROUP BY m.node
+), linked AS (
+    SELECT l.a AS node, sum(n.copies) AS links FROM links l JOIN nodes n ON l.b = n.node GROUP BY l.a
+)
+SELECT t.doc_id, CASE WHEN n.node IS NULL THEN t.doc_id ELSE c.class_id END AS class_id,
+       CAST(CASE WHEN n.node IS NULL THEN 0 ELSE n.copies - 1 + coalesce(k.links, 0) END AS BIGINT) AS n_links
+FROM sets t LEFT JOIN nodes n ON t.s = n.s LEFT JOIN classes c ON n.node = c.node
+LEFT JOIN linked k ON n.node = k.node
+"""
+
 ORACLE_6 = """
 WITH words AS (
     SELECT doc_id, regexp_extract_all(
@@ -319,7 +354,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_url_filter": (op1_url_filter, _oracle_1()),
     "op2_packing": (op2_packing, None),
     "op3_toxicity": (op3_toxicity, None),
-    "op4_ngram_join": (op4_ngram_join, None),
+    "op4_ngram_join": (op4_ngram_join, ORACLE_4),
     "op5_sharding": (op5_sharding, None),
     "op6_decontamination": (op6_decontamination, ORACLE_6),
     "op7_quality": (op7_quality, None),
