@@ -194,6 +194,50 @@ def test_sharding_keeps_groups_whole_and_sizes_near(spark):
     assert sharding.shard_by_size(documents(spark, []), 8).count() == 0
 
 
+def plain_best_fit(sizes, capacity):
+    """Bins by trying every one for every size."""
+    rooms, where = [], []
+    for s in sizes:
+        fits = [(r, i) for i, r in enumerate(rooms) if r >= s]
+        i = min(fits)[1] if fits else len(rooms)
+        if not fits:
+            rooms.append(capacity)
+        rooms[i] -= s
+        where.append(i)
+    return where
+
+
+def test_sharding_of_a_table_is_best_fit_decreasing(spark):
+    """The query's placement against a plain search, on groups of which each is
+    over a 250th of a shard: copies, two scripts, no two groups of one size."""
+    rng = random.Random(11)
+    rows, groups = [], {}
+    for i, n in enumerate(rng.sample(range(900, 3000), 120)):
+        text = ("é" if i % 3 else "e") * n
+        copies = rng.randrange(1, 4)
+        size = copies * (len(text.encode()) + 16)
+        if size in groups:
+            continue
+        groups[size] = text
+        rows += [(10 * i + c, text, "en", 0.0, 0) for c in range(copies)]
+    shards = 5
+    assert min(groups) > sum(groups) // (shards * sharding.LARGE)
+    got = {}
+    for r in sharding.shard_by_size(documents(spark, rows), shards).collect():
+        got.setdefault(r["text_crc32"], set()).add(r["shard"])
+    order = sorted(groups, reverse=True)
+    where = [got[zlib.crc32(groups[s].encode())] for s in order]
+    assert all(len(w) == 1 for w in where)
+    where = [next(iter(w)) for w in where]
+    held = [sum(s for s, w in zip(order, where) if w == b) for b in range(shards)]
+    low = -(-sum(order) // shards)
+    # At the least capacity that the plain search finds enough, or next to it:
+    # whether a capacity is enough need not grow with it, and halving may miss one.
+    enough = [c for c in range(max(held), max(held) + 500) if plain_best_fit(order, c) == where]
+    least = next(c for c in range(low, 2 * low) if max(plain_best_fit(order, c)) < shards)
+    assert enough and enough[0] <= least * 1.01
+
+
 # --- toxicity and quality -------------------------------------------------
 
 def test_machine_learns_interactions_that_sums_miss():
