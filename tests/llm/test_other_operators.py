@@ -296,6 +296,30 @@ def test_scores_hold_out_and_generalise(spark, which, modulus, rest):
     assert total > 100 and right >= 0.97 * total
 
 
+def test_quality_learns_from_every_label_and_pair(spark):
+    """The loss is that of all pairs (against a brute-force sum), and no label is left out."""
+    rng = np.random.default_rng(5)
+    x = rng.random((300, len(quality.MEASURES)))
+    y = (x[:, 0] + 0.3 * rng.random(300) > 0.6).astype(int)
+    rows = spark.createDataFrame([(a.tolist(), int(b)) for a, b in zip(x, y)],
+                                 "measures array<double>, y int").repartition(5).cache()
+    good, bad = int(y.sum()), int((1 - y).sum())
+    ranking = quality.fit_ranking(rows, good, bad)
+    features = quality._binned(x, ranking.edges)
+    scores = features @ ranking.weights
+    wrong = 1 / (1 + np.exp(scores[y == 1][:, None] - scores[y == 0][None]))
+    gradient = quality.DECAY * ranking.weights - (
+        wrong.sum(axis=1) @ features[y == 1] - wrong.sum(axis=0) @ features[y == 0]) / (good * bad)
+    assert np.abs(gradient).max() < 2e-3  # at the least loss of all pairs
+    assert np.isclose(ranking.threshold, np.quantile(scores, bad / 300))
+    table = quality._sums(rows, ranking.edges, ranking.weights, -50.0, 50.0)
+    assert table[0, :, 0].sum() == bad and table[1, :, 0].sum() == good
+    assert np.allclose(table[1, :, 2:].sum(axis=0), features[y == 1].sum(axis=0))
+    assert not hasattr(quality, "MAX_TRAINING_ROWS")
+    told = quality.training_labels(labels(spark, [(i, i % 2, 0, "x") for i in range(999)]), "quality", 3, 1, None)
+    assert told.count() == sum(crc_text(i) % 3 != 1 for i in range(999))
+
+
 def test_terms_harmless_alone_are_learned_in_pairs(spark):
     """An insult and a group that are each mostly clean alone are toxic
     together; a word of context makes a plain insult harmless."""
