@@ -305,3 +305,32 @@ def test_digest_of_items_is_that_of_sorted_ids(spark, tmp_path):
                   r["items_sha256"], r["contaminated"])
                  for r in op6_decontamination(spark, str(tmp_path)).collect())
     assert got == want
+
+
+def test_workers_pass_on_a_batch_for_each_pass(monkeypatch):
+    """Texts of 100 KB in one batch: no whole batch goes on at once, nor in another order."""
+    from types import SimpleNamespace
+
+    from varlake.llm import common, toxicity
+
+    monkeypatch.setattr(common, "PASS_BYTES", 1 << 18)
+    texts = [None, "", "bad w" * 20_000, *[f"A b c d e f g h i j k {i} " * 4_000 for i in range(20)], "x"]
+    spans = [[] for _ in texts]
+    spans[3] = [{"begin": 0, "end": 11}]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array(spans, pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])))],
+        names=["text", "__spans"])
+    machine = toxicity.Machine(np.array([7]), -1.0, np.zeros(1), np.zeros((1, toxicity.FACTORS)))
+    kept = {}
+    context = SimpleNamespace(broadcast=lambda m: SimpleNamespace(value=m))
+    docs = SimpleNamespace(
+        columns=batch.schema.names, sparkSession=SimpleNamespace(sparkContext=context),
+        schema=SimpleNamespace(fields=[]), mapInArrow=lambda work, schema: kept.__setitem__("work", work))
+    for step in (lambda: toxicity.score_texts(docs, machine), lambda: decontaminate.remove_spans(docs)):
+        step()
+        out = list(kept["work"](iter([batch])))
+        assert sum(b.num_rows for b in out) == len(texts)
+        assert all(b.nbytes < 1 << 19 for b in out)
+        got = [t for b in out for t in b["text"].to_pylist()]
+        assert got[:3] == texts[:3] and got[4:] == texts[4:]
+    assert got[3] == texts[3][:0] + " " + texts[3][len("A b c d e f g h i j k"):]
