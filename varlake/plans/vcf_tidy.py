@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varlake.config import DEFAULT_LIMITS, Limits
+from varlake.config import DEFAULT_LIMITS, Limits, written
 from varlake.functions.keys import chromosome_rank, strip_chr, to_double, to_long
-from varlake.functions.vcf import NO_CALL, HOM_REF, adjusted_genotype, format_value
+from varlake.functions.vcf import HOM_REF, NO_CALL, bound, format_places, sample_calls, worked_out
 from varlake.operators.joins import left_join_lookup
 from varlake.sources.vcf import VcfSpec, records_of, sample_names, vcf_schema, with_sample_names
 
@@ -113,15 +113,14 @@ def sparse_calls(lines: DataFrame, spec: VcfSpec | None = None, limits: Limits =
     as it has carriers.  :func:`sample_dictionary` names the samples."""
     spec = spec or vcf_schema(lines)
     recs = with_sample_names(records_of(lines, spec, limits), spec, limits)
-    own = F.slice("samples", 1, F.size("__names"))
-    call = lambda s, i: F.struct(
-        i.alias("index"), adjusted_genotype(F.col("FORMAT"), s).alias("genotype"),
-        to_double(format_value(F.col("FORMAT"), s, "DP")).cast("int").alias("depth"),
-        to_double(format_value(F.col("FORMAT"), s, "GQ")).alias("quality"))
+    recs = worked_out(recs, __own=F.slice("samples", 1, F.size("__names")),
+                      __places=format_places("FORMAT", "GT", "AD", "DP", "GQ"))
+    call = lambda c, i: F.struct(
+        i.alias("index"), c["genotype"].alias("genotype"),
+        to_double(c["DP"]).cast("int").alias("depth"), to_double(c["GQ"]).alias("quality"))
     carried = lambda c: ~F.coalesce(c["genotype"], F.lit(NO_CALL)).isin(NO_CALL, HOM_REF)
-    return recs.select(
-        "file", "#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO",
-        F.filter(F.transform(own, call), carried).alias("calls"))
+    recs = worked_out(recs, calls=F.filter(F.transform(sample_calls("__own", "__places"), call), carried))
+    return recs.select("file", "#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "calls")
 
 
 def calls_long(sparse: DataFrame, dictionary: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
