@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from varlake.functions.vcf import adjusted_genotype, format_value
-from varlake.plans.vcf_tidy import sparse_calls
+from varlake.plans.vcf_tidy import sparse_calls, vcf_gt
 from varlake.sources.vcf import read_vcf
 
 HEADER = ["##fileformat=VCFv4.2", '##FORMAT=<ID=GT,Number=1,Type=String,Description="g">',
@@ -43,3 +43,20 @@ def test_sparse_calls_split_a_sample_once(spark, tmp_path):
     plan = optimized(df)
     assert plan.count(", :, -1)") == 2  # FORMAT, and a sample
     assert plan.count("try_cast") == 4  # two allele depths, DP and GQ
+
+
+def test_gt_splits_a_call_once(spark, tmp_path):
+    lines = lines_of(spark, tmp_path)
+    plan = optimized(vcf_gt(lines))
+    assert plan.count(", :, -1)") == 2
+    got = {(r["POS"], r["Indiv"]): r["gt"] for r in vcf_gt(lines).collect()}
+    for i, (fmt, call) in enumerate(CALLS):
+        want, values = {}, call.split(":")
+        for k, key in enumerate(fmt.split(":")):
+            want.setdefault(key, None if k >= len(values) or values[k] == "." else values[k])
+        assert got[i, "A"] == want
+
+
+def test_contigs_are_found_once(spark, tmp_path):
+    plan = optimized(vcf_gt(lines_of(spark, tmp_path)))
+    assert plan.count(" text") == 1  # the records; the contigs' numbers are written

@@ -52,13 +52,19 @@ def info_map(info: str | Column = "INFO") -> Column:
     return F.map_from_entries(F.transform(_first_of_each(items, name), entry))
 
 
-def call_map(fmt: str | Column, sample: Column) -> Column:
-    """A call's values by FORMAT key; ``.`` and dropped trailing ones are NULL."""
-    keys = F.split(F.col(fmt) if isinstance(fmt, str) else fmt, ":")
-    values = F.split(sample, ":")
-    entries = F.transform(keys, lambda k, i: F.struct(
-        k.alias("key"), F.nullif(F.get(values, i), F.lit(".")).alias("value")))
-    return F.map_from_entries(_first_of_each(entries, lambda e: e["key"]))
+def call_keys(fmt: str | Column) -> Column:
+    """A struct of a FORMAT's ``keys``, each once, and of their first ``places`` (from 1)."""
+    return bound(F.split(F.col(fmt) if isinstance(fmt, str) else fmt, ":"), lambda all_: bound(
+        F.array_distinct(all_), lambda keys: F.struct(keys.alias("keys"), F.transform(
+            keys, lambda k: F.array_position(all_, k).cast("int")).alias("places"))))
+
+
+def call_map(keys: Column, sample: Column) -> Column:
+    """A call's values by FORMAT key (``keys``: :func:`call_keys`); ``.`` and dropped
+    trailing ones are NULL."""
+    return bound(F.split(sample, ":"), lambda values: F.map_from_arrays(
+        keys["keys"], F.transform(keys["places"], lambda i: F.nullif(
+            F.get(values, i - 1), F.lit(".")))))
 
 
 def with_chrom_key(records: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
@@ -69,7 +75,8 @@ def with_chrom_key(records: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataF
     # As many rows as contigs; numbered in one place.
     contigs = records.select("#CHROM").distinct()
     order = Window.orderBy(chromosome_rank(strip_chr("#CHROM")), F.col("`#CHROM`"))
-    numbered = contigs.withColumn("ChromKey", F.row_number().over(order))
+    # Written: counted and joined, and found in the records but once.
+    numbered = written(contigs.withColumn("ChromKey", F.row_number().over(order)))
     return left_join_lookup(records, numbered, ["#CHROM"], limits=limits)
 
 
@@ -89,12 +96,14 @@ def vcf_gt(lines: DataFrame, spec: VcfSpec | None = None, limits: Limits = DEFAU
     and ``gt``, its values by FORMAT key.  Records without samples have none."""
     spec = spec or vcf_schema(lines)
     recs = with_sample_names(with_chrom_key(records_of(lines, spec, limits), limits), spec, limits)
-    calls = recs.select("file", "ChromKey", "POS", "REF", "ALT", "FORMAT", "__names", F.posexplode(
-        F.slice("samples", 1, F.size("__names"))).alias("__i", "__call"))
+    # A generator's output: the conditions of the next one would split the samples anew.
+    recs = worked_out(recs, __own=F.slice("samples", 1, F.size("__names")), __keys=call_keys("FORMAT"))
+    calls = recs.select("file", "ChromKey", "POS", "REF", "ALT", "__keys", "__names",
+                        F.posexplode("__own").alias("__i", "__call"))
     return calls.select(
         "file", "ChromKey", to_long("POS").alias("POS"), "REF", "ALT",
         F.get("__names", F.col("__i")).alias("Indiv"),
-        call_map("FORMAT", F.col("__call")).alias("gt"))
+        call_map(F.col("__keys"), F.col("__call")).alias("gt"))
 
 
 # ------------------------------------------------------------------ sparse calls
