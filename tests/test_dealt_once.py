@@ -16,6 +16,8 @@ from varlake.operators.bins import genomic_bins
 from varlake.operators.joins import left_join_in_bins
 from varlake.operators.ordering import dealt_to_bins, sorted_in_bins
 from varlake.plans.catalog import arrays_as_text, vep_tables
+from varlake.plans.catalog_files import older_tables
+from varlake.plans.reannotate import reannotate
 from varlake.plans.vep import filter_vep
 from varlake.sources.fixtures import fixture
 
@@ -94,6 +96,16 @@ def test_a_single_bin_keeps_the_order(spark):
     assert place(df) == place(filter_vep(v, tables, variants_bounded=True, write_input=False))
 
 
+def test_reannotation_deals_wide_rows_once(spark, monkeypatch):
+    monkeypatch.setattr(B, "LEAST_ROWS", 100)
+    v, new = written(fixture(spark, SF_SMALL, "fx_variants")), vep_tables(spark, SF_SMALL)
+    old = older_tables(new)
+    before = written(filter_vep(v, old, sort=False))
+    df = reannotate(before, v, old, new, limits=FORCED)
+    assert wide_exchanges(df, "max_gtar") == 1
+    assert rows_of(df) == rows_of(filter_vep(v, new, sort=False))
+
+
 def test_least_dbsnp_number_without_a_sort_of_the_table(spark):
     rows = [("1", 1, n) for n in ("rs9", "rs10", "rs09", "novel", None, "rs9")] + [
         ("1", 2, n) for n in ("rs007", "rs7", "xrs7y", "rs8")] + [("1", 3, n) for n in ("novel", None)] + [
